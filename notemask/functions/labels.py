@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import TAGS
-from notemask.functions.chars import ENDS, RUN, SPACE_CHARS, STARTS, WORD_CHARS, any_of
+from notemask.functions.chars import ENDS, RUN, SOLID, SPECIAL, STARTS, any_of
 from notemask.functions.tokens import collapse_spaces
 
 TAG_NAMES = any_of(TAGS)
@@ -21,7 +21,7 @@ def iob_raw(masked_tokens: Column) -> Column:
     ``Veteran's`` and ``PersonName'PersonName`` are one label each.
     """
     joined = F.regexp_replace(masked_tokens, f"'(?:{TAG_NAMES}|[a-zA-Z]{{0,2}})", "")
-    outside = f"[^{SPACE_CHARS}{WORD_CHARS}]|{STARTS}(?!{TAG_NAMES}{ENDS}){RUN}"
+    outside = f"{STARTS}(?!{TAG_NAMES}{ENDS}){RUN}|{SPECIAL}"
     return F.trim(collapse_spaces(F.regexp_replace(joined, outside, " O ")))
 
 
@@ -36,12 +36,12 @@ def bio_labels(labels: Column) -> Column:
 
 def label_code(labels: Column) -> Column:
     """1 valid, 2 a label outside the agreed set, 5 empty or null."""
-    stray = f"(?<![^{SPACE_CHARS}])(?!{ALPHABET}(?![^{SPACE_CHARS}]))[^{SPACE_CHARS}]"
+    stray = f"(?<!{SOLID})(?!{ALPHABET}(?!{SOLID})){SOLID}"
     return F.when(labels.isNull() | (labels == ""), 5).when(labels.rlike(stray), 2).otherwise(1)
 
 
 def token_count(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(f"[^{SPACE_CHARS}]+"), F.lit(0)))
+    return F.size(F.regexp_extract_all(text, F.lit(f"{SOLID}+"), F.lit(0)))
 
 
 def size_check(text: Column, labels: Column) -> Column:

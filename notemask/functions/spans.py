@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import ADDRESS_TAG, ROLE_WORDS
-from notemask.functions.chars import ENDS, NOT_WORD, RUN, SPACE_CHARS, STARTS, any_of
+from notemask.functions.chars import ENDS, NOT_WORD, RUN, SOLID, STARTS, any_of
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -39,8 +39,12 @@ def interleave(gap_array: Column, match_array: Column) -> Column:
 
 def rewrite_spans(text: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
     """Replace every match of ``pattern`` by ``rewrite(match)``; texts without a match pass through."""
-    rewritten = F.transform(matches(text, pattern), rewrite)
-    return F.when(text.rlike(pattern), interleave(gaps(text, pattern), rewritten)).otherwise(text)
+
+    def put_back(found: Column) -> Column:
+        rewritten = interleave(gaps(text, pattern), F.transform(found, rewrite))
+        return F.when(F.size(found) > 0, rewritten).otherwise(text)
+
+    return let(matches(text, pattern), put_back)
 
 
 def mask_spans(
@@ -72,7 +76,7 @@ def masked_token_diff(before: Column, after: Column) -> Column:
     """The tokens of ``before`` that a masking step changed, without ``-``, ``,`` and ``+``."""
 
     def tokens(text: Column) -> Column:
-        return F.filter(F.split(text, f"[{SPACE_CHARS}]+", -1), lambda t: t != "")
+        return matches(text, f"{SOLID}+")
 
     changed = F.zip_with(
         tokens(before),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
 from notemask.functions.chars import SPECIAL
-from notemask.functions.spans import gaps, interleave, let, matches, prefix_sums
+from notemask.functions.spans import gaps, let, matches, prefix_sums
 
+HELD_SPACE = "\ufdd0"  # a noncharacter, used only inside one expression
 RECORDED = r"[\x0b\n\t\r,\[\]] *"
 
 
@@ -32,17 +33,28 @@ def space_specials(raw: Column, masked: Column) -> Column:
     differ become a fixed error text.
     """
 
-    def token(r: Column, m: Column) -> Column:
-        shown = F.array_distinct(matches(m, SPECIAL))
-        spaced = F.aggregate(
-            shown, r, lambda acc, c: F.replace(acc, c, F.concat(F.lit("  "), c, F.lit("  ")))
+    def own(pair: Column) -> Column:
+        shown = F.array_distinct(matches(pair["masked"], SPECIAL))
+        pad = F.lit(HELD_SPACE)
+        return F.aggregate(
+            shown, pair["raw"], lambda acc, c: F.replace(acc, c, F.concat(pad, c, pad))
         )
-        return F.when(r == m, F.regexp_replace(r, SPECIAL, "  $0  ")).otherwise(spaced)
 
-    aligned = F.array_join(F.zip_with(F.split(raw, " ", -1), F.split(masked, " ", -1), token), " ")
+    # The unmasked tokens get their spaces in one pass over the whole text, held back as a reserved
+    # character until the tokens are joined again.
+    pairs = F.zip_with(
+        F.split(raw, " ", -1),
+        F.split(masked, " ", -1),
+        lambda r, m: F.struct(r.alias("raw"), m.alias("masked")),
+    )
+    spaced = F.split(F.regexp_replace(raw, SPECIAL, f"{HELD_SPACE}$0{HELD_SPACE}"), " ", -1)
+    tokens = F.zip_with(
+        pairs, spaced, lambda p, s: F.when(p["raw"] == p["masked"], s).otherwise(own(p))
+    )
+    aligned = F.regexp_replace(F.array_join(tokens, " "), rf"[ {HELD_SPACE}]+", " ")
     return (
         F.when(raw == masked, space_own_specials(raw))
-        .when(space_count(raw) == space_count(masked), collapse_spaces(aligned))
+        .when(space_count(raw) == space_count(masked), aligned)
         .when(raw.isNotNull() & masked.isNotNull(), F.lit(LENGTH_ERROR_TEXT))
     )
 
@@ -98,12 +110,3 @@ def restore_specials(text: Column, locations: Column) -> Column:
         ),
     )
 
-
-__all__ = [
-    "clean_masked",
-    "clean_text",
-    "interleave",
-    "restore_specials",
-    "space_specials",
-    "special_locations",
-]

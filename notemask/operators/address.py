@@ -19,6 +19,7 @@ from notemask.functions.chars import (
     ENDS,
     NOT_WORD,
     RUN,
+    SOLID,
     SPACE_CHARS,
     STARTS,
     WORD,
@@ -30,7 +31,7 @@ from notemask.functions.spans import let, mask_spans, matches
 from notemask.operators.matches import CITY_MARK, MULTI_MARK, PAIR_MARK, STATE_MARK, ZIP_MARK
 
 STREET_PATTERN = (
-    rf"{STARTS}[0-9]{{1,5}}\s?{WORD}?[^\n]?[{WORD_CHARS}\s]{{1,16}}{any_of(STREET_WORDS, True)}"
+    rf"(?=[0-9]){STARTS}[0-9]{{1,5}}\s?{WORD}?[^\n]?[{WORD_CHARS}\s]{{1,16}}{any_of(STREET_WORDS, True)}"
     rf"[.,]?{NOT_WORD}?(?=\s|$)"
 )
 APARTMENT_PATTERN = r"(?<=\s)(?:APT|Apt)\s[a-zA-Z0-9_.-]+"
@@ -131,8 +132,14 @@ def mask_zip(text: Column, known: Column) -> Column:
 
 def widen_tags(text: Column, tag: str, inner: str = MARKED_RUN) -> Column:
     """In every piece between white space that holds the tag, all word runs become the tag."""
-    space, solid = f"[{SPACE_CHARS}]", f"[^{SPACE_CHARS}]"
-    return mask_spans(text, f"(?<!{solid}){solid}*?{tag}{solid}*+", tag, inner)
+    piece = f"(?<!{SOLID}){SOLID}*?{tag}{SOLID}*+"
+
+    def widen(token: Column) -> Column:
+        partial_tag = token.contains(tag) & (token != tag)
+        return F.when(partial_tag, mask_spans(token, piece, tag, inner)).otherwise(token)
+
+    tokens = F.transform(F.split(text, " ", -1), widen)
+    return F.when(text.contains(tag), F.array_join(tokens, " ")).otherwise(text)
 
 
 def tag_directions(text: Column) -> Column:

@@ -29,6 +29,18 @@ def gap_key(gap: Column) -> Column:
     return F.when(gap.rlike(JOINING_GAP), F.when(gap.contains(" "), " ").otherwise(""))
 
 
+def has_letter(word: Column) -> Column:
+    """Whether a run of word characters has a letter; the regex only runs where it must."""
+    first = F.ascii(word)
+    plain = first.between(ord("A"), ord("Z")) | first.between(ord("a"), ord("z"))
+    return plain | word.rlike(r"\p{L}")
+
+
+def starts_upper(word: Column) -> Column:
+    first = F.ascii(word)
+    return first.between(ord("A"), ord("Z")) | ((first > 127) & word.rlike(r"^\p{Lu}"))
+
+
 def candidates(text: Column, max_words: int) -> Column:
     """Phrases that may be in the lexicon, with their neighbours.
 
@@ -40,7 +52,7 @@ def candidates(text: Column, max_words: int) -> Column:
     def build(words: Column, around: Column) -> Column:
         lettered = F.filter(
             F.transform(words, lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
-            lambda s: s["word"].rlike(r"\p{L}"),
+            lambda s: has_letter(s["word"]),
         )
 
         def phrases(runs: Column) -> Column:
@@ -69,26 +81,23 @@ def candidates(text: Column, max_words: int) -> Column:
                     )
 
                 built = F.array(*[phrase(n) for n in range(1, max_words + 1)])
-                capital = s["word"].rlike(r"^\p{Lu}")
-                return F.when(capital | hyphened, built)
+                return F.when(starts_upper(s["word"]) | hyphened, built)
 
             found = F.filter(F.transform(runs, start), lambda a: a.isNotNull())
             return F.filter(F.flatten(found), lambda p: p["key"].isNotNull())
 
-        codes = F.filter(
-            F.transform(
-                words,
-                lambda w, i: F.struct(
-                    i.alias("pos"),
-                    F.lit(1).alias("n"),
-                    w.alias("key"),
-                    *[F.lit(None).cast("string").alias(c) for c in ("previous", "following")],
-                    F.lit(None).cast("int").alias("following_pos"),
-                    F.lit(None).cast("string").alias("after"),
-                ),
-            ),
-            lambda p: p["key"].rlike("^[0-9]{5}$"),
-        )
+        def code(w: Column, i: Column) -> Column:
+            phrase = F.struct(
+                i.alias("pos"),
+                F.lit(1).alias("n"),
+                w.alias("key"),
+                *[F.lit(None).cast("string").alias(c) for c in ("previous", "following")],
+                F.lit(None).cast("int").alias("following_pos"),
+                F.lit(None).cast("string").alias("after"),
+            )
+            return F.when((F.ascii(w) <= ord("9")) & w.rlike("^[0-9]{5}$"), phrase)
+
+        codes = F.filter(F.transform(words, code), lambda p: p.isNotNull())
         return F.concat(let(lettered, phrases), codes)
 
     return let(matches(text, RUN), lambda words: let(gaps(text, RUN), lambda g: build(words, g)))
@@ -162,7 +171,6 @@ def word_marks(found: DataFrame, id_cols: list[str]) -> DataFrame:
         found.select(*id_cols, F.explode(F.concat(over_phrase, state_word)).alias("m"))
         .select(*id_cols, "m.*")
         .filter("bits <> 0")
-        .repartition(*id_cols)  # one exchange serves both groupings below and the join to the notes
     )
     return (
         marks.groupBy(*id_cols, "pos")
@@ -197,11 +205,12 @@ def attach_marks(
     """Notes with a ``marks`` array (null if nothing matched) for ``prepare(text)``.
 
     Notes and matches meet on the ids and a hash of the text, so repeated ids cannot mix texts.
-    Only the text as given crosses that shuffle. The matches are the hashed side: a partition holds
-    a few integers per matched word of its notes, and the notes need no sort.
+    The notes are shuffled once, by that key: explode, broadcast lookup, both groupings and the join
+    back all keep the partitioning, so the exchange is reused and no other one is needed. The
+    matches are the hashed side of the join: a few integers per matched word, and no sort of texts.
     """
-    keyed = notes.withColumn("text_hash", F.xxhash64(text_col))
     keys = [*id_cols, "text_hash"]
+    keyed = notes.withColumn("text_hash", F.xxhash64(text_col)).repartition(*keys)
     prepared = keyed.select(*keys, prepare(F.col(text_col)).alias(text_col))
     marks = word_marks(phrase_matches(prepared, lexicon, keys, text_col), keys)
     return keyed.join(marks.hint("shuffle_hash"), keys, "left").drop("text_hash")

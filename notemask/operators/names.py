@@ -37,7 +37,7 @@ def _clinician() -> str:
         return rf"{word}\s+(?:(?:{word}|{INITIAL}\.?)\s+)?{word}"
 
     words = f"(?:{full(title_word(NO_CLINIC_WORD))}|{full(upper_word(NO_CLINIC_WORD))})"
-    return rf"{words}\s*,?\s*{STARTS}{SUFFIX}"
+    return rf"(?=[A-Z]){words}\s*,?\s*{STARTS}{SUFFIX}"
 
 
 def _last_first() -> str:
@@ -48,7 +48,7 @@ def _last_first() -> str:
     comma, third = r"\s?,\s", rf"(?:[^{WORD_CHARS}\n]\s?|\s)"
     at = f"(?!At{ENDS})"
     return (
-        f"(?:{upper}{comma}{upper}{third}(?:{upper}|{INITIAL})"
+        f"(?=[A-Z])(?:{upper}{comma}{upper}{third}(?:{upper}|{INITIAL})"
         f"|{title}{comma}{title}{third}{title_word(guard + at)}"
         f"|{either}{comma}{either}{third}{INITIAL}"
         f"|{upper}{comma}{upper}|{title}{comma}{title})"
@@ -61,13 +61,13 @@ def _after_role() -> str:
     title, upper = title_word(guard), upper_word(guard)
     between = rf"(?:[^{WORD_CHARS}\n]\s?|\s)"
     role = rf"(?<=(?<!{WORD}){any_of(CUTOFF_WORDS, True)}\s?,\s)"
-    return f"{role}(?:{upper}{between}{upper}|{title}{between}{title})"
+    return f"(?=[A-Z]){STARTS}{role}(?:{upper}{between}{upper}|{title}{between}{title})"
 
 
 CLINICIAN_PATTERN = _clinician()
 LAST_FIRST_PATTERN = _last_first()
 AFTER_ROLE_PATTERN = _after_role()
-TITLED_PATTERN = rf"{STARTS}(?:Dr|Mrs|Mr|Ms)\.?\s([a-zA-Z]+){ENDS}"
+TITLED_PATTERN = rf"(?=[DM]){STARTS}(?:Dr|Mrs|Mr|Ms)\.?\s([a-zA-Z]+){ENDS}"
 
 
 def last_first_spans(text: Column) -> Column:
@@ -114,7 +114,7 @@ def mask_titled(text: Column) -> Column:
 def mask_dictionary_name(text: Column) -> Column:
     """Capitalised words of two or more characters, and names of several runs, in the name list."""
     return F.regexp_replace(
-        text, rf"{STARTS}(?=\p{{Lu}}{WORD}|\p{{Lu}}{MARK}['.-]){RUN}{mark_class(NAME_MARK)}", NAME_TAG
+        text, rf"(?=\p{{Lu}}{WORD}|\p{{Lu}}{MARK}['.-]){STARTS}{RUN}{mark_class(NAME_MARK)}", NAME_TAG
     )
 
 
@@ -131,7 +131,8 @@ def mask_hyphen(text: Column) -> Column:
     """``a-b`` where one half is a name (in any case) or already tagged: both halves."""
     named = f"(?:{NAME_TAG}{ENDS}|{RUN}{mark_class(NAME_MARK)})"
     pattern = f"{STARTS}(?:{named}-{MARKED_RUN}|{MARKED_RUN}-{named})"
-    return F.regexp_replace(text, pattern, f"{NAME_TAG}-{NAME_TAG}")
+    masked = F.regexp_replace(text, pattern, f"{NAME_TAG}-{NAME_TAG}")
+    return F.when(text.contains("-"), masked).otherwise(text)
 
 
 def normalize_name_tags(text: Column) -> Column:
