@@ -28,9 +28,9 @@ def iob_raw(masked_tokens: Column) -> Column:
 def bio_labels(labels: Column) -> Column:
     """Prefix each tag with ``B-``, or with ``I-`` where it repeats the label before it."""
     single = F.trim(collapse_spaces(labels))
-    repeats = F.regexp_replace(single, r"(?<![^ ])([^ ]++) (?=\1(?: |$))", "$1 \ufdd0")
+    repeats = F.regexp_replace(single, r"(?<![^ ])([^ ]++) (?=\1(?: |\z))", "$1 \ufdd0")
     outside = F.regexp_replace(repeats, f"(?<![^ ]){SAME}O(?![^ ])", "O")
-    begun = F.regexp_replace(outside, f"(?<![^ ])(?!O(?: |$)|{SAME})(?=[^ ])", "B-")
+    begun = F.regexp_replace(outside, rf"(?<![^ ])(?!O(?: |\z)|{SAME})(?=[^ ])", "B-")
     return F.regexp_replace(begun, f"(?<![^ ]){SAME}", "I-")
 
 

@@ -32,10 +32,10 @@ from notemask.operators.matches import CITY_MARK, MULTI_MARK, PAIR_MARK, STATE_M
 
 STREET_PATTERN = (
     rf"(?=[0-9]){STARTS}[0-9]{{1,5}}\s?{WORD}?[^\n]?[{WORD_CHARS}\s]{{1,16}}{any_of(STREET_WORDS, True)}"
-    rf"[.,]?{NOT_WORD}?(?=\s|$)"
+    rf"[.,]?{NOT_WORD}?(?=\s|\z)"
 )
 APARTMENT_PATTERN = r"(?<=\s)(?:APT|Apt)\s[a-zA-Z0-9_.-]+"
-STREET_END = rf"(?:^| ){NOT_WORD}*{any_of(STREET_WORDS, True)}{NOT_WORD}*$"
+STREET_END = rf"(?:^| ){NOT_WORD}*{any_of(STREET_WORDS, True)}{NOT_WORD}*\z"
 ORDINAL = r"[0-9](?i:st|rd|nd|th)"
 NOT_TITLE = r"\p{Lu}\p{Lu}|\p{Ll}\p{Lu}(?!\p{Ll})|(?<!\p{L})\p{Ll}"
 TO_NEXT_LETTER = r"[^\p{L}]*+"
@@ -146,7 +146,7 @@ def tag_directions(text: Column) -> Column:
     """A direction word before a bare tag becomes a tag."""
     pattern = (
         rf"(?<![^ ])([{SPACE_CHARS}]*){any_of(DIRECTION_WORDS, True)}{ENDS}{MARK}?"
-        rf"([\t-\r]*) (?={ADDRESS_TAG}(?: |$))"
+        rf"([\t-\r]*) (?={ADDRESS_TAG}(?: |\z))"
     )
     return F.regexp_replace(text, pattern, f"$1{ADDRESS_TAG}$2 ")
 

@@ -29,6 +29,12 @@ BROADCAST_LIMIT = 128 * 1024 * 1024
 ROW_OVERHEAD = 64
 
 
+def literal_rows(spark: SparkSession, columns: list[str], values: list[tuple]) -> DataFrame:
+    """A short list of string rows as part of the plan (one partition, no Python workers)."""
+    row = [F.struct(*[F.lit(v).cast("string").alias(c) for v, c in zip(r, columns)]) for r in values]
+    return spark.sql("SELECT 1").select(F.inline(F.array(*row)))
+
+
 def match_key(text: Column) -> Column:
     """Lower case, without punctuation and outer white space."""
     kept = F.regexp_replace(F.lower(text), f"[^{SPACE_CHARS}{WORD_CHARS}]", "")
@@ -63,7 +69,7 @@ def name_gazetteer(raw_names: DataFrame) -> DataFrame:
 def state_gazetteer(raw_states: DataFrame) -> DataFrame:
     """Distinct states and territories; abbreviations keep their case, full names get title case."""
     spark = raw_states.sparkSession
-    territories = spark.createDataFrame([(t,) for t in US_TERRITORIES], "state string")
+    territories = literal_rows(spark, ["state"], [(t,) for t in US_TERRITORIES])
     states = raw_states.select("state").unionByName(territories).filter("trim(state) <> ''")
     full = F.length("state") > 2
     return states.select(
@@ -115,7 +121,7 @@ def city_state_tokens(city_states: DataFrame) -> DataFrame:
 
 def excluded_keys(spark: SparkSession) -> DataFrame:
     """The fixed list of everyday words that are neither names nor cities."""
-    words = spark.createDataFrame([(w,) for w in NON_CITY_WORDS], "word string")
+    words = literal_rows(spark, ["word"], [(w,) for w in NON_CITY_WORDS])
     return words.select(match_key(F.col("word")).alias("key")).distinct()
 
 
@@ -152,11 +158,15 @@ class Gazetteers:
         zips = self.zips.select(
             F.col("zipcode").alias("key"), F.lit(ZIP).alias("flags"), F.lit(1).alias("n_words"), no_states
         )
-        tokens = city_state_tokens(self.city_states).groupBy("key").agg(
-            F.collect_set("state_token").alias("states")
+        tokens = F.flatten(
+            F.transform(
+                "states", lambda s: F.array(match_key(s["state_full"]), match_key(s["state_code"]))
+            )
         )
         cities = (
-            self.city_states.select("city", match_key(F.col("city")).alias("key"))
+            self.city_states.select(
+                "city", match_key(F.col("city")).alias("key"), tokens.alias("states")
+            )
             .join(excluded, "key", "left_anti")
             .select(
                 "key",
@@ -165,8 +175,8 @@ class Gazetteers:
                 .otherwise(0)
                 .alias("flags"),
                 word_count(F.col("city")).alias("n_words"),
+                "states",
             )
-            .join(tokens, "key", "left")
         )
         rows = names.unionByName(states).unionByName(zips).unionByName(cities)
         return (
@@ -175,7 +185,7 @@ class Gazetteers:
             .agg(
                 F.bit_or("flags").alias("flags"),
                 F.max("n_words").alias("n_words"),
-                F.max("states").alias("states"),
+                F.array_distinct(F.flatten(F.collect_list("states"))).alias("states"),
             )
             .filter("flags <> 0")
         )

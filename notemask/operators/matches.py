@@ -20,8 +20,8 @@ NAME_MARK, CITY_MARK, PAIR_MARK, MULTI_MARK, STATE_MARK = 1, 2, 4, 8, 16
 ZIP_MARK = NAME_MARK  # on a run of five digits, which is never a name
 NO_MARK_ROWS = "array<struct<pos:int,bits:int>>"
 
-ONE_SPACE = f"^[{SPACE_CHARS}]$"
-JOINING_GAP = r"^(?: |[-'.]|\. )$"
+ONE_SPACE = rf"^[{SPACE_CHARS}]\z"
+JOINING_GAP = r"^(?: |[-'.]|\. )\z"  # "$" would also match before a line break
 
 
 def gap_key(gap: Column) -> Column:

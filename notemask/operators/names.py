@@ -122,7 +122,7 @@ def mask_middle(text: Column) -> Column:
     """A capitalised word or initial between two tagged tokens."""
     alone = rf"(?:{MARK}?\p{{L}})*+{MARK}?+(?= [^ ]*{NAME_TAG})"
     dotted = rf"[^ ]*\.[^ ]* [^ ]*{NAME_TAG}"
-    not_tag = f"(?!{TAGGED}(?: |$))"
+    not_tag = rf"(?!{TAGGED}(?: |\z))"
     pattern = rf"({NAME_TAG}[^ ]* ){not_tag}(?=\p{{Lu}}(?:{alone}|{dotted})){MARKED_RUN}"
     return F.regexp_replace(text, pattern, f"$1{NAME_TAG}")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemask.constants import STATE_ABBREVIATIONS
-from notemask.operators.gazetteers import Gazetteers, build_gazetteers, title_case
+from notemask.operators.gazetteers import Gazetteers, build_gazetteers, literal_rows, title_case
 from notemask.sources.readers import CITY_COLUMNS, EXTRA_CITY_COLUMNS
 
 NULL_SLOT, EMPTY_SLOT = 1, 2
@@ -122,7 +122,7 @@ def raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "conversations").select(
         F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0))).alias("name")
     )
-    return words.unionByName(spark.createDataFrame([(n,) for n in SEED_NAMES], "name string"))
+    return words.unionByName(literal_rows(spark, ["name"], [(n,) for n in SEED_NAMES]))
 
 
 def raw_states(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +136,7 @@ def raw_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     derived = table(spark, sf_dir, "customer").select(
         F.lpad((F.col("c_custkey") * 37 % 100000).cast("string"), 5, "0").alias("ZIP")
     )
-    return derived.unionByName(spark.createDataFrame([(z,) for z in SEED_ZIPS], "ZIP string"))
+    return derived.unionByName(literal_rows(spark, ["ZIP"], [(z,) for z in SEED_ZIPS]))
 
 
 def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +152,7 @@ def raw_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("County "), (F.col("page_id") % 40).cast("string")).alias("County"),
         host.alias("City alias"),
     )
-    schema = ", ".join(f"`{c}` string" for c in CITY_COLUMNS)
-    return derived.unionByName(spark.createDataFrame(SEED_CITIES, schema))
+    return derived.unionByName(literal_rows(spark, CITY_COLUMNS, SEED_CITIES))
 
 
 def raw_extra_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,8 +169,7 @@ def raw_extra_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("LATITUDE"),
         key.alias("LONGITUDE"),
     )
-    schema = ", ".join(f"`{c}` string" for c in EXTRA_CITY_COLUMNS)
-    return derived.unionByName(spark.createDataFrame(SEED_EXTRA_CITIES, schema))
+    return derived.unionByName(literal_rows(spark, EXTRA_CITY_COLUMNS, SEED_EXTRA_CITIES))
 
 
 def gazetteers(spark: SparkSession, sf_dir: str) -> Gazetteers:
