@@ -34,7 +34,7 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
 
 def read_extra_cities(spark: SparkSession, path: str) -> DataFrame:
     """Further cities: comma-separated, latin1, columns named by position."""
-    reader = spark.read.option("header", True).option("encoding", "latin1")
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
     return reader.csv(path).toDF(*EXTRA_CITY_COLUMNS)
 
 
