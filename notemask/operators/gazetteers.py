@@ -56,7 +56,8 @@ def word_count(text: Column) -> Column:
 
 def name_gazetteer(raw_names: DataFrame) -> DataFrame:
     """Distinct names without nulls; one display form per key."""
-    named = raw_names.select(F.trim("name").alias("name"), match_key(F.col("name")).alias("key"))
+    written = raw_names.select(F.trim("name").alias("name")).distinct()
+    named = written.select("name", match_key(F.col("name")).alias("key"))
     return (
         named.filter("key <> ''")
         .select(title_case(F.col("name")).alias("name"), "key")
@@ -70,7 +71,8 @@ def state_gazetteer(raw_states: DataFrame) -> DataFrame:
     """Distinct states and territories; abbreviations keep their case, full names get title case."""
     spark = raw_states.sparkSession
     territories = literal_rows(spark, ["state"], [(t,) for t in US_TERRITORIES])
-    states = raw_states.select("state").unionByName(territories).filter("trim(state) <> ''")
+    states = raw_states.select("state").distinct().unionByName(territories)
+    states = states.filter("trim(state) <> ''")
     full = F.length("state") > 2
     return states.select(
         F.when(full, title_case(F.col("state"))).otherwise(F.col("state")).alias("state"),

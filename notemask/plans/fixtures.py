@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from notemask.constants import STATE_ABBREVIATIONS
 from notemask.operators.gazetteers import Gazetteers, build_gazetteers, literal_rows, title_case
-from notemask.sources.readers import CITY_COLUMNS, EXTRA_CITY_COLUMNS
+from notemask.sources.readers import CITY_COLUMNS, EXTRA_CITY_COLUMNS, spread
 
 NULL_SLOT, EMPTY_SLOT = 1, 2
 
@@ -108,7 +108,8 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = F.col("doc_id") % len(TEMPLATES)
     digits = F.lpad((F.col("doc_id") % 10000).cast("string"), 4, "0")
     sentence = F.replace(pick(TEMPLATES, slot), F.lit("{d}"), digits)
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return documents.select(
         "doc_id",
         F.when(slot == NULL_SLOT, None)
         .when(slot == EMPTY_SLOT, "")

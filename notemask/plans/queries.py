@@ -15,6 +15,7 @@ from notemask.operators import gazetteers as gz
 from notemask.operators.matches import phrase_matches
 from notemask.plans import fixtures as fx
 from notemask.plans import oracle as o
+from notemask.sources.readers import spread
 from notemask.plans.pipeline import annotate_notes, mark_notes, mask_addresses, rejected_notes, run_steps, tag_notes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -549,7 +550,8 @@ def _(spark, sf):
     " GROUP BY cleaned",
 )
 def _(spark, sf):
-    rows = fx.table(spark, sf, "documents").select("doc_id", tokens.clean_text(F.col("text")).alias("cleaned"))
+    documents = spread(fx.table(spark, sf, "documents").select("doc_id", "text"))
+    rows = documents.select("doc_id", tokens.clean_text(F.col("text")).alias("cleaned"))
     return quality.keep_first_text(rows, ["doc_id"])
 
 

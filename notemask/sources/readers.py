@@ -9,6 +9,16 @@ CITY_COLUMNS = ["City", "State_code", "State_full", "County", "City alias"]
 EXTRA_CITY_COLUMNS = ["Id", "State_code", "State_full", "City", "County", "LATITUDE", "LONGITUDE"]
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a table that came in fewer splits than there are cores one partition per core.
+
+    The text steps are heavy per row, so a small unsplit file would keep a single core busy. Large
+    tables have more splits than cores and pass through without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """Names: comma-separated, with a header and a ``name`` column."""
     return spark.read.option("header", True).csv(path).select("name")
@@ -40,7 +50,7 @@ def read_extra_cities(spark: SparkSession, path: str) -> DataFrame:
 
 def read_notes(spark: SparkSession, path: str, id_col: str, text_col: str) -> DataFrame:
     """Notes from parquet; only the id and the text are read."""
-    return spark.read.parquet(path).select(id_col, text_col)
+    return spread(spark.read.parquet(path).select(id_col, text_col))
 
 
 def write_labels(
