@@ -224,7 +224,7 @@ class Lexicon:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder of the session; only a local session may fall back to its own."""
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)

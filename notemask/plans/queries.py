@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notemask.constants import ADDRESS_TAG, EMAIL_PATTERN, NAME_TAG, PHONE_PATTERN, PHONE_TAG
+from notemask.constants import ADDRESS_TAG, NAME_TAG, PHONE_PATTERN, PHONE_TAG
 from notemask.functions import labels, patterns, spans, tokens
 from notemask.functions.marks import erase_marks
 from notemask.operators import address, names, quality
@@ -15,8 +15,15 @@ from notemask.operators import gazetteers as gz
 from notemask.operators.matches import phrase_matches
 from notemask.plans import fixtures as fx
 from notemask.plans import oracle as o
+from notemask.plans.pipeline import (
+    annotate_notes,
+    mark_notes,
+    mask_addresses,
+    rejected_notes,
+    run_steps,
+    tag_notes,
+)
 from notemask.sources.readers import spread
-from notemask.plans.pipeline import annotate_notes, mark_notes, mask_addresses, rejected_notes, run_steps, tag_notes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -370,7 +377,6 @@ LIGHT = (
     f"light AS MATERIALIZED (SELECT doc_id, text, {o.masked(o.email('text'), PHONE_PATTERN, chr(92) + 'S+', PHONE_TAG)}"
     " AS masked FROM usable)"
 )
-assert EMAIL_PATTERN
 
 
 def on_light(name: str, expression: Callable[[], Column]) -> Query:
