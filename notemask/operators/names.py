@@ -120,7 +120,7 @@ def mask_dictionary_name(text: Column) -> Column:
 
 def mask_middle(text: Column) -> Column:
     """A capitalised word or initial between two tagged tokens."""
-    alone = rf"(?:{MARK}?\p{{L}})*+{MARK}?+(?= [^ ]*{NAME_TAG})"
+    alone = rf"[\p{{L}}\x{{fdd0}}-\x{{fdef}}]*+(?= [^ ]*{NAME_TAG})"
     dotted = rf"[^ ]*\.[^ ]* [^ ]*{NAME_TAG}"
     not_tag = rf"(?!{TAGGED}(?: |\z))"
     pattern = rf"({NAME_TAG}[^ ]* ){not_tag}(?=\p{{Lu}}(?:{alone}|{dotted})){MARKED_RUN}"
