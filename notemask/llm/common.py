@@ -76,3 +76,32 @@ def bytes_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     data = column.buffers()[2]
     codes = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     return codes, offsets - offsets[0]
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, modulus: int, fold: int, per_class: int, max_bytes: int
+) -> DataFrame:
+    """doc_id, text, lang, label, weight: at most `per_class` rows of each label outside the held-out fold, by hash order.
+
+    weight is the number of labelled rows that a row stands for. Documents above `max_bytes` are left out, so that
+    the sample is bounded in bytes too. The labels are chosen before any text is read, and only the chosen ids
+    (2 * per_class at most) are broadcast to the scan of the documents. Rows without label or id don't count.
+    """
+    usable = (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, fold))
+    )
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = usable.filter("label = 0").orderBy(*order).limit(per_class)
+    chosen = chosen.unionByName(usable.filter("label = 1").orderBy(*order).limit(per_class))
+    share = usable.groupBy("label").agg(F.greatest(F.lit(1.0), F.count("*") / per_class).alias("weight"))
+    chosen = chosen.join(F.broadcast(share), "label")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    return rows.join(F.broadcast(chosen), "doc_id").filter(
+        F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes
+    )
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
