@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, quality_rules, secrets, toxicity
+from . import chat, line_crf, mixing, quality_rules, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
     "op3_toxicity": toxicity.op3,
+    "op5_quality_classifier": line_crf.op5,
     "op6_source_mixing": mixing.op6,
     "op8_secret_scan": secrets.op8,
     "op9_quality_rules": quality_rules.op9,
