@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, line_crf, mixing, quality_rules, secrets, toxicity
+from . import chat, line_crf, mixing, quality_rules, secrets, sentencepiece, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
+    "op2_sentencepiece": sentencepiece.op2,
     "op3_toxicity": toxicity.op3,
     "op5_quality_classifier": line_crf.op5,
     "op6_source_mixing": mixing.op6,
