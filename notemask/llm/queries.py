@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, line_crf, mixing, quality_rules, secrets, sentencepiece, toxicity
+from . import chat, exact_dedup, line_crf, mixing, quality_rules, secrets, sentencepiece, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
@@ -14,10 +14,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": toxicity.op3,
     "op5_quality_classifier": line_crf.op5,
     "op6_source_mixing": mixing.op6,
+    "op7_exact_dedup": exact_dedup.op7,
     "op8_secret_scan": secrets.op8,
     "op9_quality_rules": quality_rules.op9,
 }
 
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": chat.OP1_SQL,
+    "op7_exact_dedup": exact_dedup.OP7_SQL,
 }
