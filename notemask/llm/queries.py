@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, line_crf, mixing, quality_rules, secrets, sentencepiece, toxicity
+from . import chat, exact_dedup, line_crf, mixing, quality_rules, repeats, secrets, sentencepiece, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
     "op2_sentencepiece": sentencepiece.op2,
     "op3_toxicity": toxicity.op3,
+    "op4_repeated_passages": repeats.op4,
     "op5_quality_classifier": line_crf.op5,
     "op6_source_mixing": mixing.op6,
     "op7_exact_dedup": exact_dedup.op7,
