@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, line_crf, mixing, quality_rules, repeats, secrets, sentencepiece, toxicity
+from . import chat, exact_dedup, line_crf, mixing, ngram_join, quality_rules, repeats, secrets, sentencepiece, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": exact_dedup.op7,
     "op8_secret_scan": secrets.op8,
     "op9_quality_rules": quality_rules.op9,
+    "op10_ngram_jaccard_join": ngram_join.op10,
 }
 
 ORACLE: dict[str, str] = {
