@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table, written
+from .common import BLANKS, WORD, table, written
 
 #: Ranges of the key space within each source: hexadecimal digits of the key.
 RANGE_DIGITS = 3
@@ -103,9 +103,9 @@ def sized_documents(docs: DataFrame) -> DataFrame:
 
 
 def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word, n at least 1."""
-    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), n.cast("string"), F.lit("}"))
-    return F.regexp_extract(text, pattern, 0)
+    """The text up to the end of its n-th word."""
+    words = F.regexp_extract_all(text, F.lit(f"({BLANKS}*{WORD})"))
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:

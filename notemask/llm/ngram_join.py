@@ -475,6 +475,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return _labelled(documents, sets, roots)
 
 
+def without_similar(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of one document of each component: the one with the least doc_id."""
+    found = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.select(F.col("doc_id").alias("__kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+
+
 def _across(shared: DataFrame, known: DataFrame, sets: DataFrame, n_buckets: int) -> DataFrame:
     """Links between different clusters that share a shingle, where the signatures allow them."""
     rows = shared.join(known.select(F.col("node").alias("name"), "root"), "name", "left")

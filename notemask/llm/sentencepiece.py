@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, table, texts
 
@@ -397,23 +398,24 @@ def _encode_rows(encoder: Encoder, rows: list[str]) -> Iterator[tuple[int, int,
         yield a, b, encoder.encode(rows[a:b])
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id and ids (array of int) of every row.
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The kept columns and ids (array of int) of every row.
 
     Null and empty texts have no ids. Texts are never cut. Repeated rows give repeated results; a null doc_id stays
     null; other columns don't matter."""
+    names = [*keep, "ids"]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for a, b, found in _encode_rows(encoder, texts(batch.column("text"))):
+            for a, b, found in _encode_rows(encoder, texts(batch.column("__text"))):
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), ids], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), ids], names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(encoded, f"doc_id {kind}, ids array<int>")
+    kept = [F.col(f"`{c}`") for c in keep]
+    schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
+    return docs.select(*kept, F.col("text").cast("string").alias("__text")).mapInArrow(encoded, schema)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
