@@ -84,7 +84,8 @@ def _without(rows: DataFrame, other: DataFrame) -> DataFrame:
 def _block_names(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """doc_id, key, i, name of the blocks of the wanted documents; a name is the first place of the block's content."""
     mark = ["doc_id", "key"]
-    texts = _same(rows.select(*mark, "norm"), wanted.select(*mark), mark, "left_semi")
+    # texts are moved to the ids that want them at every size of the table, so the plan doesn't change as it grows
+    texts = _same(rows.select(*mark, "norm"), wanted.select(*mark).hint("merge"), mark, "left_semi")
     texts = texts.select(*mark, F.posexplode(blocks(F.col("norm"), size)).alias("i", "block"))
     parts = written(texts.select(*mark, "i", F.xxhash64("block").alias("h"), "block"), "blocks").dropDuplicates([*mark, "i"])
     place = F.struct(*mark, "i")
@@ -131,7 +132,7 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("key").alias("__kept_key"), "__copies")
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
     same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
-    found = keyed.join(kept, same)
+    found = keyed.join(kept.hint("merge"), same)
     # repeated rows of one id and text are rare; only they are grouped once more
     repeated = found.filter("__copies > 1").dropDuplicates(["doc_id", "__key"])
     return found.filter("__copies = 1").unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))
