@@ -122,7 +122,7 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
         "row", "row.doc_id", F.col("row.source").cast("string").alias("source"), n_words(F.col("row.text")).alias("size")
     )
     times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    copies = _join(rows, plan, mark).withColumn("time", F.explode(times))
+    copies = _join(rows, plan.hint("merge"), mark).withColumn("time", F.explode(times))
     left = F.col("taken") - (F.col("time") - 1) * F.col("size")
     text = F.when(left >= F.col("size"), F.col("row.text")).otherwise(first_words(F.col("row.text"), left))
     return copies.withColumn("cut", text).select(

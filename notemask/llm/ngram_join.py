@@ -469,7 +469,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     clusters = components(star.unionByName(later))
     members = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster")).join(sets.select("name", "doc_id", "n"), "name")
     tasks = written(_tasks(written(members, "members")), "tasks")
-    texts = rows.join(tasks, "doc_id").select("task", "cluster", "name", "text")
+    texts = rows.join(tasks.hint("merge"), "doc_id").select("task", "cluster", "name", "text")
     links = texts.groupBy("task").applyInArrow(_linked, "a long, b long")
     roots = written(components(links), "roots")
     return _labelled(documents, sets, roots)
@@ -479,7 +479,7 @@ def without_similar(docs: DataFrame) -> DataFrame:
     """The rows, with all their columns, of one document of each component: the one with the least doc_id."""
     found = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
 def _across(shared: DataFrame, known: DataFrame, sets: DataFrame, n_buckets: int) -> DataFrame:
