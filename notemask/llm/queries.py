@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, line_crf, mixing, ngram_join, quality_rules, repeats, secrets, sentencepiece, toxicity
+from . import chat, exact_dedup, line_crf, mixing, ngram_join, oracle, quality_rules, repeats, secrets, sentencepiece, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
@@ -23,5 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": chat.OP1_SQL,
+    "op4_repeated_passages": oracle.OP4,
+    "op6_source_mixing": oracle.OP6,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op9_quality_rules": oracle.OP9,
+    "op10_ngram_jaccard_join": oracle.OP10,
 }
