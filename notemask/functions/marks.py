@@ -1,7 +1,7 @@
 """Lookup results written into the text: a marked word is followed by one reserved character.
 
-The characters are the 32 noncharacters U+FDD0..U+FDEF, which text must not contain; the mask's
-bits are the offset. With them in place every tagging step is a plain ``regexp_replace``.
+The characters are the 32 noncharacters U+FDD0..U+FDEF; a text's own ones are stood in for while it
+is marked. The mask's bits are the offset. With them in place every tagging step is a plain ``regexp_replace``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from notemask.functions.chars import RUN
 from notemask.functions.spans import gaps, interleave, let, matches
-from notemask.operators.matches import dense_bits
+from notemask.operators.matches import MULTI_MARK, STATE_MARK, dense_bits, repeated_places
 
 FIRST, LAST = 0xFDD0, 0xFDEF
 MARK = r"[\x{fdd0}-\x{fdef}]"
@@ -24,21 +24,73 @@ def mark_class(bits: int) -> str:
     return "[" + "".join(f"\\x{{{c:x}}}" for c in chars) + "]"
 
 
-def write_marks(text: Column, marks: Column) -> Column:
-    """``text`` with a mark behind every word that has bits set."""
+def write_marks(text: Column, marks: Column, places: Column) -> Column:
+    """``text`` with a mark behind every word that has bits set, and behind repeats of its places."""
     characters = F.array(F.lit(""), *[F.lit(chr(c)) for c in range(FIRST + 1, LAST + 1)])
 
+    def repeats(words: Column, around: Column, bits: Column, mark: int) -> Column:
+        again = F.transform(
+            repeated_places(words, around, bits, places, mark),
+            lambda p: F.struct(p.alias("pos"), F.lit(mark).alias("bits")),
+        )
+        return dense_bits(again, F.size(words))
+
+    def with_repeats(words: Column, around: Column, bits: Column) -> Column:
+        found = bits
+        for mark in (MULTI_MARK, STATE_MARK):
+            again = repeats(words, around, bits, mark)
+            found = F.zip_with(found, again, lambda b, m: b.bitwiseOR(m))
+        return found
+
     def written(words: Column) -> Column:
-        marked = F.zip_with(
-            words,
-            dense_bits(marks, F.size(words)),
-            lambda w, b: F.when(b == 0, w).otherwise(F.concat(w, F.get(characters, b))),
+        def marked(around: Column, bits: Column) -> Column:
+            all_bits = F.when(F.size(places) > 0, with_repeats(words, around, bits)).otherwise(bits)
+            return F.zip_with(
+                words,
+                all_bits,
+                lambda w, b: F.when(b == 0, w).otherwise(F.concat(w, F.get(characters, b))),
+            )
+
+        return let(
+            gaps(text, RUN),
+            lambda around: let(
+                dense_bits(marks, F.size(words)), lambda bits: interleave(around, marked(around, bits))
+            ),
         )
-        return interleave(gaps(text, RUN), marked)
 
     return F.when(marks.isNull(), text).otherwise(let(matches(text, RUN), written))
 
 
+# Where a text has reserved characters of its own, these stand in for them while it is marked.
+STAND_INS = "".join(chr(c) for c in range(0xF8D0, 0xF8F0))
+RESERVED = "".join(chr(c) for c in range(FIRST, LAST + 1))
+
+
+def without_reserved(text: Column) -> Column:
+    """The text with stand-ins for reserved characters, one for one."""
+    return F.when(has_reserved(text), F.translate(text, RESERVED, STAND_INS)).otherwise(text)
+
+
+def with_reserved(original: Column, masked: Column) -> Column:
+    """Puts a text's own reserved characters back: untouched tokens come from the original."""
+
+    def back(translated: Column) -> Column:
+        tokens = F.zip_with(
+            F.zip_with(
+                F.split(original, " ", -1),
+                F.split(translated, " ", -1),
+                lambda o, t: F.struct(o.alias("original"), t.alias("translated")),
+            ),
+            F.split(masked, " ", -1),
+            lambda p, m: F.when(p["translated"] == m, p["original"]).otherwise(
+                F.translate(m, STAND_INS, RESERVED)
+            ),
+        )
+        return F.array_join(tokens, " ")
+
+    return F.when(has_reserved(original), let(without_reserved(original), back)).otherwise(masked)
+
+
 def erase_marks(text: Column) -> Column:
     return F.regexp_replace(text, MARK, "")
 

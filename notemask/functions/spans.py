@@ -20,12 +20,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def matches(text: Column, pattern: str, group: int = 0) -> Column:
+def matches(text: Column, pattern: str | Column, group: int = 0) -> Column:
     """All matches of ``pattern``, left to right and not overlapping."""
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def gaps(text: Column, pattern: str) -> Column:
+def gaps(text: Column, pattern: str | Column) -> Column:
     """The pieces of ``text`` around the matches of ``pattern`` (one more than there are matches)."""
     return F.split(text, pattern, -1)
 
@@ -66,6 +66,30 @@ def mask_spans(
     return rewrite_spans(text, pattern, expand)
 
 
+def mask_named_spans(
+    text: Column,
+    pattern: str,
+    tag: str,
+    key: Callable[[Column], Column],
+    keep: Callable[[Column], Column],
+    inner: str = RUN,
+) -> Column:
+    """``mask_spans`` for matches that ``keep`` accepts and for all others that have the key of one."""
+
+    def rewrite(found: Column, kept: Column) -> Column:
+        def expand(match: Column) -> Column:
+            tagged = F.regexp_replace(match, inner, tag)
+            return F.when(F.array_contains(kept, key(match)), tagged).otherwise(match)
+
+        rewritten = interleave(gaps(text, pattern), F.transform(found, expand))
+        return F.when(F.size(kept) > 0, rewritten).otherwise(text)
+
+    def with_kept(found: Column) -> Column:
+        return let(F.transform(F.filter(found, keep), key), lambda kept: rewrite(found, kept))
+
+    return let(matches(text, pattern), with_kept)
+
+
 def strip_role_word(span: Column) -> Column:
     """Drop role words (title or upper case) with the separators behind them."""
     roles = any_of(ROLE_WORDS + [w.upper() for w in ROLE_WORDS])

@@ -33,9 +33,9 @@ def space_specials(raw: Column, masked: Column) -> Column:
     differ become a fixed error text.
     """
 
-    def own(pair: Column) -> Column:
+    def own(pair: Column, pad_with: str = HELD_SPACE) -> Column:
         shown = F.array_distinct(matches(pair["masked"], SPECIAL))
-        pad = F.lit(HELD_SPACE)
+        pad = F.lit(pad_with)
         return F.aggregate(
             shown, pair["raw"], lambda acc, c: F.replace(acc, c, F.concat(pad, c, pad))
         )
@@ -52,8 +52,17 @@ def space_specials(raw: Column, masked: Column) -> Column:
         pairs, spaced, lambda p, s: F.when(p["raw"] == p["masked"], s).otherwise(own(p))
     )
     aligned = F.regexp_replace(F.array_join(tokens, " "), rf"[ {HELD_SPACE}]+", " ")
+    # a text that has the held-back character itself is spaced token by token
+    apart = F.transform(
+        pairs,
+        lambda p: F.when(p["raw"] == p["masked"], F.regexp_replace(p["raw"], SPECIAL, " $0 ")).otherwise(
+            own(p, " ")
+        ),
+    )
+    one_by_one = collapse_spaces(F.array_join(apart, " "))
     return (
         F.when(raw == masked, space_own_specials(raw))
+        .when((space_count(raw) == space_count(masked)) & raw.contains(HELD_SPACE), one_by_one)
         .when(space_count(raw) == space_count(masked), aligned)
         .when(raw.isNotNull() & masked.isNotNull(), F.lit(LENGTH_ERROR_TEXT))
     )

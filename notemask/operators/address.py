@@ -27,7 +27,7 @@ from notemask.functions.chars import (
     any_of,
 )
 from notemask.functions.marks import MARK, MARKED_RUN, mark_class
-from notemask.functions.spans import let, mask_spans, matches
+from notemask.functions.spans import let, mask_named_spans, mask_spans, matches
 from notemask.operators.matches import CITY_MARK, MULTI_MARK, PAIR_MARK, STATE_MARK, ZIP_MARK
 
 STREET_PATTERN = (
@@ -61,9 +61,18 @@ def street_spans(text: Column) -> Column:
     return F.transform(F.concat(streets, matches(text, APARTMENT_PATTERN)), lambda s: F.trim(s))
 
 
+def street_key(span: Column) -> Column:
+    """What repeats of a street have in common: its words in lower case."""
+    return F.trim(F.regexp_replace(F.lower(span), f"{NOT_WORD}+", " "))
+
+
+def mask_street_spans(text: Column) -> Column:
+    """Streets, and their repeats in any case."""
+    return mask_named_spans(text, STREET_PATTERN, ADDRESS_TAG, street_key, is_street)
+
+
 def mask_street(text: Column) -> Column:
-    streets = mask_spans(text, STREET_PATTERN, ADDRESS_TAG, keep=is_street)
-    return mask_spans(streets, APARTMENT_PATTERN, ADDRESS_TAG)
+    return mask_spans(mask_street_spans(text), APARTMENT_PATTERN, ADDRESS_TAG)
 
 
 def mask_marked(text: Column, bits: int, tag: str) -> Column:
@@ -130,6 +139,11 @@ def mask_zip(text: Column, known: Column) -> Column:
     return F.when(text.rlike(FIVE_DIGITS), rewritten).otherwise(text)
 
 
+def erase_zip_marks(text: Column) -> Column:
+    """Marks behind ZIP codes have served once the codes are masked; no later step may read them as names."""
+    return F.regexp_replace(text, f"{STARTS}([0-9]{{5}}){MARK}", "$1")
+
+
 def widen_tags(text: Column, tag: str, inner: str = MARKED_RUN) -> Column:
     """In every piece between white space that holds the tag, all word runs become the tag."""
     piece = f"(?<!{SOLID}){SOLID}*?{tag}{SOLID}*+"
@@ -162,4 +176,4 @@ def mask_places(text: Column) -> Column:
 
 # Address steps between the lookups and the ZIP codes, and those after the ZIP codes.
 PLACE_STEPS = [mask_places, mask_city_clinic, mask_state_abbrev, mask_state_full]
-CLEANUP_STEPS = [tag_directions, fill_address_tags]
+CLEANUP_STEPS = [erase_zip_marks, tag_directions, fill_address_tags]

@@ -31,8 +31,16 @@ ROW_OVERHEAD = 64
 
 def literal_rows(spark: SparkSession, columns: list[str], values: list[tuple]) -> DataFrame:
     """A short list of string rows as part of the plan (one partition, no Python workers)."""
-    row = [F.struct(*[F.lit(v).cast("string").alias(c) for v, c in zip(r, columns)]) for r in values]
-    return spark.sql("SELECT 1").select(F.inline(F.array(*row)))
+    rows = ", ".join(f"({', '.join(map(sql_text, row))})" for row in values)
+    typed = ", ".join(f"CAST(col{i + 1} AS STRING) AS `{c}`" for i, c in enumerate(columns))
+    return spark.sql(f"SELECT {typed} FROM VALUES {rows}")
+
+
+def sql_text(value: str | None) -> str:
+    """A string as a SQL literal."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def match_key(text: Column) -> Column:

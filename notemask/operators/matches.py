@@ -17,7 +17,7 @@ from notemask.operators.gazetteers import ANY_NAME, CITY, MULTI_CITY, NAME, STAT
 
 # Marks a word may carry after the lookups.
 NAME_MARK, CITY_MARK, PAIR_MARK, MULTI_MARK, STATE_MARK = 1, 2, 4, 8, 16
-ZIP_MARK = NAME_MARK  # on a run of five digits, which is never a name
+ZIP_MARK = NAME_MARK  # on a run of five digits only, and erased before any name step (erase_zip_marks)
 NO_MARK_ROWS = "array<struct<pos:int,bits:int>>"
 
 ONE_SPACE = rf"^[{SPACE_CHARS}]\z"
@@ -66,16 +66,26 @@ def candidates(text: Column, max_words: int) -> Column:
                         F.concat(keys[-1], gap_key(F.get(around, i + n)), F.lower(F.get(words, i + n)))
                     )
 
+                first = F.lower(F.regexp_replace(following["word"], r"^[^\p{L}]+", ""))
+
+                def state_words(n: int) -> Column:
+                    """The next n words in one piece, for states of several words."""
+                    behind = following["pos"] + n - 1
+                    before = first if n == 2 else state_words(n - 1)
+                    apart = F.when(F.get(around, behind) == " ", " ")
+                    return F.concat(before, apart, F.lower(F.get(words, behind)))
+
                 def phrase(n: int) -> Column:
                     behind = F.get(around, i + n).rlike(ONE_SPACE)
+                    no_words = F.lit(None).cast("string")
                     return F.struct(
                         i.alias("pos"),
                         F.lit(n).alias("n"),
                         keys[n - 1].alias("key"),
                         F.get(runs, k - 1)["word"].alias("previous"),
-                        F.lower(F.regexp_replace(following["word"], r"^[^\p{L}]+", "")).alias(
-                            "following"
-                        ),
+                        first.alias("following"),
+                        (state_words(2) if n == 1 else no_words).alias("following_two"),
+                        (state_words(3) if n == 1 else no_words).alias("following_three"),
                         following["pos"].alias("following_pos"),
                         F.when(behind, F.lower(F.get(words, i + n))).alias("after"),
                     )
@@ -91,7 +101,10 @@ def candidates(text: Column, max_words: int) -> Column:
                 i.alias("pos"),
                 F.lit(1).alias("n"),
                 w.alias("key"),
-                *[F.lit(None).cast("string").alias(c) for c in ("previous", "following")],
+                *[
+                    F.lit(None).cast("string").alias(c)
+                    for c in ("previous", "following", "following_two", "following_three")
+                ],
                 F.lit(None).cast("int").alias("following_pos"),
                 F.lit(None).cast("string").alias("after"),
             )
@@ -109,7 +122,7 @@ def phrase_matches(
     """Every phrase of the notes that the lexicon knows, with the context that decides on it.
 
     ``beside_name``: a city behind a name or an initial; a phrase in front of a name.
-    ``with_state``: a city whose next word is one of its states.
+    ``with_state``: a city whose next words are one of its states; ``state_words`` says how many.
     """
     phrases = notes.select(
         *id_cols, F.explode(candidates(F.col(text_col), lexicon.max_words)).alias("p")
@@ -123,9 +136,15 @@ def phrase_matches(
     )
     initial = is_city & F.coalesce(F.col("previous").rlike(r"^\p{Lu}$"), F.lit(False))
     beside = F.coalesce(F.col("context_flags").bitwiseAND(ANY_NAME) != 0, F.lit(False))
-    paired = F.coalesce(F.array_contains("states", F.col("following")), F.lit(False))
+    listed = lambda words: F.coalesce(F.array_contains("states", F.col(words)), F.lit(False))
+    state_words = F.when(
+        is_city,
+        F.when(listed("following_three"), 3).when(listed("following_two"), 2).when(listed("following"), 1),
+    )
+    # matches without a context find nothing; keys of their own keep them from meeting in one place
+    nothing = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*id_cols, "pos"), F.lit(4096)).cast("string"))
     return (
-        known.withColumn("context", context)
+        known.withColumn("context", F.coalesce(context, nothing))
         .join(named, "context", "left")
         .select(
             *id_cols,
@@ -134,7 +153,8 @@ def phrase_matches(
             "key",
             "flags",
             (initial | beside).alias("beside_name"),
-            (is_city & paired).alias("with_state"),
+            state_words.isNotNull().alias("with_state"),
+            F.coalesce(state_words, F.lit(0)).alias("state_words"),
             "following",
             "following_pos",
         )
@@ -142,7 +162,11 @@ def phrase_matches(
 
 
 def word_marks(found: DataFrame, id_cols: list[str]) -> DataFrame:
-    """One array of (pos, bits) per note, from its phrase matches."""
+    """Per note, from its phrase matches: one array of (pos, bits), and the places that it names.
+
+    A place (a city of several words or a state, as key, number of words and bits) is masked wherever
+    it stands in the note, in any case (see ``repeated_places``).
+    """
 
     def has(flag: int) -> Column:
         return F.col("flags").bitwiseAND(flag) != 0
@@ -163,23 +187,69 @@ def word_marks(found: DataFrame, id_cols: list[str]) -> DataFrame:
         F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1),
         lambda p: F.struct(p.alias("pos"), whole.alias("bits")),
     )
-    state_word = F.when(
-        F.col("with_state"),
-        F.array(F.struct(F.col("following_pos").alias("pos"), F.lit(PAIR_MARK).alias("bits"))),
-    ).otherwise(F.array().cast(NO_MARK_ROWS))
+    state = F.transform(
+        F.sequence(F.col("following_pos"), F.col("following_pos") + F.col("state_words") - 1),
+        lambda p: F.struct(p.alias("pos"), F.lit(PAIR_MARK).alias("bits")),
+    )
+    state = F.when(F.col("with_state"), state).otherwise(F.array().cast(NO_MARK_ROWS))
+    place_bits = whole.bitwiseAND(MULTI_MARK | STATE_MARK)
+    place = F.when(place_bits != 0, F.struct("key", "n", place_bits.alias("bits")))
     marks = (
-        found.select(*id_cols, F.explode(F.concat(over_phrase, state_word)).alias("m"))
-        .select(*id_cols, "m.*")
+        found.select(*id_cols, place.alias("place"), F.explode(F.concat(over_phrase, state)).alias("m"))
+        .select(*id_cols, "place", "m.*")
         .filter("bits <> 0")
     )
     return (
         marks.groupBy(*id_cols, "pos")
-        .agg(F.bit_or("bits").alias("bits"))
+        .agg(F.bit_or("bits").alias("bits"), F.collect_set("place").alias("places"))
         .groupBy(*id_cols)
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "bits"))).alias("marks"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("pos", "bits"))).alias("marks"),
+            F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+        )
     )
 
 
+def repeated_places(words: Column, around: Column, bits: Column, places: Column, mark: int) -> Column:
+    """Positions of words of a note's places that start in lower case, so that no lookup saw them.
+
+    ``words``, ``around`` and ``bits`` are the runs of the note, the gaps around them and their marks.
+    An occurrence in front of a word that is marked as a name is none.
+    """
+    low = F.transform(words, lambda w: F.lower(w))
+
+    def of_place(lower_words: Column, place: Column) -> Column:
+        def agrees(i: Column) -> Column:
+            tail = F.transform(
+                F.sequence(F.lit(1), F.greatest(place["n"] - 1, F.lit(1))),
+                lambda j: F.when(
+                    j < place["n"],
+                    F.concat(gap_key(F.get(around, i + j)), F.get(lower_words, i + j)),
+                ).otherwise(""),
+            )
+            # a gap that a phrase cannot run across makes the whole null
+            whole = F.aggregate(tail, F.get(lower_words, i), lambda acc, t: F.concat(acc, t))
+            return F.coalesce(whole == place["key"], F.lit(False))
+
+        def starts(i: Column) -> Column:
+            hyphened = F.get(around, i).endswith("-") | F.get(around, i + 1).startswith("-")
+            marked = F.coalesce(F.get(bits, i + place["n"]), F.lit(0)).bitwiseAND(NAME_MARK) != 0
+            code = F.get(words, i + place["n"]).rlike("^[0-9]")  # a ZIP code has the same mark
+            named = F.get(around, i + place["n"]).rlike(ONE_SPACE) & marked & ~code
+            begins = F.startswith(place["key"], F.get(lower_words, i))
+            seen = starts_upper(F.get(words, i)) | hyphened
+            return begins & ~seen & agrees(i) & ~F.coalesce(named, F.lit(False))
+
+        last = F.size(words) - place["n"]
+        at = F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), starts))
+        at = F.coalesce(at, F.array().cast("array<int>"))
+        return F.flatten(F.transform(at, lambda i: F.sequence(i, i + place["n"] - 1)))
+
+    mine = F.filter(places, lambda p: p["bits"].bitwiseAND(mark) != 0)
+    found = let(low, lambda lower_words: F.flatten(F.transform(mine, lambda p: of_place(lower_words, p))))
+    return F.array_sort(F.array_distinct(found))
+
+
 def dense_bits(marks: Column, n_words: Column) -> Column:
     """Spread sorted (pos, bits) pairs over one int per word."""
     zeros = lambda count: F.array_repeat(F.lit(0), count.cast("int"))
@@ -202,7 +272,7 @@ def attach_marks(
     text_col: str = "text",
     prepare: Callable[[Column], Column] = lambda text: text,
 ) -> DataFrame:
-    """Notes with a ``marks`` array (null if nothing matched) for ``prepare(text)``.
+    """Notes with ``marks`` and ``places`` arrays (null if nothing matched) for ``prepare(text)``.
 
     Notes and matches meet on the ids and a hash of the text, so repeated ids cannot mix texts.
     The notes are shuffled once, by that key: explode, broadcast lookup, both groupings and the join

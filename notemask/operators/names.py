@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from notemask.constants import ADDRESS_TAG, CUTOFF_WORDS, NAME_TAG
+from notemask.constants import ADDRESS_TAG, CUTOFF_WORDS, NAME_TAG, ROLE_WORDS
 from notemask.functions.chars import ENDS, RUN, STARTS, WORD, WORD_CHARS, any_of
-from notemask.functions.marks import MARK, MARKED_RUN, erase_marks, mark_class
+from notemask.functions.marks import MARK, MARKED_RUN, RESERVED, erase_marks, mark_class
 from notemask.functions.spans import gaps, interleave, let, mask_spans, matches
 from notemask.operators.address import widen_tags
 from notemask.operators.matches import NAME_MARK
 
 TAGGED = f"(?:{NAME_TAG}|{ADDRESS_TAG}){ENDS}"
-CUTOFF = f"{any_of(CUTOFF_WORDS, True)}{ENDS}"
+NO_NAME = sorted({w.upper() for w in [*CUTOFF_WORDS, *ROLE_WORDS]})
+CUTOFF = f"{any_of(NO_NAME, True)}{ENDS}"
 NO_CLINIC_WORD = "(?![A-Za-z]*(?i:asst|neuro))"
 END = f"{ENDS}{MARK}?+"
 
@@ -29,7 +30,7 @@ def upper_word(guard: str = "") -> str:
 
 
 INITIAL = f"{STARTS}[A-Z]{END}"
-SUFFIX = rf"(?:M{MARK}?\.?D|R{MARK}?\.?N(?:{MARK}?\.?A)?){ENDS}"
+SUFFIX = rf"(?:M{MARK}?\.?D|D{MARK}?\.?O|R{MARK}?\.?N(?:{MARK}?\.?A)?){ENDS}"
 
 
 def _clinician() -> str:
@@ -60,14 +61,14 @@ def _after_role() -> str:
     guard = f"(?!{CUTOFF})"
     title, upper = title_word(guard), upper_word(guard)
     between = rf"(?:[^{WORD_CHARS}\n]\s?|\s)"
-    role = rf"(?<=(?<!{WORD}){any_of(CUTOFF_WORDS, True)}\s?,\s)"
+    role = rf"(?<=(?<!{WORD}){any_of(NO_NAME, True)}\s?,\s)"
     return f"(?=[A-Z]){STARTS}{role}(?:{upper}{between}{upper}|{title}{between}{title})"
 
 
 CLINICIAN_PATTERN = _clinician()
 LAST_FIRST_PATTERN = _last_first()
 AFTER_ROLE_PATTERN = _after_role()
-TITLED_PATTERN = rf"(?=[DM]){STARTS}(?:Dr|Mrs|Mr|Ms)\.?\s([a-zA-Z]+){ENDS}"
+TITLED_PATTERN = rf"(?=[DM]){STARTS}(?:Dr|Mrs|Mr|Ms)\.?\s([A-Z][a-zA-Z]*){ENDS}"
 
 
 def last_first_spans(text: Column) -> Column:
@@ -81,13 +82,28 @@ def has_name(span: Column) -> Column:
 
 
 def mask_clinician(text: Column) -> Column:
-    """Two or three names in front of MD, RN or RNA, with that suffix."""
+    """Two or three names in front of MD, DO, RN or RNA, with that suffix."""
     return mask_spans(text, CLINICIAN_PATTERN, NAME_TAG, MARKED_RUN)
 
 
 def mask_last_first(text: Column) -> Column:
-    """Confirmed ``Last, First Middle`` spans."""
-    return mask_spans(text, LAST_FIRST_PATTERN, NAME_TAG, MARKED_RUN, keep=has_name)
+    """Confirmed ``Last, First Middle`` spans, and their repeats in any case."""
+
+    def escaped(span: Column) -> Column:
+        quoted = F.regexp_replace(erase_marks(span), rf"[^\s{WORD_CHARS}]", r"\\$0")
+        return F.regexp_replace(quoted, RUN, f"$0[{RESERVED[0]}-{RESERVED[-1]}]?")
+
+    def repeats(masked: Column, named: Column) -> Column:
+        spans = F.array_distinct(F.transform(named, lambda s: F.lower(escaped(s))))
+        longest_first = F.array_sort(spans, lambda a, b: F.length(b) - F.length(a))
+        any_span = F.concat(F.lit(f"(?i){STARTS}(?:"), F.array_join(longest_first, "|"), F.lit(f"){ENDS}"))
+        return mask_spans(masked, any_span, NAME_TAG, MARKED_RUN)
+
+    def rewrite(named: Column) -> Column:
+        masked = mask_spans(text, LAST_FIRST_PATTERN, NAME_TAG, MARKED_RUN, keep=has_name)
+        return F.when(F.size(named) > 0, repeats(masked, named)).otherwise(text)
+
+    return let(F.filter(matches(text, LAST_FIRST_PATTERN), has_name), rewrite)
 
 
 def mask_after_role(text: Column) -> Column:
@@ -96,7 +112,7 @@ def mask_after_role(text: Column) -> Column:
 
 
 def mask_titled(text: Column) -> Column:
-    """Words behind Dr, Mr, Ms or Mrs are masked wherever they stand in the note."""
+    """Capitalised words behind Dr, Mr, Ms or Mrs are masked wherever they stand in the note."""
 
     def rewrite(titled: Column) -> Column:
         masked = F.transform(

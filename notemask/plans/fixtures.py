@@ -10,16 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notemask.constants import STATE_ABBREVIATIONS
-from notemask.operators.gazetteers import Gazetteers, build_gazetteers, literal_rows, title_case
-from notemask.sources.readers import CITY_COLUMNS, EXTRA_CITY_COLUMNS, spread
+from notemask.operators.gazetteers import Gazetteers, Lexicon, build_gazetteers, literal_rows, sql_text, title_case
+from notemask.functions.chars import ENDS, STARTS
+from notemask.sources.readers import CITY_COLUMNS, EXTRA_CITY_COLUMNS
 
+# Documents of these slots come once more, as notes without text and with an empty one.
 NULL_SLOT, EMPTY_SLOT = 1, 2
 
 # One sentence per slot; {d} stands for four digits taken from the document id.
 TEMPLATES = [
     "No findings were noted in this visit.",
-    "null",
-    "empty",
+    "Nothing else was said.",
+    "The visit was short.",
     "SSN 123-45-{d} is on file.",
     "Record 12345{d} was opened.",
     "Account 8765{d} was billed.",
@@ -47,7 +49,7 @@ TEMPLATES = [
     "Signed CLARK , JULIE APR 5 and JONES , MYNA At: noon",
     "Intern, Laura S and NURSE , LAURA CLARK took notes",
     "Calvin McKinskey , RN and PATRICIA S. WAKEFIELD , M.D. agreed",
-    "Dr. Anush met Mrs. Li; later anush and LI left with Ms PersonName",
+    "Dr. Norwin met Mrs. Li; later norwin and LI left with Ms PersonName",
     "Sarah Fawcett Waters MD and Butler , Michael Henry and Clark , SANDY",
     "Michael Henry Butler\nPAddress was updated",
     "Sarah M. Klein and Julie Q Clark and O'Brien arrived",
@@ -57,11 +59,19 @@ TEMPLATES = [
     "Labels Asst Neuro MD and Neuro Smith Jones RN or May Green and Home Hill",
     "Patient left ' early",
     "Address McAllen, TX and Carolina PR or San Juan, Puerto Rico 00901.",
+    "Code 07052-1234 was used and part 11111-22 fits; Lincoln , NE 68501-{d} too",
+    "Physician, Sarah Klein took notes; PHYSICIAN, SARAH CLARK and Surgeon , Julie Clark left",
+    "Deer Island first, later deer island again, deer island Wilson; Virginia Beach, then virginia again",
+    "He lives in Newark, New Jersey now and in Lincoln, North Carolina then",
+    "Mail to 68 Oak St., then to 68 oak st. again; KLEIN , MIRANDA and klein , miranda",
+    "Calvin Clark DO and PATRICIA JONES, D.O. agreed",
+    "Sarah \ufdd0 met \ufdd3Klein\ufdd1 at Deer Island\ufdd2 there",
+    "Went to Lake Of The Pines and Bay Of The Four Winds, then lake of the pines",
 ]
 
 SEED_NAMES = [
     "Sarah", "Miranda", "Klein", "Calvin", "Julie", "Clark", "Wilson", "Butler", "Michael", "Henry",
-    "Anjali", "O'Brien", "McAllen", "Mary-Ann", "sarah", "Patricia", "De La Cruz", "Jones", "May", None,
+    "Tamsin", "O'Brien", "McAllen", "Mary-Ann", "sarah", "Patricia", "De La Cruz", "Jones", "May", None,
 ]
 SEED_STATES = [
     "Alabama", "AL", "Nebraska", "NE", "NORTH DAKOTA", "ND", "New Jersey", "NJ", "Virginia", "VA",
@@ -83,6 +93,9 @@ SEED_CITIES = [
     ("88", "TX", "Texas", "None", "88"),
     ("Toronto", "ON", "Ontario", "York", "Toronto"),
     ("Nowhere", "OH", None, None, None),
+    ("Newark", "NJ", "New Jersey", "Essex", "Newark"),
+    ("Lake Of The Pines", "CA", "California", "Nevada", "Pines"),
+    ("Bay Of The Four Winds", "ME", "Maine", "Knox", "Winds"),
 ]
 SEED_EXTRA_CITIES = [
     ("1", "PR", "Puerto Rico", "San Juan", "San Juan", "18.4", "-66.0"),
@@ -100,28 +113,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(values: list, index):
     """The ``index``-th of a short list of literals."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(F.expr(f"array({', '.join(map(sql_text, values))})"), (index + 1).cast("int"))
 
 
 def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` with one sentence appended: (doc_id, text)."""
+    """``documents`` with one sentence appended, and a few notes without text: (doc_id, text)."""
     slot = F.col("doc_id") % len(TEMPLATES)
     digits = F.lpad((F.col("doc_id") % 10000).cast("string"), 4, "0")
     sentence = F.replace(pick(TEMPLATES, slot), F.lit("{d}"), digits)
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return documents.select(
-        "doc_id",
-        F.when(slot == NULL_SLOT, None)
-        .when(slot == EMPTY_SLOT, "")
-        .otherwise(F.concat_ws(" ", "text", sentence))
-        .alias("text"),
+    documents = table(spark, sf_dir, "documents")
+    noted = documents.select("doc_id", F.concat_ws(" ", "text", sentence).alias("text"))
+    bare = documents.filter(slot.isin(NULL_SLOT, EMPTY_SLOT)).select(
+        (-F.col("doc_id") - 1).alias("doc_id"), F.when(slot == EMPTY_SLOT, "").alias("text")
     )
+    return noted.unionByName(bare)
 
 
 def raw_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capitalised words of at least six letters in ``conversations``, plus the seed names."""
+    """Capitalised words in ``conversations``, plus the seed names."""
+    pattern = rf"{STARTS}\p{{Lu}}\p{{L}}+{ENDS}"
     words = table(spark, sf_dir, "conversations").select(
-        F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,}"), F.lit(0))).alias("name")
+        F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("name")
     )
     return words.unionByName(literal_rows(spark, ["name"], [(n,) for n in SEED_NAMES]))
 
@@ -173,6 +185,17 @@ def raw_extra_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.unionByName(literal_rows(spark, EXTRA_CITY_COLUMNS, SEED_EXTRA_CITIES))
 
 
+_LEXICONS: dict[tuple[str, str], Lexicon] = {}
+
+
+def lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
+    """The lexicon of a folder of tables, built once in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LEXICONS:
+        _LEXICONS[key] = gazetteers(spark, sf_dir).lexicon()
+    return _LEXICONS[key]
+
+
 def gazetteers(spark: SparkSession, sf_dir: str) -> Gazetteers:
     return build_gazetteers(
         raw_names(spark, sf_dir),

@@ -74,15 +74,17 @@ CODES = C.STATE_ABBREVIATIONS + X.FOREIGN_CODES
 HOST = title("regexp_extract(url, '^https?://([^./]+)', 1)")
 
 NOTES = f"""notes AS MATERIALIZED (
-  SELECT doc_id, CASE WHEN doc_id % {N} = {X.NULL_SLOT} THEN NULL
-    WHEN doc_id % {N} = {X.EMPTY_SLOT} THEN ''
-    ELSE text || ' ' || replace({items(X.TEMPLATES)}[doc_id % {N} + 1], '{{d}}',
-         lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0')) END AS text
-  FROM documents),
+  SELECT doc_id, concat_ws(' ', text, replace({items(X.TEMPLATES)}[doc_id % {N} + 1], '{{d}}',
+         lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0'))) AS text
+  FROM documents
+  UNION ALL
+  SELECT -doc_id - 1, CASE WHEN doc_id % {N} = {X.EMPTY_SLOT} THEN '' END
+  FROM documents WHERE doc_id % {N} IN ({X.NULL_SLOT}, {X.EMPTY_SLOT})),
 usable AS MATERIALIZED (SELECT * FROM notes WHERE text IS NOT NULL)"""
 
 RAW = f"""raw_names AS (
-  SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{{5,}}')) AS name FROM conversations
+  SELECT unnest(list_filter(regexp_extract_all(text, {rx(W + '+')}),
+    lambda w: regexp_matches(w, '^\\p{{Lu}}\\p{{L}}+$'))) AS name FROM conversations
   UNION ALL {rows(['name'], [(n,) for n in X.SEED_NAMES])}),
 raw_states AS (SELECT {items(X.SEED_STATES)}[c_custkey % {len(X.SEED_STATES)} + 1] AS state FROM customer),
 raw_zips AS (
@@ -158,7 +160,15 @@ def is_street(m: str) -> str:
     )
 
 
-STREET_MASKED = masked("text", STREET, W + "+", C.ADDRESS_TAG, is_street("m"))
+def street_key(m: str) -> str:
+    return f"trim(regexp_replace(lower({m}), {rx(f'[^{W_}]+')}, ' ', 'g'))"
+
+
+STREET_KEYS = (
+    f"list_transform(list_filter(regexp_extract_all(text, {rx(STREET)}), lambda s: {is_street('s')}),"
+    f" lambda k: {street_key('k')})"
+)
+STREET_MASKED = masked("text", STREET, W + "+", C.ADDRESS_TAG, f"list_contains({STREET_KEYS}, {street_key('m')})")
 APARTMENT_MASKED = masked("text", APARTMENT, W + "+", C.ADDRESS_TAG)
 
 
@@ -192,9 +202,32 @@ def after(n: int) -> str:
     return f"CASE WHEN regexp_matches({lead('ga', n - 1)}, {one}) THEN lower({lead('word', n)}) END"
 
 
-KEY1 = "lower(word)"
-KEY2 = f"{KEY1} || {gap_key('ga')} || lower({lead('word', 1)})"
-KEY3 = f"{KEY2} || {gap_key(lead('ga', 1))} || lower({lead('word', 2)})"
+#: Words of the longest key (a seed city).
+LONGEST = 5
+
+
+def gram(n: int) -> str:
+    """Key of the n words from here on."""
+    if n == 1:
+        return "lower(word)"
+    return f"{gram(n - 1)} || {gap_key(lead('ga', n - 2))} || lower({lead('word', n - 1)})"
+
+
+SIZES = range(1, LONGEST + 1)
+GRAMS = ", ".join(f"{gram(n)} AS k{n}" for n in SIZES)
+AFTERS = ", ".join(f"{after(n)} AS a{n}" for n in SIZES)
+PHRASE_ROWS = ", ".join(f"({n}, k{n}, a{n})" for n in SIZES)
+SEEN = "(regexp_matches(word, '^\\p{Lu}') OR gb LIKE '%-' OR ga LIKE '-%')"
+
+
+def states_behind(n: int) -> str:
+    """The next n words from a following word on, in one piece."""
+    first = "regexp_replace(word, '^[^\\p{L}]+', '')"
+    parts = [f"lower({first})"]
+    for k in range(1, n):
+        parts.append(f"CASE WHEN {lead('ga', k - 1)} = ' ' THEN ' ' END || lower({lead('word', k)})")
+    return " || ".join(parts)
+
 
 LOOKUP = f"""street_text AS MATERIALIZED (
   SELECT doc_id, {APARTMENT_MASKED} AS text FROM (SELECT doc_id, {STREET_MASKED} AS text FROM usable)),
@@ -204,16 +237,16 @@ lettered AS MATERIALIZED (
     lower(regexp_replace(lead(word) OVER d, '^[^\\p{{L}}]+', '')) AS following
   FROM w1 WHERE regexp_matches(word, '\\p{{L}}') WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
 grams AS MATERIALIZED (
-  SELECT doc_id, pos, word, gb, ga, {KEY1} AS k1, {KEY2} AS k2, {KEY3} AS k3,
-    {after(1)} AS a1, {after(2)} AS a2, {after(3)} AS a3
+  SELECT doc_id, pos, word, gb, ga, {GRAMS}, {AFTERS}, {states_behind(2)} AS st2, {states_behind(3)} AS st3
   FROM w1 WINDOW doc AS (PARTITION BY doc_id ORDER BY pos)),
 phrases AS (
-  SELECT g.doc_id, g.pos, u.n, u.k AS key, l.previous, l.following, l.following_pos, u.a AS after
-  FROM grams g JOIN lettered l USING (doc_id, pos),
-    LATERAL (VALUES (1, k1, a1), (2, k2, a2), (3, k3, a3)) AS u(n, k, a)
-  WHERE (regexp_matches(word, '^\\p{{Lu}}') OR gb LIKE '%-' OR ga LIKE '-%') AND u.k IS NOT NULL
+  SELECT g.doc_id, g.pos, u.n, u.k AS key, l.previous, l.following, l.following_pos, u.a AS after, f.st2, f.st3
+  FROM grams g JOIN lettered l USING (doc_id, pos)
+    LEFT JOIN grams f ON f.doc_id = l.doc_id AND f.pos = l.following_pos,
+    LATERAL (VALUES {PHRASE_ROWS.replace("k", "g.k").replace("(", "(").replace(" a", " g.a")}) AS u(n, k, a)
+  WHERE {SEEN.replace("word", "g.word").replace("gb", "g.gb").replace("ga ", "g.ga ")} AND u.k IS NOT NULL
   UNION ALL
-  SELECT doc_id, pos, 1, word, NULL, NULL, NULL, NULL FROM w1 WHERE regexp_matches(word, '^[0-9]{{5}}$')),
+  SELECT doc_id, pos, 1, word, NULL, NULL, NULL, NULL, NULL, NULL FROM w1 WHERE regexp_matches(word, '^[0-9]{{5}}$')),
 found AS MATERIALIZED (
   SELECT p.doc_id, p.pos, p.n, p.key, x.f_name, x.f_zip, x.f_multi, x.f_state,
     x.f_city AND p.n = 1 AS city, p.following, p.following_pos,
@@ -221,18 +254,38 @@ found AS MATERIALIZED (
         coalesce(regexp_matches(p.previous, '^\\p{{Lu}}$'), false) OR lower(p.previous) IN (SELECT key FROM lexicon WHERE f_any)
       WHEN x.f_multi OR x.f_state THEN p.after IN (SELECT key FROM lexicon WHERE f_any)
       ELSE false END AS beside_name,
-    x.f_city AND p.n = 1 AND t.state_token IS NOT NULL AS with_state
+    CASE WHEN NOT (x.f_city AND p.n = 1) THEN 0 WHEN t3.key IS NOT NULL THEN 3 WHEN t2.key IS NOT NULL THEN 2
+      WHEN t.key IS NOT NULL THEN 1 ELSE 0 END AS state_words,
+    state_words > 0 AS with_state
   FROM phrases p JOIN lexicon x USING (key)
-  LEFT JOIN g_tokens t ON t.key = p.key AND t.state_token = p.following),
-marks AS MATERIALIZED (
+  LEFT JOIN g_tokens t ON t.key = p.key AND t.state_token = p.following
+  LEFT JOIN g_tokens t2 ON t2.key = p.key AND t2.state_token = p.st2
+  LEFT JOIN g_tokens t3 ON t3.key = p.key AND t3.state_token = p.st3),
+seen_marks AS MATERIALIZED (
   SELECT doc_id, pos, bool_or(name) AS m_name, bool_or(city) AS m_city, bool_or(pair) AS m_pair,
     bool_or(multi) AS m_multi, bool_or(state) AS m_state
   FROM (
-    SELECT doc_id, unnest(range(pos, pos + n)) AS pos, f_name OR f_zip AS name,
+    SELECT doc_id, unnest(range(pos, pos + n)) AS pos, f_name AS name,
       city AND NOT coalesce(beside_name, false) AS city, with_state AS pair,
       f_multi AND NOT coalesce(beside_name, false) AS multi,
       f_state AND NOT coalesce(beside_name, false) AS state FROM found
-    UNION ALL SELECT doc_id, following_pos, false, false, true, false, false FROM found WHERE with_state)
+    UNION ALL SELECT doc_id, unnest(range(following_pos, following_pos + state_words)), false, false, true, false, false
+    FROM found WHERE with_state)
+  GROUP BY doc_id, pos),
+places AS MATERIALIZED (
+  SELECT DISTINCT doc_id, key, n, f_multi, f_state FROM found
+  WHERE (f_multi OR f_state) AND NOT coalesce(beside_name, false)),
+again AS MATERIALIZED (
+  SELECT g.doc_id, g.pos, u.n, p.f_multi, p.f_state
+  FROM (SELECT * FROM grams WHERE NOT {SEEN}) g, LATERAL (VALUES {PHRASE_ROWS.replace("k", "g.k").replace(" a", " g.a")}) AS u(n, k, a)
+  JOIN places p ON p.doc_id = g.doc_id AND p.key = u.k AND p.n = u.n
+  LEFT JOIN seen_marks m ON m.doc_id = g.doc_id AND m.pos = g.pos + u.n
+  WHERE NOT (u.a IS NOT NULL AND coalesce(m.m_name, false))),
+marks AS MATERIALIZED (
+  SELECT doc_id, pos, bool_or(m_name) AS m_name, bool_or(m_city) AS m_city, bool_or(m_pair) AS m_pair,
+    bool_or(m_multi) AS m_multi, bool_or(m_state) AS m_state
+  FROM (SELECT * FROM seen_marks UNION ALL
+    SELECT doc_id, unnest(range(pos, pos + n)), false, false, false, f_multi, f_state FROM again)
   GROUP BY doc_id, pos)"""
 
 # --- Addresses ----------------------------------------------------------------------------
@@ -303,7 +356,7 @@ address_text AS MATERIALIZED (
 # --- Names --------------------------------------------------------------------------------
 NTAG = q(C.NAME_TAG)
 TAGS2 = [C.NAME_TAG, C.ADDRESS_TAG]
-CUTOFFS = [w.lower() for w in C.CUTOFF_WORDS]
+CUTOFFS = sorted({w.lower() for w in [*C.CUTOFF_WORDS, *C.ROLE_WORDS]})
 NOT_TAG = f"NOT {member('word', TAGS2)}"
 NO_CLINIC = "NOT regexp_matches(word, '^[A-Za-z]*(?i:asst|neuro)')"
 NO_CUT = f"NOT {member('lower(word)', CUTOFFS)}"
@@ -332,7 +385,8 @@ def classes(source: str, guard: str) -> str:
 def suffix_length(n: int) -> str:
     """Number of word runs of MD, RN or RNA at the n-th word; 0 if there is none."""
     dot = "^[.]$"
-    return f"""CASE WHEN {same(n, 'MD', 'RNA')} THEN 1
+    return f"""CASE WHEN {same(n, 'MD', 'DO', 'RNA')} THEN 1
+      WHEN {same(n, 'D')} AND {gap(n, dot)} AND {same(n + 1, 'O')} THEN 2
       WHEN {same(n, 'M')} AND {gap(n, dot)} AND {same(n + 1, 'D')} THEN 2
       WHEN {same(n, 'R')} AND {gap(n, dot)} AND {same(n + 1, 'N')} AND {gap(n + 1, dot)} AND {same(n + 2, 'A')} THEN 3
       WHEN {same(n, 'R')} AND {gap(n, dot)} AND {same(n + 1, 'N', 'NA')} THEN 2
@@ -395,9 +449,25 @@ lastfirst AS MATERIALIZED (
 lf_named AS MATERIALIZED (
   SELECT doc_id, start FROM lastfirst_cover JOIN t1 USING (doc_id, pos) GROUP BY ALL HAVING bool_or(m_name)),
 lf_mask AS (SELECT doc_id, pos FROM lastfirst_cover JOIN lf_named USING (doc_id, start)),
-t2 AS MATERIALIZED (
+lf_spans AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s, len FROM (
+    SELECT c.doc_id, c.start, count(*) AS len,
+      string_agg(CASE WHEN c.pos = c.start THEN '' ELSE gb END || lower(word), '' ORDER BY c.pos) AS s
+    FROM lastfirst_cover c JOIN lf_named USING (doc_id, start) JOIN t1 USING (doc_id, pos) GROUP BY c.doc_id, c.start)),
+t2_once AS MATERIALIZED (
   SELECT t.doc_id, t.pos, gb, ga, CASE WHEN c.pos IS NULL THEN word ELSE {NTAG} END AS word,
     m_name AND c.pos IS NULL AS m_name FROM t1 t LEFT JOIN lf_mask c USING (doc_id, pos)),
+lf_again AS MATERIALIZED (
+  SELECT g.doc_id, g.pos, max(s.len) AS len FROM (
+    SELECT doc_id, pos, lower(word) || ga || lower({lead('word', 1)}) AS s2,
+      lower(word) || ga || lower({lead('word', 1)}) || {lead('ga', 1)} || lower({lead('word', 2)}) AS s3
+    FROM t2_once WINDOW doc AS (PARTITION BY doc_id ORDER BY pos)) g
+  JOIN lf_spans s ON s.doc_id = g.doc_id AND ((s.len = 2 AND s.s = g.s2) OR (s.len = 3 AND s.s = g.s3))
+  GROUP BY g.doc_id, g.pos),
+{picked('lf_again', 'lf_again')},
+t2 AS MATERIALIZED (
+  SELECT t.doc_id, t.pos, gb, ga, CASE WHEN c.pos IS NULL THEN word ELSE {NTAG} END AS word,
+    m_name AND c.pos IS NULL AS m_name FROM t2_once t LEFT JOIN lf_again_cover c USING (doc_id, pos)),
 role AS MATERIALIZED (
   SELECT doc_id, pos, 2 AS len FROM (SELECT doc_id, pos, gb, lag(word) OVER doc AS before,
       (u AND {gap(0, THIRD)} AND {at('u', 1)}) OR (t AND {gap(0, THIRD)} AND {at('t', 1)}) AS pair
@@ -414,7 +484,7 @@ titled AS MATERIALIZED (
   SELECT DISTINCT doc_id, lower(nxt) AS word FROM (
     SELECT doc_id, word, ga, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM t3)
   WHERE {member('word', ['Dr', 'Mr', 'Mrs', 'Ms'])} AND regexp_matches(ga, '^\\.?\\s$')
-    AND regexp_matches(nxt, '^[a-zA-Z]+$') AND NOT {member('nxt', TAGS2)}),
+    AND regexp_matches(nxt, '^[A-Z][a-zA-Z]*$') AND NOT {member('nxt', TAGS2)}),
 t4 AS MATERIALIZED (
   SELECT t.doc_id, pos, gb, ga, CASE WHEN k.word IS NULL THEN t.word ELSE {NTAG} END AS word,
     m_name AND k.word IS NULL AS m_name

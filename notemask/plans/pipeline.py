@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notemask.functions.labels import bio_labels, iob_raw, label_code, size_check
-from notemask.functions.marks import has_reserved, write_marks
+from notemask.functions.marks import erase_marks, with_reserved, without_reserved, write_marks
 from notemask.functions.patterns import extract_ssn, mask_email, pattern_steps
 from notemask.functions.tokens import (
     clean_masked,
@@ -29,7 +29,7 @@ from notemask.operators.address import (
     mask_street,
     mask_zip,
 )
-from notemask.operators.gazetteers import Lexicon
+from notemask.operators.gazetteers import Lexicon, ensure_checkpoint_dir
 from notemask.operators.matches import attach_marks
 from notemask.operators.names import NAME_STEPS
 from notemask.operators.quality import keep_first_text, valid_rows
@@ -59,26 +59,38 @@ def unusable_reason(id_cols: list[str], text_col: str) -> Column:
     no_id = F.lit(False)
     for c in id_cols:
         no_id = no_id | F.col(c).isNull()
-    return (
-        F.when(no_id, "null_id")
-        .when(F.col(text_col).isNull(), "null_text")
-        .when(has_reserved(F.col(text_col)), "reserved_character")
-    )
+    return F.when(no_id, "null_id").when(F.col(text_col).isNull(), "null_text")
 
 
 def mark_notes(
     notes: DataFrame, lexicon: Lexicon, id_cols: list[str], text_col: str = "text"
 ) -> DataFrame:
-    """Usable notes with ``marked``: streets masked, lookup results written into the text."""
-    usable = notes.select(*id_cols, text_col).filter(unusable_reason(id_cols, text_col).isNull())
-    joined = attach_marks(usable, lexicon, id_cols, text_col, prepare=mask_street)
+    """Usable notes with ``marked``: streets masked, lookup results written into the text.
+
+    Each condition is a filter of its own: the join that brings the lookups back asks for ids that are
+    not null, and only if both of its sides have the same filters is their exchange one.
+    """
+    usable = notes.select(*id_cols, text_col)
+    for column in [*id_cols, text_col]:
+        usable = usable.filter(F.col(column).isNotNull())
+    joined = attach_marks(usable, lexicon, id_cols, text_col, prepare=masked_streets)
     return (
-        joined.withColumn("street_masked", mask_street(F.col(text_col)))
-        .withColumn("marked", write_marks(F.col("street_masked"), F.col("marks")))
-        .drop("street_masked", "marks")
+        joined.withColumn("street_masked", masked_streets(F.col(text_col)))
+        .withColumn("marked", write_marks(F.col("street_masked"), F.col("marks"), F.col("places")))
+        .drop("street_masked", "marks", "places")
     )
 
 
+def masked_streets(text: Column) -> Column:
+    """Streets masked in a text without reserved characters."""
+    return mask_street(without_reserved(text))
+
+
+def shown(text: Column, marked: Column) -> Column:
+    """A masked text as it is given out: no marks, and the text's own reserved characters."""
+    return with_reserved(text, erase_marks(marked))
+
+
 def mask_addresses(marked: DataFrame, column: str = "marked") -> DataFrame:
     """Add ``address_masked`` (still with marks)."""
     rows = run_steps(marked.withColumn("address_masked", F.col(column)), "address_masked", PLACE_STEPS)
@@ -98,11 +110,16 @@ def annotate_notes(
     text_col: str = "text",
     strict: bool = False,
     with_locations: bool = False,
+    columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Usable notes with masked and cleaned text, labels, checks and a ``reject_reason``."""
+    """Usable notes with masked and cleaned text, labels, checks and a ``reject_reason``.
+
+    ``columns`` names what is wanted besides the ids; only that is computed.
+    """
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     text = F.col(text_col)
     rows = mask_names(mask_addresses(mark_notes(notes, lexicon, id_cols, text_col)))
+    rows = rows.withColumn("name_masked", with_reserved(text, F.col("name_masked")))
     rows = rows.withColumn("ssn_matches", extract_ssn(mask_email(F.col("name_masked"))))
     rows = run_steps(
         rows.withColumn("masked", F.col("name_masked")), "masked", pattern_steps(strict)
@@ -127,21 +144,13 @@ def annotate_notes(
         .when(F.col("label_code") == 2, "labels_unknown")
         .when(F.col("sizes.split_equals") == 0, "size_mismatch")
     )
-    annotated = rows.select(
-        *id_cols,
-        text_col,
-        "masked",
-        "ssn_matches",
-        F.size("ssn_matches").alias("ssn_count"),
-        "cleaned",
-        *(["locations"] if with_locations else []),
-        "iob_raw",
-        "iob",
-        "label_code",
-        "sizes",
-        reason.alias("reject_reason"),
-    )
-    return seal(annotated)
+    rows = rows.withColumns({"ssn_count": F.size("ssn_matches"), "reject_reason": reason})
+    everything = [
+        text_col, "masked", "ssn_matches", "ssn_count", "spaced", "cleaned",
+        *(["locations"] if with_locations else []), "iob_raw", "iob", "label_code", "sizes", "reject_reason",
+    ]
+    wanted = everything if columns is None else list(columns)
+    return seal(rows.select(*id_cols, *wanted))
 
 
 def tag_notes(
@@ -153,7 +162,13 @@ def tag_notes(
 ) -> DataFrame:
     """Label rows: id, text, cleaned, iob and masked of valid notes, one per distinct cleaned text."""
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict)
+    wanted = [text_col, "cleaned", "iob", "masked", "reject_reason"]
+    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=wanted)
+    return label_rows(annotated, id_cols, text_col)
+
+
+def label_rows(annotated: DataFrame, id_cols: list[str], text_col: str = "text") -> DataFrame:
+    """Label rows of annotated notes."""
     kept = valid_rows(annotated).select(*id_cols, text_col, "cleaned", "iob", "masked")
     return keep_first_text(kept, id_cols)
 
@@ -167,8 +182,34 @@ def rejected_notes(
 ) -> DataFrame:
     """Every note that yields no label row, with the reason (repeats of a text are not rejects)."""
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=["reject_reason"])
+    return reject_rows(notes, annotated, id_cols, text_col)
+
+
+def reject_rows(
+    notes: DataFrame, annotated: DataFrame, id_cols: list[str], text_col: str = "text"
+) -> DataFrame:
+    """Rejects among notes and their annotated rows."""
     unusable = notes.select(*id_cols, unusable_reason(id_cols, text_col).alias("reject_reason"))
-    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict)
     return unusable.unionByName(annotated.select(*id_cols, "reject_reason")).filter(
         "reject_reason is not null"
     )
+
+
+def labels_and_rejects(
+    notes: DataFrame,
+    lexicon: Lexicon,
+    id_cols: list[str] | str = "doc_id",
+    text_col: str = "text",
+    strict: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``tag_notes`` and ``rejected_notes`` from one run of the taggers.
+
+    The annotated notes are written once, to the checkpoint folder, and both results read them.
+    """
+    id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    ensure_checkpoint_dir(notes.sparkSession)
+    wanted = [text_col, "cleaned", "iob", "masked", "reject_reason"]
+    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=wanted).checkpoint()
+    labels = label_rows(annotated, id_cols, text_col)
+    return labels, reject_rows(notes, annotated, id_cols, text_col)

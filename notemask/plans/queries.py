@@ -18,12 +18,14 @@ from notemask.plans import oracle as o
 from notemask.plans.pipeline import (
     annotate_notes,
     mark_notes,
+    labels_and_rejects,
     mask_addresses,
+    masked_streets,
     rejected_notes,
     run_steps,
+    shown,
     tag_notes,
 )
-from notemask.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,9 +83,9 @@ def _(spark, sf):
 
 # --- Lookups ------------------------------------------------------------------------------
 def found_in_notes(spark: SparkSession, sf: str) -> DataFrame:
-    lexicon = fx.gazetteers(spark, sf).lexicon()
+    lexicon = fx.lexicon(spark, sf)
     notes = fx.notes(spark, sf).filter("text is not null")
-    prepared = notes.select("doc_id", address.mask_street(F.col("text")).alias("text"))
+    prepared = notes.select("doc_id", masked_streets(F.col("text")).alias("text"))
     return phrase_matches(prepared, lexicon, ["doc_id"])
 
 
@@ -240,8 +242,7 @@ _DIFF_PAIRS = (
     ),
 )
 def _(spark, sf):
-    streets = address.STREET_PATTERN
-    after = spans.mask_spans(F.col("text"), streets, ADDRESS_TAG, keep=address.is_street)
+    after = address.mask_street_spans(F.col("text"))
     rows = fx.notes(spark, sf).filter("text is not null").withColumn("street", after)
     changed = spans.masked_token_diff(F.col("text"), F.col("street"))
     return rows.select("doc_id", F.array_join(changed, "|").alias("changed"))
@@ -270,14 +271,14 @@ def _(spark, sf):
 
 # --- Taggers: the text after each step, in their fixed order --------------------------------
 def marked(spark: SparkSession, sf: str) -> DataFrame:
-    lexicon = fx.gazetteers(spark, sf).lexicon()
+    lexicon = fx.lexicon(spark, sf)
     return mark_notes(fx.notes(spark, sf), lexicon, ["doc_id"])
 
 
 def after_places(*steps) -> Query:
     def query(spark, sf):
         rows = run_steps(marked(spark, sf), "marked", steps)
-        return rows.select("doc_id", erase_marks(F.col("marked")).alias("masked"))
+        return rows.select("doc_id", shown(F.col("text"), F.col("marked")).alias("masked"))
 
     return query
 
@@ -289,7 +290,7 @@ def after_zip(*steps) -> Query:
         known = address.known_address_words(F.col("marked"))
         rows = rows.withColumn("step", address.mask_zip(F.col("step"), known))
         rows = run_steps(rows, "step", steps)
-        return rows.select("doc_id", erase_marks(F.col("step")).alias("masked"))
+        return rows.select("doc_id", shown(F.col("text"), F.col("step")).alias("masked"))
 
     return query
 
@@ -298,7 +299,7 @@ def after_names(last) -> Query:
     def query(spark, sf):
         steps = names.NAME_STEPS[: names.NAME_STEPS.index(last) + 1]
         rows = run_steps(mask_addresses(marked(spark, sf)), "address_masked", steps)
-        return rows.select("doc_id", erase_marks(F.col("address_masked")).alias("masked"))
+        return rows.select("doc_id", shown(F.col("text"), F.col("address_masked")).alias("masked"))
 
     return query
 
@@ -499,7 +500,7 @@ def _(spark, sf):
 
 # --- Whole pipeline -------------------------------------------------------------------------
 def annotated(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate_notes(fx.notes(spark, sf), fx.gazetteers(spark, sf).lexicon())
+    return annotate_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
 
 
 def chain_sql(select: str) -> str:
@@ -547,7 +548,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return rejected_notes(fx.notes(spark, sf), fx.gazetteers(spark, sf).lexicon())
+    return rejected_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
 
 
 @register(
@@ -556,8 +557,7 @@ def _(spark, sf):
     " GROUP BY cleaned",
 )
 def _(spark, sf):
-    documents = spread(fx.table(spark, sf, "documents").select("doc_id", "text"))
-    rows = documents.select("doc_id", tokens.clean_text(F.col("text")).alias("cleaned"))
+    rows = fx.table(spark, sf, "documents").select("doc_id", tokens.clean_text(F.col("text")).alias("cleaned"))
     return quality.keep_first_text(rows, ["doc_id"])
 
 
@@ -569,4 +569,4 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return tag_notes(fx.notes(spark, sf), fx.gazetteers(spark, sf).lexicon())
+    return tag_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))

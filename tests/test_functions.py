@@ -51,11 +51,11 @@ def test_extract_ssn(spark):
 
 
 def test_spacing_keeps_masked_spans_whole(spark):
-    raw = "Anush's Phone number is (123)345-4566. Hello more-text here"
+    raw = "Norwin's Phone number is (123)345-4566. Hello more-text here"
     masked = text_of(spark, patterns.mask_phone, raw)
-    assert masked == "Anush's Phone number is PhoneNumber. Hello more-text here"
+    assert masked == "Norwin's Phone number is PhoneNumber. Hello more-text here"
     spaced = one(spark, tokens.space_specials(F.col("r"), F.col("m")), r=raw, m=masked)
-    assert spaced == "Anush's Phone number is (123)345-4566 . Hello more - text here"
+    assert spaced == "Norwin's Phone number is (123)345-4566 . Hello more - text here"
     iob = text_of(spark, lambda m: labels.bio_labels(labels.iob_raw(tokens.clean_masked(m))), masked)
     assert iob == "O O O O B-PhoneNumber O O O O O O"
 

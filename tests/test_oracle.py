@@ -4,24 +4,16 @@ import pytest
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry
+from notemask.plans.queries import ORACLE, QUERIES
 
-QUICK = [
-    "mask_email", "mask_ssn", "mask_phone", "mask_url", "mask_url_pages", "mask_ip", "mask_account",
-    "extract_ssn", "mask_spans", "strip_role_word", "masked_token_diff", "street_spans", "mask_street",
-    "space_specials", "clean_text", "clean_masked", "iob_raw", "bio_labels", "special_locations",
-    "restore_specials", "label_codes", "size_check", "dedup_cleaned", "state_gazetteer", "city_states",
-]
-CHAINS = ["multiword_city_matches", "normalize_address_tags", "tagger_rejects", "tag_notes"]
-
-
-@pytest.mark.parametrize("name", QUICK + CHAINS)
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, sf_dir, name):
-    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    query, sql = QUERIES[name], ORACLE[name]
     assert compare(spark, duck(sf_dir), sf_dir, name, query, sql) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

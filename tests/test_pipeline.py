@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from notemask import annotate_notes, rejected_notes, tag_notes
 from notemask.functions.labels import ALPHABET
+from notemask.functions.marks import with_reserved
 from notemask.operators.quality import keep_first_text, label_validation_counts, split_equals_counts
 from notemask.plans import fixtures as fx
-from notemask.plans.pipeline import mark_notes, mask_addresses, mask_names
+from notemask.plans.pipeline import labels_and_rejects, mark_notes, mask_addresses, mask_names
 
 GOLDEN = [
-    ("The patient lives in New Jersey; and the Dr, from North Dakota", "The patient lives in PAddress PAddress; and the Dr, from PAddress PAddress"),
+    ("The patient lives in New Jersey; and the Dr is from North Dakota", "The patient lives in PAddress PAddress; and the Dr is from PAddress PAddress"),
     ("Patient lives at 123 Oak Terrace , West Orange, NJ, 07052", "Patient lives at PAddress PAddress PAddress , PAddress PAddress, PAddress, PAddress"),
     ("Dallas Memorial Hospital and Lincoln , NE", "PAddress Memorial Hospital and PAddress , PAddress"),
     ("Virginia Wilson", "Virginia PersonName"),
@@ -24,7 +25,7 @@ GOLDEN = [
     ("Calvin McKinskey , RN", "PersonName PersonName , PersonName"),
     ("PATRICIA S. WAKEFIELD , M.D.", "PersonName PersonName. PersonName , PersonName.PersonName."),
     ("Michael Henry Butler\nPAddress", "PersonName PersonName PersonName\nPAddress"),
-    ("Dr. Anush met Mrs. Li; later anush, Life and LI", "Dr. PersonName met Mrs. PersonName; later PersonName, Life and PersonName"),
+    ("Dr. Norwin met Mrs. Li; later norwin, Life and LI", "Dr. PersonName met Mrs. PersonName; later PersonName, Life and PersonName"),
     ("with Sarah M. Klein here", "with PersonName PersonName. PersonName here"),
     ("Mary-Ann, Sarah-Louise, klein-type, O'Brien's", "PersonName-PersonName, PersonName-PersonName, PersonName-PersonName, PersonName'PersonName's"),
     ("PAddress , AL and New PAddress 07052 68501 or 99999", "PAddress , PAddress and PAddress PAddress PAddress PAddress or 99999"),
@@ -33,6 +34,28 @@ GOLDEN = [
     ("Asst Sarah Klein MD", "Asst PersonName PersonName PersonName"),
     ("McAllen, TX and DEER ISLAND and Deer\nIsland", "PAddress, PAddress and PAddress PAddress and Deer\nIsland"),
     ("May Green at Home", "May Green at Home"),
+    ("Code 07052-1234 was used", "Code 07052-1234 was used"),
+    ("Part 11111-22 fits", "Part 11111-22 fits"),
+    ("Physician, Sarah Klein took notes", "Physician, PersonName PersonName took notes"),
+    ("PHYSICIAN, SARAH CLARK left", "PHYSICIAN, PersonName PersonName left"),
+    ("Surgeon , Julie Clark left", "Surgeon , PersonName PersonName left"),
+    ("Intern, Julie Clark left", "Intern, PersonName PersonName left"),
+    ("Deer Island first, later deer island again", "PAddress PAddress first, later PAddress PAddress again"),
+    ("Deer Island first, later deer island Wilson", "PAddress PAddress first, later deer island PersonName"),
+    ("Winston-Salem or winston-salem", "PAddress-PAddress or PAddress-PAddress"),
+    ("Virginia is nice, then virginia again", "PAddress is nice, then PAddress again"),
+    ("only virginia in lower case", "only virginia in lower case"),
+    ("He lives in Newark, New Jersey now", "He lives in PAddress, PAddress PAddress now"),
+    ("Newark, North Dakota is none of its states", "Newark, PAddress PAddress is none of its states"),
+    ("At 68 Oak St., then 68 oak st. again", "At PAddress PAddress PAddress., then PAddress PAddress PAddress. again"),
+    ("At 68 oak st. only", "At 68 oak st. only"),
+    ("KLEIN , MIRANDA and klein , miranda", "PersonName , PersonName and PersonName , PersonName"),
+    ("klein , miranda alone", "klein , miranda alone"),
+    ("Calvin Clark DO and PATRICIA JONES, D.O. agreed", "PersonName PersonName PersonName and PersonName PersonName, PersonName.PersonName. agreed"),
+    ("Dr. and Mrs. Klein and more", "Dr. and Mrs. PersonName and more"),
+    ("Lake Of The Pines, then lake of the pines", "PAddress PAddress PAddress PAddress, then PAddress PAddress PAddress PAddress"),
+    ("Bay Of The Four Winds here", "PAddress PAddress PAddress PAddress PAddress here"),
+    ("Sarah ﷐ met ﷓Klein﷑ at Deer Island﷒ there", "PersonName ﷐ met ﷓PersonName﷑ at PAddress PAddress﷒ there"),
 ]
 
 
@@ -43,6 +66,7 @@ def frame(spark, texts):
 def test_golden_rows(spark, seed_lexicon):
     rows = frame(spark, [t for t, _ in GOLDEN])
     tagged = mask_names(mask_addresses(mark_notes(rows, seed_lexicon, ["doc_id"])))
+    tagged = tagged.withColumn("name_masked", with_reserved(F.col("text"), F.col("name_masked")))
     got = {r["text"]: r["name_masked"] for r in tagged.collect()}
     for text, expected in GOLDEN:
         assert got[text] == expected
@@ -71,14 +95,17 @@ def test_rejects_and_counts(spark, seed_lexicon):
         1: "null_text",
         2: "labels_empty",
         3: "size_mismatch",
-        4: "reserved_character",
         5: "size_mismatch",
         None: "null_id",
     }
     annotated = annotate_notes(rows, seed_lexicon)
-    assert {tuple(r) for r in label_validation_counts(annotated).collect()} == {(1, 3), (5, 1)}
-    assert [tuple(r) for r in split_equals_counts(annotated).collect()] == [(1, 1), (0, 2)]
-    assert [r["doc_id"] for r in tag_notes(rows, seed_lexicon).collect()] == [0]
+    assert {tuple(r) for r in label_validation_counts(annotated).collect()} == {(1, 4), (5, 1)}
+    assert [tuple(r) for r in split_equals_counts(annotated).collect()] == [(1, 2), (0, 2)]
+    labels = {r["doc_id"]: (r["cleaned"], r["iob"]) for r in tag_notes(rows, seed_lexicon).collect()}
+    assert labels == {0: ("fine", "O"), 4: ("bad ﷐ text", "O O O")}
+    once, rejects = labels_and_rejects(rows, seed_lexicon)
+    assert {r["doc_id"]: (r["cleaned"], r["iob"]) for r in once.collect()} == labels
+    assert {r["doc_id"]: r["reject_reason"] for r in rejects.collect()} == reasons
 
 
 def test_repeated_ids_do_not_mix_texts(spark, seed_lexicon):
@@ -125,15 +152,30 @@ def test_labels_match_tokens(annotated):
     assert good.filter(~F.col("iob").rlike(f"^{ALPHABET}")).count() == 0
 
 
-def test_plan_has_one_shuffle_of_the_notes(spark, sf_dir, seed_lexicon):
-    rows = annotate_notes(fx.notes(spark, sf_dir), seed_lexicon)
+@pytest.mark.parametrize("pipeline", [annotate_notes, tag_notes])
+def test_executed_plan_scans_and_shuffles_the_notes_once(spark, sf_dir, tmp_path, seed_lexicon, pipeline):
+    fx.notes(spark, sf_dir).write.parquet(str(tmp_path / "notes"))
+    rows = pipeline(spark.read.parquet(str(tmp_path / "notes")), seed_lexicon)
+    rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
-    assert plan.count("REPARTITION_BY_COL") == 2  # written once, read twice after reuse
-    assert "ENSURE_REQUIREMENTS" not in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan
+    assert not any(word in plan for word in ("Python", "NestedLoop", "Cartesian"))
+    assert final.count("FileScan parquet") == 1
+    assert final.count("ReusedExchange") == 1
+    # by id and text hash; the label rows move once more, by the hash of the cleaned text
+    moved = [line for line in final.splitlines() if " Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(moved) == (1 if pipeline is annotate_notes else 2)
+    assert sum("ENSURE_REQUIREMENTS" in line for line in moved) == len(moved) - 1
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
+def test_only_wanted_columns_are_computed(spark, sf_dir, seed_lexicon):
+    plan = lambda c: annotate_notes(fx.notes(spark, sf_dir), seed_lexicon, columns=c)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ssn_matches" in plan(["ssn_matches"]) and "ssn_matches" not in plan(["masked"])
+    assert "spaced" not in plan(["label_code"]) and "cleaned" not in plan(["label_code"])
+
+
 def test_filters_stay_above_the_steps(spark, sf_dir, seed_lexicon):
     rows = annotate_notes(fx.notes(spark, sf_dir), seed_lexicon)
     size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
