@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ from notemask.plans.pipeline import (
     shown,
     tag_notes,
 )
+from notemask.sources.readers import write_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -499,8 +501,8 @@ def _(spark, sf):
 
 
 # --- Whole pipeline -------------------------------------------------------------------------
-def annotated(spark: SparkSession, sf: str) -> DataFrame:
-    return annotate_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
+def annotated(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
+    return annotate_notes(fx.notes(spark, sf), fx.lexicon(spark, sf), columns=columns)
 
 
 def chain_sql(select: str) -> str:
@@ -512,7 +514,7 @@ def chain_sql(select: str) -> str:
     chain_sql("SELECT CAST(label_code AS INT) AS label_code, count(*) AS n_notes FROM annotated GROUP BY 1"),
 )
 def _(spark, sf):
-    return quality.label_validation_counts(annotated(spark, sf))
+    return quality.label_validation_counts(annotated(spark, sf, ["label_code"]))
 
 
 @register(
@@ -523,22 +525,80 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return quality.split_equals_counts(annotated(spark, sf))
+    return quality.split_equals_counts(annotated(spark, sf, ["label_code", "sizes"]))
 
 
 @register(
     "valid_rows",
     chain_sql(
-        "SELECT doc_id, CAST(length_text AS INT) AS length_text, CAST(length_labels AS INT) AS length_labels"
-        " FROM annotated WHERE label_code = 1 AND equal"
+        "SELECT doc_id, text, masked, cleaned, iob, CAST(length_text AS INT) AS length_text,"
+        " CAST(length_labels AS INT) AS length_labels FROM annotated WHERE label_code = 1 AND equal"
     ),
 )
 def _(spark, sf):
-    return quality.valid_rows(annotated(spark, sf)).select(
-        "doc_id", "sizes.length_text", "sizes.length_labels"
+    wanted = ["text", "masked", "cleaned", "iob", "sizes", "reject_reason"]
+    return quality.valid_rows(annotated(spark, sf, wanted)).select(
+        "doc_id", "text", "masked", "cleaned", "iob", "sizes.length_text", "sizes.length_labels"
     )
 
 
+_FULL_SPACED = o.spaced("text", "masked")
+_SSN_IN_MASKED = f"regexp_extract_all({o.email('n.text')}, {o.rx(f'{o.C.SSN_DASHED_PATTERN}|{o.SSN_PLAIN}')})"
+
+
+@register(
+    "annotated_notes",
+    chain_sql(
+        f"""SELECT a.doc_id, a.masked, {_FULL_SPACED.replace('text', 'a.text').replace('masked', 'a.masked')} AS spaced, a.cleaned,
+  a.iob_raw, a.iob, CAST(label_code AS INT) AS label_code, array_to_string({_SSN_IN_MASKED}, '|') AS ssns,
+  CAST(length_text AS INT) AS length_text, CAST(length_labels AS INT) AS length_labels,
+  CASE WHEN label_code = 5 THEN 'labels_empty' WHEN label_code = 2 THEN 'labels_unknown'
+    WHEN NOT equal THEN 'size_mismatch' END AS reject_reason
+FROM annotated a JOIN name_text n USING (doc_id)"""
+    ),
+)
+def _(spark, sf):
+    """All token and label columns on the fully masked text."""
+    wanted = ["masked", "spaced", "cleaned", "iob_raw", "iob", "label_code", "ssn_matches", "sizes", "reject_reason"]
+    return annotated(spark, sf, wanted).select(
+        "doc_id", *wanted[:6], F.array_join("ssn_matches", "|").alias("ssns"),
+        "sizes.length_text", "sizes.length_labels", "reject_reason",
+    )
+
+
+@register(
+    "annotated_locations",
+    chain_sql(
+        "SELECT doc_id, CAST(x.s AS INT) AS start_at, CAST(x.s + length(x.c) AS INT) AS end_at, x.c AS character"
+        f" FROM (SELECT doc_id, unnest({located_sql('spaced')}) AS x"
+        f" FROM (SELECT doc_id, {_FULL_SPACED} AS spaced FROM annotated))"
+    ),
+)
+def _(spark, sf):
+    """Recorded characters of the fully spaced text."""
+    rows = annotate_notes(fx.notes(spark, sf), fx.lexicon(spark, sf), with_locations=True, columns=["locations"])
+    return rows.select("doc_id", F.explode("locations").alias("at")).select(
+        "doc_id", F.col("at.start").alias("start_at"), F.col("at.end").alias("end_at"), "at.character"
+    )
+
+
+@register(
+    "annotated_restored",
+    chain_sql(
+        f"SELECT doc_id, list_reduce({located_sql('spaced')}, lambda a, x: {{'s': x.s, 'c': x.c,"
+        " 't': left(a.t, x.s) || x.c || substr(a.t, x.s + 1)},"
+        f" {{'s': 0::BIGINT, 'c': '', 't': {o.clean('spaced')}}}).t AS restored"
+        f" FROM (SELECT doc_id, {_FULL_SPACED} AS spaced FROM annotated)"
+    ),
+)
+def _(spark, sf):
+    """Recorded characters put back into the cleaned text."""
+    rows = annotate_notes(
+        fx.notes(spark, sf), fx.lexicon(spark, sf), with_locations=True, columns=["cleaned", "locations"]
+    )
+    return rows.select("doc_id", tokens.restore_specials(F.col("cleaned"), F.col("locations")).alias("restored"))
+
+
 @register(
     "tagger_rejects",
     chain_sql(
@@ -570,3 +630,26 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return tag_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
+
+
+
+@register(
+    "labels_and_rejects",
+    chain_sql(
+        "SELECT doc_id, 'label' AS kind, iob AS outcome FROM annotated WHERE label_code = 1 AND equal"
+        " QUALIFY row_number() OVER (PARTITION BY cleaned ORDER BY doc_id) = 1"
+        " UNION ALL SELECT doc_id, 'reject', 'null_text' FROM notes WHERE text IS NULL"
+        " UNION ALL SELECT doc_id, 'reject', CASE WHEN label_code = 5 THEN 'labels_empty'"
+        " WHEN label_code = 2 THEN 'labels_unknown' ELSE 'size_mismatch' END FROM annotated"
+        " WHERE label_code <> 1 OR NOT equal"
+    ),
+)
+def _(spark, sf):
+    """Labels and rejects of one run, written as parquet by the sink and read back."""
+    labels, rejects = labels_and_rejects(fx.notes(spark, sf), fx.lexicon(spark, sf))
+    rows = labels.select("doc_id", F.lit("label").alias("kind"), F.col("iob").alias("outcome")).unionByName(
+        rejects.select("doc_id", F.lit("reject").alias("kind"), F.col("reject_reason").alias("outcome"))
+    )
+    path = f"{spark.sparkContext.getCheckpointDir()}/labels-{uuid.uuid4().hex}"
+    write_labels(rows, path, partition_by="kind")
+    return spark.read.parquet(path)
