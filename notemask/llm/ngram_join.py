@@ -6,7 +6,8 @@ reach the threshold, and documents that are already connected are not compared a
 
 Trees are small and many. What brings documents together at all is the prefix of their sets in one global order, rare
 shingles first: two sets of the wanted similarity share a shingle of their prefixes. The order comes from a sketch of
-all shingles of the corpus, of fixed size, so shingles of passages that very many documents share come last.
+all shingles of the corpus, of fixed size, so shingles of passages that very many documents share come last. The smaller
+set of a pair must even share one of a shorter prefix; a shingle that stands in no set's shorter prefix joins nothing.
 
 1. One row per document: size, name and signature of its set; equal sets have one name and go on as one.
 2. Buckets of prefix shingles find those that several sets share.
@@ -192,29 +193,37 @@ def frequency_classes(described: DataFrame) -> np.ndarray:
 # --- 2. shared prefix shingles ---------------------------------------------------------------------------------------
 
 
-def prefix(items: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """The first shingles in the global order, as many as two similar sets must share one of."""
+def prefix(items: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first shingles in the global order, and the length of the shorter prefix.
+
+    Similar sets share p percent of the larger one and 2p / (100 + p) of the smaller one at least. The first shingle
+    that they share lies within the prefix of the one and within the shorter prefix of the other."""
     n = len(items)
     length = n - -(-PERCENT * n // 100) + 1
+    shorter = n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
     rank = classes[(items >> np.uint64(44)).astype(np.int64)]
-    return items[np.lexsort((items, rank))[:length]]
+    return items[np.lexsort((items, rank))[:length]], shorter
 
 
 def _prefixes(classes: np.ndarray, n_buckets: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names = [], []
+            keys, names, leads = [], [], []
             seen: set[int] = set()
             for _, _, sets in sets_of(batch.column("text")):
                 for items in sets:
                     if len(items) and (name := name_of(items)) not in seen:
                         seen.add(name)
-                        keys.append(prefix(items, classes))
-                        names.append(np.full(len(keys[-1]), name, np.int64))
+                        first, shorter = prefix(items, classes)
+                        keys.append(first)
+                        names.append(np.full(len(first), name, np.int64))
+                        leads.append(np.arange(len(first)) < shorter)
             if not keys:
                 continue
-            key, name = np.concatenate(keys), np.concatenate(names)
-            bucket = ((key * _MIX) >> np.uint64(32)) % np.uint64(n_buckets)
+            # the last bit of a shingle tells whether it stands in the shorter prefix
+            key = (np.concatenate(keys) & ~np.uint64(1)) | np.concatenate(leads)
+            name = np.concatenate(names)
+            bucket = (((key >> np.uint64(1)) * _MIX) >> np.uint64(32)) % np.uint64(n_buckets)
             order = np.argsort(bucket, kind="stable")
             found, cuts = np.unique(bucket[order], return_index=True)
             pairs = np.stack([key[order].view(np.int64), name[order]], axis=1)
@@ -225,19 +234,23 @@ def _prefixes(classes: np.ndarray, n_buckets: int):
     return emit
 
 
-_SHARED = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+_SHARED = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("lead", pa.bool_())])
 
 
 def _shared(rows: pa.Table) -> pa.Table:
-    """Shingles of a bucket that several sets share: kind 0 has a shingle and a set, kind 1 two sets in a chain."""
+    """Shingles of a bucket that several sets share, one of them in its shorter prefix: kind 0 has a shingle and a set,
+    kind 1 two sets in a chain."""
     pairs = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.int64).reshape(-1, 2)
-    key, name = pairs[:, 0], pairs[:, 1]
+    key, name, lead = pairs[:, 0] >> 1, pairs[:, 1], (pairs[:, 0] & 1).astype(bool)
     # sets of one shingle are chained in an order of their own
     order = np.lexsort(((name.view(np.uint64) ^ key.view(np.uint64)) * _MIX, key))
-    key, name = key[order], name[order]
+    key, name, lead = key[order], name[order], lead[order]
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
-    key, name = key[fresh], name[fresh]
+    key, name, lead = key[fresh], name[fresh], lead[fresh]
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    led = np.logical_or.reduceat(lead, np.flatnonzero(first))[np.cumsum(first) - 1]
+    key, name, lead = key[led], name[led], lead[led]
     next_same = np.zeros(len(key), bool)
     next_same[:-1] = key[1:] == key[:-1]
     several = next_same.copy()
@@ -248,7 +261,8 @@ def _shared(rows: pa.Table) -> pa.Table:
     edges = np.unique(np.stack([low, high], axis=1), axis=0) if len(chain) else np.zeros((0, 2), np.int64)
     kind = np.concatenate([np.zeros(several.sum(), np.int32), np.ones(len(edges), np.int32)])
     a, b = np.concatenate([key[several], edges[:, 0]]), np.concatenate([name[several], edges[:, 1]])
-    return pa.table([pa.array(kind), pa.array(a), pa.array(b)], schema=_SHARED)
+    leads = np.concatenate([lead[several], np.ones(len(edges), bool)])
+    return pa.table([pa.array(kind), pa.array(a), pa.array(b), pa.array(leads)], schema=_SHARED)
 
 
 # --- 3. and 4. clusters by signatures ---------------------------------------------------------------------------------
@@ -352,7 +366,7 @@ def _compared(rows: pa.Table) -> pa.Table:
     """Links between clusters that the signatures allow, for all shingles of a bucket."""
     rows = rows.sort_by([("key", "ascending"), ("name", "ascending")])
     keys = rows.column("key").to_numpy()
-    names, roots, sizes = (rows.column(c).to_numpy() for c in ("name", "root", "n"))
+    names, roots, sizes, leads = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("name", "root", "n", "lead"))
     signatures = rows.column("signature").to_pylist()
     cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])).tolist()
     found: set[tuple[int, int]] = set()
@@ -362,7 +376,8 @@ def _compared(rows: pa.Table) -> pa.Table:
             for i in range(a, b):
                 for j in range(i + 1, b):
                     pair = (roots[i], roots[j])
-                    if pair[0] != pair[1] and pair not in joined and possible(sizes[i], sizes[j], signatures[i], signatures[j]):
+                    led = (leads[i] and sizes[i] <= sizes[j]) or (leads[j] and sizes[j] <= sizes[i])
+                    if led and pair[0] != pair[1] and pair not in joined and possible(sizes[i], sizes[j], signatures[i], signatures[j]):
                         joined |= {pair, pair[::-1]}
                         found.add((int(names[i]), int(names[j])))
             continue
@@ -461,10 +476,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_buckets = max(1, -(-size // PER_BUCKET))
     prefixes = rows.mapInArrow(_prefixes(classes, n_buckets), "bucket int, data binary")
-    shared = written(prefixes.groupBy("bucket").applyInArrow(_shared, "kind int, a long, b long"), "shared")
+    shared = written(prefixes.groupBy("bucket").applyInArrow(_shared, "kind int, a long, b long, lead boolean"), "shared")
     chains = written(plausible(shared.filter("kind = 1").select("a", "b").distinct(), sets), "chains")
     known = written(components(chains), "chained")
-    later = _across(shared.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("name")), known, sets, n_buckets)
+    later = _across(shared.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("name"), "lead"), known, sets, n_buckets)
     star = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
     clusters = components(star.unionByName(later))
     members = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster")).join(sets.select("name", "doc_id", "n"), "name")
@@ -485,11 +500,11 @@ def without_similar(docs: DataFrame) -> DataFrame:
 def _across(shared: DataFrame, known: DataFrame, sets: DataFrame, n_buckets: int) -> DataFrame:
     """Links between different clusters that share a shingle, where the signatures allow them."""
     rows = shared.join(known.select(F.col("node").alias("name"), "root"), "name", "left")
-    rows = written(rows.select("key", "name", F.coalesce("root", "name").alias("root")), "shared-roots")
+    rows = written(rows.select("key", "name", "lead", F.coalesce("root", "name").alias("root")), "shared-roots")
     several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     rows = rows.join(several.select("key"), "key").join(sets.select("name", "n", "signature"), "name")
     bucket = F.pmod(F.xxhash64("key"), F.lit(n_buckets)).alias("bucket")
-    rows = rows.select(bucket, "key", "name", "root", "n", "signature")
+    rows = rows.select(bucket, "key", "name", "root", "lead", "n", "signature")
     return rows.groupBy("bucket").applyInArrow(_compared, "a long, b long").distinct()
 
 
