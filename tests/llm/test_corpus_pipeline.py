@@ -74,3 +74,22 @@ def test_ids_equal_the_library(stages):
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter((r.doc_id, tuple(r.ids)) for r in rows) == Counter((r["doc_id"], tuple(r["ids"])) for r in stages[0][-1])
+
+
+def test_odd_rows_pass_every_stage(spark, sf_dir, odd):
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = written(stage(spark, docs, sf_dir), name)
+            assert after.columns == odd.columns
+            docs = after
+        encoded = corpus_pipeline.encode(spark, docs, sf_dir)
+        assert encoded.count() == docs.count()
+
+
+def test_stages_take_odd_rows_on_their_own(spark, sf_dir, odd):
+    kept = {name: stage(spark, odd, sf_dir).collect() for name, stage in corpus_pipeline.STAGES}
+    assert len(kept["toxicity"]) == len(kept["sentencepiece"]) == odd.count()
+    # blanks outweigh null and empty texts; the repeated row comes once
+    assert Counter(r.doc_id for r in kept["exact_dedup"]) == Counter([None, 3, 4, 5, 6, 7])
+    assert Counter(r.doc_id for r in kept["ngram_jaccard_join"]) == Counter(r.doc_id for r in odd.collect())
+    assert all(r.text.strip(" \t\n") for r in kept["source_mixing"])
