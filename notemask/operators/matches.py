@@ -272,7 +272,8 @@ def attach_marks(
     text_col: str = "text",
     prepare: Callable[[Column], Column] = lambda text: text,
 ) -> DataFrame:
-    """Notes with ``marks`` and ``places`` arrays (null if nothing matched) for ``prepare(text)``.
+    """Notes with ``prepared`` (``prepare(text)`` where it differs from the text, else null) and the
+    ``marks`` and ``places`` arrays (null if nothing matched) for it.
 
     Notes and matches meet on the ids and a hash of the text, so repeated ids cannot mix texts.
     The notes are shuffled once, by that key: explode, broadcast lookup, both groupings and the join
@@ -280,7 +281,8 @@ def attach_marks(
     matches are the hashed side of the join: a few integers per matched word, and no sort of texts.
     """
     keys = [*id_cols, "text_hash"]
-    keyed = notes.withColumn("text_hash", F.xxhash64(text_col)).repartition(*keys)
-    prepared = keyed.select(*keys, prepare(F.col(text_col)).alias(text_col))
+    changed = let(prepare(F.col(text_col)), lambda p: F.when(p != F.col(text_col), p))
+    keyed = notes.withColumns({"text_hash": F.xxhash64(text_col), "prepared": changed}).repartition(*keys)
+    prepared = keyed.select(*keys, F.coalesce("prepared", text_col).alias(text_col))
     marks = word_marks(phrase_matches(prepared, lexicon, keys, text_col), keys)
     return keyed.join(marks.hint("shuffle_hash"), keys, "left").drop("text_hash")

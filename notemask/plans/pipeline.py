@@ -74,11 +74,8 @@ def mark_notes(
     for column in [*id_cols, text_col]:
         usable = usable.filter(F.col(column).isNotNull())
     joined = attach_marks(usable, lexicon, id_cols, text_col, prepare=masked_streets)
-    return (
-        joined.withColumn("street_masked", masked_streets(F.col(text_col)))
-        .withColumn("marked", write_marks(F.col("street_masked"), F.col("marks"), F.col("places")))
-        .drop("street_masked", "marks", "places")
-    )
+    marked = write_marks(F.coalesce("prepared", text_col), F.col("marks"), F.col("places"))
+    return joined.withColumn("marked", marked).drop("prepared", "marks", "places")
 
 
 def masked_streets(text: Column) -> Column:
