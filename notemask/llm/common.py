@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,16 +47,38 @@ def held_out(doc_id: Column, modulus: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % modulus == fold, F.lit(True))
 
 
-def lowered(text: bytes) -> bytes:
-    """A-Z in lower case, all other bytes as they are."""
-    return text.lower()
-
-
 def texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Texts of a column as Python strings; null counts as empty."""
     return [x or "" for x in column.to_pylist()]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def releasing(process: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """Gives memory back to the system after each partition: Python workers stay alive beside later JVM work."""
+
+    @functools.wraps(process)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from process(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
+def text_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of rows of about `limit` bytes with their texts, of which only these are Python strings at a time."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for a, b in slices(lengths, limit):
+        yield a, b, texts(column.slice(a, b - a))
+
+
 def slices(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about `limit` units in all; a single longer row is a range of its own."""
     start, total = 0, 0

@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bytes_of, held_out, labelled_sample, sigmoid, slices, table
+from .common import bytes_of, held_out, labelled_sample, releasing, sigmoid, slices, table
 
 #: Fold of the labelled rows that nothing is learnt from.
 MODULUS, FOLD = 3, 1
 #: Bound of the training sample: rows of each label, and bytes of a text.
 PER_CLASS, MAX_BYTES = 3000, 1 << 20
 #: Bytes of text whose features are computed at once in a task.
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
 
@@ -250,6 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of a bounded sample of labelled documents (see `labelled_sample`), fitted on the driver."""
     sample = labelled_sample(docs, labels, "quality", MODULUS, FOLD, PER_CLASS, MAX_BYTES)
 
+    @releasing
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["own", "chars", "lines", "label", "weight", "key"]
         for batch in batches:
@@ -278,6 +279,7 @@ def quality_scores(docs: DataFrame, model: Model) -> DataFrame:
     Null, empty and blank texts have no lines: even odds before calibration. Repeated rows get repeated results; a
     null doc_id stays null; other columns don't matter."""
 
+    @releasing
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, good = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of
+from .common import bytes_of, releasing, table
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -79,6 +79,7 @@ def _measure_one(text: bytes) -> tuple[int, int, int, int]:
     return len(words), len(lines), len(lines) - len(set(lines)), _repeat_words(words)
 
 
+@releasing
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         codes, at = bytes_of(batch.column("text"))
@@ -157,8 +158,6 @@ def ablations(ledger_rows: DataFrame, policy: str) -> DataFrame:
 
 def op9(spark, sf_dir: str) -> DataFrame:
     """The ledger of all documents with the verdicts of the base policy and of policy v1."""
-    from .common import table
-
     rows = ledger(table(spark, sf_dir, "documents"))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

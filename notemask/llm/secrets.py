@@ -17,7 +17,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import table, texts
+from .common import releasing, table, text_slices
+
+#: Bytes of text that are Python strings at once in a task.
+SLICE = 1_000_000
 
 #: Kinds in the order that breaks ties of one start.
 KINDS = ("assign", "access", "hex", "token", "der", "record")
@@ -191,10 +194,11 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
 
 
+@releasing
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for text in texts(batch.column("text")):
+        for text in (t for _, _, part in text_slices(batch.column("text"), SLICE) for t in part):
             base = base_spans(text)
             kinds = [k for _, _, k in base]
             every = sorted({*base, *confirmed_spans(text)}, key=lambda s: (s[0], s[2], s[1]))

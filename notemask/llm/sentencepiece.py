@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, table, texts
+from .common import releasing, table, text_slices
 
 #: Where the vocabulary lies; its contents travel with the tasks.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 SPACE = "▁"
-#: Segments whose ids a task remembers, and characters of text that it encodes at once.
+#: Segments whose ids a task remembers, and bytes of text that it encodes at once.
 KNOWN_SEGMENTS, SLICE = 400_000, 1_000_000
 #: Cells (segments times length) that advance together.
 CELLS = 1 << 19
@@ -393,11 +393,6 @@ def spelling(v: Vocabulary) -> list[bytes]:
     return found
 
 
-def _encode_rows(encoder: Encoder, rows: list[str]) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    for a, b in slices(np.array([len(t) for t in rows]), SLICE):
-        yield a, b, encoder.encode(rows[a:b])
-
-
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns and ids (array of int) of every row.
 
@@ -405,10 +400,12 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, .
     null; other columns don't matter."""
     names = [*keep, "ids"]
 
+    @releasing
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            for a, b, found in _encode_rows(encoder, texts(batch.column("__text"))):
+            for a, b, rows in text_slices(batch.column("__text"), SLICE):
+                found = encoder.encode(rows)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), ids], names)
@@ -421,6 +418,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, .
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id and text of every row of ids. Null ids count as none and give an empty text."""
 
+    @releasing
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = spelling(vocabulary)
         for batch in batches:
@@ -435,14 +433,15 @@ def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the ids as little-endian 32-bit numbers), round_trip (whether decoding gives the
     text back; a text with U+2581 comes back with spaces there) of every row, in one pass over the texts."""
 
+    @releasing
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, spelled = Encoder(vocabulary), spelling(vocabulary)
         names = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
         for batch in batches:
-            rows = texts(batch.column("text"))
-            for a, b, found in _encode_rows(encoder, rows):
+            for a, b, rows in text_slices(batch.column("text"), SLICE):
+                found = encoder.encode(rows)
                 hashes = [hashlib.sha256(x.tobytes()).hexdigest() for x in found]
-                same = [decode(vocabulary, x, spelled) == t for x, t in zip(found, rows[a:b], strict=True)]
+                same = [decode(vocabulary, x, spelled) == t for x, t in zip(found, rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array([len(x) for x in found], pa.int64()),
                      pa.array(hashes, pa.string()), pa.array(same, pa.bool_())], names,
