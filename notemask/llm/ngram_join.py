@@ -14,21 +14,25 @@ set of a pair must even share one of a shorter prefix; a shingle that stands in
 3. Chains along some of these shingles, kept where the signatures allow the similarity, connect most of each group.
 4. For every shared shingle, trees compare the sets that are not connected yet. Any two similar sets are now in one
    cluster.
-5. Within each cluster a tree over the texts' own sets finds the links; exact intersections decide.
+5. Within each cluster a tree over the texts' own sets finds the links; exact intersections decide. A cluster too
+   large for a task is cut into parts: first each part finds its links, then some sets of each part's largest
+   component find those between parts, and then only what is still outside the cluster's largest component is
+   compared with all parts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bytes_of, slices, table, written
+from .common import bytes_of, releasing, slices, table, written
 from .components import components
 
 WORDS = 5
@@ -42,6 +46,8 @@ PER_BUCKET = 16 << 20
 CHAIN_EVERY = 16
 #: Shingles of a cluster, or of part of one, that a task compares at once.
 CAPACITY = 1_500_000
+#: Sets that speak for the largest component of a part, and parts whose speakers meet in one task.
+SPEAKERS, MEETING = 8, 500
 FANOUT = 8
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
@@ -143,6 +149,7 @@ def possible(n_a: int, n_b: int, sig_a: bytes, sig_b: bytes) -> bool:
 _SETS = "doc_id long, n int, name long, signature binary, cells binary"
 
 
+@releasing
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(CELLS, np.int64)
     schema = pa.schema(
@@ -206,6 +213,7 @@ def prefix(items: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def _prefixes(classes: np.ndarray, n_buckets: int):
+    @releasing
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, names, leads = [], [], []
@@ -402,14 +410,14 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _linked(rows: pa.Table) -> pa.Table:
-    """Links that connect the similar sets of some clusters: every set with the first of its component."""
-    clusters, names = rows.column("cluster").to_numpy(), rows.column("name").to_numpy()
+    """Links that connect the similar sets of some clusters, as far as they aren't known to be connected (`root`)."""
+    clusters, names, roots = (rows.column(c).to_numpy() for c in ("cluster", "name", "root"))
     sets: list[np.ndarray] = []
     for _, _, part in sets_of(rows.column("text")):
         sets += part
     order = np.lexsort((names, clusters))
     cuts = np.flatnonzero(np.concatenate([[True], clusters[order][1:] != clusters[order][:-1], [True]]))
-    a_out, b_out = [], []
+    found: list[tuple[int, int]] = []
     for begin, end in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
         members = order[begin:end]
         members = members[np.unique(names[members], return_index=True)[1]]
@@ -418,40 +426,97 @@ def _linked(rows: pa.Table) -> pa.Table:
         width = 1 << max(6, int(4 * sizes.max() - 1).bit_length())
         least = np.array([s[0] if len(s) else 0 for s in own], np.uint64)
         tree = tree_of([bitmap(s, width).view("<u8") for s in own], sizes, least)
-        for x, y in zip(tree.order.tolist(), tree.order[1:].tolist(), strict=False):
-            if _similar(own[x], own[y]):
+        tree.labels = np.unique(roots[members], return_inverse=True)[1]
+        neighbours = zip(tree.order.tolist(), tree.order[1:].tolist(), strict=False)
+        for x, y in itertools.chain(neighbours, tree.traverse()):
+            if tree.labels[x] != tree.labels[y] and _similar(own[x], own[y]):
                 tree.union(x, y)
-        for x, y in tree.traverse():
-            if _similar(own[x], own[y]):
-                tree.union(x, y)
-        far = np.flatnonzero(tree.labels != np.arange(len(own)))
-        a_out.append(names[members[far]])
-        b_out.append(names[members[tree.labels[far]]])
-    return pa.table({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+                found.append((int(names[members[x]]), int(names[members[y]])))
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _weight() -> Column:
+    return (F.col("n") + 50).cast("long")
+
 
+def _in_parts(members: DataFrame, name: str) -> DataFrame:
+    """Adds the part of each member of a large cluster: sets of about one size, dealt out evenly. No cluster is
+    ordered as a whole."""
+    sized = members.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.1))).cast("int"))
+    totals = sized.groupBy("cluster", "class").agg(F.ceil(F.sum(_weight()) / (CAPACITY // 2)).alias("pieces"))
+    piece = F.pmod(F.xxhash64("name"), F.col("pieces"))
+    return sized.join(totals, ["cluster", "class"]).withColumn(name, F.concat_ws(".", "class", piece)).drop("class", "pieces")
 
-def _tasks(members: DataFrame) -> DataFrame:
-    """name, doc_id, cluster, task: small clusters are packed into tasks; a large one is cut into parts by size, and
-    each pair of parts whose sizes can match is a task."""
-    weight = (F.col("n") + 50).cast("long")
-    totals = members.groupBy("cluster").agg(F.sum(weight).alias("total"))
+
+def _compare_texts(rows: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Links of the tasks' members (task, cluster, name, doc_id, root)."""
+    texts = rows.join(tasks.hint("merge"), "doc_id").select("task", "cluster", "name", "root", "text")
+    return texts.groupBy("task").applyInArrow(_linked, "a long, b long")
+
+
+def _links(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Links that connect all similar sets of each cluster (members: name, doc_id, n, cluster)."""
+    totals = written(members.groupBy("cluster").agg(F.sum(_weight()).alias("total")), "totals")
+    packed, n_large = totals.agg(
+        F.sum(F.when(F.col("total") <= CAPACITY, F.col("total"))), F.count_if(F.col("total") > CAPACITY)
+    ).first()
+    n_tasks = max(1, -(-(packed or 0) // (CAPACITY // 2)))
     both = members.join(totals, "cluster")
-    small = both.filter(F.col("total") <= CAPACITY)
-    n_tasks = max(1, -(-(totals.filter(F.col("total") <= CAPACITY).agg(F.sum("total")).first()[0] or 0) // (CAPACITY // 2)))
-    small = small.select("name", "doc_id", "cluster", F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(n_tasks))).alias("task"))
-    ordered = Window.partitionBy("cluster").orderBy("n", "name").rowsBetween(Window.unboundedPreceding, 0)
-    large = both.filter(F.col("total") > CAPACITY)
-    large = large.withColumn("part", F.floor(F.sum(weight).over(ordered) / (CAPACITY // 2)).cast("int"))
-    parts = large.groupBy("cluster", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = parts.alias("p"), parts.alias("q")
-    pairs = one.join(
-        two,
-        (F.col("p.cluster") == F.col("q.cluster")) & (F.col("p.part") <= F.col("q.part"))
-        & (100 * F.col("p.high") >= PERCENT * F.col("q.low")),
-    ).select("p.cluster", F.col("p.part").alias("i"), F.col("q.part").alias("j"))
-    task = F.concat_ws("-", F.lit("l"), "cluster", "i", "j").alias("task")
-    of_pair = pairs.select("cluster", F.explode(F.array_distinct(F.array("i", "j"))).alias("part"), task)
-    return small.unionByName(large.join(of_pair, ["cluster", "part"]).select("name", "doc_id", "cluster", "task"))
+    small = both.filter(F.col("total") <= CAPACITY).withColumn("root", F.col("name"))
+    task = F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(n_tasks))).alias("task")
+    mark = ["cluster", "name", "doc_id", "root"]
+    if not n_large:
+        return written(_compare_texts(rows, small.select(task, *mark)), "links")
+    large = written(_in_parts(both.filter(F.col("total") > CAPACITY).drop("total"), "part"), "parts")
+    own = large.withColumn("root", F.col("name")).select(F.concat_ws("-", F.lit("l"), "cluster", "part").alias("task"), *mark)
+    links = written(_compare_texts(rows, small.select(task, *mark).unionByName(own)), "links")
+    links = _add_speakers(rows, large, links)
+    return _add_outsiders(rows, large, links)
+
+
+def _rooted(large: DataFrame, links: DataFrame) -> DataFrame:
+    known = components(links).select(F.col("node").alias("name"), "root")
+    return written(large.join(known, "name", "left").withColumn("root", F.coalesce("root", "name")), "rooted")
+
+
+def _most(rooted: DataFrame, by: list[str]) -> DataFrame:
+    """The root of the largest component of each group."""
+    counts = rooted.groupBy(*by, "root").agg(F.count("*").alias("size"))
+    return counts.groupBy(*by).agg(F.max_by("root", F.struct("size", "root")).alias("root"))
+
+
+def _add_speakers(rows: DataFrame, large: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between the largest components of a cluster's parts, found by a few sets of each."""
+    rooted = _rooted(large, links)
+    largest = rooted.join(_most(rooted, ["cluster", "part"]), ["cluster", "part", "root"])
+    place = F.row_number().over(Window.partitionBy("cluster", "part").orderBy(F.xxhash64("name"), "name"))
+    speakers = largest.withColumn("place", place).filter(F.col("place") <= SPEAKERS)
+    parts = speakers.select("cluster", "part").distinct().groupBy("cluster").agg(F.ceil(F.count("*") / MEETING).alias("meetings"))
+    meeting = F.pmod(F.xxhash64("part"), F.col("meetings"))
+    tasks = speakers.join(parts, "cluster").select(
+        F.concat_ws("-", F.lit("m"), "cluster", meeting).alias("task"), "cluster", "name", "doc_id", "root"
+    )
+    return written(links.unionByName(_compare_texts(rows, tasks)), "links")
+
+
+def _add_outsiders(rows: DataFrame, large: DataFrame, links: DataFrame) -> DataFrame:
+    """Links of the sets outside a cluster's largest component with all sets of the cluster."""
+    rooted = _rooted(large, links)
+    main = _most(rooted, ["cluster"]).withColumnRenamed("root", "main")
+    outside = written(rooted.join(main, "cluster").filter("root <> main").drop("main"), "outside")
+    if outside.isEmpty():
+        return links
+    outside = written(_in_parts(outside, "own"), "outside")
+    ranges = lambda df, part: df.groupBy("cluster", part).agg(F.min("n").alias(f"low_{part}"), F.max("n").alias(f"high_{part}"))
+    pairs = ranges(outside, "own").join(ranges(rooted, "part"), "cluster")
+    near = (100 * F.col("high_own") >= PERCENT * F.col("low_part")) & (100 * F.col("high_part") >= PERCENT * F.col("low_own"))
+    task = F.concat_ws("-", F.lit("o"), "cluster", "own", "part").alias("task")
+    pairs = written(pairs.filter(near).select("cluster", "own", "part", task), "pairs")
+    mark = ["task", "cluster", "name", "doc_id", "root"]
+    tasks = outside.drop("part").join(pairs, ["cluster", "own"]).select(*mark)
+    tasks = tasks.unionByName(rooted.join(pairs, ["cluster", "part"]).select(*mark))
+    return written(links.unionByName(_compare_texts(rows, tasks)), "links")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -483,10 +548,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     star = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
     clusters = components(star.unionByName(later))
     members = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster")).join(sets.select("name", "doc_id", "n"), "name")
-    tasks = written(_tasks(written(members, "members")), "tasks")
-    texts = rows.join(tasks.hint("merge"), "doc_id").select("task", "cluster", "name", "text")
-    links = texts.groupBy("task").applyInArrow(_linked, "a long, b long")
-    roots = written(components(links), "roots")
+    roots = written(components(_links(rows, written(members, "members"))), "roots")
     return _labelled(documents, sets, roots)
 
 

@@ -124,6 +124,21 @@ def test_near_in_many_parts(documents, monkeypatch):
     check_near(documents(near_texts()))
 
 
+@pytest.mark.parametrize("speakers", [1, 8])
+def test_near_in_parts_of_one_cluster(documents, monkeypatch, speakers):
+    """Long chains of copies of copies, in a cluster that no task could hold."""
+    random.seed(9)
+    word = lambda: random.choice("abcdefghijklmnop") + random.choice("aeiou") + random.choice("xyz")
+    rows, text = [], [word() for _ in range(80)]
+    for i in range(150):
+        text = list(text) if random.random() < 0.9 else list(rows[random.randrange(len(rows))][1].split() if rows else text)
+        text[random.randrange(len(text))] = word()
+        rows.append((i, " ".join(text)))
+    for name, value in (("CAPACITY", 1500), ("SPEAKERS", speakers), ("MEETING", 3), ("CHAIN_EVERY", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    check_near(documents(rows))
+
+
 def test_near_without_chains(documents, monkeypatch):
     monkeypatch.setattr(ngram_join, "CHAIN_EVERY", 1 << 40)
     check_near(documents(near_texts()))
