@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -36,6 +38,9 @@ SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,
 BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
 HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){24,}(?![0-9A-Za-z])")
 
+#: Bytes that a key takes at most; only decides where a key within a run of lines is looked for.
+MAX_KEY = 1 << 16
+
 #: DER tags that may stand in a key structure: boolean, integer, strings, null, identifier, sequence, set, explicit.
 _DER_TAGS = {1, 2, 3, 4, 5, 6, 12, 16, 17, 19, 22, 23, 24}
 
@@ -135,7 +140,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of candidates whose decoded structure is that of a key or token."""
     spans = []
-    if "eyJ" in text or "ey" in text and "." in text:
+    if "." in text:
         spans += [(m.start(), m.end(), 3) for m in SIGNED.finditer(text) if is_signed_header(m[1]) and decoded(m[3])]
     for m in BASE64.finditer(text):
         # line ends may join the run to words around it, so each line of it and the whole are tried
@@ -157,25 +162,21 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
 def _line_runs(text: str, start: int, end: int) -> list[tuple[int, int, int]]:
     """Keys within a run of base64 lines: from each line on, the longest run of lines that is one."""
     lines = [(start + m.start(), start + m.end()) for m in re.finditer(r"[A-Za-z0-9+/=]+", text[start:end])]
+    # characters up to the end of each line
+    upto = list(itertools.accumulate(len(text[a:b].rstrip("=")) for a, b in lines))
     found, i = [], 0
     while i < len(lines):
         first = text[lines[i][0] : lines[i][0] + 8]
         data = decoded(first[: len(first) // 4 * 4])
         size = _announced(data) if data else 0
         # the announced length says where a key would end: only that line is tried
-        hit = None
-        if size:
-            chars = 0
-            for j in range(i, len(lines)):
-                chars += len(text[lines[j][0] : lines[j][1]].rstrip("="))
-                if chars * 3 // 4 >= size:
-                    whole = decoded(text[lines[i][0] : lines[j][1]])
-                    if whole and (is_der_key(whole) or is_record(whole)):
-                        hit = (lines[i][0], lines[j][1], 4 if is_der_key(whole) else 5)
-                        i = j
-                    break
-        if hit:
-            found.append(hit)
+        if 0 < size <= MAX_KEY:
+            before = upto[i - 1] if i else 0
+            j = bisect.bisect_left(upto, before + -(-size * 4 // 3))
+            whole = decoded(text[lines[i][0] : lines[j][1]]) if j < len(lines) else None
+            if whole and (is_der_key(whole) or is_record(whole)):
+                found.append((lines[i][0], lines[j][1], 4 if is_der_key(whole) else 5))
+                i = j
         i += 1
     return found
 
