@@ -14,7 +14,7 @@ import hashlib
 import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +35,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Candidates of the structural kinds.
 SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}")
+BREAK = re.compile(r"\r?\n")
+BASE64 = re.compile(rf"([A-Za-z0-9+/]{{24,}}(?:{BREAK.pattern}[A-Za-z0-9+/]+)*={{0,2}})")
 HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){24,}(?![0-9A-Za-z])")
 
 #: Bytes that a key takes at most; only decides where a key within a run of lines is looked for.
@@ -44,6 +45,8 @@ MAX_KEY = 1 << 16
 #: DER tags that may stand in a key structure: boolean, integer, strings, null, identifier, sequence, set, explicit.
 _DER_TAGS = {1, 2, 3, 4, 5, 6, 12, 16, 17, 19, 22, 23, 24}
 
+_RECORD_TYPE, _CONTAINER = re.compile(rb"(ssh|ecdsa|sk-ssh|sk-ecdsa)-[a-z0-9@.-]+"), b"openssh-key-v1\0"
+
 
 def decoded(text: str) -> bytes | None:
     """Bytes of a base64 text, in either alphabet, with or without padding and line ends."""
@@ -56,55 +59,80 @@ def decoded(text: str) -> bytes | None:
         return None
 
 
-def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
-    """Tag and content of the DER items that fill `data` exactly; None if their lengths don't add up."""
-    items, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+def _der_item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+    """Tag, begin and end of the content of the DER item that begins at `at`; None if it doesn't end by `end`."""
+    if at + 2 > end:
+        return None
+    tag, size, at = data[at], data[at + 1], at + 2
+    if size & 0x80:
+        n = size & 0x7F
+        if not 1 <= n <= 4 or at + n > end:
             return None
-        tag, size, at = data[at], data[at + 1], at + 2
-        if size & 0x80:
-            n = size & 0x7F
-            if not 1 <= n <= 4 or at + n > len(data):
-                return None
-            size, at = int.from_bytes(data[at : at + n], "big"), at + n
-            if size < 128 or (n > 1 and size < 1 << (8 * (n - 1))):
-                return None  # not the shortest form
-        if tag & 0x1F not in _DER_TAGS and not tag & 0x80 or at + size > len(data):
+        size, at = int.from_bytes(data[at : at + n], "big"), at + n
+        if size < 128 or (n > 1 and size < 1 << (8 * (n - 1))):
+            return None  # not the shortest form
+    if tag & 0x1F not in _DER_TAGS and not tag & 0x80 or at + size > end:
+        return None
+    return tag, at, at + size
+
+
+def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """Tag, begin and end of the DER items that fill a range exactly; None if their lengths don't add up."""
+    items = []
+    while at < end:
+        item = _der_item(data, at, end)
+        if item is None:
             return None
-        items.append((tag, data[at : at + size]))
-        at += size
+        items.append(item)
+        at = item[2]
     return items
 
 
-def is_der_key(data: bytes) -> bool:
+def _adds_up(data: bytes, at: int, end: int, known: dict[tuple[int, int], bool]) -> bool:
+    """Whether the items of a range and all nested ones fill what they lie in; each range is walked once (`known`)."""
+    stack = [[at, end, at]]
+    while stack:
+        begin, end, at = stack[-1]
+        if at == end:
+            known[begin, end] = True
+            stack.pop()
+            continue
+        item = _der_item(data, at, end)
+        inner = item and item[0] & 0x20 and known.get(item[1:])
+        if item is None or inner is False:
+            known.update({(b, e): False for b, e, _ in stack})
+            return False
+        stack[-1][2] = item[2]
+        if item[0] & 0x20 and inner is None:
+            stack.append([item[1], item[2], item[1]])
+    return True
+
+
+def is_der_key(data: bytes, at: int = 0, end: int | None = None, known: dict[tuple[int, int], bool] | None = None) -> bool:
     """A DER sequence, filled exactly, whose nested sequences add up too and which holds an integer of a key's size,
     a bit or octet string with an algorithm identifier, or an octet string behind a version number."""
-    top = der_items(data)
-    if not top or len(top) != 1 or top[0][0] != 0x30:
+    end, known = len(data) if end is None else end, {} if known is None else known
+    top = _der_item(data, at, end)
+    if not top or top[0] != 0x30 or top[2] != end or known.get(top[1:]) is False:
         return False
-    items = der_items(top[0][1])
+    if top[1:] not in known and not _adds_up(data, top[1], end, known):
+        return False
+    items = der_items(data, top[1], end)
     if not items or len(items) < 2:
         return False
-    pending = [content for tag, content in items if tag & 0x20]
-    while pending:
-        inner = der_items(pending.pop())
-        if inner is None:
-            return False
-        pending += [content for tag, content in inner if tag & 0x20]
-    tags = [tag for tag, _ in items]
-    ints = [len(content) for tag, content in items if tag == 2]
-    algorithm = any(tag == 0x30 and content[:1] == b"\x06" for tag, content in items)
+    tags = [tag for tag, _, _ in items]
+    ints = [b - a for tag, a, b in items if tag == 2]
+    algorithm = any(tag == 0x30 and data[a : min(b, a + 1)] == b"\x06" for tag, a, b in items)
     return (
         (algorithm and (3 in tags or 4 in tags))  # public or wrapped private key
         or (len(ints) >= 2 and max(ints) >= 20 and set(tags) == {2})  # numbers of a key or a signature
-        or (tags[:2] == [2, 4] and items[0][1] == b"\x01" and len(items[1][1]) >= 16)  # curve key
+        or (tags[:2] == [2, 4] and data[items[0][1] : items[0][2]] == b"\x01" and items[1][2] - items[1][1] >= 16)  # curve key
     )
 
 
 def is_record(data: bytes) -> bool:
     """A binary public-key record: a named type, then length-prefixed fields that fill it; or a private key container."""
-    if data.startswith(b"openssh-key-v1\0"):
+    if data.startswith(_CONTAINER):
         return True
     at, fields = 0, []
     while at < len(data):
@@ -113,7 +141,7 @@ def is_record(data: bytes) -> bool:
             return False
         fields.append(data[at + 4 : at + 4 + size])
         at += 4 + size
-    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk-ssh|sk-ecdsa)-[a-z0-9@.-]+", fields[0]) is not None
+    return len(fields) >= 2 and _RECORD_TYPE.fullmatch(fields[0]) is not None
 
 
 def is_signed_header(text: str) -> bool:
@@ -142,15 +170,13 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     spans = []
     if "." in text:
         spans += [(m.start(), m.end(), 3) for m in SIGNED.finditer(text) if is_signed_header(m[1]) and decoded(m[3])]
-    for m in BASE64.finditer(text):
-        # line ends may join the run to words around it, so each line of it and the whole are tried
-        if data := decoded(m[0]):
-            kind = 4 if is_der_key(data) else 5 if is_record(data) else 0
-            if kind:
-                spans.append((m.start(), m.end(), kind))
-                continue
-        if "\n" in m[0]:
-            spans += _line_runs(text, m.start(), m.end())
+    # line ends may join a run to words around it, so keys are looked for from each of its lines on
+    keys: dict[int, tuple[bool, int, int]] = {}
+    for pattern in (BASE64,):
+        for m in pattern.finditer(text):
+            for start, end, kind, exact in _line_runs(text, m.start(1), m.end(1)):
+                keys[start] = max(keys.get(start, (False, 0, 0)), (exact, end, kind))
+    spans += [(start, end, kind) for start, (_, end, kind) in keys.items()]
     for m in HEX_ANY.finditer(text):
         data = bytes.fromhex(m[0])
         kind = 4 if is_der_key(data) else 5 if is_record(data) else 0
@@ -159,28 +185,91 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(set(spans), key=lambda s: (s[0], s[2], s[1]))
 
 
-def _line_runs(text: str, start: int, end: int) -> list[tuple[int, int, int]]:
-    """Keys within a run of base64 lines: from each line on, the longest run of lines that is one."""
-    lines = [(start + m.start(), start + m.end()) for m in re.finditer(r"[A-Za-z0-9+/=]+", text[start:end])]
-    # characters up to the end of each line
-    upto = list(itertools.accumulate(len(text[a:b].rstrip("=")) for a, b in lines))
+def _line_runs(text: str, start: int, end: int) -> list[tuple[int, int, int, bool]]:
+    """Keys within a run of base64 lines: start, end, kind number, and whether the structure says where the key ends."""
+    breaks = [(m.start(), m.end()) for m in BREAK.finditer(text, start, end)]
+    lines = list(zip([start, *(b for _, b in breaks)], [*(a for a, _ in breaks), end], strict=True))
+    bodies = [text[a:b].rstrip("=") for a, b in lines]
+    upto = list(itertools.accumulate(map(len, bodies)))  # characters up to the end of each line
+    body = "".join(bodies).replace("-", "+").replace("_", "/")
+    phases: dict[int, tuple[bytes, dict]] = {}  # a line may begin at each of four places within a group of characters
     found, i = [], 0
     while i < len(lines):
-        first = text[lines[i][0] : lines[i][0] + 8]
-        data = decoded(first[: len(first) // 4 * 4])
-        size = _announced(data) if data else 0
-        # the announced length says where a key would end: only that line is tried
-        if 0 < size <= MAX_KEY:
-            before = upto[i - 1] if i else 0
-            j = bisect.bisect_left(upto, before + -(-size * 4 // 3))
-            whole = decoded(text[lines[i][0] : lines[j][1]]) if j < len(lines) else None
-            if whole and (is_der_key(whole) or is_record(whole)):
-                found.append((lines[i][0], lines[j][1], 4 if is_der_key(whole) else 5))
-                i = j
+        before = upto[i - 1] if i else 0
+        if body[before : before + 1] not in _FIRST:
+            i += 1
+            continue
+        if before % 4 not in phases:
+            rest = body[before % 4 :]
+            phases[before % 4] = decoded(rest[: len(rest) - (len(rest) % 4 == 1)]) or b"", {}
+        data, known = phases[before % 4]
+        at = before // 4 * 3
+
+        def line_at(stop: int, before: int = before, at: int = at) -> int | None:
+            """The line that ends with this byte."""
+            wanted = before - (at - stop) * 4 // 3
+            j = bisect.bisect_left(upto, wanted)
+            return j if j < len(upto) and upto[j] == wanted else None
+
+        j, kind, exact = None, 5, True
+        size = _announced(data[at : at + 6])
+        if 0 < size <= MAX_KEY and (last := line_at(at + size)) is not None and is_der_key(data, at, at + size, known):
+            j, kind = last, 4
+        elif data.startswith(_CONTAINER, at):
+            stop = _container_end(data, at)
+            j = line_at(stop) if stop else None
+            if j is None:  # cut short or unknown within: all lines that can be decoded
+                j = next((k for k in range(len(lines) - 1, i - 1, -1) if (upto[k] - before) % 4 != 1), None)
+                exact = False
+        else:
+            j = _record_line(data, at, line_at)
+        if j is not None:
+            found.append((lines[i][0], lines[j][1], kind, exact))
+            i = j
         i += 1
     return found
 
 
+#: First characters of a DER sequence, a record and a container of private keys.
+_FIRST = frozenset("MAb")
+
+
+def _field_end(data: bytes, at: int) -> int | None:
+    """End of the length-prefixed field that begins here."""
+    stop = at + 4 + int.from_bytes(data[at : at + 4], "big")
+    return stop if at + 4 <= len(data) and stop <= len(data) else None
+
+
+def _record_line(data: bytes, at: int, line_at: Callable[[int], int | None]) -> int | None:
+    """The last line that ends with a field of the public-key record that begins here; another record ends it too."""
+    stop = _field_end(data, at)
+    if stop is None or not _RECORD_TYPE.fullmatch(data, at + 4, stop):
+        return None
+    found = None
+    while (following := _field_end(data, stop)) is not None:
+        if found is not None and found == line_at(stop) and _RECORD_TYPE.fullmatch(data, stop + 4, following):
+            break
+        stop = following
+        line = line_at(stop)
+        found = found if line is None else line
+    return found
+
+
+def _container_end(data: bytes, at: int) -> int | None:
+    """Where a container of private keys ends: cipher, derivation and its options, a number, public keys, private part."""
+    stop: int | None = at + len(_CONTAINER)
+    for _ in range(3):
+        stop = None if stop is None else _field_end(data, stop)
+    if stop is None:
+        return None
+    n, stop = int.from_bytes(data[stop : stop + 4], "big"), stop + 4
+    for _ in range(n + 1):
+        stop = _field_end(data, stop)
+        if stop is None:
+            return None
+    return stop
+
+
 def _announced(data: bytes) -> int:
     """Bytes of the DER sequence that begins here by its own length, else 0."""
     if len(data) < 4 or data[0] != 0x30:
@@ -188,7 +277,7 @@ def _announced(data: bytes) -> int:
     if not data[1] & 0x80:
         return 2 + data[1]
     n = data[1] & 0x7F
-    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if n <= 3 and len(data) >= 2 + n else 0
+    return 2 + n + int.from_bytes(data[2 : 2 + n], "big") if n <= 4 and len(data) >= 2 + n else 0
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

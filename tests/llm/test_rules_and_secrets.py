@@ -113,3 +113,36 @@ def test_look_alikes_are_not():
     assert confirmed("ab" * 60) == [] and confirmed("word/" * 40) == []
     assert confirmed(f"{url(b'{not json}    ')}.{url(b'{}xxxx')}.{url(bytes(32))}") == []
     assert confirmed(f"{url(b'[1, 2, 3, 4, 5]')}.{url(b'{}xxxx')}.{url(bytes(32))}") == []
+
+
+def wrapped(data, width=64, sep="\n", encode=base64.b64encode):
+    key = encode(data).decode()
+    return sep.join(key[i : i + width] for i in range(0, len(key), width))
+
+
+def test_records_among_lines():
+    record = base64.b64encode(PUBLIC).decode()
+    assert len(record) == 68 and "=" not in record
+    rsa = field(b"ssh-rsa") + field(b"\1\0\1") + field(b"\0" + bytes(range(256)))
+    assert len(rsa) == 279
+    long = base64.b64encode(rsa).decode()
+    assert confirmed(f"ssh-ed25519 {record}\nNext paragraph") == [("record", record)]
+    assert confirmed(f"ssh-ed25519 {record}\nssh-rsa {long}\nssh-ed25519 {record}\n") == [
+        ("record", record), ("record", long), ("record", record)
+    ]
+    assert confirmed(f"{record}\n{record}\nend") == [("record", record)] * 2
+    lines = wrapped(rsa)
+    assert confirmed(f"{'x' * 30}\n{lines}\nNext paragraph") == [("record", lines)]
+    assert confirmed(record + record) == [("record", record + record)]  # on one line
+    assert confirmed(f"{record[:-5]}\nNext paragraph") == []  # cut
+
+
+def test_containers_among_lines():
+    public, private = field(PUBLIC), field(bytes(range(120)))
+    data = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + public + private
+    for extra in range(3):  # with and without padding
+        data = data[: -len(private)] + field(bytes(range(120 + extra)))
+        private = field(bytes(range(120 + extra)))
+        lines = wrapped(data, 70)
+        assert confirmed(f"-----BEGIN\n{lines}\n-----END") == [("record", lines)]
+        assert confirmed(f"{'y' * 24}\n{lines}\nNext paragraph") == [("record", lines)]
