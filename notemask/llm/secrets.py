@@ -35,8 +35,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Candidates of the structural kinds.
 SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
-BREAK = re.compile(r"\r?\n")
-BASE64 = re.compile(rf"([A-Za-z0-9+/]{{24,}}(?:{BREAK.pattern}[A-Za-z0-9+/]+)*={{0,2}})")
+#: Between the lines of a key: real line ends or written ones (`\n` in strings of JSON and of shells), and blanks around.
+BREAK = re.compile(r"(?:[\x20\t]*(?:\r?\n|(?:\\+r)?\\+n))+[\x20\t]*")
+
+
+def _lines_of(letters: str) -> re.Pattern[str]:
+    """Runs of lines of an alphabet. The letter of a written escape in front (`\n`) doesn't belong to the run."""
+    return re.compile(rf"(?<![{letters}])(?:(?<=\\)[nrt])?([{letters}]{{24,}}(?:{BREAK.pattern}[{letters}]+)*={{0,2}})")
+
+
+BASE64, BASE64_URL = _lines_of("A-Za-z0-9+/"), _lines_of("A-Za-z0-9_-")
 HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){24,}(?![0-9A-Za-z])")
 
 #: Bytes that a key takes at most; only decides where a key within a run of lines is looked for.
@@ -172,7 +180,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         spans += [(m.start(), m.end(), 3) for m in SIGNED.finditer(text) if is_signed_header(m[1]) and decoded(m[3])]
     # line ends may join a run to words around it, so keys are looked for from each of its lines on
     keys: dict[int, tuple[bool, int, int]] = {}
-    for pattern in (BASE64,):
+    for pattern in (BASE64, BASE64_URL):
         for m in pattern.finditer(text):
             for start, end, kind, exact in _line_runs(text, m.start(1), m.end(1)):
                 keys[start] = max(keys.get(start, (False, 0, 0)), (exact, end, kind))
