@@ -47,9 +47,6 @@ def _lines_of(letters: str) -> re.Pattern[str]:
 BASE64, BASE64_URL = _lines_of("A-Za-z0-9+/"), _lines_of("A-Za-z0-9_-")
 HEX_ANY = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){24,}(?![0-9A-Za-z])")
 
-#: Bytes that a key takes at most; only decides where a key within a run of lines is looked for.
-MAX_KEY = 1 << 16
-
 #: DER tags that may stand in a key structure: boolean, integer, strings, null, identifier, sequence, set, explicit.
 _DER_TAGS = {1, 2, 3, 4, 5, 6, 12, 16, 17, 19, 22, 23, 24}
 
@@ -221,7 +218,7 @@ def _line_runs(text: str, start: int, end: int) -> list[tuple[int, int, int, boo
 
         j, kind, exact = None, 5, True
         size = _announced(data[at : at + 6])
-        if 0 < size <= MAX_KEY and (last := line_at(at + size)) is not None and is_der_key(data, at, at + size, known):
+        if size and (last := line_at(at + size)) is not None and is_der_key(data, at, at + size, known):
             j, kind = last, 4
         elif data.startswith(_CONTAINER, at):
             stop = _container_end(data, at)
