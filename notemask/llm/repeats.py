@@ -9,6 +9,8 @@ the least hash is the window's trigger. Windows in a row with one trigger form a
   triggers compare the parses: a phrase that an earlier chunk has too is removed as a whole, wherever it occurs.
 * The dictionary holds one copy of each phrase whose trigger also occurs with other phrases. Its suffixes of at least
   50 bytes, sorted, bring equal windows together; each takes the first document of all phrases in its class.
+* A trigger with too many open windows for a task is dealt out by hashes of its windows: equal windows still meet, each
+  distinct one comes once from a chunk, and the least document of each goes back to the chunks.
 
 In highly repetitive text nearly everything is settled by the parse, and the dictionary stays small. Trigger names may
 collide (that only makes two phrases meet whose windows then differ); phrase names have 56 bits within a trigger.
@@ -205,7 +207,7 @@ def _compare(rows: pa.Table) -> pa.Table:
     )
 
 
-_SETTLED = "chunk int, bucket int, kind int, meta binary, data binary"
+_SETTLED = "chunk int, bucket int, kind int, windows long, meta binary, data binary"
 
 
 def _settle(n_buckets: int):
@@ -214,7 +216,7 @@ def _settle(n_buckets: int):
 
     def settle(rows: pa.Table, statuses: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return pa.table({"chunk": [], "bucket": [], "kind": [], "meta": [], "data": []}, _arrow(_SETTLED))
+            return _arrow(_SETTLED).empty_table()
         chunk = rows.column("chunk")[0].as_py()
         p = Parse(rows.drop_columns(["chunk"]), n_buckets)
         parts = statuses.sort_by("bucket").column("data").to_pylist()
@@ -225,7 +227,7 @@ def _settle(n_buckets: int):
         origin = p.at[p.doc]
         gone = (own == 1) | (ids > p.first_id[p.entry_of])
         spans = _merged(_spans(row[gone], (p.start - origin)[gone], (p.end - origin)[gone]))
-        out = [(chunk, None, 0, spans.tobytes(), None)]
+        out = [(chunk, None, 0, None, spans.tobytes(), None)]
         open_ = np.flatnonzero(~gone & (own == 2))
         trigger = p.triggers[p.entry_of[open_]]
         order = np.argsort(trigger >> np.uint64(40), kind="stable")
@@ -239,25 +241,31 @@ def _settle(n_buckets: int):
             meta["trigger"], meta["doc"], meta["row"], meta["chunk"] = trigger[a:b], ids[i], row[i], chunk
             meta["start"], meta["size"] = (p.start - origin)[i], (p.end - p.start)[i]
             text = b"".join([data[s:e] for s, e in zip(p.start[i].tolist(), p.end[i].tolist(), strict=True)])
-            out.append((chunk, bucket, 1, meta.tobytes(), text))
-        return pa.table(dict(zip(("chunk", "bucket", "kind", "meta", "data"), zip(*out, strict=True), strict=True)), _arrow(_SETTLED))
+            out.append((chunk, bucket, 1, len(text) - (LENGTH - 1) * len(i), meta.tobytes(), text))
+        return _rows(out, _SETTLED)
 
     return settle
 
 
 def _arrow(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
 
 
-#: Windows of the dictionary that are sorted at once.
+def _rows(rows: list[tuple], ddl: str) -> pa.Table:
+    schema = _arrow(ddl)
+    if not rows:
+        return schema.empty_table()
+    return pa.table(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+
+
+#: Windows of the dictionary that are sorted at once, and that a trigger has before it is dealt out.
 _SORTED = 1 << 20
 
 
 def _dictionary(rows: pa.Table) -> pa.Table:
     """Spans of the dictionary's windows that an earlier document has too, from the sorted suffixes of a bucket."""
-    meta = np.frombuffer(b"".join(rows.column("meta").to_pylist()), _PHRASE)
-    text = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
+    meta, text = _open(rows)
     begin = np.cumsum(meta["size"], dtype=np.int64) - meta["size"]
     order = np.argsort(meta["trigger"], kind="stable")
     windows = np.cumsum(meta["size"][order].astype(np.int64) - LENGTH + 1)
@@ -278,12 +286,8 @@ def _dictionary(rows: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(chunks, pa.int32()), "meta": pa.array(data, pa.binary())})
 
 
-def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Sorts the suffixes of some phrases by trigger and by their first LENGTH bytes."""
-    counts = meta["size"].astype(np.int64) - LENGTH + 1
-    phrase = np.repeat(np.arange(len(meta)), counts)
-    offset = np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = begin[phrase] + offset
+def _words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The windows that begin at these places, as numbers of 8 bytes each."""
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     words = []
     for k in range(0, LENGTH, 8):
@@ -292,6 +296,15 @@ def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray
         for j in range(n):
             word = (word << np.uint64(8)) | padded[at + k + j]
         words.append(word)
+    return words
+
+
+def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Sorts the suffixes of some phrases by trigger and by their first LENGTH bytes."""
+    counts = meta["size"].astype(np.int64) - LENGTH + 1
+    phrase = np.repeat(np.arange(len(meta)), counts)
+    offset = np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
+    words = _words(text, begin[phrase] + offset)
     trigger = np.concatenate([[0], np.cumsum(meta["trigger"][1:] != meta["trigger"][:-1])])[phrase]
     order = np.lexsort((*words[::-1], trigger))
     fresh = np.ones(len(order), bool)
@@ -308,6 +321,138 @@ def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray
     return out
 
 
+_WINDOWS = "chunk int, bucket int, kind int, trigger long, salt int, docs binary, meta binary, data binary"
+_LEAST = "chunk int, trigger long, salt int, docs binary"
+
+
+def _open(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases and their text of some rows of the dictionary."""
+    meta = np.frombuffer(b"".join(rows.column("meta").to_pylist()), _PHRASE)
+    return meta, np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
+
+
+def _counted(rows: pa.Table) -> pa.Table:
+    """Open windows of each trigger of a chunk."""
+    meta = np.frombuffer(b"".join(rows.column("meta").to_pylist()), _PHRASE)
+    triggers, group = np.unique(meta["trigger"], return_inverse=True)
+    n = np.bincount(group, weights=meta["size"] - (LENGTH - 1)).astype(np.int64)
+    return pa.table({"trigger": pa.array(triggers.astype(np.int64)), "n": pa.array(n)})
+
+
+def _distinct(meta: np.ndarray, text: np.ndarray, hot: dict[int, int]) -> Iterator[tuple]:
+    """For each hot trigger (with its number of salts) and each salt: phrase, offset and number of every window, and the
+    place and least document of every distinct window, by the order of their bytes."""
+    begin = np.cumsum(meta["size"], dtype=np.int64) - meta["size"]
+    up, down = _powers(len(text))
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_BYTE_CODES[text] * up[: len(text)], out=total[1:])
+    for trigger in np.intersect1d(meta["trigger"], np.array(list(hot), np.uint64)).tolist():
+        i = np.flatnonzero(meta["trigger"] == trigger)
+        counts = meta["size"][i].astype(np.int64) - LENGTH + 1
+        phrase = np.repeat(i, counts)
+        offset = np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = begin[phrase] + offset
+        name = (total[at + LENGTH] - total[at]) * down[at]
+        name = ((name ^ (name >> np.uint64(31))) * _MIX) >> np.uint64(24)
+        salt = (name % np.uint64(hot[trigger])).astype(np.int64)
+        order = np.argsort(salt, kind="stable")
+        found, cuts = np.unique(salt[order], return_index=True)
+        cuts = np.append(cuts, len(order)).tolist()
+        for s, a, b in zip(found.tolist(), cuts, cuts[1:], strict=False):
+            own = order[a:b]
+            by_bytes, group = _classes(_words(text, at[own]))
+            firsts = np.flatnonzero(np.diff(group, prepend=-1))
+            number = np.empty(len(own), np.int64)
+            number[by_bytes] = group
+            docs = meta["doc"][phrase[own]]
+            yield trigger, s, phrase[own], offset[own], number, at[own][by_bytes][firsts], np.minimum.reduceat(docs[by_bytes], firsts)
+
+
+def _classes(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Order of windows by their bytes, and in that order the number of each one's class of equal windows."""
+    order = np.lexsort(words[::-1])
+    fresh = np.zeros(len(order), bool)
+    for word in words:
+        fresh[1:] |= word[order][1:] != word[order][:-1]
+    return order, np.cumsum(fresh)
+
+
+def _dealt(hot: dict[int, int]):
+    """A chunk's rows of the buckets that have hot triggers: the phrases of other triggers (kind 1), and by salt the
+    distinct windows of hot ones with their least documents (kind 2)."""
+
+    def deal(rows: pa.Table) -> pa.Table:
+        chunk, out = rows.column("chunk")[0].as_py(), []
+        for k, bucket in enumerate(rows.column("bucket").to_pylist()):
+            meta, text = _open(rows.slice(k, 1))
+            cold = ~np.isin(meta["trigger"], np.array(list(hot), np.uint64))
+            if cold.any():
+                rest = text[np.repeat(cold, meta["size"])]
+                out.append((chunk, bucket, 1, None, None, None, meta[cold].tobytes(), rest.tobytes()))
+            for trigger, salt, _, _, _, at, docs in _distinct(meta, text, hot):
+                keys = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]
+                out.append((chunk, bucket, 2, trigger, salt, docs.tobytes(), None, keys.tobytes()))
+        return _rows(out, _WINDOWS)
+
+    return deal
+
+
+def _least_documents(rows: pa.Table) -> pa.Table:
+    """The least document of each distinct window of each chunk, over all chunks."""
+    docs = [np.frombuffer(x, np.int64) for x in rows.column("docs").to_pylist()]
+    keys = np.frombuffer(b"".join(rows.column("data").to_pylist()), np.uint8)
+    doc = np.concatenate(docs)
+    order, group = _classes(_words(keys, np.arange(len(doc)) * LENGTH))
+    least = np.empty(len(doc), np.int64)
+    least[order] = np.minimum.reduceat(doc[order], np.flatnonzero(np.diff(group, prepend=-1)))[group]
+    parts = np.split(least, np.cumsum([len(x) for x in docs])[:-1])
+    return rows.select(["chunk", "trigger", "salt"]).append_column("docs", pa.array([x.tobytes() for x in parts], pa.binary()))
+
+
+def _told(hot: dict[int, int]):
+    """Spans of a chunk's windows of hot triggers that an earlier document has too."""
+
+    def told(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        columns = (answers.column(c).to_pylist() for c in ("trigger", "salt", "docs"))
+        least = {(t, s): np.frombuffer(d, np.int64) for t, s, d in zip(*columns, strict=True)}
+        out = []
+        for k in range(rows.num_rows):
+            meta, text = _open(rows.slice(k, 1))
+            for trigger, salt, phrase, offset, number, _, _ in _distinct(meta, text, hot):
+                gone = np.flatnonzero(meta["doc"][phrase] > least[trigger, salt][number])
+                start = meta["start"][phrase[gone]] + offset[gone]
+                out.append(_merged(_spans(meta["row"][phrase[gone]], start, start + LENGTH)))
+        spans = _merged(np.concatenate(out)) if out else np.zeros(0, _SPAN)
+        chunks = rows.column("chunk").to_pylist()[:1]
+        return pa.table({"chunk": pa.array(chunks, pa.int32()), "meta": pa.array([spans.tobytes()] * len(chunks), pa.binary())})
+
+    return told
+
+
+def _dictionary_spans(rest: DataFrame) -> DataFrame:
+    """Spans of the dictionary: bucket by bucket, but for triggers with more windows than are sorted at once."""
+    spans = "chunk int, meta binary"
+    by_bucket = lambda df: df.select("bucket", "meta", "data").groupBy("bucket").applyInArrow(_dictionary, spans)
+    large = [r.bucket for r in rest.groupBy("bucket").agg(F.sum("windows").alias("n")).filter(F.col("n") > _SORTED).collect()]
+    if not large:
+        return by_bucket(rest)
+    counts = rest.filter(F.col("bucket").isin(large)).select("chunk", "meta").groupBy("chunk")
+    counts = counts.applyInArrow(_counted, "trigger long, n long").groupBy("trigger").agg(F.sum("n").alias("n"))
+    # each of these has more than _SORTED windows, so they are few
+    hot = {r.trigger: -(-2 * r.n // _SORTED) for r in counts.filter(F.col("n") > _SORTED).collect()}
+    if not hot:
+        return by_bucket(rest)
+    is_hot = F.col("bucket").isin(sorted({t >> 40 for t in hot}))
+    mixed = rest.filter(is_hot).select("chunk", "bucket", "meta", "data")
+    dealt = written(mixed.groupBy("chunk").applyInArrow(_dealt(hot), _WINDOWS), "dealt")
+    cold = rest.filter(~is_hot).select("bucket", "meta", "data")
+    cold = cold.unionByName(dealt.filter("kind = 1").select("bucket", "meta", "data"))
+    windows = dealt.filter("kind = 2").select("chunk", "trigger", "salt", "docs", "data")
+    answers = windows.groupBy("trigger", "salt").applyInArrow(_least_documents, _LEAST)
+    told = mixed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_told(hot), spans)
+    return by_bucket(cold).unionByName(told)
+
+
 def _cut(id_type: pa.DataType):
     """Each document of a chunk without its spans."""
 
@@ -365,10 +510,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     parses = by_chunk(chunks).applyInArrow(_parses(n_buckets), "bucket int, chunk int, data binary")
     statuses = parses.groupBy("bucket").applyInArrow(_compare, "chunk int, bucket int, data binary")
     settled = written(by_chunk(chunks).cogroup(by_chunk(statuses)).applyInArrow(_settle(n_buckets), _SETTLED), "settled")
-    rest = settled.filter("kind = 1").select("bucket", "meta", "data").groupBy("bucket")
-    spans = settled.filter("kind = 0").select("chunk", "meta").unionByName(
-        rest.applyInArrow(_dictionary, "chunk int, meta binary")
-    )
+    spans = settled.filter("kind = 0").select("chunk", "meta")
+    spans = spans.unionByName(_dictionary_spans(settled.filter("kind = 1").drop("kind")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     cut = by_chunk(chunks).cogroup(by_chunk(spans)).applyInArrow(
         _cut(pa.int64()), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed string"

@@ -62,3 +62,26 @@ def test_odd_rows(odd, documents):
     check(odd)
     check(documents([(None, "z" * 60), (1, "y" + "z" * 60), (1, "z" * 55), (2, "z" * 50)]))
     assert repeats.repeated_spans(odd.limit(0)).count() == 0
+
+
+def test_a_hot_trigger_in_many_tasks(documents, monkeypatch):
+    """A passage that meets each document's own text: no task may hold all phrases of its last trigger."""
+    for name, value in (("CHUNK", 2000), ("PER_BUCKET", 3000), ("_SORTED", 200)):
+        monkeypatch.setattr(repeats, name, value)
+    random.seed(5)
+    own = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage, twice = own(60), own(90)
+    rows = [(i, own(40) + passage + own(60) + (twice + passage + own(9)) * (i % 3)) for i in range(100)]
+    rows += [(None, passage + own(20)), (7, passage + own(20)), (300, rows[50][1][30:])]
+    groups = []
+    compare = repeats._dictionary_spans
+    monkeypatch.setattr(repeats, "_dictionary_spans", lambda rest: groups.append(most_windows(rest)) or compare(rest))
+    dealt = []
+    deal = repeats._dealt
+    monkeypatch.setattr(repeats, "_dealt", lambda hot: dealt.append(hot) or deal(hot))
+    check(documents(rows))
+    assert groups[0] > 200 and dealt and all(n > 1 for n in dealt[0].values())
+
+
+def most_windows(rest):
+    return max(r["sum(windows)"] for r in rest.groupBy("bucket").sum("windows").collect())
