@@ -146,30 +146,34 @@ def possible(n_a: int, n_b: int, sig_a: bytes, sig_b: bytes) -> bool:
 
 # --- 1. sets and the sketch ------------------------------------------------------------------------------------------
 
-_SETS = "doc_id long, n int, name long, signature binary, cells binary"
+_SETS = "doc_id long, key long, n int, name long, signature binary, cells binary"
 
 
 @releasing
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(CELLS, np.int64)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int32()), ("name", pa.int64()), ("signature", pa.binary()), ("cells", pa.binary())]
-    )
+        [
+            ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("name", pa.int64()), ("signature", pa.binary()),
+            ("cells", pa.binary()),
+        ]
+    )
     for batch in batches:
-        ids = batch.column("doc_id")
+        ids, row_keys = batch.column("doc_id"), batch.column("key")
         for a, b, sets in sets_of(batch.column("text")):
             if sets:
                 cells += np.bincount((np.concatenate(sets) >> np.uint64(44)).astype(np.int64), minlength=CELLS)
             rows = [(len(s), name_of(s), bitmap(s, width_of(len(s))).tobytes(), None) for s in sets]
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), *(pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns))], schema=schema
+                [ids.slice(a, b - a), row_keys.slice(a, b - a), *(pa.array(c, schema.field(i + 2).type) for i, c in enumerate(columns))],
+                schema=schema,
             )
     block = CELLS // 64
     for k in range(64):
         part = cells[k * block : (k + 1) * block]
         if part.any():
-            row = [[None], [k], [None], [None], [np.minimum(part, (1 << 31) - 1).astype("<i4").tobytes()]]
+            row = [[None], [None], [k], [None], [None], [np.minimum(part, (1 << 31) - 1).astype("<i4").tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, schema.types, strict=True)], schema=schema)
 
 
@@ -450,13 +454,17 @@ def _in_parts(members: DataFrame, name: str) -> DataFrame:
 
 
 def _compare_texts(rows: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Links of the tasks' members (task, cluster, name, doc_id, root)."""
-    texts = rows.join(tasks.hint("merge"), "doc_id").select("task", "cluster", "name", "root", "text")
+    """Links of the tasks' members (task, cluster, name, doc_id, key, root).
+
+    A member's text is that of its own row, as ids alone don't name a row; of equal rows one is taken."""
+    texts = rows.join(tasks.hint("merge"), ["doc_id", "key"])
+    texts = texts.groupBy("doc_id", "key", "task", "cluster", "name", "root").agg(F.first("text").alias("text"))
+    texts = texts.select("task", "cluster", "name", "root", "text")
     return texts.groupBy("task").applyInArrow(_linked, "a long, b long")
 
 
 def _links(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Links that connect all similar sets of each cluster (members: name, doc_id, n, cluster)."""
+    """Links that connect all similar sets of each cluster (members: name, doc_id, key, n, cluster)."""
     totals = written(members.groupBy("cluster").agg(F.sum(_weight()).alias("total")), "totals")
     packed, n_large = totals.agg(
         F.sum(F.when(F.col("total") <= CAPACITY, F.col("total"))), F.count_if(F.col("total") > CAPACITY)
@@ -465,7 +473,7 @@ def _links(rows: DataFrame, members: DataFrame) -> DataFrame:
     both = members.join(totals, "cluster")
     small = both.filter(F.col("total") <= CAPACITY).withColumn("root", F.col("name"))
     task = F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(n_tasks))).alias("task")
-    mark = ["cluster", "name", "doc_id", "root"]
+    mark = ["cluster", "name", "doc_id", "key", "root"]
     if not n_large:
         return written(_compare_texts(rows, small.select(task, *mark)), "links")
     large = written(_in_parts(both.filter(F.col("total") > CAPACITY).drop("total"), "part"), "parts")
@@ -495,7 +503,7 @@ def _add_speakers(rows: DataFrame, large: DataFrame, links: DataFrame) -> DataFr
     parts = speakers.select("cluster", "part").distinct().groupBy("cluster").agg(F.ceil(F.count("*") / MEETING).alias("meetings"))
     meeting = F.pmod(F.xxhash64("part"), F.col("meetings"))
     tasks = speakers.join(parts, "cluster").select(
-        F.concat_ws("-", F.lit("m"), "cluster", meeting).alias("task"), "cluster", "name", "doc_id", "root"
+        F.concat_ws("-", F.lit("m"), "cluster", meeting).alias("task"), "cluster", "name", "doc_id", "key", "root"
     )
     return written(links.unionByName(_compare_texts(rows, tasks)), "links")
 
@@ -513,7 +521,7 @@ def _add_outsiders(rows: DataFrame, large: DataFrame, links: DataFrame) -> DataF
     near = (100 * F.col("high_own") >= PERCENT * F.col("low_part")) & (100 * F.col("high_part") >= PERCENT * F.col("low_own"))
     task = F.concat_ws("-", F.lit("o"), "cluster", "own", "part").alias("task")
     pairs = written(pairs.filter(near).select("cluster", "own", "part", task), "pairs")
-    mark = ["task", "cluster", "name", "doc_id", "root"]
+    mark = ["task", "cluster", "name", "doc_id", "key", "root"]
     tasks = outside.drop("part").join(pairs, ["cluster", "own"]).select(*mark)
     tasks = tasks.unionByName(rooted.join(pairs, ["cluster", "part"]).select(*mark))
     return written(links.unionByName(_compare_texts(rows, tasks)), "links")
@@ -527,17 +535,28 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     with nothing. Null texts count as empty. Rows of one doc_id are one document to the links; a null doc_id comes
     before all others and is given back as null. Other columns don't matter; an empty table gives an empty result.
     """
+    back = lambda c: F.when(F.col(c) != _NO_ID, F.col(c)).alias(c)
+    return _labelled_rows(docs).select(back("doc_id"), "n_shingles", back("class_id"), back("component_id"))
+
+
+def _row_key() -> Column:
+    return F.xxhash64(F.col("text").cast("string").cast("binary"))
+
+
+def _labelled_rows(docs: DataFrame) -> DataFrame:
+    """The result with a hash of each row's text (key) and the name of its component (root), and without nulls as ids."""
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
         F.col("text").cast("string").cast("binary").alias("text"),
+        _row_key().alias("key"),
     )
     described = written(rows.mapInArrow(_describe, _SETS), "sets")
     classes = frequency_classes(described)
-    documents = described.filter("cells is null").select("doc_id", "n", "name", "signature")
+    documents = described.filter("cells is null").select("doc_id", "key", "n", "name", "signature")
     sets = documents.filter("n > 0").groupBy("name").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("signature").alias("signature")
+        F.min(F.struct("doc_id", "key")).alias("first"), F.max("n").alias("n"), F.max("signature").alias("signature")
     )
-    sets = written(sets, "distinct-sets")
+    sets = written(sets.select("name", "first.doc_id", "first.key", "n", "signature"), "distinct-sets")
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_buckets = max(1, -(-size // PER_BUCKET))
     prefixes = rows.mapInArrow(_prefixes(classes, n_buckets), "bucket int, data binary")
@@ -547,16 +566,35 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     later = _across(shared.filter("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("name"), "lead"), known, sets, n_buckets)
     star = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
     clusters = components(star.unionByName(later))
-    members = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster")).join(sets.select("name", "doc_id", "n"), "name")
-    roots = written(components(_links(rows, written(members, "members"))), "roots")
+    members = clusters.select(F.col("node").alias("name"), F.col("root").alias("cluster"))
+    members = members.join(sets.select("name", "doc_id", "key", "n"), "name")
+    links = _links(rows, written(members, "members")).unionByName(_links_of_ids(documents))
+    roots = written(components(links), "roots")
     return _labelled(documents, sets, roots)
 
 
+def _links_of_ids(documents: DataFrame) -> DataFrame:
+    """Links between the sets of one doc_id. Rows without id need none: each component that has one is named by null."""
+    named = documents.filter((F.col("n") > 0) & (F.col("doc_id") != _NO_ID)).select("doc_id", "name")
+    several = named.groupBy("doc_id").agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a <> b")
+    return named.join(several.select("doc_id", "a"), "doc_id").filter("a <> name").select("a", F.col("name").alias("b")).distinct()
+
+
 def without_similar(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, of one document of each component: the one with the least doc_id."""
-    found = similar_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows, with all their columns, of one document of each component: the one with the least doc_id.
+
+    Rows without id are documents of their own: of those in one component, one is kept."""
+    found = written(_labelled_rows(docs), "labelled")
+    kept = found.filter((F.col("doc_id") != _NO_ID) & (F.col("doc_id") == F.col("component_id")))
+    kept = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
+    named = docs.join(kept.hint("merge"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
+    nameless = found.filter(F.col("doc_id") == _NO_ID)
+    first = nameless.filter("n_shingles > 0").groupBy("root").agg(F.min("key").alias("__key")).select("__key")
+    rows = docs.filter("doc_id is null").withColumn("__key", _row_key())
+    once = rows.join(first.hint("merge"), "__key").groupBy("__key").agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row"))
+    without_words = nameless.filter("n_shingles = 0").select(F.col("key").alias("__key")).distinct()
+    wordless = rows.join(without_words.hint("merge"), "__key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return named.unionByName(once.select("__row.*")).unionByName(wordless)
 
 
 def _across(shared: DataFrame, known: DataFrame, sets: DataFrame, n_buckets: int) -> DataFrame:
@@ -576,14 +614,16 @@ def _labelled(documents: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFr
     of_set = sets.select("name", F.col("doc_id").alias("class_id")).join(known, "name", "left")
     of_set = of_set.withColumn("root", F.coalesce("root", "name"))
     least = of_set.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    labels = of_set.join(least, "root").select("name", "class_id", "component_id")
-    found = documents.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).alias("name"))
+    labels = of_set.join(least, "root").select("name", "class_id", "component_id", "root")
+    found = documents.select("doc_id", "key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).alias("name"))
     found = found.join(labels, "name", "left")
-    back = lambda c: F.when(c != _NO_ID, c)
-    return found.select(
-        back(F.col("doc_id")).alias("doc_id"), "n_shingles",
-        back(F.coalesce("class_id", "doc_id")).alias("class_id"), back(F.coalesce("component_id", "doc_id")).alias("component_id"),
-    )
+    # a row without words belongs to the document that the other rows of its id are
+    of_id = found.filter("n_shingles > 0").select("doc_id", F.col("component_id").alias("of_id"))
+    of_id = of_id.join(found.filter("n_shingles = 0").select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+    rest = found.filter("n_shingles = 0").join(of_id.groupBy("doc_id").agg(F.min("of_id").alias("of_id")), "doc_id", "left")
+    columns = ["doc_id", "key", "n_shingles", "class_id", "component_id", "root"]
+    rest = rest.withColumns({"class_id": F.col("doc_id"), "component_id": F.coalesce("of_id", "doc_id")})
+    return found.filter("n_shingles > 0").select(*columns).unionByName(rest.select(*columns))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

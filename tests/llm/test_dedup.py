@@ -153,6 +153,23 @@ def test_near_odd_rows(odd):
     assert ngram_join.without_similar(odd).columns == odd.columns
 
 
+def test_near_rows_without_id_or_of_one_id(documents):
+    random.seed(12)
+    word = lambda: random.choice("abcdefghijklmnop") + random.choice("aeiou") + random.choice("xyz")
+    base = [[word() for _ in range(80)] for _ in range(12)]
+    near = lambda k, w: " ".join([*base[k][:-1], w])
+    rows = [(None, near(k, "one")) for k in range(8)] + [(20 + k, near(k, "two")) for k in range(8)]
+    rows += [(None, near(0, "three")), (None, near(0, "one")), (None, ""), (None, None)]
+    # one id with unlike texts: what is near to either is one component
+    rows += [(40, near(9, "one")), (40, near(10, "one")), (40, " "), (31, near(9, "two")), (41, near(10, "two")), (42, near(11, "a"))]
+    docs = documents(rows)
+    check_near(docs)
+    kept = Counter((r.doc_id, None if r.text is None else r.text.split()[:3].__str__()) for r in ngram_join.without_similar(docs).collect())
+    want = Counter((None, str(base[k][:3])) for k in range(8))
+    want += Counter([(None, "[]"), (None, None), (31, str(base[9][:3])), (42, str(base[11][:3]))])
+    assert kept == want
+
+
 def test_components(spark):
     random.seed(8)
     links = [(i, i + 1) for i in range(0, 60)] + [(random.randint(100, 160), random.randint(100, 160)) for _ in range(40)] + [(7, 7)]
