@@ -17,8 +17,8 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
 
     Every round joins each node to the least neighbour of its neighbourhood: minima are aggregated before the shuffle,
     and a node with many links is one row on one side of a join. The number of rounds grows with the logarithm of the
-    longest path. The table is written after each star, so no round repeats an earlier one. Stopping after
-    `most_rounds` leaves roots that are connected to their nodes but may not be the least.
+    longest path. The table is written after each star, so no round repeats an earlier one. Roots that
+    still change after `most_rounds` are an error.
     """
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
     links = written(links.distinct(), "links")
@@ -30,6 +30,9 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         before, state = state, _state(links)
         if state == before:
             break
+    else:
+        if state[0]:
+            raise RuntimeError(f"components still change after {most_rounds} rounds")
     roots = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 

@@ -181,3 +181,9 @@ def test_components(spark):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert found == root
+
+
+def test_components_do_not_stop_early(spark):
+    path = spark.createDataFrame([(i * 37 % 101, (i + 1) * 37 % 101) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError, match="rounds"):
+        components.components(path, most_rounds=1)
