@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, line_crf, mixing, ngram_join, oracle, quality_rules, repeats, secrets, sentencepiece, toxicity
+from . import (
+    chat, collocations, exact_dedup, line_crf, line_dedup, mixing, ngram_join, oracle, periods, quality_rules, repeats,
+    secrets, sentencepiece, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat.op1,
@@ -19,6 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secrets.op8,
     "op9_quality_rules": quality_rules.op9,
     "op10_ngram_jaccard_join": ngram_join.op10,
+    "op11_collocations": collocations.op11,
+    "op12_periodic_runs": periods.op12,
+    "op13_line_dedup": line_dedup.op13,
 }
 
 ORACLE: dict[str, str] = {
@@ -28,4 +34,6 @@ ORACLE: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op9_quality_rules": oracle.OP9,
     "op10_ngram_jaccard_join": oracle.OP10,
+    "op11_collocations": collocations.OP11_SQL,
+    "op13_line_dedup": line_dedup.OP13_SQL,
 }
