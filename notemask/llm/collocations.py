@@ -1,17 +1,20 @@
 """Phrase collocations by FM-indexes over word numbers.
 
 Texts are cut into pieces at punctuation, and phrases never cross pieces. A task lays the words of its documents in a row,
-as numbers, with a separator between pieces; such a row is a shard.
-
-1. Words are counted per shard and summed. Words below the least count can't be part of a frequent phrase.
-2. In each shard those words become separators too. Its FM-index has the last column of the sorted contexts (the first
-   `LONGEST` words decide; phrases are no longer) of the row and of the reversed row. The shards' indexes are written.
+as numbers, with a separator between pieces; such a row is a shard, written once.
+
+1. Phrases are pruned before they are named. Shards send a 32-bit value and a small count of each distinct phrase to the
+   range of its hash; the values whose counts add up to the least count go back. Equal phrases have equal values, so no
+   frequent phrase is lost; what shares a value by chance is found out in step 4.
+2. Single words are pruned first, the others become separators. An FM-index of the row (the last columns of the sorted
+   contexts of the row and of its reverse) then gives the pairs, which are pruned too. Words in no such pair become
+   separators as well, and the FM-index of what is left, by contexts of `LONGEST` words, is written for each shard.
 3. Phrases grow one word a round. A shard knows the intervals, in both columns, of those phrases that are frequent over
    all shards. Extending all of them to the left gives intervals of longer phrases whose rest is frequent; extending all
    to the right gives those whose beginning is frequent. A longer phrase that comes from both sides is counted: the size
-   of its interval. Counts are summed across shards, and the frequent phrases go back to the shards for the next round.
-
-What the shards exchange are distinct phrases with counts, both parts of which are frequent. Nothing is broadcast.
+   of its interval.
+4. Phrases that are left after pruning are written with their words and counts and summed across shards exactly. The
+   frequent ones go back to the shards for the next round. Nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +37,9 @@ from .common import releasing, slices, table, written
 #: Words of a phrase at most, its least count, and phrases reported for each language.
 LONGEST, LEAST, MOST = 5, 100, 2000
 #: Words of a shard about, and bytes of text that are split at a time.
-SHARD_WORDS, SLICE = 1 << 20, 1 << 20
+SHARD_WORDS, SLICE = 1 << 21, 1 << 20
+#: Words of the corpus for which there is one range of hashes.
+PER_RANGE = 1 << 22
 #: Parts that the candidates of a language are first ranked in.
 RANKED_IN = 64
 
@@ -61,25 +67,50 @@ class _Shard:
         self.rows.append(row)
         self.size += len(row)
 
-    def emitted(self, name: int) -> Iterator[pa.RecordBatch]:
-        """The row of the shard, then its words with their counts."""
+    def emitted(self, name: int) -> pa.RecordBatch:
+        """One row with the shard. Words are numbered by falling count, so that most numbers are small."""
         row = np.concatenate([np.zeros(1, np.int32), *self.rows])
+        words, langs = [b""] * int(row.max() + 1), np.zeros(int(row.max()) + 1, np.int32)
+        for i, numbers in enumerate(self.numbers.values()):
+            for word, number in numbers.items():
+                if number > 0:
+                    words[number], langs[number] = word, i
         counts = np.bincount(row)
-        yield _batch(_WORDS, shard=[name], row=[row.tobytes()])
-        for lang, numbers in self.numbers.items():
-            own = [(w, i) for w, i in numbers.items() if i > 0]
-            for a in range(0, len(own), 1 << 16):
-                part = own[a : a + (1 << 16)]
-                at = np.array([i for _, i in part], np.int32)
-                words = pa.array([w for w, _ in part], pa.binary()).cast(pa.string())
-                yield _batch(_WORDS, shard=[name] * len(part), lang=[lang] * len(part), phrase=words, number=at, n=counts[at])
-
-
-_WORDS = pa.schema([
-    ("shard", pa.int64()), ("row", pa.binary()), ("lang", pa.string()), ("phrase", pa.string()), ("number", pa.int32()),
-    ("n", pa.int64()),
+        order = np.argsort(-counts[1:], kind="stable") + 1
+        places = np.zeros(len(counts), np.int32)
+        places[order] = np.arange(1, len(counts))
+        sizes = np.bincount(langs[1:], counts[1:], minlength=len(self.numbers)).astype(np.int64)
+        return pa.RecordBatch.from_pydict({
+            "shard": [name], "row": [_stored(places[row])], "size": [len(row)], "words": [_squeezed(b"\n".join([words[i] for i in order]))],
+            "lang_of": [_stored(langs[order])], "counts": [_stored(counts[order])], "langs": [list(self.numbers)], "sizes": [sizes.tolist()],
+        }, _SHARDS)
+
+
+_SHARDS = pa.schema([
+    ("shard", pa.int64()), ("row", pa.binary()), ("size", pa.int64()), ("words", pa.binary()), ("lang_of", pa.binary()),
+    ("counts", pa.binary()), ("langs", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())),
 ])
-_WORDS_SQL = "shard long, row binary, lang string, phrase string, number int, n long"
+_SHARDS_SQL = (
+    "shard long, row binary, size long, words binary, lang_of binary, counts binary, langs array<string>, sizes array<long>"
+)
+
+
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _stored(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, byte by byte of all of them: the higher bytes are nearly all zero and shrink."""
+    return _squeezed(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _restored(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unsqueezed(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
 
 
 def _batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
@@ -105,10 +136,97 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang, own in texts.items():
                 shard.add(lang, own)
             if shard.size >= SHARD_WORDS:
-                yield from shard.emitted(name)
+                yield shard.emitted(name)
                 name, shard = name + 1, _Shard()
     if shard.size:
-        yield from shard.emitted(name)
+        yield shard.emitted(name)
+
+
+def _hashes(langs: list[str], phrases: list[bytes]) -> np.ndarray:
+    """64-bit hashes of phrases of languages."""
+    seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode()) for lang in set(langs)}
+    hashed = xxhash.xxh3_64_intdigest
+    return np.fromiter((hashed(p, seeds[x]) for x, p in zip(langs, phrases, strict=True)), np.uint64, len(phrases))
+
+
+def _joined(first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of phrases that are one word longer."""
+    x = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (word * np.uint64(0xC2B2AE3D27D4EB4F))
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _places(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """Range (upper half) and value within it (lower half) of each hash."""
+    at = (hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    return at << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
+
+
+_SENT = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("values", pa.binary()), ("counts", pa.binary())])
+_SENT_SQL = "range long, shard long, values binary, counts binary"
+_FOUND_SQL = "shard long, range long, values binary"
+
+
+def _sent(shard: int, hashes: np.ndarray, counts: np.ndarray, ranges: int, least: int) -> pa.RecordBatch:
+    """Values and counts of a shard's distinct phrases by range; counts above the least one are sent as that."""
+    places = _places(hashes, ranges)
+    order = np.argsort(places)
+    places, counts = places[order], np.minimum(counts[order], least).astype(np.uint8 if least < 256 else np.uint32)
+    values, at = (places & np.uint64(0xFFFFFFFF)).astype(np.uint32), (places >> np.uint64(32)).astype(np.int64)
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]]) if len(at) else np.zeros(1, np.int64)
+    bounds = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    return _batch(
+        _SENT, range=at[cuts[:-1]], shard=[shard] * len(bounds), values=[values[a:b].tobytes() for a, b in bounds],
+        counts=[counts[a:b].tobytes() for a, b in bounds],
+    )
+
+
+def _common(least: int):
+    """Of a range, the values of each shard that are frequent over all shards."""
+
+    def common(sent: pa.Table) -> pa.Table:
+        values = [np.frombuffer(x, np.uint32) for x in sent.column("values").to_pylist()]
+        kind = np.uint8 if least < 256 else np.uint32
+        counts = np.concatenate([np.frombuffer(x, kind) for x in sent.column("counts").to_pylist()])
+        every = np.concatenate(values)
+        order = np.argsort(every)
+        every = every[order]
+        begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        frequent = every[begins][np.add.reduceat(counts[order].astype(np.int64), begins) >= least]
+        found = [x[np.isin(x, frequent)].tobytes() for x in values]
+        return pa.table({
+            "shard": _one(sent.column("shard")), "range": _one(sent.column("range")), "values": pa.array(found, pa.binary()),
+        })
+
+    return common
+
+
+def _kept(hashes: np.ndarray, ranges: int, found: pa.Table) -> np.ndarray:
+    """Which hashes are among the frequent values that came back to a shard."""
+    back = [
+        np.frombuffer(v, np.uint32).astype(np.uint64) | np.uint64(r << 32)
+        for r, v in zip(found.column("range").to_pylist(), found.column("values").to_pylist(), strict=True)
+    ]
+    return np.isin(_places(hashes, ranges), np.concatenate([np.zeros(0, np.uint64), *back]))
+
+
+def _words_sent(ranges: int, least: int):
+    @releasing
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.to_pylist():
+                langs, words, counts = _vocabulary(shard)
+                yield _sent(shard["shard"], _hashes(langs, words), counts, ranges, least)
+
+    return send
+
+
+def _vocabulary(shard: dict) -> tuple[list[str], list[bytes], np.ndarray]:
+    """Languages, words and counts of a shard, by number from 1."""
+    langs = shard["langs"]
+    data, of = _unsqueezed(shard["words"]), _restored(shard["lang_of"]).tolist()
+    return [langs[i] for i in of], data.split(b"\n") if of else [], _restored(shard["counts"])
 
 
 @dataclass
@@ -123,7 +241,7 @@ class Intervals:
 class FmIndex:
     """Last columns of the sorted contexts of a row and of its reverse; symbols are 0 (separator) to n_symbols - 1.
 
-    Contexts are compared by `LONGEST` symbols. Intervals of phrases shorter than that extend as in a full sort: the rows
+    Contexts are compared by `depth` symbols. Intervals of phrases shorter than that extend as in a full sort: the rows
     before an interval are those of smaller phrases, so the symbols among them count the rows before the extension."""
 
     def __init__(self, last: np.ndarray, last_back: np.ndarray, n_symbols: int) -> None:
@@ -132,8 +250,8 @@ class FmIndex:
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
     @classmethod
-    def of(cls, row: np.ndarray, n_symbols: int) -> FmIndex:
-        return cls(_last_column(row, n_symbols), _last_column(row[::-1], n_symbols), n_symbols)
+    def of(cls, row: np.ndarray, n_symbols: int, depth: int = LONGEST) -> FmIndex:
+        return cls(_last_column(row, n_symbols, depth), _last_column(row[::-1], n_symbols, depth), n_symbols)
 
     def words(self, symbols: np.ndarray) -> Intervals:
         low = self.starts[symbols]
@@ -171,43 +289,49 @@ class FmIndex:
         return inside[begins], np.diff(np.append(begins, len(inside))), owner[begins].astype(np.int64), symbol[begins]
 
 
-def _last_column(row: np.ndarray, n_symbols: int) -> np.ndarray:
-    """The symbols before the contexts, in the order of the contexts' first LONGEST symbols (cyclic)."""
+def _last_column(row: np.ndarray, n_symbols: int, depth: int) -> np.ndarray:
+    """The symbols before the contexts, in the order of the contexts' first symbols (cyclic)."""
     bits = max(1, int(n_symbols - 1).bit_length())
-    each = min(LONGEST, 63 // bits)
+    each = min(depth, 63 // bits)
     keys = []
-    for first in range(0, LONGEST, each):
+    for first in range(0, depth, each):
         key = np.zeros(len(row), np.int64)
-        for k in range(first, min(first + each, LONGEST)):
+        for k in range(first, min(first + each, depth)):
             key = (key << bits) | np.roll(row, -k)
         keys.append(key)
     order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    return row[order - 1]
+    return row[order - 1].astype(np.uint16 if n_symbols <= 1 << 16 else np.int64)
 
 
-_GRAMS = pa.schema([
-    ("shard", pa.int64()), ("last", pa.binary()), ("last_back", pa.binary()), ("wide", pa.bool_()),
-    ("lang", pa.string()), ("phrase", pa.string()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int64()),
-])
-_GRAMS_SQL = (
-    "shard long, last binary, last_back binary, wide boolean, lang string, phrase string, low int, back int, n long"
-)
+def _pieces(row: np.ndarray) -> np.ndarray:
+    """A row that begins and ends with a separator, with one of several in a row."""
+    row = np.concatenate([[0], row, [0]])
+    return np.append(row[:-1][(row[:-1] > 0) | (row[1:] > 0)], 0)
 
 
-def _longer(index: FmIndex, of: Intervals, phrases: pa.Array, langs: pa.Array, words: pa.Array, shard: int) -> Iterator[pa.RecordBatch]:
-    """Extensions by one word whose beginning and rest are both among the given phrases of a shard."""
+def _longer(index: FmIndex, of: Intervals) -> tuple[Intervals, np.ndarray, np.ndarray]:
+    """Extensions by one word whose beginning and rest both are given: intervals, number of the beginning, word."""
     from_rest, _ = index.left(of)
     grown, which, symbol = index.right(of)
     both = np.isin(grown.low, from_rest, assume_unique=True)
-    which, symbol = which[both], symbol[both]
-    low, back, size = grown.low[both], grown.back[both], grown.size[both]
-    for a in range(0, len(low), 1 << 16):
+    return Intervals(grown.low[both], grown.back[both], grown.size[both]), which[both], symbol[both]
+
+
+_GRAMS = pa.schema([
+    ("shard", pa.int64()), ("last", pa.binary()), ("last_back", pa.binary()),
+    ("lang", pa.string()), ("phrase", pa.string()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int64()),
+])
+_GRAMS_SQL = "shard long, last binary, last_back binary, lang string, phrase string, low int, back int, n long"
+
+
+def _named(shard: int, of: Intervals, begins: pa.Array, langs: pa.Array, words: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Rows of phrases that are a beginning and a word."""
+    for a in range(0, len(begins), 1 << 16):
         part = slice(a, a + (1 << 16))
-        begins = phrases.take(pa.array(which[part]))
+        phrases = pc.binary_join_element_wise(begins[part], words[part], " ")
         yield _batch(
-            _GRAMS, shard=[shard] * len(begins), lang=langs.take(pa.array(which[part])),
-            phrase=pc.binary_join_element_wise(begins, words.take(pa.array(symbol[part])), " "),
-            low=low[part], back=back[part], n=size[part],
+            _GRAMS, shard=[shard] * len(phrases), lang=langs[part], phrase=phrases, low=of.low[part], back=of.back[part],
+            n=of.size[part],
         )
 
 
@@ -219,44 +343,123 @@ def _table(batches: list[pa.RecordBatch]) -> pa.Table:
     return pa.Table.from_batches(batches, schema=_GRAMS)
 
 
-def _indexed(rows: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The index of a shard over its frequent words, those words, and the pairs of them."""
-    if not rows.num_rows or not frequent.num_rows:
-        return _table([])
-    shard, row = rows.column("shard")[0].as_py(), np.frombuffer(rows.column("row")[0].as_py(), np.int32)
-    numbers = _one(frequent.column("number")).to_numpy()
-    symbols = np.zeros(int(max(row.max(), numbers.max())) + 1, np.int64)
-    symbols[numbers] = np.arange(1, len(numbers) + 1)
-    row = symbols[row]
-    row = row[(row > 0) | (np.append(row[1:], 0) > 0)]  # several separators in a row count as one
-    row = np.append(row if len(row) and not row[0] else np.append(0, row), 0)
-    index = FmIndex.of(row, len(numbers) + 1)
-    wide = len(numbers) >= 1 << 16
-    columns = [x.astype(np.uint32 if wide else np.uint16).tobytes() for x in (index.last, index.last_back)]
-    words, langs = _one(frequent.column("phrase")), _one(frequent.column("lang"))
-    of = index.words(np.arange(1, len(numbers) + 1))
-    named = pa.concat_arrays([pa.array([""]), words.cast(pa.string())])
-    return _table([
-        _batch(_GRAMS, shard=[shard], last=[columns[0]], last_back=[columns[1]], wide=[wide]),
-        _batch(_GRAMS, shard=[shard] * len(words), phrase=words, lang=langs, low=of.low),
-        *_longer(index, of, words, langs, named, shard),
-    ])
-
-
-def _extended(indexes: pa.Table, frequent: pa.Table) -> pa.Table:
-    """One word more on the frequent phrases of a shard. `indexes` has its last columns, and a row for each word."""
-    if not indexes.num_rows or not frequent.num_rows:
-        return _table([])
-    is_index = pc.is_valid(indexes.column("last"))
-    found = indexes.filter(is_index).to_pylist()[0]
-    words = indexes.filter(pc.invert(is_index)).sort_by("low")
-    kind = np.uint32 if found["wide"] else np.uint16
-    index = FmIndex(*(np.frombuffer(found[x], kind) for x in ("last", "last_back")), words.num_rows + 1)
-    frequent = frequent.sort_by("low")
-    low, back, size = (_one(frequent.column(x)).to_numpy().astype(np.int64) for x in ("low", "back", "n"))
-    named = pa.concat_arrays([pa.array([""]), _one(words.column("phrase")).cast(pa.string())])
-    phrases, langs = _one(frequent.column("phrase")), _one(frequent.column("lang"))
-    return _table(list(_longer(index, Intervals(low, back, size), phrases, langs, named, found["shard"])))
+def _of_level(found: pa.Table, level: int) -> pa.Table:
+    return found.filter(pc.equal(found.column("level"), level))
+
+
+class _Frequent:
+    """A shard with words that aren't frequent made separators; symbols are the others by number from 1."""
+
+    def __init__(self, shard: dict, ranges: int, found: pa.Table) -> None:
+        langs, words, counts = _vocabulary(shard)
+        hashes = _hashes(langs, words)
+        kept = np.flatnonzero(_kept(hashes, ranges, found))
+        self.langs, self.words = [langs[i] for i in kept.tolist()], [words[i] for i in kept.tolist()]
+        self.hashes, self.counts = hashes[kept], counts[kept]
+        symbols = np.zeros(len(words) + 1, np.int64)
+        symbols[kept + 1] = np.arange(1, len(kept) + 1)
+        self.row = _pieces(symbols[_restored(shard["row"])])
+
+
+def _pairs_sent(ranges: int, least: int):
+    """Values of the pairs of frequent words of a shard."""
+
+    def send(shards: pa.Table, found: pa.Table) -> pa.Table:
+        sent = []
+        if shards.num_rows and found.num_rows:
+            own = _Frequent(shards.to_pylist()[0], ranges, found)
+            index = FmIndex.of(own.row, len(own.words) + 1, 2)
+            grown, which, symbol = _longer(index, index.words(np.arange(1, len(own.words) + 1)))
+            sent.append(_sent(shards.column("shard")[0].as_py(), _joined(own.hashes[which], own.hashes[symbol - 1]), grown.size, ranges, least))
+        return pa.Table.from_batches(sent, schema=_SENT)
+
+    return send
+
+
+def _indexed(ranges: int):
+    """The index of a shard over the words of its frequent pairs, its frequent words (those of the index with their first
+    row in it) and its frequent pairs."""
+
+    def build(shards: pa.Table, found: pa.Table) -> pa.Table:
+        if not shards.num_rows or not found.num_rows:
+            return _table([])
+        shard = shards.to_pylist()[0]
+        own = _Frequent(shard, ranges, _of_level(found, 1))
+        first, second = own.row[:-1], own.row[1:]
+        padded = np.concatenate([np.zeros(1, np.uint64), own.hashes])
+        pairs = (first > 0) & (second > 0)
+        pairs[pairs] = _kept(_joined(padded[first[pairs]], padded[second[pairs]]), ranges, _of_level(found, 2))
+        inside = np.append(pairs, False) | np.append(False, pairs)
+        used = np.unique(own.row[inside])
+        symbols = np.zeros(len(own.words) + 1, np.int64)
+        symbols[used] = np.arange(1, len(used) + 1)
+        row = _pieces(np.where(inside, symbols[own.row], 0))
+        index = FmIndex.of(row, len(used) + 1)
+        of = index.words(np.arange(1, len(used) + 1))
+        words = pa.array(own.words, pa.binary()).cast(pa.string())
+        low = np.full(len(words), -1, np.int64)
+        low[used - 1] = of.low
+        langs = pa.array(own.langs, pa.string())
+        grown, which, symbol = _longer(index, of)
+        kept = _kept(_joined(own.hashes[used - 1][which], own.hashes[used - 1][symbol - 1]), ranges, _of_level(found, 2))
+        grown, which, symbol = Intervals(grown.low[kept], grown.back[kept], grown.size[kept]), used[which[kept]] - 1, used[symbol[kept] - 1] - 1
+        name = shard["shard"]
+        return _table([
+            _batch(_GRAMS, shard=[name], last=[_stored(index.last)], last_back=[_stored(index.last_back)]),
+            _batch(_GRAMS, shard=[name] * len(words), phrase=words, lang=langs, low=low, n=own.counts),
+            *_named(name, grown, words.take(pa.array(which)), langs.take(pa.array(which)), words.take(pa.array(symbol))),
+        ])
+
+    return build
+
+
+class _Grown:
+    """The frequent phrases of a shard, one word longer. `index` has its last columns, and a row for each of its words."""
+
+    def __init__(self, index: pa.Table, frequent: pa.Table) -> None:
+        is_index = pc.is_valid(index.column("last"))
+        found = index.filter(is_index).to_pylist()[0]
+        words = index.filter(pc.invert(is_index)).sort_by("low")
+        frequent = frequent.sort_by("low")
+        last = [_restored(found[x]) for x in ("last", "last_back")]
+        fm = FmIndex(*(x.astype(np.uint16) if words.num_rows < 1 << 16 else x for x in last), words.num_rows + 1)
+        low, back, size = (_one(frequent.column(x)).to_numpy().astype(np.int64) for x in ("low", "back", "n"))
+        self.shard = found["shard"]
+        self.of, which, symbol = _longer(fm, Intervals(low, back, size))
+        self.begins, self.langs = (_one(frequent.column(x)) for x in ("phrase", "lang"))
+        self.words, self.which, self.symbol = _one(words.column("phrase")), which, symbol - 1
+        of_begins = _hashes(self.langs.to_pylist(), self.begins.cast(pa.binary()).to_pylist())
+        of_words = _hashes([""] * len(self.words), self.words.cast(pa.binary()).to_pylist())
+        self.hashes = _joined(of_begins[which], of_words[self.symbol])
+
+
+def _longer_sent(ranges: int, least: int):
+    """Values of the longer phrases of a shard."""
+
+    def send(index: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not index.num_rows or not frequent.num_rows:
+            return pa.Table.from_batches([], schema=_SENT)
+        own = _Grown(index, frequent)
+        return pa.Table.from_batches([_sent(own.shard, own.hashes, own.of.size, ranges, least)], schema=_SENT)
+
+    return send
+
+
+def _longer_named(ranges: int):
+    """Longer phrases of a shard whose values came back."""
+
+    def build(index: pa.Table, rows: pa.Table) -> pa.Table:
+        is_found = pc.is_valid(rows.column("range"))
+        frequent, found = rows.filter(pc.invert(is_found)), rows.filter(is_found)
+        if not index.num_rows or not frequent.num_rows or not found.num_rows:
+            return _table([])
+        own = _Grown(index, frequent)
+        kept = _kept(own.hashes, ranges, found)
+        of = Intervals(own.of.low[kept], own.of.back[kept], own.of.size[kept])
+        which, symbol = pa.array(own.which[kept]), pa.array(own.symbol[kept])
+        return _table(list(_named(own.shard, of, own.begins.take(which), own.langs.take(which), own.words.take(symbol))))
+
+    return build
 
 
 def _frequent(local: DataFrame, least: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -270,6 +473,10 @@ def _frequent(local: DataFrame, least: int, name: str) -> tuple[DataFrame, DataF
     return totals, back.select(*(F.col(c).alias(c) for c in back.columns))  # columns apart from those of the indexes
 
 
+def _returned(sent: DataFrame, least: int) -> DataFrame:
+    return sent.groupBy("range").applyInArrow(_common(least), _FOUND_SQL)
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """Words of each language (lang, n), and all phrases of up to `longest` (at most LONGEST) words with at least that
     count, single words too: lang, phrase, f, words.
@@ -280,23 +487,35 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(_NO_LANG))
     rows = docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text"))
-    shards = written(rows.mapInArrow(_words, _WORDS_SQL), "phrase-shards")
-    words = shards.filter("phrase IS NOT NULL").select("shard", "lang", "phrase", "number", "n")
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    totals, back = _frequent(words, least, "phrases-1")
-    found = totals.withColumn("words", F.lit(1))
-    rows = shards.filter("row IS NOT NULL").select("shard", "row")
-    grown = rows.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_indexed, _GRAMS_SQL)
+    shards = written(rows.mapInArrow(_words, _SHARDS_SQL), "phrase-shards")
+    sizes = shards.select(F.explode(F.arrays_zip("langs", "sizes")).alias("x")).groupBy(F.col("x.langs").alias("lang"))
+    sizes = sizes.agg(F.sum("x.sizes").alias("n"))
+    ranges = max(1, -(-(shards.agg(F.sum("size")).first()[0] or 0) // PER_RANGE))
+
+    vocabulary = shards.select("shard", "words", "lang_of", "counts", "langs")
+    found = _returned(vocabulary.mapInArrow(_words_sent(ranges, least), _SENT_SQL), least)
+    found = written(found.withColumn("level", F.lit(1)), "frequent-words")
+    rows = shards.select("shard", "row", "words", "lang_of", "counts", "langs")
+    pairs = rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(_pairs_sent(ranges, least), _SENT_SQL)
+    found = found.unionByName(_returned(pairs, least).withColumn("level", F.lit(2)))
+    grown = rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(_indexed(ranges), _GRAMS_SQL)
     grown = written(grown, "phrase-index")
-    index = grown.filter("n IS NULL").select("shard", "last", "last_back", "wide", "phrase", "low")
-    local = grown.filter("n IS NOT NULL").select("shard", "lang", "phrase", "low", "back", "n")
-    for words_ in range(2, longest + 1):
-        totals, back = _frequent(local, least, f"phrases-{words_}")
-        found = found.unionByName(totals.withColumn("words", F.lit(words_)))
-        if words_ < longest:
-            grown = index.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_extended, _GRAMS_SQL)
+
+    words = grown.filter("n IS NOT NULL AND back IS NULL").select("lang", "phrase", "n")
+    totals = words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    counts = written(totals, "phrases-1").withColumn("words", F.lit(1))
+    index = grown.filter("back IS NULL AND (low >= 0 OR last IS NOT NULL)").select("shard", "last", "last_back", "phrase", "low")
+    local = grown.filter("back IS NOT NULL").select("shard", "lang", "phrase", "low", "back", "n")
+    for size in range(2, longest + 1):
+        totals, back = _frequent(local, least, f"phrases-{size}")
+        counts = counts.unionByName(totals.withColumn("words", F.lit(size)))
+        if size < longest:
+            back = written(back, "frequent-phrases")
+            sent = index.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_longer_sent(ranges, least), _SENT_SQL)
+            both = back.unionByName(_returned(sent, least), allowMissingColumns=True)
+            grown = index.groupBy("shard").cogroup(both.groupBy("shard")).applyInArrow(_longer_named(ranges), _GRAMS_SQL)
             local = written(grown.select("shard", "lang", "phrase", "low", "back", "n"), "longer-phrases")
-    return sizes, found
+    return sizes, counts
 
 
 def _words_of(phrase: Column, first: Column | int, n: Column | int) -> Column:

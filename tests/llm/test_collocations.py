@@ -58,6 +58,7 @@ def spoken(seed, n=150):
 def test_equals_brute_force(documents, monkeypatch, size):
     monkeypatch.setattr(collocations, "SHARD_WORDS", size)
     monkeypatch.setattr(collocations, "SLICE", size * 4)
+    monkeypatch.setattr(collocations, "PER_RANGE", size * 10)
     docs = documents(spoken(1), lang="en").unionByName(documents(spoken(2), lang=None)).unionByName(documents(spoken(3, 40), lang="und"))
     assert len(check(docs, 8)) > 50
     check(docs, 3, most=7)
@@ -71,6 +72,15 @@ def test_odd_rows(odd, documents):
     assert collocations.collocations(odd.limit(0)).count() == 0
 
 
+def test_values_that_collide(documents, monkeypatch):
+    """Phrases that share the value by which they are pruned are told apart by their words."""
+    hashes = collocations._hashes
+    monkeypatch.setattr(collocations, "_hashes", lambda langs, phrases: hashes(langs, phrases) % np.uint64(7))
+    monkeypatch.setattr(collocations, "_places", lambda h, ranges: h % np.uint64(5))
+    check(documents(spoken(5, 60)), 8)
+    assert (collocations._sent(0, np.arange(4, dtype=np.uint64), np.array([1, 300, 99, 100]), 1, 300).column("counts")[0].as_py()) == np.array([1, 300, 99, 100], np.uint32).tobytes()
+
+
 def test_scores_beyond_64_bits(spark):
     sizes = spark.createDataFrame([("en", 10**13)], "lang string, n long")
     counts = [("en", "a", 3 * 10**12, 1), ("en", "b", 7 * 10**11 + 1, 1), ("en", "a b", 6 * 10**11, 2)]
