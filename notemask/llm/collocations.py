@@ -5,16 +5,17 @@ as numbers, with a separator between pieces; such a row is a shard, written once
 
 1. Phrases are pruned before they are named. Shards send a 32-bit value and a small count of each distinct phrase to the
    range of its hash; the values whose counts add up to the least count go back. Equal phrases have equal values, so no
-   frequent phrase is lost; what shares a value by chance is found out in step 4.
+   frequent phrase is lost. What is left is sent once more, with its words and full counts, and summed exactly; a phrase
+   that shared a value by chance drops out there.
 2. Single words are pruned first, the others become separators. An FM-index of the row (the last columns of the sorted
    contexts of the row and of its reverse) then gives the pairs, which are pruned too. Words in no such pair become
    separators as well, and the FM-index of what is left, by contexts of `LONGEST` words, is written for each shard.
-3. Phrases grow one word a round. A shard knows the intervals, in both columns, of those phrases that are frequent over
-   all shards. Extending all of them to the left gives intervals of longer phrases whose rest is frequent; extending all
-   to the right gives those whose beginning is frequent. A longer phrase that comes from both sides is counted: the size
-   of its interval.
-4. Phrases that are left after pruning are written with their words and counts and summed across shards exactly. The
-   frequent ones go back to the shards for the next round. Nothing is broadcast.
+3. Phrases grow one word a round. A shard keeps the intervals, in both columns, of its phrases that are left. Extending
+   all of them to the left gives intervals of longer phrases whose rest is left; extending all to the right gives those
+   whose beginning is. A longer phrase that comes from both sides is counted: the size of its interval.
+
+Shards and ranges exchange packed arrays; rows of single phrases exist only of those that are frequent over all shards.
+Nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -142,11 +143,11 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield shard.emitted(name)
 
 
-def _hashes(langs: list[str], phrases: list[bytes]) -> np.ndarray:
-    """64-bit hashes of phrases of languages."""
-    seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode()) for lang in set(langs)}
+def _hashes(langs: list[str], lang_of: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words of languages."""
+    seeds = [xxhash.xxh3_64_intdigest(lang.encode()) for lang in langs]
     hashed = xxhash.xxh3_64_intdigest
-    return np.fromiter((hashed(p, seeds[x]) for x, p in zip(langs, phrases, strict=True)), np.uint64, len(phrases))
+    return np.fromiter((hashed(w, seeds[x]) for x, w in zip(lang_of.tolist(), words, strict=True)), np.uint64, len(words))
 
 
 def _joined(first: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -163,22 +164,68 @@ def _places(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return at << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
 
 
-_SENT = pa.schema([("range", pa.int64()), ("shard", pa.int64()), ("values", pa.binary()), ("counts", pa.binary())])
-_SENT_SQL = "range long, shard long, values binary, counts binary"
+#: kind is "values" or "named" (phrases of a shard for a range), "index" or "state" (of a shard). lang_of counts in langs.
+_SENT = pa.schema([
+    ("shard", pa.int64()), ("kind", pa.string()), ("range", pa.int64()), ("values", pa.binary()), ("counts", pa.binary()),
+    ("phrases", pa.binary()), ("lang_of", pa.binary()), ("langs", pa.list_(pa.string())), ("low", pa.binary()), ("back", pa.binary()),
+    ("last", pa.binary()), ("last_back", pa.binary()),
+])
+_SENT_SQL = (
+    "shard long, kind string, range long, values binary, counts binary, phrases binary, lang_of binary, "
+    "langs array<string>, low binary, back binary, last binary, last_back binary"
+)
 _FOUND_SQL = "shard long, range long, values binary"
 
 
-def _sent(shard: int, hashes: np.ndarray, counts: np.ndarray, ranges: int, least: int) -> pa.RecordBatch:
-    """Values and counts of a shard's distinct phrases by range; counts above the least one are sent as that."""
+@dataclass
+class Phrases:
+    """Distinct phrases of a shard: languages (as numbers), words, hashes and counts."""
+
+    lang_of: np.ndarray
+    names: np.ndarray  # of bytes objects
+    hashes: np.ndarray
+    counts: np.ndarray
+
+    def take(self, which: np.ndarray) -> Phrases:
+        return Phrases(self.lang_of[which], self.names[which], self.hashes[which], self.counts[which])
+
+
+def _listed(names: list[bytes]) -> np.ndarray:
+    made = np.empty(len(names), object)
+    made[:] = names
+    return made
+
+
+def _by_range(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Order of phrases by place, their places in it, and range, first and end of each range that has some."""
     places = _places(hashes, ranges)
     order = np.argsort(places)
-    places, counts = places[order], np.minimum(counts[order], least).astype(np.uint8 if least < 256 else np.uint32)
-    values, at = (places & np.uint64(0xFFFFFFFF)).astype(np.uint32), (places >> np.uint64(32)).astype(np.int64)
-    cuts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1, [len(at)]]) if len(at) else np.zeros(1, np.int64)
-    bounds = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    places = places[order]
+    at = (places >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(at)) + 1
+    bounds = zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True) if len(at) else ()
+    return order, places, [(int(at[a]), a, b) for a, b in bounds]
+
+
+def _values(shard: int, hashes: np.ndarray, counts: np.ndarray, ranges: int, least: int) -> pa.RecordBatch:
+    """Values and counts of a shard's distinct phrases by range; counts above the least one are sent as that."""
+    order, places, bounds = _by_range(hashes, ranges)
+    counts = np.minimum(counts[order], least).astype(np.uint8 if least < 256 else np.uint32)
+    values, n = (places & np.uint64(0xFFFFFFFF)).astype(np.uint32), len(bounds)
     return _batch(
-        _SENT, range=at[cuts[:-1]], shard=[shard] * len(bounds), values=[values[a:b].tobytes() for a, b in bounds],
-        counts=[counts[a:b].tobytes() for a, b in bounds],
+        _SENT, shard=[shard] * n, kind=["values"] * n, range=[r for r, _, _ in bounds],
+        values=[values[a:b].tobytes() for _, a, b in bounds], counts=[counts[a:b].tobytes() for _, a, b in bounds],
+    )
+
+
+def _named(shard: int, langs: list[str], phrases: Phrases, ranges: int) -> pa.RecordBatch:
+    """Words and counts of a shard's phrases by range."""
+    order, _, bounds = _by_range(phrases.hashes, ranges)
+    phrases, n = phrases.take(order), len(bounds)
+    return _batch(
+        _SENT, shard=[shard] * n, kind=["named"] * n, range=[r for r, _, _ in bounds], langs=[langs] * n,
+        phrases=[_squeezed(b"\n".join(phrases.names[a:b])) for _, a, b in bounds],
+        lang_of=[_stored(phrases.lang_of[a:b]) for _, a, b in bounds], counts=[_stored(phrases.counts[a:b]) for _, a, b in bounds],
     )
 
 
@@ -202,6 +249,25 @@ def _common(least: int):
     return common
 
 
+def _summed(least: int):
+    """Of a range, the phrases that are frequent over all shards."""
+
+    def total(sent: pa.Table) -> pa.Table:
+        parts = []
+        for row in sent.select(["langs", "phrases", "lang_of", "counts"]).to_pylist():
+            langs = pa.array(row["langs"], pa.string()).take(pa.array(_restored(row["lang_of"])))
+            phrases = pa.array(_unsqueezed(row["phrases"]).split(b"\n"), pa.binary())
+            parts.append(pa.table([langs, phrases, pa.array(_restored(row["counts"]))], ["lang", "phrase", "f"]))
+        found = pa.concat_tables(parts).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        found = found.select(["lang", "phrase", "f_sum"]).filter(pc.greater_equal(found.column("f_sum"), least))
+        return found.rename_columns(["lang", "phrase", "f"]).cast(_TOTALS)
+
+    return total
+
+
+_TOTALS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
+
+
 def _kept(hashes: np.ndarray, ranges: int, found: pa.Table) -> np.ndarray:
     """Which hashes are among the frequent values that came back to a shard."""
     back = [
@@ -211,24 +277,24 @@ def _kept(hashes: np.ndarray, ranges: int, found: pa.Table) -> np.ndarray:
     return np.isin(_places(hashes, ranges), np.concatenate([np.zeros(0, np.uint64), *back]))
 
 
+def _vocabulary(shard: dict) -> Phrases:
+    """The words of a shard, by number from 1."""
+    lang_of = _restored(shard["lang_of"])
+    words = _unsqueezed(shard["words"]).split(b"\n") if len(lang_of) else []
+    return Phrases(lang_of, _listed(words), _hashes(shard["langs"], lang_of, words), _restored(shard["counts"]))
+
+
 def _words_sent(ranges: int, least: int):
     @releasing
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():
-                langs, words, counts = _vocabulary(shard)
-                yield _sent(shard["shard"], _hashes(langs, words), counts, ranges, least)
+                words = _vocabulary(shard)
+                yield _values(shard["shard"], words.hashes, words.counts, ranges, least)
 
     return send
 
 
-def _vocabulary(shard: dict) -> tuple[list[str], list[bytes], np.ndarray]:
-    """Languages, words and counts of a shard, by number from 1."""
-    langs = shard["langs"]
-    data, of = _unsqueezed(shard["words"]), _restored(shard["lang_of"]).tolist()
-    return [langs[i] for i in of], data.split(b"\n") if of else [], _restored(shard["counts"])
-
-
 @dataclass
 class Intervals:
     """Places of phrases: the first row in either order of contexts, and how many rows."""
@@ -317,169 +383,148 @@ def _longer(index: FmIndex, of: Intervals) -> tuple[Intervals, np.ndarray, np.nd
     return Intervals(grown.low[both], grown.back[both], grown.size[both]), which[both], symbol[both]
 
 
-_GRAMS = pa.schema([
-    ("shard", pa.int64()), ("last", pa.binary()), ("last_back", pa.binary()),
-    ("lang", pa.string()), ("phrase", pa.string()), ("low", pa.int32()), ("back", pa.int32()), ("n", pa.int64()),
-])
-_GRAMS_SQL = "shard long, last binary, last_back binary, lang string, phrase string, low int, back int, n long"
+def _grown(index: FmIndex, of: Intervals, phrases: Phrases, words: Phrases) -> tuple[Intervals, Phrases]:
+    """Extensions of all phrases by one word; their names are the numbers of the beginning and of the word."""
+    grown, which, symbol = _longer(index, of)
+    hashes = _joined(phrases.hashes[which], words.hashes[symbol - 1])
+    return grown, Phrases(phrases.lang_of[which], np.stack([which, symbol - 1], 1), hashes, grown.size)
 
 
-def _named(shard: int, of: Intervals, begins: pa.Array, langs: pa.Array, words: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Rows of phrases that are a beginning and a word."""
-    for a in range(0, len(begins), 1 << 16):
-        part = slice(a, a + (1 << 16))
-        phrases = pc.binary_join_element_wise(begins[part], words[part], " ")
-        yield _batch(
-            _GRAMS, shard=[shard] * len(phrases), lang=langs[part], phrase=phrases, low=of.low[part], back=of.back[part],
-            n=of.size[part],
-        )
+def _left(grown: Intervals, longer: Phrases, kept: np.ndarray, phrases: Phrases, words: Phrases) -> tuple[Intervals, Phrases]:
+    """The extensions that are kept, in the order of their intervals, named by their words."""
+    kept = np.flatnonzero(kept)
+    kept = kept[np.argsort(grown.low[kept])]
+    longer = longer.take(kept)
+    first, second = phrases.names[longer.names[:, 0]], words.names[longer.names[:, 1]]
+    longer.names = _listed([a + b" " + b for a, b in zip(first, second, strict=True)])
+    return Intervals(grown.low[kept], grown.back[kept], grown.size[kept]), longer
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
-def _table(batches: list[pa.RecordBatch]) -> pa.Table:
-    return pa.Table.from_batches(batches, schema=_GRAMS)
-
-
-def _of_level(found: pa.Table, level: int) -> pa.Table:
-    return found.filter(pc.equal(found.column("level"), level))
+def _sent(batches: list[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(batches, schema=_SENT)
 
 
 class _Frequent:
-    """A shard with words that aren't frequent made separators; symbols are the others by number from 1."""
+    """A shard in which the words that aren't left are separators; symbols are the others by number from 1."""
 
     def __init__(self, shard: dict, ranges: int, found: pa.Table) -> None:
-        langs, words, counts = _vocabulary(shard)
-        hashes = _hashes(langs, words)
-        kept = np.flatnonzero(_kept(hashes, ranges, found))
-        self.langs, self.words = [langs[i] for i in kept.tolist()], [words[i] for i in kept.tolist()]
-        self.hashes, self.counts = hashes[kept], counts[kept]
-        symbols = np.zeros(len(words) + 1, np.int64)
+        words = _vocabulary(shard)
+        kept = np.flatnonzero(_kept(words.hashes, ranges, found))
+        self.words = words.take(kept)
+        symbols = np.zeros(len(words.names) + 1, np.int64)
         symbols[kept + 1] = np.arange(1, len(kept) + 1)
         self.row = _pieces(symbols[_restored(shard["row"])])
 
 
 def _pairs_sent(ranges: int, least: int):
-    """Values of the pairs of frequent words of a shard."""
+    """The words of a shard that are left, and the values of their pairs."""
 
     def send(shards: pa.Table, found: pa.Table) -> pa.Table:
-        sent = []
-        if shards.num_rows and found.num_rows:
-            own = _Frequent(shards.to_pylist()[0], ranges, found)
-            index = FmIndex.of(own.row, len(own.words) + 1, 2)
-            grown, which, symbol = _longer(index, index.words(np.arange(1, len(own.words) + 1)))
-            sent.append(_sent(shards.column("shard")[0].as_py(), _joined(own.hashes[which], own.hashes[symbol - 1]), grown.size, ranges, least))
-        return pa.Table.from_batches(sent, schema=_SENT)
+        if not shards.num_rows or not found.num_rows:
+            return _sent([])
+        shard = shards.to_pylist()[0]
+        own = _Frequent(shard, ranges, found)
+        n = len(own.words.names)
+        index = FmIndex.of(own.row, n + 1, 2)
+        _, pairs = _grown(index, index.words(np.arange(1, n + 1)), own.words, own.words)
+        return _sent([
+            _named(shard["shard"], shard["langs"], own.words, ranges),
+            _values(shard["shard"], pairs.hashes, pairs.counts, ranges, least),
+        ])
 
     return send
 
 
-def _indexed(ranges: int):
-    """The index of a shard over the words of its frequent pairs, its frequent words (those of the index with their first
-    row in it) and its frequent pairs."""
+def _stored_phrases(kind: str, shard: int, langs: list[str], phrases: Phrases, **columns: bytes) -> pa.RecordBatch:
+    return _batch(
+        _SENT, shard=[shard], kind=[kind], langs=[langs], phrases=[_squeezed(b"\n".join(phrases.names))],
+        lang_of=[_stored(phrases.lang_of)], values=[phrases.hashes.tobytes()], counts=[_stored(phrases.counts)],
+        **{name: [value] for name, value in columns.items()},
+    )
+
+
+def _restored_phrases(row: dict) -> Phrases:
+    lang_of = _restored(row["lang_of"])
+    names = _unsqueezed(row["phrases"]).split(b"\n") if len(lang_of) else []
+    return Phrases(lang_of, _listed(names), np.frombuffer(row["values"], np.uint64), _restored(row["counts"]))
+
+
+def _round(shard: int, langs: list[str], index: FmIndex, of: Intervals, phrases: Phrases, words: Phrases, ranges: int, least: int, last: bool):
+    """What a shard sends in a round: its phrases, and unless it is the last, their intervals and the values of longer ones."""
+    yield _named(shard, langs, phrases, ranges)
+    if not last:
+        yield _stored_phrases("state", shard, langs, phrases, low=_stored(of.low), back=_stored(of.back))
+        _, longer = _grown(index, of, phrases, words)
+        yield _values(shard, longer.hashes, longer.counts, ranges, least)
+
+
+def _indexed(ranges: int, least: int, last: bool):
+    """The index of a shard over the words of its pairs that are left, and its first round."""
 
     def build(shards: pa.Table, found: pa.Table) -> pa.Table:
         if not shards.num_rows or not found.num_rows:
-            return _table([])
+            return _sent([])
         shard = shards.to_pylist()[0]
-        own = _Frequent(shard, ranges, _of_level(found, 1))
+        level = found.column("level")
+        own, pairs_left = _Frequent(shard, ranges, found.filter(pc.equal(level, 1))), found.filter(pc.equal(level, 2))
         first, second = own.row[:-1], own.row[1:]
-        padded = np.concatenate([np.zeros(1, np.uint64), own.hashes])
+        hashes = np.concatenate([np.zeros(1, np.uint64), own.words.hashes])
         pairs = (first > 0) & (second > 0)
-        pairs[pairs] = _kept(_joined(padded[first[pairs]], padded[second[pairs]]), ranges, _of_level(found, 2))
+        pairs[pairs] = _kept(_joined(hashes[first[pairs]], hashes[second[pairs]]), ranges, pairs_left)
         inside = np.append(pairs, False) | np.append(False, pairs)
         used = np.unique(own.row[inside])
-        symbols = np.zeros(len(own.words) + 1, np.int64)
+        words = own.words.take(used - 1)
+        symbols = np.zeros(len(hashes), np.int64)
         symbols[used] = np.arange(1, len(used) + 1)
-        row = _pieces(np.where(inside, symbols[own.row], 0))
-        index = FmIndex.of(row, len(used) + 1)
-        of = index.words(np.arange(1, len(used) + 1))
-        words = pa.array(own.words, pa.binary()).cast(pa.string())
-        low = np.full(len(words), -1, np.int64)
-        low[used - 1] = of.low
-        langs = pa.array(own.langs, pa.string())
-        grown, which, symbol = _longer(index, of)
-        kept = _kept(_joined(own.hashes[used - 1][which], own.hashes[used - 1][symbol - 1]), ranges, _of_level(found, 2))
-        grown, which, symbol = Intervals(grown.low[kept], grown.back[kept], grown.size[kept]), used[which[kept]] - 1, used[symbol[kept] - 1] - 1
-        name = shard["shard"]
-        return _table([
-            _batch(_GRAMS, shard=[name], last=[_stored(index.last)], last_back=[_stored(index.last_back)]),
-            _batch(_GRAMS, shard=[name] * len(words), phrase=words, lang=langs, low=low, n=own.counts),
-            *_named(name, grown, words.take(pa.array(which)), langs.take(pa.array(which)), words.take(pa.array(symbol))),
+        index = FmIndex.of(_pieces(np.where(inside, symbols[own.row], 0)), len(used) + 1)
+        grown, longer = _grown(index, index.words(np.arange(1, len(used) + 1)), words, words)
+        of, phrases = _left(grown, longer, _kept(longer.hashes, ranges, pairs_left), words, words)
+        columns = {"last": _stored(index.last), "last_back": _stored(index.last_back)}
+        return _sent([
+            _stored_phrases("index", shard["shard"], shard["langs"], words, **columns),
+            *_round(shard["shard"], shard["langs"], index, of, phrases, words, ranges, least, last),
         ])
 
     return build
 
 
-class _Grown:
-    """The frequent phrases of a shard, one word longer. `index` has its last columns, and a row for each of its words."""
-
-    def __init__(self, index: pa.Table, frequent: pa.Table) -> None:
-        is_index = pc.is_valid(index.column("last"))
-        found = index.filter(is_index).to_pylist()[0]
-        words = index.filter(pc.invert(is_index)).sort_by("low")
-        frequent = frequent.sort_by("low")
-        last = [_restored(found[x]) for x in ("last", "last_back")]
-        fm = FmIndex(*(x.astype(np.uint16) if words.num_rows < 1 << 16 else x for x in last), words.num_rows + 1)
-        low, back, size = (_one(frequent.column(x)).to_numpy().astype(np.int64) for x in ("low", "back", "n"))
-        self.shard = found["shard"]
-        self.of, which, symbol = _longer(fm, Intervals(low, back, size))
-        self.begins, self.langs = (_one(frequent.column(x)) for x in ("phrase", "lang"))
-        self.words, self.which, self.symbol = _one(words.column("phrase")), which, symbol - 1
-        of_begins = _hashes(self.langs.to_pylist(), self.begins.cast(pa.binary()).to_pylist())
-        of_words = _hashes([""] * len(self.words), self.words.cast(pa.binary()).to_pylist())
-        self.hashes = _joined(of_begins[which], of_words[self.symbol])
-
-
-def _longer_sent(ranges: int, least: int):
-    """Values of the longer phrases of a shard."""
-
-    def send(index: pa.Table, frequent: pa.Table) -> pa.Table:
-        if not index.num_rows or not frequent.num_rows:
-            return pa.Table.from_batches([], schema=_SENT)
-        own = _Grown(index, frequent)
-        return pa.Table.from_batches([_sent(own.shard, own.hashes, own.of.size, ranges, least)], schema=_SENT)
-
-    return send
+def _extended(ranges: int, least: int, last: bool):
+    """A further round of a shard: from its index and state, and the values of longer phrases that came back."""
 
+    def extend(own: pa.Table, found: pa.Table) -> pa.Table:
+        rows = {row["kind"]: row for row in own.to_pylist()}
+        if "index" not in rows or "state" not in rows or not found.num_rows:
+            return _sent([])
+        words, phrases = _restored_phrases(rows["index"]), _restored_phrases(rows["state"])
+        kind = np.uint16 if len(words.names) < 1 << 16 else np.int64
+        index = FmIndex(*(_restored(rows["index"][x]).astype(kind) for x in ("last", "last_back")), len(words.names) + 1)
+        of = Intervals(_restored(rows["state"]["low"]), _restored(rows["state"]["back"]), phrases.counts)
+        grown, longer = _grown(index, of, phrases, words)
+        of, phrases = _left(grown, longer, _kept(longer.hashes, ranges, found), phrases, words)
+        shard, langs = rows["index"]["shard"], rows["index"]["langs"]
+        return _sent(list(_round(shard, langs, index, of, phrases, words, ranges, least, last)))
 
-def _longer_named(ranges: int):
-    """Longer phrases of a shard whose values came back."""
+    return extend
 
-    def build(index: pa.Table, rows: pa.Table) -> pa.Table:
-        is_found = pc.is_valid(rows.column("range"))
-        frequent, found = rows.filter(pc.invert(is_found)), rows.filter(is_found)
-        if not index.num_rows or not frequent.num_rows or not found.num_rows:
-            return _table([])
-        own = _Grown(index, frequent)
-        kept = _kept(own.hashes, ranges, found)
-        of = Intervals(own.of.low[kept], own.of.back[kept], own.of.size[kept])
-        which, symbol = pa.array(own.which[kept]), pa.array(own.symbol[kept])
-        return _table(list(_named(own.shard, of, own.begins.take(which), own.langs.take(which), own.words.take(symbol))))
 
-    return build
-
-
-def _frequent(local: DataFrame, least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Phrases (lang, phrase, f) of at least that count over all shards; and the shards' rows of these phrases."""
-    totals = local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    totals = written(totals, name)
-    names = totals.select(F.col("lang").alias("of"), F.col("phrase").alias("named"))
-    # one plan at every size
-    same = (F.col("lang") == F.col("of")) & (F.col("phrase") == F.col("named"))
-    back = local.join(names.hint("merge"), same, "left_semi")
-    return totals, back.select(*(F.col(c).alias(c) for c in back.columns))  # columns apart from those of the indexes
+def _returned(sent: DataFrame, least: int) -> DataFrame:
+    values = sent.filter("kind = 'values'").select("range", "shard", "values", "counts")
+    return values.groupBy("range").applyInArrow(_common(least), _FOUND_SQL)
 
 
-def _returned(sent: DataFrame, least: int) -> DataFrame:
-    return sent.groupBy("range").applyInArrow(_common(least), _FOUND_SQL)
+def _totals(sent: DataFrame, least: int, words: int) -> DataFrame:
+    named = sent.filter("kind = 'named'").select("range", "langs", "phrases", "lang_of", "counts")
+    found = named.groupBy("range").applyInArrow(_summed(least), "lang string, phrase string, f long")
+    return found.withColumn("words", F.lit(words))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """Words of each language (lang, n), and all phrases of up to `longest` (at most LONGEST) words with at least that
-    count, single words too: lang, phrase, f, words.
+    """Words of each language (lang, n), and all phrases of up to `longest` (2 to LONGEST) words with at least that count,
+    single words too: lang, phrase, f, words.
 
     Texts are lower-cased (A-Z) and split at `.,;:!?` and LF, VT, FF, CR into pieces, those into words at blanks and
     tabs. Counts are those of all places within pieces, overlaps included. Null texts are empty, a null lang is `und`.
@@ -492,30 +537,23 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     sizes = sizes.agg(F.sum("x.sizes").alias("n"))
     ranges = max(1, -(-(shards.agg(F.sum("size")).first()[0] or 0) // PER_RANGE))
 
-    vocabulary = shards.select("shard", "words", "lang_of", "counts", "langs")
-    found = _returned(vocabulary.mapInArrow(_words_sent(ranges, least), _SENT_SQL), least)
-    found = written(found.withColumn("level", F.lit(1)), "frequent-words")
+    def both(own: DataFrame, found: DataFrame, step) -> DataFrame:
+        return own.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(step, _SENT_SQL)
+
     rows = shards.select("shard", "row", "words", "lang_of", "counts", "langs")
-    pairs = rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(_pairs_sent(ranges, least), _SENT_SQL)
-    found = found.unionByName(_returned(pairs, least).withColumn("level", F.lit(2)))
-    grown = rows.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(_indexed(ranges), _GRAMS_SQL)
-    grown = written(grown, "phrase-index")
-
-    words = grown.filter("n IS NOT NULL AND back IS NULL").select("lang", "phrase", "n")
-    totals = words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    counts = written(totals, "phrases-1").withColumn("words", F.lit(1))
-    index = grown.filter("back IS NULL AND (low >= 0 OR last IS NOT NULL)").select("shard", "last", "last_back", "phrase", "low")
-    local = grown.filter("back IS NOT NULL").select("shard", "lang", "phrase", "low", "back", "n")
-    for size in range(2, longest + 1):
-        totals, back = _frequent(local, least, f"phrases-{size}")
-        counts = counts.unionByName(totals.withColumn("words", F.lit(size)))
-        if size < longest:
-            back = written(back, "frequent-phrases")
-            sent = index.groupBy("shard").cogroup(back.groupBy("shard")).applyInArrow(_longer_sent(ranges, least), _SENT_SQL)
-            both = back.unionByName(_returned(sent, least), allowMissingColumns=True)
-            grown = index.groupBy("shard").cogroup(both.groupBy("shard")).applyInArrow(_longer_named(ranges), _GRAMS_SQL)
-            local = written(grown.select("shard", "lang", "phrase", "low", "back", "n"), "longer-phrases")
-    return sizes, counts
+    found = _returned(rows.drop("row").mapInArrow(_words_sent(ranges, least), _SENT_SQL), least)
+    words = written(found.withColumn("level", F.lit(1)), "frequent-words")
+    sent = written(both(rows, words, _pairs_sent(ranges, least)), "phrases-1")
+    counts = _totals(sent, least, 1)
+    found = words.unionByName(_returned(sent, least).withColumn("level", F.lit(2)))
+    index = sent = written(both(rows, found, _indexed(ranges, least, longest == 2)), "phrases-2")
+    counts = counts.unionByName(_totals(sent, least, 2))
+    for size in range(3, longest + 1):
+        own = index.filter("kind = 'index'").unionByName(sent.filter("kind = 'state'"))
+        step = _extended(ranges, least, size == longest)
+        sent = written(both(own, _returned(sent, least), step), f"phrases-{size}")
+        counts = counts.unionByName(_totals(sent, least, size))
+    return sizes, written(counts, "phrase-counts")
 
 
 def _words_of(phrase: Column, first: Column | int, n: Column | int) -> Column:

@@ -74,11 +74,16 @@ def test_odd_rows(odd, documents):
 
 def test_values_that_collide(documents, monkeypatch):
     """Phrases that share the value by which they are pruned are told apart by their words."""
-    hashes = collocations._hashes
-    monkeypatch.setattr(collocations, "_hashes", lambda langs, phrases: hashes(langs, phrases) % np.uint64(7))
     monkeypatch.setattr(collocations, "_places", lambda h, ranges: h % np.uint64(5))
     check(documents(spoken(5, 60)), 8)
-    assert (collocations._sent(0, np.arange(4, dtype=np.uint64), np.array([1, 300, 99, 100]), 1, 300).column("counts")[0].as_py()) == np.array([1, 300, 99, 100], np.uint32).tobytes()
+
+
+def test_counts_that_are_sent():
+    counts = np.array([1, 300, 99, 100])
+    sent = collocations._values(0, np.arange(4, dtype=np.uint64), counts, 1, 100)
+    assert list(sent.column("counts")[0].as_py()) == [1, 100, 99, 100]
+    sent = collocations._values(0, np.arange(4, dtype=np.uint64), counts, 1, 400)
+    assert np.frombuffer(sent.column("counts")[0].as_py(), np.uint32).tolist() == counts.tolist()
 
 
 def test_scores_beyond_64_bits(spark):
