@@ -167,27 +167,40 @@ def _places(hashes: np.ndarray, ranges: int) -> np.ndarray:
 #: kind is "values" or "named" (phrases of a shard for a range), "index" or "state" (of a shard). lang_of counts in langs.
 _SENT = pa.schema([
     ("shard", pa.int64()), ("kind", pa.string()), ("range", pa.int64()), ("values", pa.binary()), ("counts", pa.binary()),
-    ("phrases", pa.binary()), ("lang_of", pa.binary()), ("langs", pa.list_(pa.string())), ("low", pa.binary()), ("back", pa.binary()),
-    ("last", pa.binary()), ("last_back", pa.binary()),
+    ("phrases", pa.binary()), ("lang_of", pa.binary()), ("langs", pa.list_(pa.string())), ("symbols", pa.binary()), ("low", pa.binary()),
+    ("back", pa.binary()), ("last", pa.binary()), ("last_back", pa.binary()),
 ])
 _SENT_SQL = (
     "shard long, kind string, range long, values binary, counts binary, phrases binary, lang_of binary, "
-    "langs array<string>, low binary, back binary, last binary, last_back binary"
+    "langs array<string>, symbols binary, low binary, back binary, last binary, last_back binary"
 )
 _FOUND_SQL = "shard long, range long, values binary"
 
 
 @dataclass
-class Phrases:
-    """Distinct phrases of a shard: languages (as numbers), words, hashes and counts."""
+class Words:
+    """Distinct words of a shard: languages (as numbers), texts, hashes and counts."""
 
     lang_of: np.ndarray
     names: np.ndarray  # of bytes objects
     hashes: np.ndarray
     counts: np.ndarray
 
+    def take(self, which: np.ndarray) -> Words:
+        return Words(self.lang_of[which], self.names[which], self.hashes[which], self.counts[which])
+
+
+@dataclass
+class Phrases:
+    """Distinct phrases of a shard: the numbers of their words, a row each; intervals and hashes."""
+
+    symbols: np.ndarray
+    of: Intervals
+    hashes: np.ndarray
+
     def take(self, which: np.ndarray) -> Phrases:
-        return Phrases(self.lang_of[which], self.names[which], self.hashes[which], self.counts[which])
+        of = Intervals(self.of.low[which], self.of.back[which], self.of.size[which])
+        return Phrases(self.symbols[which], of, self.hashes[which])
 
 
 def _listed(names: list[bytes]) -> np.ndarray:
@@ -207,25 +220,34 @@ def _by_range(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray,
     return order, places, [(int(at[a]), a, b) for a, b in bounds]
 
 
+def _ascending(values: np.ndarray) -> bytes:
+    """Ascending values by their differences."""
+    return _stored(np.diff(values, prepend=0))
+
+
 def _values(shard: int, hashes: np.ndarray, counts: np.ndarray, ranges: int, least: int) -> pa.RecordBatch:
     """Values and counts of a shard's distinct phrases by range; counts above the least one are sent as that."""
     order, places, bounds = _by_range(hashes, ranges)
     counts = np.minimum(counts[order], least).astype(np.uint8 if least < 256 else np.uint32)
-    values, n = (places & np.uint64(0xFFFFFFFF)).astype(np.uint32), len(bounds)
+    values, n = (places & np.uint64(0xFFFFFFFF)).astype(np.int64), len(bounds)
     return _batch(
         _SENT, shard=[shard] * n, kind=["values"] * n, range=[r for r, _, _ in bounds],
-        values=[values[a:b].tobytes() for _, a, b in bounds], counts=[counts[a:b].tobytes() for _, a, b in bounds],
+        values=[_ascending(values[a:b]) for _, a, b in bounds], counts=[counts[a:b].tobytes() for _, a, b in bounds],
     )
 
 
-def _named(shard: int, langs: list[str], phrases: Phrases, ranges: int) -> pa.RecordBatch:
+def _named(shard: int, langs: list[str], words: Words, phrases: Phrases, ranges: int) -> pa.RecordBatch:
     """Words and counts of a shard's phrases by range."""
     order, _, bounds = _by_range(phrases.hashes, ranges)
     phrases, n = phrases.take(order), len(bounds)
+    names = words.names[phrases.symbols[:, 0] - 1]
+    for k in range(1, phrases.symbols.shape[1]):
+        names = names + b" " + words.names[phrases.symbols[:, k] - 1]
+    lang_of = words.lang_of[phrases.symbols[:, 0] - 1]
     return _batch(
         _SENT, shard=[shard] * n, kind=["named"] * n, range=[r for r, _, _ in bounds], langs=[langs] * n,
-        phrases=[_squeezed(b"\n".join(phrases.names[a:b])) for _, a, b in bounds],
-        lang_of=[_stored(phrases.lang_of[a:b]) for _, a, b in bounds], counts=[_stored(phrases.counts[a:b]) for _, a, b in bounds],
+        phrases=[_squeezed(b"\n".join(names[a:b])) for _, a, b in bounds],
+        lang_of=[_stored(lang_of[a:b]) for _, a, b in bounds], counts=[_stored(phrases.of.size[a:b]) for _, a, b in bounds],
     )
 
 
@@ -233,7 +255,7 @@ def _common(least: int):
     """Of a range, the values of each shard that are frequent over all shards."""
 
     def common(sent: pa.Table) -> pa.Table:
-        values = [np.frombuffer(x, np.uint32) for x in sent.column("values").to_pylist()]
+        values = [np.cumsum(_restored(x)) for x in sent.column("values").to_pylist()]
         kind = np.uint8 if least < 256 else np.uint32
         counts = np.concatenate([np.frombuffer(x, kind) for x in sent.column("counts").to_pylist()])
         every = np.concatenate(values)
@@ -241,7 +263,7 @@ def _common(least: int):
         every = every[order]
         begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
         frequent = every[begins][np.add.reduceat(counts[order].astype(np.int64), begins) >= least]
-        found = [x[np.isin(x, frequent)].tobytes() for x in values]
+        found = [_ascending(x[np.isin(x, frequent)]) for x in values]
         return pa.table({
             "shard": _one(sent.column("shard")), "range": _one(sent.column("range")), "values": pa.array(found, pa.binary()),
         })
@@ -271,17 +293,17 @@ _TOTALS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.in
 def _kept(hashes: np.ndarray, ranges: int, found: pa.Table) -> np.ndarray:
     """Which hashes are among the frequent values that came back to a shard."""
     back = [
-        np.frombuffer(v, np.uint32).astype(np.uint64) | np.uint64(r << 32)
+        np.cumsum(_restored(v)).astype(np.uint64) | np.uint64(r << 32)
         for r, v in zip(found.column("range").to_pylist(), found.column("values").to_pylist(), strict=True)
     ]
     return np.isin(_places(hashes, ranges), np.concatenate([np.zeros(0, np.uint64), *back]))
 
 
-def _vocabulary(shard: dict) -> Phrases:
+def _vocabulary(shard: dict) -> Words:
     """The words of a shard, by number from 1."""
     lang_of = _restored(shard["lang_of"])
     words = _unsqueezed(shard["words"]).split(b"\n") if len(lang_of) else []
-    return Phrases(lang_of, _listed(words), _hashes(shard["langs"], lang_of, words), _restored(shard["counts"]))
+    return Words(lang_of, _listed(words), _hashes(shard["langs"], lang_of, words), _restored(shard["counts"]))
 
 
 def _words_sent(ranges: int, least: int):
@@ -383,21 +405,23 @@ def _longer(index: FmIndex, of: Intervals) -> tuple[Intervals, np.ndarray, np.nd
     return Intervals(grown.low[both], grown.back[both], grown.size[both]), which[both], symbol[both]
 
 
-def _grown(index: FmIndex, of: Intervals, phrases: Phrases, words: Phrases) -> tuple[Intervals, Phrases]:
-    """Extensions of all phrases by one word; their names are the numbers of the beginning and of the word."""
-    grown, which, symbol = _longer(index, of)
-    hashes = _joined(phrases.hashes[which], words.hashes[symbol - 1])
-    return grown, Phrases(phrases.lang_of[which], np.stack([which, symbol - 1], 1), hashes, grown.size)
+def _grown(index: FmIndex, phrases: Phrases, words: Words) -> Phrases:
+    """Extensions of all phrases by one word."""
+    of, which, symbol = _longer(index, phrases.of)
+    symbols = np.concatenate([phrases.symbols[which], symbol[:, None]], 1)
+    return Phrases(symbols, of, _joined(phrases.hashes[which], words.hashes[symbol - 1]))
+
+
+def _single(index: FmIndex, words: Words) -> Phrases:
+    """The words themselves."""
+    symbols = np.arange(1, len(words.names) + 1)
+    return Phrases(symbols[:, None], index.words(symbols), words.hashes)
 
 
-def _left(grown: Intervals, longer: Phrases, kept: np.ndarray, phrases: Phrases, words: Phrases) -> tuple[Intervals, Phrases]:
-    """The extensions that are kept, in the order of their intervals, named by their words."""
+def _left(longer: Phrases, kept: np.ndarray) -> Phrases:
+    """The phrases that are kept, in the order of their intervals."""
     kept = np.flatnonzero(kept)
-    kept = kept[np.argsort(grown.low[kept])]
-    longer = longer.take(kept)
-    first, second = phrases.names[longer.names[:, 0]], words.names[longer.names[:, 1]]
-    longer.names = _listed([a + b" " + b for a, b in zip(first, second, strict=True)])
-    return Intervals(grown.low[kept], grown.back[kept], grown.size[kept]), longer
+    return longer.take(kept[np.argsort(longer.of.low[kept])])
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
@@ -430,36 +454,37 @@ def _pairs_sent(ranges: int, least: int):
         own = _Frequent(shard, ranges, found)
         n = len(own.words.names)
         index = FmIndex.of(own.row, n + 1, 2)
-        _, pairs = _grown(index, index.words(np.arange(1, n + 1)), own.words, own.words)
+        words = _single(index, own.words)
+        pairs = _grown(index, words, own.words)
         return _sent([
-            _named(shard["shard"], shard["langs"], own.words, ranges),
-            _values(shard["shard"], pairs.hashes, pairs.counts, ranges, least),
+            _named(shard["shard"], shard["langs"], own.words, words, ranges),
+            _values(shard["shard"], pairs.hashes, pairs.of.size, ranges, least),
         ])
 
     return send
 
 
-def _stored_phrases(kind: str, shard: int, langs: list[str], phrases: Phrases, **columns: bytes) -> pa.RecordBatch:
-    return _batch(
-        _SENT, shard=[shard], kind=[kind], langs=[langs], phrases=[_squeezed(b"\n".join(phrases.names))],
-        lang_of=[_stored(phrases.lang_of)], values=[phrases.hashes.tobytes()], counts=[_stored(phrases.counts)],
-        **{name: [value] for name, value in columns.items()},
-    )
+def _stored_phrases(shard: int, phrases: Phrases) -> pa.RecordBatch:
+    columns = {"symbols": phrases.symbols.T.reshape(-1), "low": phrases.of.low, "back": phrases.of.back, "counts": phrases.of.size}
+    return _batch(_SENT, shard=[shard], kind=["state"], **{name: [_stored(x)] for name, x in columns.items()})
 
 
-def _restored_phrases(row: dict) -> Phrases:
-    lang_of = _restored(row["lang_of"])
-    names = _unsqueezed(row["phrases"]).split(b"\n") if len(lang_of) else []
-    return Phrases(lang_of, _listed(names), np.frombuffer(row["values"], np.uint64), _restored(row["counts"]))
+def _restored_phrases(row: dict, words: Words) -> Phrases:
+    of = Intervals(*(_restored(row[x]) for x in ("low", "back", "counts")))
+    symbols = _restored(row["symbols"]).reshape(-1, len(of.low)).T if len(of.low) else np.zeros((0, 1), np.int64)
+    hashes = words.hashes[symbols[:, 0] - 1]
+    for k in range(1, symbols.shape[1]):
+        hashes = _joined(hashes, words.hashes[symbols[:, k] - 1])
+    return Phrases(symbols, of, hashes)
 
 
-def _round(shard: int, langs: list[str], index: FmIndex, of: Intervals, phrases: Phrases, words: Phrases, ranges: int, least: int, last: bool):
+def _round(shard: int, langs: list[str], index: FmIndex, phrases: Phrases, words: Words, ranges: int, least: int, last: bool):
     """What a shard sends in a round: its phrases, and unless it is the last, their intervals and the values of longer ones."""
-    yield _named(shard, langs, phrases, ranges)
+    yield _named(shard, langs, words, phrases, ranges)
     if not last:
-        yield _stored_phrases("state", shard, langs, phrases, low=_stored(of.low), back=_stored(of.back))
-        _, longer = _grown(index, of, phrases, words)
-        yield _values(shard, longer.hashes, longer.counts, ranges, least)
+        yield _stored_phrases(shard, phrases)
+        longer = _grown(index, phrases, words)
+        yield _values(shard, longer.hashes, longer.of.size, ranges, least)
 
 
 def _indexed(ranges: int, least: int, last: bool):
@@ -481,13 +506,13 @@ def _indexed(ranges: int, least: int, last: bool):
         symbols = np.zeros(len(hashes), np.int64)
         symbols[used] = np.arange(1, len(used) + 1)
         index = FmIndex.of(_pieces(np.where(inside, symbols[own.row], 0)), len(used) + 1)
-        grown, longer = _grown(index, index.words(np.arange(1, len(used) + 1)), words, words)
-        of, phrases = _left(grown, longer, _kept(longer.hashes, ranges, pairs_left), words, words)
-        columns = {"last": _stored(index.last), "last_back": _stored(index.last_back)}
-        return _sent([
-            _stored_phrases("index", shard["shard"], shard["langs"], words, **columns),
-            *_round(shard["shard"], shard["langs"], index, of, phrases, words, ranges, least, last),
-        ])
+        longer = _grown(index, _single(index, words), words)
+        phrases = _left(longer, _kept(longer.hashes, ranges, pairs_left))
+        named = _batch(
+            _SENT, shard=[shard["shard"]], kind=["index"], langs=[shard["langs"]], phrases=[_squeezed(b"\n".join(words.names))],
+            lang_of=[_stored(words.lang_of)], last=[_stored(index.last)], last_back=[_stored(index.last_back)],
+        )
+        return _sent([named, *_round(shard["shard"], shard["langs"], index, phrases, words, ranges, least, last)])
 
     return build
 
@@ -499,14 +524,15 @@ def _extended(ranges: int, least: int, last: bool):
         rows = {row["kind"]: row for row in own.to_pylist()}
         if "index" not in rows or "state" not in rows or not found.num_rows:
             return _sent([])
-        words, phrases = _restored_phrases(rows["index"]), _restored_phrases(rows["state"])
-        kind = np.uint16 if len(words.names) < 1 << 16 else np.int64
-        index = FmIndex(*(_restored(rows["index"][x]).astype(kind) for x in ("last", "last_back")), len(words.names) + 1)
-        of = Intervals(_restored(rows["state"]["low"]), _restored(rows["state"]["back"]), phrases.counts)
-        grown, longer = _grown(index, of, phrases, words)
-        of, phrases = _left(grown, longer, _kept(longer.hashes, ranges, found), phrases, words)
-        shard, langs = rows["index"]["shard"], rows["index"]["langs"]
-        return _sent(list(_round(shard, langs, index, of, phrases, words, ranges, least, last)))
+        index, langs = rows["index"], rows["index"]["langs"]
+        lang_of = _restored(index["lang_of"])
+        names = _unsqueezed(index["phrases"]).split(b"\n") if len(lang_of) else []
+        words = Words(lang_of, _listed(names), _hashes(langs, lang_of, names), np.zeros(len(names), np.int64))
+        kind = np.uint16 if len(names) < 1 << 16 else np.int64
+        fm = FmIndex(*(_restored(index[x]).astype(kind) for x in ("last", "last_back")), len(names) + 1)
+        longer = _grown(fm, _restored_phrases(rows["state"], words), words)
+        phrases = _left(longer, _kept(longer.hashes, ranges, found))
+        return _sent(list(_round(index["shard"], langs, fm, phrases, words, ranges, least, last)))
 
     return extend
 

@@ -82,6 +82,7 @@ def test_counts_that_are_sent():
     counts = np.array([1, 300, 99, 100])
     sent = collocations._values(0, np.arange(4, dtype=np.uint64), counts, 1, 100)
     assert list(sent.column("counts")[0].as_py()) == [1, 100, 99, 100]
+    assert np.cumsum(collocations._restored(sent.column("values")[0].as_py())).tolist() == [0, 1, 2, 3]
     sent = collocations._values(0, np.arange(4, dtype=np.uint64), counts, 1, 400)
     assert np.frombuffer(sent.column("counts")[0].as_py(), np.uint32).tolist() == counts.tolist()
 
