@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import TAGS
-from notemask.functions.chars import ENDS, RUN, SOLID, SPECIAL, STARTS, any_of
-from notemask.functions.tokens import collapse_spaces
+from notemask.functions.chars import ENDS, RUN, SOLID, SPECIAL, STARTS, WIDE_SPACES, any_of
+from notemask.functions.tokens import collapse_spaces, space_count
 
 TAG_NAMES = any_of(TAGS)
 ALPHABET = f"(?:O|[BI]-{TAG_NAMES})"
+OTHER_SPACE = rf"[\t-\r\x{{1c}}-\x{{1f}}{WIDE_SPACES}]"
 SAME = r"\x{fdd0}"  # a noncharacter, used only inside one expression
 
 
@@ -41,7 +42,10 @@ def label_code(labels: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(f"{SOLID}+"), F.lit(0)))
+    """Pieces between white space. Where single blanks alone part them, as in cleaned texts, blanks are counted."""
+    uneven = text.contains("  ") | text.startswith(" ") | text.endswith(" ") | text.rlike(OTHER_SPACE)
+    counted = F.regexp_count(text, F.lit(f"{SOLID}+"))
+    return F.when(text == "", 0).when(uneven, counted).otherwise(space_count(text) + 1)
 
 
 def size_check(text: Column, labels: Column) -> Column:

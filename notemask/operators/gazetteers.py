@@ -26,6 +26,9 @@ from notemask.functions.spans import rewrite_spans
 NAME, CITY, MULTI_CITY, STATE, ZIP, ANY_NAME = 1, 2, 4, 8, 16, 32
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
+# The first-word index has one byte for each bucket of first words, however large the lexicon is; bit t - 1
+# says that some key that begins with such a word has t words, the last bit that many or more.
+HEAD_BUCKETS, HEAD_BITS = 1 << 16, 7
 ROW_OVERHEAD = 64
 
 
@@ -211,16 +214,39 @@ class Gazetteers:
             F.coalesce(F.sum(F.octet_length("key") + state_bytes + ROW_OVERHEAD), F.lit(0)),
             F.coalesce(F.max("n_words"), F.lit(1)),
         ).first()
-        return Lexicon(rows, measured[0], measured[1], broadcast_limit)
+        return Lexicon(rows, measured[0], measured[1], head_index(rows), broadcast_limit)
+
+
+def key_words(key: Column) -> Column:
+    """Words of a key, as blanks separate them."""
+    return F.length(key) - F.length(F.replace(key, F.lit(" "))) + 1
+
+
+def head_bucket(key: Column) -> Column:
+    """The bucket of a key's first word."""
+    head = F.substring_index(key, " ", 1)
+    return F.pmod(F.xxhash64(head), F.lit(HEAD_BUCKETS)).cast("int")
+
+
+def head_index(rows: DataFrame) -> bytes:
+    """For each bucket of first words, the numbers of words that keys have (see HEAD_BITS)."""
+    bit = F.expr(f"shiftleft(1, least({HEAD_BITS}, n) - 1)")
+    keyed = rows.select(head_bucket(F.col("key")).alias("bucket"), key_words(F.col("key")).alias("n"))
+    found = keyed.groupBy("bucket").agg(F.bit_or(bit).alias("bits"))
+    index = bytearray(HEAD_BUCKETS)
+    for bucket, bits in found.collect():  # one row for each bucket at most
+        index[bucket] = bits
+    return bytes(index)
 
 
 @dataclass
 class Lexicon:
-    """Lexicon rows with their measured size and the longest phrase in words."""
+    """Lexicon rows with their measured size, the longest phrase in words and the first-word index."""
 
     rows: DataFrame
     n_bytes: int
     max_words: int
+    heads: bytes
     broadcast_limit: int = BROADCAST_LIMIT
 
     def for_join(self) -> DataFrame:

@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 
 from notemask.functions.chars import RUN, SPACE_CHARS
 from notemask.functions.spans import gaps, let, matches
-from notemask.operators.gazetteers import ANY_NAME, CITY, MULTI_CITY, NAME, STATE, ZIP, Lexicon
+from notemask.operators.gazetteers import (
+    ANY_NAME,
+    CITY,
+    HEAD_BITS,
+    MULTI_CITY,
+    NAME,
+    STATE,
+    ZIP,
+    Lexicon,
+    head_bucket,
+    key_words,
+)
 
 # Marks a word may carry after the lookups.
 NAME_MARK, CITY_MARK, PAIR_MARK, MULTI_MARK, STATE_MARK = 1, 2, 4, 8, 16
@@ -22,6 +33,7 @@ NO_MARK_ROWS = "array<struct<pos:int,bits:int>>"
 
 ONE_SPACE = rf"^[{SPACE_CHARS}]\z"
 JOINING_GAP = r"^(?: |[-'.]|\. )\z"  # "$" would also match before a line break
+INNER_GAPS = ["-", "'", "."]  # those that vanish in a key: its words run together there
 
 
 def gap_key(gap: Column) -> Column:
@@ -41,13 +53,27 @@ def starts_upper(word: Column) -> Column:
     return first.between(ord("A"), ord("Z")) | ((first > 127) & word.rlike(r"^\p{Lu}"))
 
 
-def candidates(text: Column, max_words: int) -> Column:
+def head_bits(heads: bytes, key: Column) -> Column:
+    """The first-word index at a key."""
+    return F.ascii(F.substring(F.lit(heads), head_bucket(key) + 1, F.lit(1)).cast("string"))
+
+
+def may_be_known(heads: bytes, key: Column) -> Column:
+    """Whether some key has this many words and, as far as the index tells, this first word."""
+    last = F.least(F.lit(HEAD_BITS), key_words(key))
+    return F.call_function("shiftleft", F.lit(1), last - 1).bitwiseAND(head_bits(heads, key)) != 0
+
+
+def candidates(text: Column, lexicon: Lexicon) -> Column:
     """Phrases that may be in the lexicon, with their neighbours.
 
-    A phrase starts at a capitalised word (or one that touches a hyphen) and has up to
-    ``max_words`` words. ``previous`` and ``following`` are the nearest runs with letters on either
-    side; ``after`` is the word directly behind the phrase and one white-space character.
+    A phrase starts at a capitalised word (or one that touches a hyphen). The first-word index says
+    which numbers of words the keys have that begin like it; only such phrases are built, so a long key
+    costs nothing where its first word does not stand. ``previous`` and ``following`` are the nearest
+    runs with letters on either side; ``after`` is the word directly behind the phrase and one
+    white-space character.
     """
+    heads, max_words = lexicon.heads, lexicon.max_words
 
     def build(words: Column, around: Column) -> Column:
         lettered = F.filter(
@@ -56,16 +82,10 @@ def candidates(text: Column, max_words: int) -> Column:
         )
 
         def phrases(runs: Column) -> Column:
-            def start(s: Column, k: Column) -> Column:
+            def all_from(s: Column, k: Column, inner: Column, bits: Column) -> Column:
+                """The phrases from a word on; ``inner`` if it runs together with the next one."""
                 i = s["pos"]
-                hyphened = F.get(around, i).endswith("-") | F.get(around, i + 1).startswith("-")
                 following = F.get(runs, k + 1)
-                keys = [F.lower(s["word"])]
-                for n in range(1, max_words):
-                    keys.append(
-                        F.concat(keys[-1], gap_key(F.get(around, i + n)), F.lower(F.get(words, i + n)))
-                    )
-
                 first = F.lower(F.regexp_replace(following["word"], r"^[^\p{L}]+", ""))
 
                 def state_words(n: int) -> Column:
@@ -75,26 +95,55 @@ def candidates(text: Column, max_words: int) -> Column:
                     apart = F.when(F.get(around, behind) == " ", " ")
                     return F.concat(before, apart, F.lower(F.get(words, behind)))
 
-                def phrase(n: int) -> Column:
+                def phrase(key: Column, n: Column) -> Column:
                     behind = F.get(around, i + n).rlike(ONE_SPACE)
-                    no_words = F.lit(None).cast("string")
                     return F.struct(
                         i.alias("pos"),
-                        F.lit(n).alias("n"),
-                        keys[n - 1].alias("key"),
+                        n.alias("n"),
+                        key.alias("key"),
                         F.get(runs, k - 1)["word"].alias("previous"),
                         first.alias("following"),
-                        (state_words(2) if n == 1 else no_words).alias("following_two"),
-                        (state_words(3) if n == 1 else no_words).alias("following_three"),
+                        F.when(n == 1, state_words(2)).alias("following_two"),
+                        F.when(n == 1, state_words(3)).alias("following_three"),
                         following["pos"].alias("following_pos"),
                         F.when(behind, F.lower(F.get(words, i + n))).alias("after"),
                     )
 
-                built = F.array(*[phrase(n) for n in range(1, max_words + 1)])
-                return F.when(starts_upper(s["word"]) | hyphened, built)
+                def longer(most: Column) -> Column:
+                    """The keys of 1 to ``most`` words; null from the first gap on that no phrase crosses."""
+                    grown = lambda acc, n: F.concat(
+                        F.get(acc, n - 2), gap_key(F.get(around, i + n - 1)), F.lower(F.get(words, i + n - 1))
+                    )
+                    return F.aggregate(
+                        F.sequence(F.lit(2), most),
+                        F.array(F.lower(s["word"])),
+                        lambda acc, n: F.concat(acc, F.array(grown(acc, n))),
+                    )
+
+                # words that run together make a phrase longer than its key
+                together = F.size(F.filter(F.slice(around, i + 3, F.lit(max_words)), lambda g: g.isin(INNER_GAPS)))
+                words_of_key = F.lit(max_words)
+                for n in range(HEAD_BITS - 1, 0, -1):
+                    words_of_key = F.when(bits < 1 << n, n).otherwise(words_of_key) if n < max_words else words_of_key
+                most = F.when(inner, F.lit(max_words)).otherwise(F.least(F.lit(max_words), words_of_key + together))
+                one = F.array(phrase(F.lower(s["word"]), F.lit(1)))
+                several = F.filter(
+                    F.transform(longer(most), lambda key, n: phrase(key, n + 1)),
+                    lambda p: p["key"].isNotNull() & may_be_known(heads, p["key"]),
+                )
+                if max_words == 1:
+                    return one
+                return F.when(~inner & (bits == 1), one).otherwise(several)
+
+            def start(s: Column, k: Column) -> Column:
+                i = s["pos"]
+                hyphened = F.get(around, i).endswith("-") | F.get(around, i + 1).startswith("-")
+                inner = F.coalesce(F.get(around, i + 1).isin(INNER_GAPS), F.lit(False))
+                bits = F.when(inner, F.lit((1 << HEAD_BITS) - 1)).otherwise(head_bits(heads, F.lower(s["word"])))
+                found = let(bits, lambda b: F.when(b != 0, all_from(s, k, inner, b)))
+                return F.when(starts_upper(s["word"]) | hyphened, found)
 
-            found = F.filter(F.transform(runs, start), lambda a: a.isNotNull())
-            return F.filter(F.flatten(found), lambda p: p["key"].isNotNull())
+            return F.flatten(F.filter(F.transform(runs, start), lambda a: a.isNotNull()))
 
         def code(w: Column, i: Column) -> Column:
             phrase = F.struct(
@@ -125,7 +174,7 @@ def phrase_matches(
     ``with_state``: a city whose next words are one of its states; ``state_words`` says how many.
     """
     phrases = notes.select(
-        *id_cols, F.explode(candidates(F.col(text_col), lexicon.max_words)).alias("p")
+        *id_cols, F.explode(candidates(F.col(text_col), lexicon)).alias("p")
     ).select(*id_cols, "p.*")
     known = phrases.join(lexicon.for_join(), "key")
     is_city = (F.col("flags").bitwiseAND(CITY) != 0) & (F.col("n") == 1)
@@ -282,7 +331,8 @@ def attach_marks(
     """
     keys = [*id_cols, "text_hash"]
     changed = let(prepare(F.col(text_col)), lambda p: F.when(p != F.col(text_col), p))
-    keyed = notes.withColumns({"text_hash": F.xxhash64(text_col), "prepared": changed}).repartition(*keys)
+    parts = int(notes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = notes.withColumns({"text_hash": F.xxhash64(text_col), "prepared": changed}).repartition(parts, *keys)
     prepared = keyed.select(*keys, F.coalesce("prepared", text_col).alias(text_col))
     marks = word_marks(phrase_matches(prepared, lexicon, keys, text_col), keys)
     return keyed.join(marks.hint("shuffle_hash"), keys, "left").drop("text_hash")

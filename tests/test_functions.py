@@ -139,3 +139,12 @@ def test_long_texts_stay_linear(spark):
         for rewrite in [*patterns.pattern_steps(), *address.PLACE_STEPS, *names.NAME_STEPS]:
             rows = rows.withColumn("t", rewrite(F.col("t")))
         rows.write.format("noop").mode("overwrite").save()
+
+
+def test_token_counts_by_blanks_or_by_pattern(spark):
+    from notemask.functions.labels import token_count
+
+    texts = ["", " ", "a", "a b", " a b", "a b ", "a  b", "a\tb", "a\u00a0b c", "a\x0bb", "\n", "é 日本 😀", "a\x1cb", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r["n"] for r in rows.select(token_count(F.col("t")).alias("n")).collect()]
+    assert got == [None if t is None else len(t.split()) for t in texts]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from notemask import annotate_notes, rejected_notes, tag_notes
 from notemask.functions.labels import ALPHABET
 from notemask.functions.marks import with_reserved
+from notemask.operators.gazetteers import HEAD_BUCKETS
+from notemask.operators.matches import candidates
 from notemask.operators.quality import keep_first_text, label_validation_counts, split_equals_counts
 from notemask.plans import fixtures as fx
 from notemask.plans.pipeline import labels_and_rejects, mark_notes, mask_addresses, mask_names
@@ -87,6 +89,34 @@ def test_lookup_without_broadcast_gives_the_same(spark, seed_lexicon):
     assert apart == sorted(map(tuple, together.collect()))
 
 
+def phrases(spark, texts, lexicon):
+    found = frame(spark, texts).select("doc_id", F.explode(candidates(F.col("text"), lexicon)).alias("p"))
+    return sorted((r["doc_id"], r["pos"], r["n"], r["key"]) for r in found.select("doc_id", "p.*").collect())
+
+
+def test_a_long_key_builds_no_phrases_elsewhere(spark, seed_gazetteers, seed_lexicon):
+    """The first-word index: phrases begin like a key and have as many words as one of those that begin so."""
+    junk = "Zzjunk " + " ".join(f"Word{i}" for i in range(40))
+    named = seed_gazetteers.names.unionByName(
+        spark.createDataFrame([(junk.lower(), junk)], "key string, name string").select("name", "key")
+    )
+    longer = dataclasses.replace(seed_gazetteers, names=named).lexicon()
+    assert longer.max_words == 41 and len(longer.heads) == len(seed_lexicon.heads) == HEAD_BUCKETS
+    texts = [t for t, _ in GOLDEN] + ["The Quick Brown Fox Jumps Over The Lazy Dog And Runs Far Away From Here Again"]
+    assert phrases(spark, texts, longer) == phrases(spark, texts, seed_lexicon)
+    found = phrases(spark, [junk, junk + " More"], longer)
+    assert {(0, 0, 41, junk.lower()), (1, 0, 41, junk.lower())} <= set(found)
+    known = {r["key"] for r in seed_lexicon.rows.collect()}
+    every = {(d, p, n, k) for d, p, n, k in phrases(spark, texts, dataclasses.replace(seed_lexicon, heads=b"\x7f" * HEAD_BUCKETS)) if k in known}
+    assert {x for x in phrases(spark, texts, seed_lexicon) if x[3] in known} == every and len(every) > 50
+
+
+def test_words_that_run_together_are_longer_than_their_key(spark, seed_lexicon):
+    found = phrases(spark, ["O'Brien and Mary-Ann, Deer Island-based, Winston-Salem. De La Cruz-Jones"], seed_lexicon)
+    keys = {k for *_, k in found}
+    assert {"obrien", "maryann", "deer island", "winstonsalem", "de la cruz"} <= keys
+
+
 def test_rejects_and_counts(spark, seed_lexicon):
     texts = ["fine", None, "", "left ' early", "bad ﷐ text", "I 'am here"]
     rows = frame(spark, texts).union(spark.sql("SELECT CAST(NULL AS BIGINT), 'no id'"))
