@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
-from notemask.functions.chars import SPECIAL
+from notemask.functions.chars import SOLID, SPECIAL
 from notemask.functions.spans import gaps, let, matches, prefix_sums
 
 HELD_SPACE = "\ufdd0"  # a noncharacter, used only inside one expression
@@ -119,3 +119,109 @@ def restore_specials(text: Column, locations: Column) -> Column:
         ),
     )
 
+
+# Characters that parting blanks can be held back as; a text is given the first one that it doesn't have.
+HELD = [chr(c) for c in range(0xFDD0, 0xFDF0)]
+DROPPED = r"[\r,\n\t\[\]]"
+KEPT = rf"[{SOLID}&&[^,\[\]]]"
+
+
+def edit_script(raw: Column, masked: Column) -> Column:
+    """How a text becomes its cleaned form, without loss: one piece for each token of the cleaned text, and a last one.
+
+    A piece has ``before``, the run of the original that stands in front of the token (white space, line breaks, tabs,
+    commas and square brackets; empty at a ``parted`` place, where cleaning only puts a blank between two tokens),
+    the ``token``, which the original has as it is, and ``start``, its offset there in code points. The last piece has
+    what follows the last token, and no token. Null if spacing gives up on the text (token counts differ), or if a
+    text has all noncharacters that a blank can be held back as.
+    """
+
+    def script(held: Column) -> Column:
+        pairs = F.zip_with(
+            F.split(raw, " ", -1), F.split(masked, " ", -1), lambda r, m: F.struct(r.alias("raw"), m.alias("masked"))
+        )
+
+        def spaced(pair: Column) -> Column:
+            own = F.regexp_replace(pair["raw"], F.lit(SPECIAL), F.concat(held, F.lit("$0"), held))
+            shown = F.filter(F.array_distinct(matches(pair["masked"], SPECIAL)), lambda c: c != held)
+            part = F.aggregate(shown, pair["raw"], lambda acc, c: F.replace(acc, c, F.concat(held, c, held)))
+            return F.when(pair["raw"] == pair["masked"], own).otherwise(part)
+
+        marked = F.array_join(F.transform(pairs, spaced), " ")
+        # a held blank is no part of a token
+        kept = F.concat(F.lit(f"[{KEPT}&&[^"), held, F.lit("]]+"))
+
+        def pieces(tokens: Column, around: Column) -> Column:
+            befores = F.transform(around, lambda g: F.replace(g, held, F.lit("")))
+
+            def placed(before: Column) -> Column:
+                lengths = F.zip_with(before, tokens, lambda b, t: F.length(b) + F.coalesce(F.length(t), F.lit(0)))
+                return F.zip_with(
+                    F.zip_with(
+                        before, tokens,
+                        lambda b, t: F.struct(b.alias("before"), t.alias("token")),
+                    ),
+                    prefix_sums(lengths),
+                    lambda p, at: F.struct(
+                        p["before"].alias("before"),
+                        (p["before"] == "").alias("parted"),
+                        p["token"].alias("token"),
+                        F.when(p["token"].isNotNull(), at + F.length(p["before"])).alias("start"),
+                    ),
+                )
+
+            return let(befores, placed)
+
+        return let(marked, lambda m: let(matches(m, kept), lambda t: let(gaps(m, kept), lambda g: pieces(t, g))))
+
+    free = F.lit(None).cast("string")
+    for character in reversed(HELD):
+        free = F.when(~raw.contains(character), character).otherwise(free)
+    usable = space_count(raw) == space_count(masked)
+    return F.when(usable & free.isNotNull(), let(free, script))
+
+
+def restore_text(script: Column) -> Column:
+    """The original text of an edit script."""
+    return F.array_join(F.transform(script, lambda p: F.concat(p["before"], F.coalesce(p["token"], F.lit("")))), "")
+
+
+def cleaned_of(script: Column) -> Column:
+    """The cleaned text of an edit script."""
+    between = lambda p: F.concat(F.when(p["parted"], " ").otherwise(p["before"]), F.coalesce(p["token"], F.lit("")))
+    return clean_text(F.array_join(F.transform(script, between), ""))
+
+
+def label_spans(script: Column, iob: Column) -> Column:
+    """Start, end and tag of each labelled stretch of the original text, in code points, from the labels of its tokens.
+
+    A ``B-`` label begins a stretch and the ``I-`` labels behind it belong to it. Null if labels and tokens differ in number.
+    """
+
+    def spans(labelled: Column) -> Column:
+        begins = F.filter(
+            F.transform(labelled, lambda t, i: F.when(t["label"].startswith("B-"), i)), lambda i: i.isNotNull()
+        )
+
+        def each(begin: Column) -> Column:
+            def span(b: Column, j: Column) -> Column:
+                last = F.get(labelled, F.coalesce(F.get(begin, j + 1), F.size(labelled)) - 1)
+                return F.struct(
+                    F.get(labelled, b)["start"].alias("start"),
+                    last["end"].alias("end"),
+                    F.substring(F.get(labelled, b)["label"], 3, 1000).alias("tag"),
+                )
+
+            return F.transform(begin, span)
+
+        return let(begins, each)
+
+    tokens = F.filter(script, lambda p: p["token"].isNotNull())
+    labels = F.when(iob == "", F.array().cast("array<string>")).otherwise(F.split(iob, " ", -1))
+    both = F.zip_with(
+        tokens,
+        labels,
+        lambda p, x: F.struct(p["start"].alias("start"), (p["start"] + F.length(p["token"])).alias("end"), x.alias("label")),
+    )
+    found = let(F.filter(both, lambda t: t["label"] != "O"), spans)
+    return F.when(F.size(tokens) == F.size(labels), found)

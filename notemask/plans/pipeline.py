@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notemask.functions.labels import bio_labels, iob_raw, label_code, size_check
@@ -18,6 +18,8 @@ from notemask.functions.patterns import extract_ssn, mask_email, pattern_steps
 from notemask.functions.tokens import (
     clean_masked,
     clean_text,
+    edit_script,
+    label_spans,
     space_count,
     space_specials,
     special_locations,
@@ -107,6 +109,7 @@ def annotate_notes(
     text_col: str = "text",
     strict: bool = False,
     with_locations: bool = False,
+    with_script: bool = False,
     columns: Iterable[str] | None = None,
 ) -> DataFrame:
     """Usable notes with masked and cleaned text, labels, checks and a ``reject_reason``.
@@ -123,6 +126,8 @@ def annotate_notes(
     ).withColumn("spaced", space_specials(text, F.col("masked")))
     if with_locations:
         rows = rows.withColumn("locations", special_locations(F.col("spaced")))
+    if with_script:
+        rows = rows.withColumn("script", edit_script(text, F.col("masked")))
     rows = (
         rows.withColumn("cleaned", clean_text(F.col("spaced")))
         .withColumn("iob_raw", iob_raw(clean_masked(F.col("masked"))))
@@ -144,7 +149,7 @@ def annotate_notes(
     rows = rows.withColumns({"ssn_count": F.size("ssn_matches"), "reject_reason": reason})
     everything = [
         text_col, "masked", "ssn_matches", "ssn_count", "spaced", "cleaned",
-        *(["locations"] if with_locations else []), "iob_raw", "iob", "label_code", "sizes", "reject_reason",
+        *(["locations"] if with_locations else []), *(["script"] if with_script else []), "iob_raw", "iob", "label_code", "sizes", "reject_reason",
     ]
     wanted = everything if columns is None else list(columns)
     return seal(rows.select(*id_cols, *wanted))
@@ -210,3 +215,59 @@ def labels_and_rejects(
     annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=wanted).checkpoint()
     labels = label_rows(annotated, id_cols, text_col)
     return labels, reject_rows(notes, annotated, id_cols, text_col)
+
+
+def counted_labels(
+    notes: DataFrame,
+    lexicon: Lexicon,
+    id_cols: list[str] | str = "doc_id",
+    text_col: str = "text",
+    strict: bool = False,
+) -> tuple[DataFrame, Observation]:
+    """``tag_notes``, and the label counts of all notes that go through it, counted on the way to the sink.
+
+    Write the rows, then read the observation: ``code_1``, ``code_2``, ``code_5`` (notes per label code), ``equal`` and
+    ``unequal`` (notes with valid labels per outcome of the size check). Notes are counted before rejects and repeats
+    go, in one run of the taggers. Take the counts of one action only: a lost executor may make Spark run some tasks
+    again, which are then counted twice; ``label_validation_counts`` is exact in that case too.
+    """
+    id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    wanted = [text_col, "cleaned", "iob", "masked", "label_code", "sizes", "reject_reason"]
+    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=wanted)
+    code, equal = F.col("label_code"), F.col("sizes.split_equals")
+    seen = Observation()
+    counted = annotated.observe(
+        seen,
+        *(F.count_if(code == c).alias(f"code_{c}") for c in (1, 2, 5)),
+        F.count_if((code == 1) & (equal == 1)).alias("equal"),
+        F.count_if((code == 1) & (equal == 0)).alias("unequal"),
+    )
+    return label_rows(counted, id_cols, text_col), seen
+
+
+def spans_of_notes(
+    notes: DataFrame,
+    lexicon: Lexicon,
+    id_cols: list[str] | str = "doc_id",
+    text_col: str = "text",
+    strict: bool = False,
+) -> DataFrame:
+    """What the labels of valid notes cover in the original text: ids, start_at, end_at, tag, covered.
+
+    Offsets are code points of the text as it was given. Every valid note counts, also one whose cleaned text
+    repeats another's; a note without labels has no rows. Each span is computed in its note's row.
+    """
+    id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    wanted = [text_col, "script", "iob", "reject_reason"]
+    valid = valid_rows(annotate_notes(notes, lexicon, id_cols, text_col, strict, with_script=True, columns=wanted))
+    text = F.col(text_col)
+
+    def covered(span: Column) -> Column:
+        length = span["end"] - span["start"]
+        return F.struct(
+            span["start"].alias("start_at"), span["end"].alias("end_at"), span["tag"].alias("tag"),
+            F.substring(text, span["start"] + 1, length).alias("covered"),
+        )
+
+    spans = F.transform(label_spans(F.col("script"), F.col("iob")), covered)
+    return valid.select(*id_cols, F.explode(spans).alias("span")).select(*id_cols, "span.*")

@@ -18,6 +18,7 @@ from notemask.plans import fixtures as fx
 from notemask.plans import oracle as o
 from notemask.plans.pipeline import (
     annotate_notes,
+    counted_labels,
     mark_notes,
     labels_and_rejects,
     mask_addresses,
@@ -25,8 +26,10 @@ from notemask.plans.pipeline import (
     rejected_notes,
     run_steps,
     shown,
+    spans_of_notes,
     tag_notes,
 )
+from notemask.sources import readers
 from notemask.sources.readers import write_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +86,65 @@ def _(spark, sf):
     return gz.city_state_tokens(fx.gazetteers(spark, sf).city_states)
 
 
+# --- Lookup files ---------------------------------------------------------------------------
+def _file_rows(raw: str, layout: readers.FileFormat, wrong: str) -> Query:
+    """Writes a raw lookup table as a file of its layout, some of its rows once more with a wrong number of fields, and
+    reads the file back: every good row by its columns, every bad line as it stands, with how often each occurs."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        gz.ensure_checkpoint_dir(spark)
+        folder = f"{spark.sparkContext.getCheckpointDir()}/lookup-{uuid.uuid4().hex}"
+        rows = getattr(fx, raw)(spark, sf).select(*(F.col(f"`{c}`").cast("string") for c in layout.columns)).na.fill("none")
+        readers.write_lookup(rows, f"{folder}/file", layout)
+        first = F.col(f"`{layout.columns[0]}`")
+        broken = rows.filter(F.length(first) % 5 == 0).distinct()
+        broken = broken.select(first, F.lit(wrong), *(F.lit("x") for _ in layout.columns[1:])) if len(layout.columns) < 3 else broken.select(first, F.lit(wrong))
+        readers.write_lookup(broken.toDF(*(f"c{i}" for i in range(len(broken.columns)))), f"{folder}/file", layout, "append")
+        good, seen = readers.load_checked(spark, f"{folder}/file", layout, f"{folder}/bad")
+        bad = spark.read.schema(f"file string, {readers.BAD_LINE} string").json(f"{folder}/bad")
+        whole = F.concat_ws(layout.delimiter, *(F.col(f"`{c}`") for c in layout.columns))
+        lines = good.select(F.lit("good").alias("kind"), whole.alias("line")).unionByName(
+            bad.select(F.lit("bad").alias("kind"), F.col(readers.BAD_LINE).alias("line"))
+        )
+        total = F.when(F.col("kind") == "bad", seen["bad"]).otherwise(seen["lines"] - seen["bad"])
+        return lines.groupBy("kind", "line").agg(F.count("*").alias("n")).withColumn("n_of_kind", total.cast("long"))
+
+    return query
+
+
+def _file_sql(select: str, layout: readers.FileFormat, wrong: str) -> str:
+    fields = [f"c{i}" for i in range(len(layout.columns))]
+    filled = ", ".join(f"coalesce({c}, 'none') AS {c}" for c in fields)
+    broken = ["c0", o.q(wrong), *(["'x'"] * (len(fields) - 1) if len(fields) < 3 else [])]
+    mark = o.q(layout.delimiter)
+    return o.with_chain(
+        [o.NOTES, o.RAW, f"given AS MATERIALIZED (SELECT {filled} FROM ({select}))"],
+        f"""SELECT kind, line, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY kind) AS BIGINT) AS n_of_kind FROM (
+  SELECT 'good' AS kind, concat_ws({mark}, {', '.join(fields)}) AS line FROM given
+  UNION ALL
+  SELECT 'bad', concat_ws({mark}, {', '.join(broken)}) FROM (SELECT DISTINCT * FROM given WHERE length(c0) % 5 = 0))
+GROUP BY kind, line""",
+    )
+
+
+_CODE_SQL = f"{o.items(o.CODES)}[page_id % {len(o.CODES)} + 1]"
+_PART_CODE_SQL = f"{o.items(o.CODES)}[p_partkey % {len(o.CODES)} + 1]"
+_FILE_SOURCES = {
+    "names": "SELECT name AS c0 FROM raw_names",
+    "states": "SELECT state AS c0 FROM raw_states",
+    "zips": "SELECT ZIP AS c0 FROM raw_zips",
+    "cities": f"""SELECT CASE WHEN page_id % 5 = 0 THEN {o.HOST} || ' Falls' ELSE {o.HOST} END AS c0, {_CODE_SQL} AS c1,
+  'State of ' || {_CODE_SQL} AS c2, 'County ' || CAST(page_id % 40 AS VARCHAR) AS c3, {o.HOST} AS c4 FROM pages
+  UNION ALL {o.rows(['a', 'b', 'c', 'd', 'e'], fx.SEED_CITIES)}""",
+    "extra_cities": f"""SELECT CAST(p_partkey AS VARCHAR) AS c0, {_PART_CODE_SQL} AS c1, 'State of ' || {_PART_CODE_SQL} AS c2,
+  {o.title('p_name')} AS c3, NULL AS c4, CAST(p_partkey AS VARCHAR) AS c5, CAST(p_partkey AS VARCHAR) AS c6 FROM part
+  UNION ALL {o.rows(['a', 'b', 'c', 'd', 'e', 'f', 'g'], fx.SEED_EXTRA_CITIES)}""",
+}
+for _name, _source in _FILE_SOURCES.items():
+    _layout = readers.FORMATS[_name]
+    register(f"{_name}_file", _file_sql(_source, _layout, "extra"))(_file_rows(f"raw_{_name}", _layout, "extra"))
+
+
 # --- Lookups ------------------------------------------------------------------------------
 def found_in_notes(spark: SparkSession, sf: str) -> DataFrame:
     lexicon = fx.lexicon(spark, sf)
@@ -517,6 +579,25 @@ def _(spark, sf):
     return quality.label_validation_counts(annotated(spark, sf, ["label_code"]))
 
 
+@register(
+    "counts_beside_labels",
+    chain_sql(
+        "SELECT 'code_' || CAST(label_code AS VARCHAR) AS outcome, count(*) AS n_notes FROM annotated GROUP BY label_code"
+        " UNION ALL SELECT CASE WHEN equal THEN 'equal' ELSE 'unequal' END, count(*) FROM annotated WHERE label_code = 1 GROUP BY equal"
+        " UNION ALL SELECT 'rows', count(DISTINCT cleaned) FROM annotated WHERE label_code = 1 AND equal"
+    ),
+)
+def _(spark, sf):
+    """Label counts taken while the label rows are written, and how many rows were."""
+    rows, seen = counted_labels(fx.notes(spark, sf), fx.lexicon(spark, sf))
+    path = f"{spark.sparkContext.getCheckpointDir()}/labels-{uuid.uuid4().hex}"
+    write_labels(rows, path)
+    counts = [F.struct(F.lit(k).alias("outcome"), F.lit(n).cast("long").alias("n_notes")) for k, n in seen.get.items() if n]
+    rows = spark.read.parquet(path).agg(F.count("*").alias("rows"))
+    every = F.array(*counts, F.struct(F.lit("rows").alias("outcome"), F.col("rows").alias("n_notes")))
+    return rows.select(F.explode(every).alias("x")).select("x.*")
+
+
 @register(
     "split_equals_counts",
     chain_sql(
@@ -599,6 +680,58 @@ def _(spark, sf):
     return rows.select("doc_id", tokens.restore_specials(F.col("cleaned"), F.col("locations")).alias("restored"))
 
 
+# Characters of a text that its cleaned form keeps are those of its tokens, in their order.
+_SOLID_SQL = f"regexp_matches(c, {o.rx(f'[^{o.S_}]')}) AND c NOT IN (',', '[', ']')"
+
+
+_SPANS_SQL = f"""valid AS MATERIALIZED (SELECT * FROM annotated WHERE label_code = 1 AND equal),
+kept AS MATERIALIZED (
+  SELECT doc_id, place, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) AS c, unnest(range(0, length(text))) AS place FROM valid)
+  WHERE {_SOLID_SQL}),
+pieces AS (
+  SELECT doc_id, unnest(string_split(iob, ' ')) AS label, unnest(range(0, length_text)) AS i,
+    unnest(list_transform(regexp_extract_all(cleaned, {o.rx(f'[^{o.S_}]+')}), lambda t: length(t))) AS n
+  FROM valid),
+placed AS (
+  SELECT doc_id, i, label, sum(n) OVER w - n AS a, sum(n) OVER w - 1 AS b FROM pieces
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (
+  SELECT *, sum(CASE WHEN label LIKE 'B-%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM placed),
+spans AS (
+  SELECT t.doc_id, span, min(s.place) AS start_at, max(e.place) + 1 AS end_at, any_value(label[3:]) AS tag
+  FROM numbered t
+  JOIN kept s ON s.doc_id = t.doc_id AND s.k = t.a
+  JOIN kept e ON e.doc_id = t.doc_id AND e.k = t.b
+  WHERE label <> 'O' GROUP BY t.doc_id, span)"""
+
+
+@register(
+    "label_spans",
+    o.with_chain(
+        [*o.CHAIN, _SPANS_SQL],
+        "SELECT doc_id, CAST(start_at AS INT) AS start_at, CAST(end_at AS INT) AS end_at, tag,"
+        " substr(text, start_at + 1, end_at - start_at) AS covered FROM spans JOIN valid USING (doc_id)",
+    ),
+)
+def _(spark, sf):
+    """Labelled stretches of the notes as they were given."""
+    return spans_of_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
+
+
+@register(
+    "edit_scripts",
+    chain_sql("SELECT doc_id, text AS restored, cleaned, CAST(length_text AS INT) AS n_tokens FROM annotated"),
+)
+def _(spark, sf):
+    """Original and cleaned text of every usable note, both from its edit script."""
+    rows = annotate_notes(fx.notes(spark, sf), fx.lexicon(spark, sf), with_script=True, columns=["script"])
+    return rows.select(
+        "doc_id", tokens.restore_text(F.col("script")).alias("restored"), tokens.cleaned_of(F.col("script")).alias("cleaned"),
+        (F.size("script") - 1).alias("n_tokens"),
+    )
+
+
 @register(
     "tagger_rejects",
     chain_sql(

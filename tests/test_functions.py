@@ -148,3 +148,43 @@ def test_token_counts_by_blanks_or_by_pattern(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["n"] for r in rows.select(token_count(F.col("t")).alias("n")).collect()]
     assert got == [None if t is None else len(t.split()) for t in texts]
+
+
+ODD_TEXTS = [
+    "", " ", "a", " a  b ", "a,b [c]\td\r\n e", ",", "[]", "x\u00a0y\x0bz", "é 日本,😀! it's", "\ufdd0 a\ufdd1,b \ufdd0",
+    "Dr. Klein, MD (x)--y", "PersonName, b", "".join(chr(c) for c in range(0xFDD0, 0xFDEF)) + " a,b", "a.b.c " * 700,
+]
+
+
+def test_edit_scripts_lose_nothing(spark):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS)], "i int, text string")
+    masked = F.regexp_replace(F.regexp_replace("text", "Klein", "PersonName"), r"\(x\)--y", "PhoneNumber")
+    script = tokens.edit_script(F.col("text"), F.col("masked"))
+    cleaned = tokens.clean_text(tokens.space_specials(F.col("text"), F.col("masked")))
+    rows = rows.withColumn("masked", masked).withColumns({"script": script, "cleaned": cleaned})
+    rows = rows.withColumns({"restored": tokens.restore_text(F.col("script")), "again": tokens.cleaned_of(F.col("script"))})
+    for r in rows.collect():
+        assert r["restored"] == r["text"] and r["again"] == r["cleaned"], repr(r["text"][:40])
+        pieces = [p for p in r["script"] if p["token"] is not None]
+        assert [p["token"] for p in pieces] == r["cleaned"].split()
+        assert all(r["text"][p["start"] :].startswith(p["token"]) for p in pieces)
+        assert r["script"][-1]["token"] is None and len(pieces) == len(r["script"]) - 1
+
+
+def test_no_script_without_alignment(spark):
+    every = "".join(chr(c) for c in range(0xFDD0, 0xFDF0))
+    for text, masked in [("a b", "a"), (every, every), (None, "a"), ("a", None)]:
+        assert one(spark, tokens.edit_script(F.col("t"), F.col("m")), t=text, m=masked) is None
+
+
+def test_label_spans_of_tokens(spark):
+    def spans(text, masked, iob):
+        script = tokens.edit_script(F.col("t"), F.col("m"))
+        found = one(spark, tokens.label_spans(script, F.col("l")), t=text, m=masked, l=iob)
+        return found and [(r["start"], r["end"], r["tag"]) for r in found]
+
+    text, masked = "At\tAnn  Lee, Bo", "At\tPersonName  PersonName, PersonName"
+    assert spans(text, masked, "O B-PersonName I-PersonName B-PersonName") == [(3, 11, "PersonName"), (13, 15, "PersonName")]
+    assert spans(text, masked, "O O O O") == []
+    assert spans(text, masked, "O O O") is None
+    assert spans("", "", "") == []

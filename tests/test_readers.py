@@ -40,3 +40,30 @@ def test_files_to_labels(spark, tmp_path):
     assert back.columns == ["note_id", "body", "cleaned", "iob", "masked"]
     assert back.first()["masked"] == "PersonName in PAddress, PAddress"
     assert readers.sample_rows(back, 1).count() == 1
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    layout = readers.FORMATS["cities"]
+    path = tmp_path / "cities.csv"
+    path.write_text('a|b|c|d|e\nLincoln|NE|Nebraska|Lancaster|Linc\nshort|NE\n\n"Quo|ted"|NE|N|L|Q\nlong|NE|N|L|Q|more\n||||\n')
+    rows, seen = readers.load_checked(spark, str(path), layout, str(tmp_path / "bad"))
+    assert sorted(tuple(r) for r in rows.na.fill("").collect()) == [
+        ("", "", "", "", ""), ("Lincoln", "NE", "Nebraska", "Lancaster", "Linc"), ("Quo|ted", "NE", "N", "L", "Q"),
+    ]
+    assert seen == {"lines": 5, "bad": 2}
+    bad = spark.read.json(str(tmp_path / "bad")).collect()
+    assert sorted(r[readers.BAD_LINE] for r in bad) == ["long|NE|N|L|Q|more", "short|NE"]
+    assert all(r["file"].endswith("cities.csv") for r in bad)
+
+
+def test_checked_files_of_other_layouts(spark, tmp_path):
+    wide = readers.FileFormat(("name", "count"))
+    (tmp_path / "names.csv").write_text("name,count\nSarah,1\nKlein\nO'Brien,2\n")
+    lines = readers.read_checked(spark, str(tmp_path / "names.csv"), wide)
+    assert sorted(r["name"] for r in readers.good_lines(lines).select("name", "count").collect()) == ["O'Brien", "Sarah"]
+    (tmp_path / "extra.csv").write_bytes("h,h,h,h,h,h,h\n1,PR,Puerto Rico,Mayagüez,M,1,2\n".encode("latin1"))
+    extra = readers.good_lines(readers.read_checked(spark, str(tmp_path / "extra.csv"), readers.FORMATS["extra_cities"]))
+    assert extra.first()["City"] == "Mayagüez"
+    (tmp_path / "none.txt").write_text("")
+    rows, seen = readers.load_checked(spark, str(tmp_path / "none.txt"), readers.FORMATS["states"], str(tmp_path / "q"))
+    assert rows.count() == 0 and seen == {"lines": 0, "bad": 0}
