@@ -300,10 +300,19 @@ def _words(text: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 
 def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Sorts the suffixes of some phrases by trigger and by their first LENGTH bytes."""
+    """Sorts the suffixes of some phrases by trigger and by their first LENGTH bytes.
+
+    Suffixes whose window has a hash of its own are left out first: nothing else begins like them."""
     counts = meta["size"].astype(np.int64) - LENGTH + 1
     phrase = np.repeat(np.arange(len(meta)), counts)
     offset = np.arange(len(phrase)) - np.repeat(np.cumsum(counts) - counts, counts)
+    sizes = meta["size"].astype(np.int64)
+    own = np.cumsum(sizes) - sizes
+    text, begin = text[np.repeat(begin - own, sizes) + np.arange(int(sizes.sum()))], own  # only these phrases
+    again = _met_again(text, begin[phrase] + offset)
+    phrase, offset = phrase[again], offset[again]
+    if not len(phrase):
+        return np.zeros(0, [*_SPAN.descr, ("chunk", "<i4")])
     words = _words(text, begin[phrase] + offset)
     trigger = np.concatenate([[0], np.cumsum(meta["trigger"][1:] != meta["trigger"][:-1])])[phrase]
     order = np.lexsort((*words[::-1], trigger))
@@ -321,6 +330,21 @@ def _shared(meta: np.ndarray, begin: np.ndarray, text: np.ndarray) -> np.ndarray
     return out
 
 
+def _met_again(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the windows that begin at these places have the hash of another one."""
+    up, down = _powers(len(text))
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_BYTE_CODES[text] * up[: len(text)], out=total[1:])
+    name = (total[at + LENGTH] - total[at]) * down[at]
+    name = (name ^ (name >> np.uint64(31))) * _MIX
+    order = np.argsort(name)
+    same = name[order[1:]] == name[order[:-1]]
+    again = np.zeros(len(at), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    return np.flatnonzero(again)
+
+
 _WINDOWS = "chunk int, bucket int, kind int, trigger long, salt int, docs binary, meta binary, data binary"
 _LEAST = "chunk int, trigger long, salt int, docs binary"
 

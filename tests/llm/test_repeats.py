@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from notemask.llm import repeats
@@ -85,3 +86,18 @@ def test_a_hot_trigger_in_many_tasks(documents, monkeypatch):
 
 def most_windows(rest):
     return max(r["sum(windows)"] for r in rest.groupBy("bucket").sum("windows").collect())
+
+
+def test_windows_that_meet_again():
+    text = np.frombuffer(b"".join([PASSAGE, b"1", PASSAGE[:60], b"-" * 300]), np.uint8)
+    at = np.arange(len(text) - 49)
+    windows = [bytes(text[i : i + 50]) for i in at]
+    want = [i for i, w in enumerate(windows) if windows.count(w) > 1]
+    assert repeats._met_again(text, at).tolist() == want
+
+
+PASSAGE = bytes(random.Random(3).choices(b"abcdefgh ", k=200))
+
+
+def test_a_long_run_of_one_letter(documents):
+    check(documents([(1, "x" * 30 + "-" * 20_000), (2, "-" * 9_000 + "y"), (3, "-" * 49)]))
