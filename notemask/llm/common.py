@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set (local tests)."""
+    """The folder that driver and executors share; one of our own only in a local session where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="notemask-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -63,15 +65,20 @@ def releasing(process: Callable[[Batches], Batches]) -> Callable[[Batches], Batc
         try:
             yield from process(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            release_memory()
 
     return run
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str]]]:
     """Ranges of rows of about `limit` bytes with their texts, of which only these are Python strings at a time."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)

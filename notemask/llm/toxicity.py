@@ -15,15 +15,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, releasing, sigmoid, table, text_slices, texts
+from .common import held_out, labelled_sample, release_memory, releasing, sigmoid, table, text_slices, texts
 
 #: Fold of the labelled rows that nothing is learnt from.
 MODULUS, FOLD = 5, 0
-#: Bounds of the samples that the network and the thresholds are fitted on: rows of each label, and bytes of a text.
-PER_CLASS, CALIBRATION, MAX_BYTES = 3000, 20_000, 1 << 20
+#: Bounds of the sample that the network is fitted on: rows of each label, and bytes of a text.
+PER_CLASS, MAX_BYTES = 3000, 1 << 20
+#: One in so many labelled rows is for the thresholds. Bins of a logit of 1 in their histogram and its half width, rows
+#: that a language's counts are eased by, and the half width of the one row of each label that all counts are eased by.
+CALIBRATED_IN, BINS, MOST_BINS, PRIOR, BASE = 4, 16, 512, 20.0, 4
 
 #: Rows of an embedding table, below 2^16; the one after them is padding.
 BUCKETS = (1 << 16) - 1
@@ -127,9 +130,9 @@ class Adam:
         return rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + 1e-8)
 
 
-def train(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
-    """Fits the network, and thresholds on the same rows for want of others (see `fit`). Without rows of both labels
-    the score is the share of label 1, and 0 without any row."""
+def train(docs: list[np.ndarray], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> Model:
+    """Fits the network; thresholds are 0 (see `fit`). Without rows of both labels the score is the share of label 1,
+    and 0 without any row."""
     random = np.random.default_rng(seed)
     n_out = len(WIDTHS) * FILTERS
     model = Model(
@@ -151,8 +154,6 @@ def train(docs: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, langs
         order = random.permutation(len(docs))
         for at in range(0, len(order), BATCH):
             _learn(model, [docs[i] for i in order[at : at + BATCH]], labels[order[at : at + BATCH]], even, opt, squares, rate)
-    logits = np.concatenate([model.logits([d]) for d in docs])
-    calibrate(model, logits, model.languages(docs), labels, weights)
     return model
 
 
@@ -203,57 +204,57 @@ def fit_languages(model: Model, docs: list[np.ndarray], langs: list[str | None])
     model.thresholds = np.zeros(len(names))
 
 
-def calibrate(model: Model, logits: np.ndarray, guessed: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> None:
-    """For each language the threshold with the best F1, midway between the neighbouring logits; a language with few
-    rows of label 1 takes that of all rows."""
+def calibrate(model: Model, counts: np.ndarray) -> None:
+    """For each language the threshold with the best F1, from counts of logits (language, bin, label).
 
-    def best(mine: np.ndarray) -> float | None:
-        order = np.argsort(-logits[mine], kind="stable")
-        s, y, w = logits[mine][order], labels[mine][order], weights[mine][order]
-        if len(set(y.tolist())) < 2:
-            return None
-        true = np.cumsum(y * w)
-        f1 = 2 * true / (np.cumsum(w) + (y * w).sum())
+    A language's counts are eased toward those of all languages, as if `PRIOR` rows more were spread like these, and
+    those toward a threshold of 0, so that thresholds move with the rows however few there are."""
+    bins = counts.shape[1]
+    middle = (np.arange(bins) - bins // 2 + 0.5) / BINS
+    base = np.stack([(middle < 0) & (middle > -BASE), (middle > 0) & (middle < BASE)], 1) / (BASE * BINS)
+    overall = counts.sum(axis=0) + base
+    for lang in range(len(model.thresholds)):
+        eased = counts[lang] + PRIOR * overall / overall.sum()
+        used = np.flatnonzero(eased.sum(axis=1))[::-1]
+        true, every = np.cumsum(eased[used, 1]), np.cumsum(eased[used].sum(axis=1))
+        f1 = 2 * true / (every + eased[:, 1].sum())
         k = int(np.argmax(f1))
-        return float(s[k] + s[k + 1]) / 2 if k + 1 < len(s) else float(s[k]) - 0.5
+        model.thresholds[lang] = (middle[used[k]] + middle[used[min(k + 1, len(used) - 1)]]) / 2
 
-    overall = best(np.arange(len(labels))) or 0.0
-    for lang in range(len(model.thresholds)):
-        mine = np.flatnonzero(guessed == lang)
-        own = best(mine) if (labels[mine] == 1).sum() >= 10 else None
-        model.thresholds[lang] = overall if own is None else own
+
+def for_thresholds(doc_id: Column) -> Column:
+    """The fold of the labelled rows that thresholds are calibrated on; the network learns from the others."""
+    return F.pmod(F.xxhash64(F.lit("thresholds"), doc_id), F.lit(CALIBRATED_IN)) == 0
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The network of a bounded sample of labelled documents (see `labelled_sample`), fitted on the driver, with
-    thresholds of a larger one, whose logits the tasks compute; rows that the network learnt from are left out of it
-    if enough others are there."""
-    sample = labelled_sample(docs, labels, "toxic", MODULUS, FOLD, PER_CLASS, MAX_BYTES)
+    thresholds from all labelled documents of a fold of their own, whose logits the tasks compute and count."""
+    sample = labelled_sample(docs, labels.filter(~for_thresholds(F.col("doc_id"))), "toxic", MODULUS, FOLD, PER_CLASS, MAX_BYTES)
 
     @releasing
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
         for b in batches:
             words = pa.array([hashed_words(t, known).tobytes() for t in texts(b.column("text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [words, *(b.column(c) for c in ("lang", "label", "weight", "key"))],
-                ["words", "lang", "label", "weight", "key"],
-            )
+            yield pa.RecordBatch.from_arrays([words, *(b.column(c) for c in ("lang", "label", "key"))], ["words", "lang", "label", "key"])
 
     keyed = sample.withColumn("key", F.xxhash64("doc_id"))
-    rows = keyed.mapInArrow(hashed, "words binary, lang string, label int, weight double, key long").toArrow()
+    rows = keyed.mapInArrow(hashed, "words binary, lang string, label int, key long").toArrow()
     rows = rows.sort_by([("key", "ascending"), ("words", "ascending")])
     words = [np.frombuffer(x, np.uint16).reshape(-1, TABLES) for x in rows.column("words").to_pylist()]
-    label, key = rows.column("label").to_numpy().astype(np.int64), rows.column("key").to_numpy()
-    model = train(words, label, rows.column("weight").to_numpy(), rows.column("lang").to_pylist())
+    model = train(words, rows.column("label").to_numpy().astype(np.int64), rows.column("lang").to_pylist())
+    del rows, words
+    release_memory()  # the driver runs what comes next
     if model.constant is None:
-        # samples go by hash order, so the rows that were learnt from are those up to the last key of each label
-        recalibrate(model, docs, labels, {c: int(key[label == c].max()) for c in (0, 1)})
+        calibrate(model, logit_counts(model, docs, labels))
     return model
 
 
-def recalibrate(model: Model, docs: DataFrame, labels: DataFrame, learnt: dict[int, int]) -> None:
-    sample = labelled_sample(docs, labels, "toxic", MODULUS, FOLD, CALIBRATION, MAX_BYTES)
+def logit_counts(model: Model, docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    """Labelled documents of the fold for thresholds by guessed language, bin of their logit, and label.
+
+    Their texts are scored where they are read; only ids, bins and labels are shuffled."""
 
     @releasing
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,19 +262,22 @@ def recalibrate(model: Model, docs: DataFrame, labels: DataFrame, learnt: dict[i
         for b in batches:
             for i, j, rows in text_slices(b.column("text"), SLICE):
                 words = [hashed_words(t, known) for t in rows]
+                bins = np.clip(np.floor(model.logits(words) * BINS), -MOST_BINS, MOST_BINS - 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(model.logits(words).astype(np.float64)), pa.array(model.languages(words).astype(np.int32)),
-                     *(b.column(c).slice(i, j - i) for c in ("label", "weight", "key"))],
-                    ["logit", "guessed", "label", "weight", "key"],
-                )
+                    [b.column("doc_id").slice(i, j - i), pa.array(bins), pa.array(model.languages(words).astype(np.int32))],
+                    ["doc_id", "bin", "guessed"],
+                )
 
-    keyed = sample.withColumn("key", F.xxhash64("doc_id"))
-    rows = keyed.mapInArrow(measured, "logit double, guessed int, label int, weight double, key long").toArrow()
-    logit, guessed, label, weight, key = (rows.column(c).to_numpy() for c in ("logit", "guessed", "label", "weight", "key"))
-    fresh = key > np.where(label == 1, learnt[1], learnt[0])
-    if min((label[fresh] == c).sum() for c in (0, 1)) < 200:
-        fresh[:] = True
-    calibrate(model, logit[fresh], guessed[fresh], label[fresh].astype(np.int64), weight[fresh])
+    fold = F.col("doc_id").isNotNull() & for_thresholds(F.col("doc_id")) & ~held_out(F.col("doc_id"), MODULUS, FOLD)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.filter(fold).select("doc_id", F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(measured, f"doc_id {kind}, bin int, guessed int")
+    known = labels.filter(fold).select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("label"))
+    found = scored.join(known.filter(F.col("label").isin(0, 1)).hint("merge"), F.col("doc_id") == F.col("of"))
+    counts = np.zeros((len(model.thresholds), 2 * MOST_BINS, 2))
+    for lang, bin_, label, n in found.groupBy("guessed", "bin", "label").count().collect():  # languages x bins x 2 at most
+        counts[lang, bin_ + MOST_BINS, label] = n
+    return counts
 
 
 def batch_scores(model: Model, column: pa.Array, known: Hashes) -> np.ndarray:

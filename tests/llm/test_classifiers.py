@@ -62,7 +62,7 @@ def test_pooling_equals_brute_force():
     random = np.random.default_rng(0)
     model = toxicity.train(
         [random.integers(0, toxicity.BUCKETS, (n, toxicity.TABLES)).astype(np.uint16) for n in (3, 1, 8, 2, 5, 4)],
-        np.array([0, 1, 0, 1, 0, 1]), np.ones(6), ["en", "de", None, "en", "de", "en"],
+        np.array([0, 1, 0, 1, 0, 1]), ["en", "de", None, "en", "de", "en"],
     )
     docs = [random.integers(0, toxicity.BUCKETS, (n, toxicity.TABLES)).astype(np.uint16) for n in (0, 1, 2, 7, 30)]
     want = []
@@ -107,3 +107,23 @@ def test_line_features_count():
     own, chars, lines = line_crf.line_features(codes, np.cumsum([0, *map(len, texts)]))
     assert lines.tolist() == [2, 0, 2] and chars.tolist() == [11, 19, 15, 15]
     assert own[:, 14].tolist() == [0, 0, 0, 1] and own[2, 12] == pytest.approx(0.8)
+
+
+def test_thresholds_move_with_the_rows():
+    """No rows: 0. A language with few rows is near that of all; with many, where its own labels part."""
+    model = toxicity.train([np.zeros((1, toxicity.TABLES), np.uint16)] * 2, np.array([0, 1]), ["de", "en"])
+
+    def thresholds(*rows):
+        counts = np.zeros((2, 2 * toxicity.MOST_BINS, 2))
+        for lang, logit, label, n in rows:
+            counts[lang, int(logit * toxicity.BINS) + toxicity.MOST_BINS, label] += n
+        toxicity.calibrate(model, counts)
+        return model.thresholds.tolist()
+
+    assert all(abs(t) < 0.2 for t in thresholds())
+    both = [(0, -5, 0, 1000), (0, 5, 1, 500)]
+    de, en = thresholds(*both)
+    assert -5 <= de <= 5 and abs(de - en) < 2
+    _, near = thresholds(*both, (1, 1, 0, 2), (1, 9, 1, 1))
+    _, far = thresholds(*both, (1, 6, 0, 3000), (1, 9, 1, 2000))
+    assert near < 6 and 6 <= far <= 9
