@@ -12,6 +12,7 @@ exactly the one that merging finds. The model's own type decides.
 
 from __future__ import annotations
 
+import heapq
 import hashlib
 import re
 from collections.abc import Iterator
@@ -138,17 +139,26 @@ class Vocabulary:
         if n not in self.blank_runs:
             index = {self.pieces[i]: int(i) for i in self.ids.tolist() if set(self.pieces[i]) == {SPACE}}
             made = {len(p): (i, float(self.scores[i])) for p, i in index.items()}
-            sizes = [1] * n
-            while True:
-                best = None
-                for k in range(len(sizes) - 1):
-                    total = sizes[k] + sizes[k + 1]
-                    if total in made and (best is None or made[total][1] > best[0]):
-                        best = (made[total][1], k)
-                if best is None:
-                    break
-                k = best[1]
-                sizes[k : k + 2] = [sizes[k] + sizes[k + 1]]
+            sizes, before, behind = [1] * n, list(range(-1, n - 1)), list(range(1, n + 1))
+            waiting: list[tuple[float, int, int, int]] = []  # score, place and sizes of neighbours that may merge
+
+            def offer(k: int) -> None:
+                if k >= 0 and behind[k] < n and (total := sizes[k] + sizes[behind[k]]) in made:
+                    heapq.heappush(waiting, (-made[total][1], k, sizes[k], sizes[behind[k]]))
+
+            for k in range(n - 1):
+                offer(k)
+            while waiting:
+                _, k, own, other = heapq.heappop(waiting)
+                next_ = behind[k]
+                if sizes[k] != own or next_ >= n or sizes[next_] != other:
+                    continue  # one of them has merged since
+                sizes[k], sizes[next_], behind[k] = own + other, 0, behind[next_]
+                if behind[k] < n:
+                    before[behind[k]] = k
+                offer(before[k])
+                offer(k)
+            sizes = [s for s in sizes if s]
             if len(self.blank_runs) > 10_000:
                 self.blank_runs.clear()
             self.blank_runs[n] = [made[s][0] for s in sizes]

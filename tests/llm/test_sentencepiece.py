@@ -68,3 +68,10 @@ def test_cache_limits_change_nothing(monkeypatch, table, vocabulary):
     monkeypatch.setattr(sp, "CELLS", 64)
     encoder = sp.Encoder(vocabulary)
     assert [encoder.encode([t])[0].tolist() for t in texts] == want
+
+
+def test_a_long_run_of_blanks(vocabulary):
+    processor = library.SentencePieceProcessor(model_file=sp.MODEL_PATH)
+    for n in [*range(70), 1000, 60_001]:
+        text = "a" + " " * n + "b"
+        assert sp.Encoder(vocabulary).encode([text])[0].tolist() == processor.encode(text)
