@@ -62,14 +62,14 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MA
     )
 
 
-def mix(sized: DataFrame, seed: str = "mix", digits: int = RANGE_DIGITS) -> DataFrame:
+def mix(sized: DataFrame, seed: str = "mix", digits: int = RANGE_DIGITS, tie: str | None = None) -> DataFrame:
     """Words taken of every document: columns of `sized` (doc_id, source, size, ...) plus source_size, target, taken.
 
     Keys are MD5 of seed, doc_id and size, so that reruns agree and equal rows lie next to each other. The budget of a
     source is its target, rounded down: whole epochs of everything, then one more pass in key order that stops at the
     budget exactly, inside a document if need be. Documents without words take nothing. Null sources are a source of
-    their own; repeated rows are documents of their own; of rows with equal keys any may come first, they have equal
-    sizes. An empty table gives an empty result.
+    their own; repeated rows are documents of their own; of rows with equal keys the one with the least `tie` comes
+    first, any without it: they have equal sizes. An empty table gives an empty result.
     """
     key = F.md5(F.encode(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size"), "UTF-8"))
     keyed = sized.withColumn("key", key).withColumn("range", F.substring("key", 1, digits))
@@ -77,7 +77,7 @@ def mix(sized: DataFrame, seed: str = "mix", digits: int = RANGE_DIGITS) -> Data
     goal = targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select("source", "range", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("source", "range").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "range").orderBy("key", *([tie] if tie else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = _join(placed, offsets, ["source", "range"])
     placed = _join(placed, goal, ["source"])
@@ -112,20 +112,33 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself, with the columns of `docs`: one row for each time that a document is taken; the copy in which
     a source's budget ends is cut after its last taken word. Documents of which nothing is taken don't appear.
 
-    What is taken is matched to the rows by doc_id, source and size; of rows that agree in all three, each is taken
-    as often as the one of which most is taken.
+    Rows of one doc_id, source and text are one unit of the mix; what is taken of a unit goes to its rows in turn, so
+    that each source's words are its budget exactly, whatever rows repeat and whatever ids are null. Columns may have
+    any names.
     """
-    mark = ["doc_id", "source", "size"]
-    plan = mix(sized_documents(docs), seed).filter("taken > 0").groupBy(*mark).agg(F.max("taken").alias("taken"))
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    rows = docs.select(row.alias("row")).select(
-        "row", "row.doc_id", F.col("row.source").cast("string").alias("source"), n_words(F.col("row.text")).alias("size")
+    source = F.col("row.source").cast("string")
+    text = F.col("row.text").cast("string")
+    # length prefixes keep units of different rows apart
+    shown = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    unit = F.md5(F.encode(F.concat(shown(F.col("row.doc_id").cast("string")), shown(source), shown(text)), "UTF-8"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    number = F.col("row.doc_id").cast("string").alias("id")
+    rows = rows.select("row", unit.alias("unit"), number, source.alias("source"), n_words(text).alias("size"))
+    units = rows.groupBy("unit", "id", "source", "size").agg(F.count("*").alias("n"))
+    named = F.coalesce(F.col("id"), F.col("unit")).alias("doc_id")  # rows without id have keys of their own too
+    sized = written(units.select("unit", named, "source", (F.col("n") * F.col("size")).alias("size")), "sizes")
+    plan = mix(sized, seed, tie="unit").filter("taken > 0").select(
+        F.col("unit").alias("of"), F.floor(F.col("taken") / F.col("size")).alias("epochs"), (F.col("taken") % F.col("size")).alias("rest")
     )
+    place = F.row_number().over(Window.partitionBy("unit").orderBy("unit")) - 1
+    found = rows.withColumn("place", place).join(plan.hint("merge"), F.col("unit") == F.col("of"))
+    own = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("place") * F.col("size")))
+    found = found.withColumn("taken", F.col("epochs") * F.col("size") + own).filter("taken > 0")
     times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    copies = _join(rows, plan.hint("merge"), mark).withColumn("time", F.explode(times))
+    copies = found.withColumn("time", F.explode(times))
     left = F.col("taken") - (F.col("time") - 1) * F.col("size")
-    text = F.when(left >= F.col("size"), F.col("row.text")).otherwise(first_words(F.col("row.text"), left))
-    return copies.withColumn("cut", text).select(
+    cut = F.when(left >= F.col("size"), F.col("row.text")).otherwise(first_words(F.col("row.text"), left))
+    return copies.withColumn("cut", cut).select(
         *(F.col("cut").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns)
     )
 

@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from notemask.llm import mixing
 
@@ -74,3 +75,32 @@ def test_mixed_documents_have_the_taken_words(documents):
         got[r.doc_id] += len(r.text.split())
         assert texts[r.doc_id].startswith(r.text)
     assert got == Counter({d: n for d, n in plan.items() if n})
+
+
+def test_rows_that_agree_are_taken_in_turn(documents):
+    """Null ids of one size and repeated rows: every source gives its budget exactly, and reruns agree."""
+    rows = [(None, f"a{i % 40} b c d e") for i in range(300)] + [(7, "same text of five words")] * 30 + [(8, f"x y z {i % 3}") for i in range(30)]
+    docs = documents(rows)
+    frames = [docs.filter("doc_id IS NULL").withColumn("source", F.expr("element_at(array('a', 'b', 'c'), int(hash(text) % 3 + 3) % 3 + 1)"))]
+    frames.append(docs.filter("doc_id IS NOT NULL"))
+    docs = frames[0].unionByName(frames[1])
+    words = lambda t: len(t.split())
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.source] += words(r.text)
+    taken = Counter()
+    mixed = mixing.mixed_documents(docs).collect()
+    for r in mixed:
+        taken[r.source] += words(r.text)
+    assert taken == Counter({s: int(t + 1e-6) for s, t in water(sizes).items()})
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, mixed))
+
+
+def test_three_sources_without_ids(documents):
+    docs = [documents([(None, f"{s} {i} x y z") for i in range(100)], source=None).drop("source").withColumn("source", F.lit(s)) for s in "abc"]
+    docs = docs[0].unionByName(docs[1]).unionByName(docs[2])
+    taken = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        taken[r.source] += len(r.text.split())
+    assert taken == {"a": 250, "b": 500, "c": 750}
