@@ -76,16 +76,18 @@ def format_preferences(pairs: DataFrame, chosen: str = "chosen", rejected: str =
     """
     none = F.array().cast(pairs.schema[chosen].dataType)
     a, b = F.coalesce(F.col(chosen), none), F.coalesce(F.col(rejected), none.cast(pairs.schema[rejected].dataType))
-    rows = pairs.withColumns({"_a": a, "_b": b}).withColumn("n_common", common_turns(F.col("_a"), F.col("_b")))
+    made = ["n_common", "prompt", "chosen_text", "rejected_text", "chosen_loss", "rejected_loss"]
+    given = [F.col(f"`{c}`") for c in pairs.columns if c not in made]
+    rows = pairs.select(F.struct(*given).alias("row"), a.alias("a"), b.alias("b"))  # other columns may have any names
+    rows = rows.withColumn("n_common", common_turns(F.col("a"), F.col("b")))
     rest = lambda c: F.slice(F.col(c), F.col("n_common") + 1, F.size(c))
-    rows = rows.withColumns({"_head": F.slice("_a", F.lit(1), F.col("n_common")), "_a": rest("_a"), "_b": rest("_b")})
-    return rows.withColumns(
-        {
-            "prompt": rendered(F.col("_head")),
-            "chosen_text": rendered(F.col("_a")), "rejected_text": rendered(F.col("_b")),
-            "chosen_loss": loss_spans(F.col("_a")), "rejected_loss": loss_spans(F.col("_b")),
-        }
-    ).drop("_head", "_a", "_b")
+    rows = rows.withColumns({"head": F.slice("a", F.lit(1), F.col("n_common")), "a": rest("a"), "b": rest("b")})
+    columns = {
+        "prompt": rendered(F.col("head")),
+        "chosen_text": rendered(F.col("a")), "rejected_text": rendered(F.col("b")),
+        "chosen_loss": loss_spans(F.col("a")), "rejected_loss": loss_spans(F.col("b")),
+    }
+    return rows.select("row.*", "n_common", *(c.alias(name) for name, c in columns.items()))
 
 
 def preference_pairs(conversations: DataFrame) -> DataFrame:

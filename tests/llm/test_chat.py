@@ -50,3 +50,10 @@ def test_pairs_swap_the_last_reply(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_preferences(chat.preference_pairs(empty)).count() == 0
+
+
+def test_columns_with_any_names_stay(spark):
+    rows = spark.createDataFrame([([(0, "user", "x")], [(0, "user", "y")])], f"chosen {TURN}, rejected {TURN}")
+    names = ["_a", "_b", "_head", "row", "a", "b", "head"]
+    r = chat.format_preferences(rows.selectExpr("*", *(f"'mine' AS `{n}`" for n in names))).first()
+    assert all(r[n] == "mine" for n in names) and r.n_common == 0
