@@ -127,15 +127,16 @@ def duplicates(docs: DataFrame, size: int = BLOCK) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each group of equal texts, with all its columns."""
-    kept = duplicates(docs).filter("kept").select("doc_id", "key", F.col("copies").alias("__copies"))
-    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("key").alias("__kept_key"), "__copies")
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("__kept_id")) & (F.col("__key") == F.col("__kept_key"))
-    found = keyed.join(kept.hint("merge"), same)
+    """One row of each group of equal texts, with all its columns, whatever their names."""
+    kept = duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"), "copies")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = rows.select("row", F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.doc_id", text).alias("key"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    found = rows.join(kept.hint("merge"), same)
     # repeated rows of one id and text are rare; only they are grouped once more
-    repeated = found.filter("__copies > 1").dropDuplicates(["doc_id", "__key"])
-    return found.filter("__copies = 1").unionByName(repeated).select(*(F.col(f"`{c}`") for c in docs.columns))
+    repeated = found.filter("copies > 1").dropDuplicates(["doc_id", "key"])
+    return found.filter("copies = 1").unionByName(repeated).select("row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

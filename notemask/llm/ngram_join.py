@@ -585,16 +585,18 @@ def without_similar(docs: DataFrame) -> DataFrame:
 
     Rows without id are documents of their own: of those in one component, one is kept."""
     found = written(_labelled_rows(docs), "labelled")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     kept = found.filter((F.col("doc_id") != _NO_ID) & (F.col("doc_id") == F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.join(kept.hint("merge"), F.col("doc_id") == F.col("__kept_id"), "left_semi")
+    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+    named = rows.join(kept.hint("merge"), F.col("row.doc_id") == F.col("kept_id"), "left_semi").select("row.*")
     nameless = found.filter(F.col("doc_id") == _NO_ID)
-    first = nameless.filter("n_shingles > 0").groupBy("root").agg(F.min("key").alias("__key")).select("__key")
-    rows = docs.filter("doc_id is null").withColumn("__key", _row_key())
-    once = rows.join(first.hint("merge"), "__key").groupBy("__key").agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row"))
-    without_words = nameless.filter("n_shingles = 0").select(F.col("key").alias("__key")).distinct()
-    wordless = rows.join(without_words.hint("merge"), "__key", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
-    return named.unionByName(once.select("__row.*")).unionByName(wordless)
+    first = nameless.filter("n_shingles > 0").groupBy("root").agg(F.min("key").alias("key")).select("key")
+    text = F.xxhash64(F.col("row.text").cast("string").cast("binary"))
+    rows = rows.filter("row.doc_id is null").select("row", text.alias("key"))
+    once = rows.join(first.hint("merge"), "key").groupBy("key").agg(F.first("row").alias("row"))
+    without_words = nameless.filter("n_shingles = 0").select("key").distinct()
+    wordless = rows.join(without_words.hint("merge"), "key", "left_semi")
+    return named.unionByName(once.select("row.*")).unionByName(wordless.select("row.*"))
 
 
 def _across(shared: DataFrame, known: DataFrame, sets: DataFrame, n_buckets: int) -> DataFrame:

@@ -5,9 +5,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from notemask.llm import components, exact_dedup, ngram_join
+from notemask.llm import components, exact_dedup, mixing, ngram_join
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -170,7 +171,9 @@ def test_near_rows_without_id_or_of_one_id(documents):
     assert kept == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [1 << 18, 10])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(components, "PER_TASK", per_task)
     random.seed(8)
     links = [(i, i + 1) for i in range(0, 60)] + [(random.randint(100, 160), random.randint(100, 160)) for _ in range(40)] + [(7, 7)]
     links += [(500, i) for i in range(501, 560)]
@@ -183,7 +186,34 @@ def test_components(spark):
     assert found == root
 
 
-def test_components_do_not_stop_early(spark):
+def test_links_united_in_a_task():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 300):
+        a, b = rng.integers(0, 1 + n, (2, n)) * 7
+        nodes, roots = components.united(a, b)
+        want = {x: x for x in {*a.tolist(), *b.tolist()}}
+        for _ in want:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                want[x] = want[y] = min(want[x], want[y])
+        assert dict(zip(nodes.tolist(), roots.tolist(), strict=True)) == want
+    nodes, roots = components.united(np.arange(1, 100_001), np.arange(100_000))
+    assert not roots.any()
+
+
+def test_columns_with_any_names_stay(documents):
+    """Columns named like those that the operators use themselves."""
+    names = ["__key", "__copies", "__kept_id", "__row", "row", "key", "copies", "kept_id", "kept_key", "a", "unit", "place"]
+    base = " ".join(f"word{i}" for i in range(40))
+    docs = documents([(1, base), (2, base), (3, base + " more"), (None, "x y z"), (None, "x y z")], **{n: f"'mine {n}'" for n in names})
+    for stage in (exact_dedup.without_duplicates, ngram_join.without_similar, mixing.mixed_documents):
+        kept = stage(docs)
+        assert kept.columns == docs.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"mine {n}" for r in rows for n in names)
+
+
+def test_components_do_not_stop_early(spark, monkeypatch):
+    monkeypatch.setattr(components, "PER_TASK", 10)
     path = spark.createDataFrame([(i * 37 % 101, (i + 1) * 37 % 101) for i in range(60)], "a long, b long")
     with pytest.raises(RuntimeError, match="rounds"):
         components.components(path, most_rounds=1)
