@@ -10,7 +10,7 @@ as numbers, with a separator between pieces; such a row is a shard, written once
 2. Single words are pruned first, the others become separators. An FM-index of the row (the last columns of the sorted
    contexts of the row and of its reverse) then gives the pairs, which are pruned too. Words in no such pair become
    separators as well, and the FM-index of what is left, by contexts of `LONGEST` words, is written for each shard.
-3. Phrases grow one word a round. A shard keeps the intervals, in both columns, of its phrases that are left. Extending
+3. Phrases grow one word a round, and those of more than three words in one. A shard keeps the intervals, in both columns, of its phrases that are left. Extending
    all of them to the left gives intervals of longer phrases whose rest is left; extending all to the right gives those
    whose beginning is. A longer phrase that comes from both sides is counted: the size of its interval.
 
@@ -478,16 +478,26 @@ def _restored_phrases(row: dict, words: Words) -> Phrases:
     return Phrases(symbols, of, hashes)
 
 
-def _round(shard: int, langs: list[str], index: FmIndex, phrases: Phrases, words: Words, ranges: int, least: int, last: bool):
-    """What a shard sends in a round: its phrases, and unless it is the last, their intervals and the values of longer ones."""
+def _round(shard: int, langs: list[str], index: FmIndex, phrases: Phrases, words: Words, ranges: int, least: int, ahead: int):
+    """What a shard sends in a round: its phrases, and if longer ones are to come, their intervals and the values of
+    phrases that are up to `ahead` words longer."""
     yield _named(shard, langs, words, phrases, ranges)
-    if not last:
+    if ahead:
         yield _stored_phrases(shard, phrases)
-        longer = _grown(index, phrases, words)
-        yield _values(shard, longer.hashes, longer.of.size, ranges, least)
+        longer = _longer_ones(index, phrases, words, ahead)
+        hashes, sizes = (np.concatenate(x) for x in zip(*((p.hashes, p.of.size) for p in longer), strict=True))
+        yield _values(shard, hashes, sizes, ranges, least)
 
 
-def _indexed(ranges: int, least: int, last: bool):
+def _longer_ones(index: FmIndex, phrases: Phrases, words: Words, ahead: int) -> list[Phrases]:
+    """The phrases that are one word longer, those that are two words longer, and so on."""
+    found = [phrases]
+    for _ in range(ahead):
+        found.append(_grown(index, _left(found[-1], np.ones(len(found[-1].hashes), bool)), words))
+    return found[1:]
+
+
+def _indexed(ranges: int, least: int, ahead: int):
     """The index of a shard over the words of its pairs that are left, and its first round."""
 
     def build(shards: pa.Table, found: pa.Table) -> pa.Table:
@@ -512,13 +522,14 @@ def _indexed(ranges: int, least: int, last: bool):
             _SENT, shard=[shard["shard"]], kind=["index"], langs=[shard["langs"]], phrases=[_squeezed(b"\n".join(words.names))],
             lang_of=[_stored(words.lang_of)], last=[_stored(index.last)], last_back=[_stored(index.last_back)],
         )
-        return _sent([named, *_round(shard["shard"], shard["langs"], index, phrases, words, ranges, least, last)])
+        return _sent([named, *_round(shard["shard"], shard["langs"], index, phrases, words, ranges, least, ahead)])
 
     return build
 
 
-def _extended(ranges: int, least: int, last: bool):
-    """A further round of a shard: from its index and state, and the values of longer phrases that came back."""
+def _extended(ranges: int, least: int, more: int, ahead: int):
+    """A further round of a shard: from its index and state, and the values of phrases up to `more` words longer that came
+    back."""
 
     def extend(own: pa.Table, found: pa.Table) -> pa.Table:
         rows = {row["kind"]: row for row in own.to_pylist()}
@@ -530,9 +541,10 @@ def _extended(ranges: int, least: int, last: bool):
         words = Words(lang_of, _listed(names), _hashes(langs, lang_of, names), np.zeros(len(names), np.int64))
         kind = np.uint16 if len(names) < 1 << 16 else np.int64
         fm = FmIndex(*(_restored(index[x]).astype(kind) for x in ("last", "last_back")), len(names) + 1)
-        longer = _grown(fm, _restored_phrases(rows["state"], words), words)
-        phrases = _left(longer, _kept(longer.hashes, ranges, found))
-        return _sent(list(_round(index["shard"], langs, fm, phrases, words, ranges, least, last)))
+        longer = _longer_ones(fm, _restored_phrases(rows["state"], words), words, more)
+        *whole, phrases = [_left(p, _kept(p.hashes, ranges, found)) for p in longer]
+        named = [_named(index["shard"], langs, words, p, ranges) for p in whole]
+        return _sent([*named, *_round(index["shard"], langs, fm, phrases, words, ranges, least, ahead)])
 
     return extend
 
@@ -542,10 +554,10 @@ def _returned(sent: DataFrame, least: int) -> DataFrame:
     return values.groupBy("range").applyInArrow(_common(least), _FOUND_SQL)
 
 
-def _totals(sent: DataFrame, least: int, words: int) -> DataFrame:
+def _totals(sent: DataFrame, least: int) -> DataFrame:
     named = sent.filter("kind = 'named'").select("range", "langs", "phrases", "lang_of", "counts")
     found = named.groupBy("range").applyInArrow(_summed(least), "lang string, phrase string, f long")
-    return found.withColumn("words", F.lit(words))
+    return found.withColumn("words", F.size(F.split("phrase", " ")))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -570,15 +582,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
     found = _returned(rows.drop("row").mapInArrow(_words_sent(ranges, least), _SENT_SQL), least)
     words = written(found.withColumn("level", F.lit(1)), "frequent-words")
     sent = written(both(rows, words, _pairs_sent(ranges, least)), "phrases-1")
-    counts = _totals(sent, least, 1)
+    counts = _totals(sent, least)
     found = words.unionByName(_returned(sent, least).withColumn("level", F.lit(2)))
-    index = sent = written(both(rows, found, _indexed(ranges, least, longest == 2)), "phrases-2")
-    counts = counts.unionByName(_totals(sent, least, 2))
-    for size in range(3, longest + 1):
+    index = sent = written(both(rows, found, _indexed(ranges, least, min(1, longest - 2))), "phrases-2")
+    counts = counts.unionByName(_totals(sent, least))
+    # most triples are rare; few places are left after them, so all that is longer goes in one round
+    more = [x for x in (1, longest - 3) if x > 0][: max(0, longest - 2)]
+    for i, words_more in enumerate(more):
         own = index.filter("kind = 'index'").unionByName(sent.filter("kind = 'state'"))
-        step = _extended(ranges, least, size == longest)
-        sent = written(both(own, _returned(sent, least), step), f"phrases-{size}")
-        counts = counts.unionByName(_totals(sent, least, size))
+        step = _extended(ranges, least, words_more, more[i + 1] if i + 1 < len(more) else 0)
+        sent = written(both(own, _returned(sent, least), step), "longer-phrases")
+        counts = counts.unionByName(_totals(sent, least))
     return sizes, written(counts, "phrase-counts")
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from notemask.llm import collocations
 
@@ -72,6 +73,14 @@ def test_odd_rows(odd, documents):
     assert collocations.collocations(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("longest", [2, 3, 4])
+def test_shorter_limits(documents, longest):
+    docs = documents(spoken(6, 80))
+    _, counts = collocations.phrase_counts(docs, 8, longest)
+    _, every = collocations.phrase_counts(docs, 8)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, every.filter(F.col("words") <= longest).collect()))
+
+
 def test_values_that_collide(documents, monkeypatch):
     """Phrases that share the value by which they are pruned are told apart by their words."""
     monkeypatch.setattr(collocations, "_places", lambda h, ranges: h % np.uint64(5))
