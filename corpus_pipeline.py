@@ -12,8 +12,15 @@ from notemask.llm.common import table, written
 ORACLE_SQL = None
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """Texts go to Python tasks a few hundred at a time: stages follow each other in one session, and the heap that large
+    batches take stays with the executors beside the next stages' work."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; it learns from labelled rows of `docs`."""
+    in_small_batches(spark)
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
