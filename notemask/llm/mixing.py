@@ -127,14 +127,15 @@ def mixed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
     units = rows.groupBy("unit", "id", "source", "size").agg(F.count("*").alias("n"))
     named = F.coalesce(F.col("id"), F.col("unit")).alias("doc_id")  # rows without id have keys of their own too
     sized = written(units.select("unit", named, "source", (F.col("n") * F.col("size")).alias("size")), "sizes")
+    whole = F.greatest(F.col("size"), F.lit(1))  # Spark may divide before it filters
     plan = mix(sized, seed, tie="unit").filter("taken > 0").select(
-        F.col("unit").alias("of"), F.floor(F.col("taken") / F.col("size")).alias("epochs"), (F.col("taken") % F.col("size")).alias("rest")
+        F.col("unit").alias("of"), F.floor(F.col("taken") / whole).alias("epochs"), (F.col("taken") % whole).alias("rest")
     )
     place = F.row_number().over(Window.partitionBy("unit").orderBy("unit")) - 1
     found = rows.withColumn("place", place).join(plan.hint("merge"), F.col("unit") == F.col("of"))
     own = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("place") * F.col("size")))
     found = found.withColumn("taken", F.col("epochs") * F.col("size") + own).filter("taken > 0")
-    times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    times = F.sequence(F.lit(1), F.ceil(F.col("taken") / whole).cast("int"))
     copies = found.withColumn("time", F.explode(times))
     left = F.col("taken") - (F.col("time") - 1) * F.col("size")
     cut = F.when(left >= F.col("size"), F.col("row.text")).otherwise(first_words(F.col("row.text"), left))
