@@ -29,8 +29,9 @@ from notemask.plans.pipeline import (
     spans_of_notes,
     tag_notes,
 )
-from notemask.sources import readers
+from notemask.sources import readers, runs
 from notemask.sources.readers import write_labels
+from notemask.streaming import notes as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -786,3 +787,74 @@ def _(spark, sf):
     path = f"{spark.sparkContext.getCheckpointDir()}/labels-{uuid.uuid4().hex}"
     write_labels(rows, path, partition_by="kind")
     return spark.read.parquet(path)
+
+
+# --- Runs and streams -----------------------------------------------------------------------
+FILES_A_BATCH = 3
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new name in the shared folder."""
+    gz.ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def as_stream(spark: SparkSession, rows: DataFrame, folder: str, files: int = 8) -> DataFrame:
+    """Rows written as files and read as a stream, a few files in each batch."""
+    rows.repartition(files).write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
+
+
+@register(
+    "repeated_runs",
+    o.with_chain([o.NOTES], "SELECT doc_id, text, CAST(abs(doc_id) % 3 AS INT) AS part FROM notes"),
+)
+def _(spark, sf):
+    """Notes written in three runs, of which one is repeated and one was left unfinished before."""
+    folder = fresh_folder(spark, "runs")
+    notes = fx.notes(spark, sf).withColumn("part", (F.abs("doc_id") % 3).cast("int"))
+    notes.filter("part = 2").write.parquet(f"{folder}/data/{runs.ATTEMPT}=a-unfinished")
+    for part in (0, 1, 1, 2):
+        runs.write_run(notes.filter(F.col("part") == part), folder, f"part-{part}")
+    return runs.read_runs(spark, folder)
+
+
+@register(
+    "streamed_labels",
+    chain_sql(
+        "SELECT doc_id, 'label' AS kind, iob AS outcome, masked FROM annotated WHERE label_code = 1 AND equal"
+        " QUALIFY row_number() OVER (PARTITION BY cleaned ORDER BY doc_id) = 1"
+        " UNION ALL SELECT doc_id, 'reject', 'null_text', NULL FROM notes WHERE text IS NULL"
+        " UNION ALL SELECT doc_id, 'reject', CASE WHEN label_code = 5 THEN 'labels_empty'"
+        " WHEN label_code = 2 THEN 'labels_unknown' ELSE 'size_mismatch' END, NULL FROM annotated"
+        " WHERE label_code <> 1 OR NOT equal"
+    ),
+)
+def _(spark, sf):
+    """Labels and rejects of notes that arrive in several batches: the rows of one batch run."""
+    folder = fresh_folder(spark, "stream")
+    notes = as_stream(spark, fx.notes(spark, sf), f"{folder}/notes")
+    query = streams.label_stream(notes, fx.lexicon(spark, sf), f"{folder}/checked", f"{folder}/state")
+    query.trigger(availableNow=True).start().awaitTermination()
+    labelled = streams.streamed_labels(spark, f"{folder}/checked")
+    rejects = streams.streamed_rejects(spark, f"{folder}/checked")
+    return labelled.select("doc_id", F.lit("label").alias("kind"), F.col("iob").alias("outcome"), "masked").unionByName(
+        rejects.select("doc_id", F.lit("reject").alias("kind"), F.col("reject_reason").alias("outcome")),
+        allowMissingColumns=True,
+    )
+
+
+@register(
+    "streamed_first_texts",
+    f"SELECT min(doc_id) AS doc_id, sha256(cleaned) AS text_key FROM (SELECT doc_id, {o.clean('text')} AS cleaned"
+    " FROM documents WHERE text IS NOT NULL) GROUP BY cleaned",
+)
+def _(spark, sf):
+    """Lowest id of each cleaned text of a stream of documents, by keyed state."""
+    folder = fresh_folder(spark, "stream")
+    documents = fx.table(spark, sf, "documents").filter("text is not null").select("doc_id", "text")
+    arriving = as_stream(spark, documents, f"{folder}/documents")
+    cleaned = arriving.select("doc_id", tokens.clean_text(F.col("text")).alias("cleaned"))
+    query = streams.first_text_stream(cleaned, f"{folder}/firsts", f"{folder}/state")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return streams.least_ids(spark, f"{folder}/firsts")
