@@ -13,9 +13,11 @@ ORACLE_SQL = None
 
 
 def in_small_batches(spark: SparkSession) -> None:
-    """Texts go to Python tasks a few hundred at a time: stages follow each other in one session, and the heap that large
-    batches take stays with the executors beside the next stages' work."""
+    """Texts go to Python tasks a few hundred and a few megabytes at a time: stages follow each other in one session, and
+    the memory that large batches take stays with the executors beside the next stages' work. Rows alone bound nothing
+    where very long texts stand side by side."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
