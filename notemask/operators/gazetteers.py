@@ -29,6 +29,8 @@ BROADCAST_LIMIT = 128 * 1024 * 1024
 # The first-word index has one byte for each bucket of first words, however large the lexicon is; bit t - 1
 # says that some key that begins with such a word has t words, the last bit that many or more.
 HEAD_BUCKETS, HEAD_BITS = 1 << 16, 7
+# Bitmaps of the hashes of all keys, and bits of each as Spark builds them: 16 MB in all.
+BITMAPS, BITMAP_BITS = 1 << 12, 1 << 15
 ROW_OVERHEAD = 64
 
 
@@ -249,10 +251,41 @@ class Lexicon:
     heads: bytes
     broadcast_limit: int = BROADCAST_LIMIT
 
+    @property
+    def broadcasts(self) -> bool:
+        """Whether the measured size allows a broadcast."""
+        return self.n_bytes <= self.broadcast_limit
+
     def for_join(self) -> DataFrame:
         """Hinted for broadcast only when the measured size allows it; otherwise Spark shuffles."""
         rows = self.rows.select("key", "flags", "states")
-        return F.broadcast(rows) if self.n_bytes <= self.broadcast_limit else rows
+        return F.broadcast(rows) if self.broadcasts else rows
+
+    def bitmaps(self) -> DataFrame:
+        """One bit per key, at its hash: at most BITMAPS rows (bitmap, bits) of 4 KB each, whatever the lexicon's size."""
+        at = bit_at(F.col("key"))
+        return self.rows.groupBy(at["bitmap"].alias("bitmap")).agg(F.bitmap_construct_agg(at["bit"]).alias("bits"))
+
+
+def bit_at(key: Column) -> Column:
+    """The bitmap of a key and its bit there."""
+    place = F.pmod(F.xxhash64(key), F.lit(BITMAPS * BITMAP_BITS))
+    return F.struct(
+        F.floor(place / BITMAP_BITS).cast("int").alias("bitmap"), (place % BITMAP_BITS).alias("bit")
+    )
+
+
+def perhaps_known(phrases: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Phrases (with a ``key``) without those whose bit no key of the lexicon has: what is left may still be unknown.
+
+    The bitmaps have a fixed size and are broadcast, so most unknown phrases go before they are shuffled.
+    """
+    columns = phrases.columns
+    placed = phrases.select(F.struct(*columns).alias("phrase"), bit_at(F.col("key")).alias("at"))
+    placed = placed.select("phrase", "at.*").join(F.broadcast(lexicon.bitmaps()), "bitmap")
+    eight = F.ascii(F.decode(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    is_set = F.call_function("shiftright", eight, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return placed.filter(is_set).select("phrase.*")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -24,6 +24,7 @@ from notemask.operators.gazetteers import (
     Lexicon,
     head_bucket,
     key_words,
+    perhaps_known,
 )
 
 # Marks a word may carry after the lookups.
@@ -176,6 +177,8 @@ def phrase_matches(
     phrases = notes.select(
         *id_cols, F.explode(candidates(F.col(text_col), lexicon)).alias("p")
     ).select(*id_cols, "p.*")
+    if not lexicon.broadcasts:
+        phrases = perhaps_known(phrases, lexicon)
     known = phrases.join(lexicon.for_join(), "key")
     is_city = (F.col("flags").bitwiseAND(CITY) != 0) & (F.col("n") == 1)
     is_place = F.col("flags").bitwiseAND(MULTI_CITY + STATE) != 0

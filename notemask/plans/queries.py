@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -147,8 +148,8 @@ for _name, _source in _FILE_SOURCES.items():
 
 
 # --- Lookups ------------------------------------------------------------------------------
-def found_in_notes(spark: SparkSession, sf: str) -> DataFrame:
-    lexicon = fx.lexicon(spark, sf)
+def found_in_notes(spark: SparkSession, sf: str, **limits: int) -> DataFrame:
+    lexicon = dataclasses.replace(fx.lexicon(spark, sf), **limits)
     notes = fx.notes(spark, sf).filter("text is not null")
     prepared = notes.select("doc_id", masked_streets(F.col("text")).alias("text"))
     return phrase_matches(prepared, lexicon, ["doc_id"])
@@ -177,6 +178,13 @@ def _(spark, sf):
     return found_in_notes(spark, sf).filter(flagged(gz.NAME)).groupBy("doc_id", "key").agg(*per_key())
 
 
+@register("name_matches_by_shuffle", match_sql("f_name"))
+def _(spark, sf):
+    """The lookup of a lexicon too large for a broadcast: bitmaps of its keys first, then a shuffle of what is left."""
+    found = found_in_notes(spark, sf, broadcast_limit=0).filter(flagged(gz.NAME))
+    return found.groupBy("doc_id", "key").agg(*per_key())
+
+
 @register("token_city_matches", match_sql("city", more=f", {BESIDE_SQL}"))
 def _(spark, sf):
     cities = found_in_notes(spark, sf).filter(flagged(gz.CITY) & (F.col("n") == 1))

@@ -1,6 +1,7 @@
 """The taggers and the whole pipeline."""
 
 import dataclasses
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from notemask import annotate_notes, rejected_notes, tag_notes
 from notemask.functions.labels import ALPHABET
 from notemask.functions.marks import with_reserved
-from notemask.operators.gazetteers import HEAD_BUCKETS
+from notemask.operators.gazetteers import BITMAP_BITS, BITMAPS, HEAD_BUCKETS, perhaps_known
 from notemask.operators.matches import candidates
 from notemask.operators.quality import keep_first_text, label_validation_counts, split_equals_counts
 from notemask.plans import fixtures as fx
@@ -81,7 +82,9 @@ def test_lookup_without_broadcast_gives_the_same(spark, seed_lexicon):
     try:
         tagged = annotate_notes(rows, shuffled).select("doc_id", "masked", "iob")
         plan = tagged._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan and "CartesianProduct" not in plan
+        broadcast = re.findall(r"BroadcastHashJoin \[(\w+)#", plan)
+        assert set(broadcast) == {"bitmap"}  # of fixed size; the lexicon itself is shuffled
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
         apart = sorted(map(tuple, tagged.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -89,6 +92,18 @@ def test_lookup_without_broadcast_gives_the_same(spark, seed_lexicon):
     assert apart == sorted(map(tuple, together.collect()))
 
 
+def test_bitmaps_keep_unknown_phrases_from_the_shuffle(spark, seed_lexicon):
+    words = spark.range(20000).select(F.concat(F.lit("word "), "id").alias("key"), F.col("id").alias("other"))
+    keys = seed_lexicon.rows.select("key", F.lit(-1).cast("long").alias("other"))
+    left = perhaps_known(words.unionByName(keys), seed_lexicon)
+    assert left.columns == ["key", "other"]
+    kept = [r["key"] for r in left.collect()]
+    known = {r["key"] for r in keys.collect()}
+    assert known <= set(kept) and len(kept) <= len(known) + 20
+    sizes = seed_lexicon.bitmaps().select(F.octet_length("bits").alias("n"), "bitmap").collect()
+    assert {r["n"] for r in sizes} == {BITMAP_BITS // 8} and all(0 <= r["bitmap"] < BITMAPS for r in sizes)
+
+
 def phrases(spark, texts, lexicon):
     found = frame(spark, texts).select("doc_id", F.explode(candidates(F.col("text"), lexicon)).alias("p"))
     return sorted((r["doc_id"], r["pos"], r["n"], r["key"]) for r in found.select("doc_id", "p.*").collect())
