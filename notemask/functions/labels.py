@@ -21,9 +21,18 @@ def iob_raw(masked_tokens: Column) -> Column:
     An apostrophe goes together with the tag or the (up to two) letters after it, so that
     ``Veteran's`` and ``PersonName'PersonName`` are one label each.
     """
+    return _per_label(masked_tokens, " O ")
+
+
+def label_units(masked_tokens: Column) -> Column:
+    """What each label of ``iob_raw`` stands for, in the same order and number: a tag, or the word or character behind an ``O``."""
+    return _per_label(masked_tokens, " $0 ")
+
+
+def _per_label(masked_tokens: Column, outside: str) -> Column:
     joined = F.regexp_replace(masked_tokens, f"'(?:{TAG_NAMES}|[a-zA-Z]{{0,2}})", "")
-    outside = f"{STARTS}(?!{TAG_NAMES}{ENDS}){RUN}|{SPECIAL}"
-    return F.trim(collapse_spaces(F.regexp_replace(joined, outside, " O ")))
+    untagged = f"{STARTS}(?!{TAG_NAMES}{ENDS}){RUN}|{SPECIAL}"
+    return F.trim(collapse_spaces(F.regexp_replace(joined, untagged, outside)))
 
 
 def bio_labels(labels: Column) -> Column:

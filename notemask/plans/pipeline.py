@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from notemask.functions.labels import bio_labels, iob_raw, label_code, size_check
+from notemask.functions.labels import bio_labels, iob_raw, label_code, label_units, size_check
 from notemask.functions.marks import erase_marks, with_reserved, without_reserved, write_marks
 from notemask.functions.patterns import extract_ssn, mask_email, pattern_steps
 from notemask.functions.tokens import (
@@ -31,6 +31,7 @@ from notemask.operators.address import (
     mask_street,
     mask_zip,
 )
+from notemask.operators.alignment import token_diff
 from notemask.operators.gazetteers import Lexicon, ensure_checkpoint_dir
 from notemask.operators.matches import attach_marks
 from notemask.operators.names import NAME_STEPS
@@ -198,6 +199,37 @@ def reject_rows(
     )
 
 
+def diffs_of_rejects(
+    notes: DataFrame,
+    lexicon: Lexicon,
+    id_cols: list[str] | str = "doc_id",
+    text_col: str = "text",
+    strict: bool = False,
+) -> DataFrame:
+    """Where the tokens of a rejected note and of its masked form part: ids, reject_reason, at_before, at_after, dropped,
+    inserted, shift.
+
+    Notes whose token counts differ have one row per stretch of tokens that differs, a masked name as well. Those with
+    a ``shift`` other than 0 are what the note was rejected for. The tokens before are those of the cleaned text, or,
+    where a masking step lost the count, of the note split at blanks; after it they are those that got labels, or of
+    the masked note. Only rejected notes are aligned.
+    """
+    id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    wanted = [text_col, "cleaned", "masked", "reject_reason"]
+    annotated = annotate_notes(notes, lexicon, id_cols, text_col, strict, columns=wanted)
+    rejected = annotated.filter(F.col("reject_reason").isin("size_mismatch", "address_misaligned", "name_misaligned"))
+    sizes = F.col("reject_reason") == "size_mismatch"
+    rows = rejected.select(
+        F.struct(*id_cols, "reject_reason").alias("note"),
+        F.when(sizes, F.col("cleaned")).otherwise(F.col(text_col)).alias("before"),
+        F.when(sizes, label_units(clean_masked(F.col("masked")))).otherwise(F.col("masked")).alias("after"),
+    )
+    shift = (F.size("inserted") - F.size("dropped")).alias("shift")
+    return token_diff(rows, "before", "after", "note").select(
+        "note.*", "at_before", "at_after", "dropped", "inserted", shift
+    )
+
+
 def labels_and_rejects(
     notes: DataFrame,
     lexicon: Lexicon,

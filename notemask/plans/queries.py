@@ -20,6 +20,7 @@ from notemask.plans import oracle as o
 from notemask.plans.pipeline import (
     annotate_notes,
     counted_labels,
+    diffs_of_rejects,
     mark_notes,
     labels_and_rejects,
     mask_addresses,
@@ -753,6 +754,18 @@ def _(spark, sf):
     return rejected_notes(fx.notes(spark, sf), fx.lexicon(spark, sf))
 
 
+@register(
+    "reject_diffs",
+    chain_sql(
+        "SELECT doc_id, CAST(length_labels - length_text AS INT) AS shift FROM annotated WHERE label_code = 1 AND NOT equal"
+    ),
+)
+def _(spark, sf):
+    """By how many tokens rejected notes and their labels differ, summed over the stretches of their diff."""
+    found = diffs_of_rejects(fx.notes(spark, sf), fx.lexicon(spark, sf))
+    return found.groupBy("doc_id").agg(F.sum("shift").cast("int").alias("shift"))
+
+
 @register(
     "dedup_cleaned",
     f"SELECT min(doc_id) AS doc_id, cleaned FROM (SELECT doc_id, {o.clean('text')} AS cleaned FROM documents)"
