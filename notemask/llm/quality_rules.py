@@ -10,10 +10,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, releasing, table
+from .common import bytes_of, releasing, slices, table
+
+#: Bytes of text that a task measures at a time; a longer text is measured alone.
+SLICE = 4 << 20
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -82,31 +86,36 @@ def _measure_one(text: bytes) -> tuple[int, int, int, int]:
 @releasing
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        codes, at = bytes_of(batch.column("text"))
-        data, starts = codes.tobytes(), at.tolist()
-        own = np.array([_measure_one(data[a:b]) for a, b in zip(starts, starts[1:], strict=False)], np.int64)
-        own = own.reshape(-1, 4)
-
-        def counted(flags: np.ndarray, at: np.ndarray = at) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-            return total[at[1:]] - total[at[:-1]]
-
-        starts_char = (codes & 0xC0) != 0x80
-        upper = (codes >= 65) & (codes <= 90)
-        other = np.isin(codes, np.arange(97, 123)) | (codes >= 0xC3)  # a-z and lead bytes from U+00C0 on
-        columns = {
-            "n_words": own[:, 0],
-            "word_chars": counted(starts_char & ~_BLANK_BYTES[codes]),
-            "n_symbols": counted(_SYMBOL_BYTES[codes]),
-            "n_lines": own[:, 1],
-            "n_dup_lines": own[:, 2],
-            "n_repeat_words": own[:, 3],
-            "n_letters": counted(upper | other),
-            "n_upper": counted(upper),
-        }
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array(columns[x]) for x in MEASURES)], ["doc_id", *MEASURES]
-        )
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        for a, b in slices(lengths, SLICE):
+            yield _measured(batch.slice(a, b - a))
+
+
+def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
+    codes, at = bytes_of(batch.column("text"))
+    data, starts = codes.tobytes(), at.tolist()
+    own = np.array([_measure_one(data[a:b]) for a, b in zip(starts, starts[1:], strict=False)], np.int64)
+    own = own.reshape(-1, 4)
+
+    def counted(flags: np.ndarray) -> np.ndarray:
+        """Flags set in each text; no running totals, which would take eight bytes for each byte of text."""
+        return np.array([np.count_nonzero(flags[a:b]) for a, b in zip(starts, starts[1:], strict=False)], np.int64)
+
+    upper = (codes >= 65) & (codes <= 90)
+    other = ((codes >= 97) & (codes <= 122)) | (codes >= 0xC3)  # a-z and lead bytes from U+00C0 on
+    columns = {
+        "n_words": own[:, 0],
+        "word_chars": counted(((codes & 0xC0) != 0x80) & ~_BLANK_BYTES[codes]),
+        "n_symbols": counted(_SYMBOL_BYTES[codes]),
+        "n_lines": own[:, 1],
+        "n_dup_lines": own[:, 2],
+        "n_repeat_words": own[:, 3],
+        "n_letters": counted(upper | other),
+        "n_upper": counted(upper),
+    }
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), *(pa.array(columns[x]) for x in MEASURES)], ["doc_id", *MEASURES]
+    )
 
 
 def ledger(docs: DataFrame) -> DataFrame:
@@ -115,7 +124,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     Words are runs of anything but the six ASCII blanks. `word_chars` counts the code points in words,
     `n_dup_lines` the lines with a word that equal an earlier line, `n_repeat_words` the words covered by 3-word
     windows that occur at least twice. Null and empty texts have 0 everywhere and fail `few_words`. Rows are taken
-    as they come: repeated rows give repeated ledger rows, a null doc_id stays null, other columns don't matter.
+    as they come: repeated rows give repeated ledger rows, a null doc_id stays null, other columns don't matter. An empty
+    table gives an empty ledger.
     """
     schema = "doc_id " + docs.schema["doc_id"].dataType.simpleString() + "".join(f", {x} long" for x in MEASURES)
     measured = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_measure, schema)

@@ -4,6 +4,8 @@ import json
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from notemask.llm import quality_rules as q
 from notemask.llm import secrets as s
 
@@ -172,3 +174,14 @@ def test_large_keys_among_lines():
     lines = wrapped(data, 76)
     assert confirmed(lines) == confirmed(f"{'word' * 8}\n{lines}\nNext paragraph") == [("der", lines)]
     assert confirmed(f"{'word' * 8}\n{lines[:-80]}\nNext paragraph") == []
+
+
+def test_measures_do_not_depend_on_slices(monkeypatch):
+    texts = ["a b c a b c", None, "", "x\nx\n" * 50, "Ünder|Cut é\t#1", "word " * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])
+    whole = pa.Table.from_batches(q._measure(iter([batch])))
+    for size in (1, 10, 200):
+        monkeypatch.setattr(q, "SLICE", size)
+        cut = list(q._measure(iter([batch.slice(0, 2), batch.slice(2)])))
+        assert len(cut) > 2
+        assert pa.Table.from_batches(cut).to_pylist() == whole.to_pylist()
