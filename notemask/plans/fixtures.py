@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from notemask.constants import STATE_ABBREVIATIONS
@@ -185,15 +185,28 @@ def raw_extra_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.unionByName(literal_rows(spark, EXTRA_CITY_COLUMNS, SEED_EXTRA_CITIES))
 
 
-_LEXICONS: dict[tuple[str, str], Lexicon] = {}
+#: The tables that the lookup tables come from.
+LOOKUP_TABLES = ("conversations", "customer", "pages", "part")
+
+_LEXICONS: dict[tuple[str, str], tuple[Row, Lexicon]] = {}
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> Lexicon:
-    """The lexicon of a folder of tables, built once in a session."""
+    """The lexicon of a folder of tables, built once in a session and again when their files have changed."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LEXICONS:
-        _LEXICONS[key] = gazetteers(spark, sf_dir).lexicon()
-    return _LEXICONS[key]
+    files = files_of(spark, sf_dir)
+    if key not in _LEXICONS or _LEXICONS[key][0] != files:
+        _LEXICONS[key] = files, gazetteers(spark, sf_dir).lexicon()
+    return _LEXICONS[key][1]
+
+
+def files_of(spark: SparkSession, sf_dir: str) -> Row:
+    """What tells whether the lookup tables' files are still the same: number, bytes, and a sum of hashes of their names,
+    sizes and times. Only the listing is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    rows = listed.load([f"{sf_dir}/{name}.parquet" for name in LOOKUP_TABLES])
+    file = F.xxhash64("path", "modificationTime", "length").cast("decimal(20,0)")
+    return rows.agg(F.count("*"), F.sum("length"), F.sum(file)).first()
 
 
 def gazetteers(spark: SparkSession, sf_dir: str) -> Gazetteers:

@@ -238,3 +238,22 @@ def test_stateless_steps_accept_a_stream(spark, sf_dir, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("masked_stream").count() == fx.table(spark, sf_dir, "documents").count()
+
+
+def test_lexicon_follows_its_files(spark, sf_dir, tmp_path):
+    for name in fx.LOOKUP_TABLES:
+        fx.table(spark, sf_dir, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = fx.lexicon(spark, str(tmp_path))
+    assert fx.lexicon(spark, str(tmp_path)) is first
+    more = fx.table(spark, sf_dir, "conversations").limit(1).withColumn("text", F.lit("Zyxwvut came"))
+    more.write.mode("append").parquet(str(tmp_path / "conversations.parquet"))
+    second = fx.lexicon(spark, str(tmp_path))
+    assert second is not first and fx.lexicon(spark, str(tmp_path)) is second
+    assert fx.lexicon(spark, sf_dir) is fx.lexicon(spark, sf_dir)
+    known = second.rows.select("key").exceptAll(first.rows.select("key"))
+    assert [r.key for r in known.collect()] == ["zyxwvut"]
+
+
+def test_listing_reads_no_contents(spark, sf_dir):
+    found = fx.files_of(spark, sf_dir)
+    assert found[0] == len(fx.LOOKUP_TABLES) and found[1] > 0
