@@ -10,10 +10,13 @@ from notemask import annotate_notes, rejected_notes, tag_notes
 from notemask.functions.labels import ALPHABET
 from notemask.functions.marks import with_reserved
 from notemask.operators.gazetteers import BITMAP_BITS, BITMAPS, HEAD_BUCKETS, perhaps_known
-from notemask.operators.matches import candidates
+from notemask.functions.chars import RUN
+from notemask.functions.spans import matches
+from notemask.operators.matches import candidates, has_letter, starts_upper
 from notemask.operators.quality import keep_first_text, label_validation_counts, split_equals_counts
 from notemask.plans import fixtures as fx
 from notemask.plans.pipeline import labels_and_rejects, mark_notes, mask_addresses, mask_names
+from notemask.plans.queries import QUERIES
 
 GOLDEN = [
     ("The patient lives in New Jersey; and the Dr is from North Dakota", "The patient lives in PAddress PAddress; and the Dr is from PAddress PAddress"),
@@ -104,6 +107,26 @@ def test_bitmaps_keep_unknown_phrases_from_the_shuffle(spark, seed_lexicon):
     assert {r["n"] for r in sizes} == {BITMAP_BITS // 8} and all(0 <= r["bitmap"] < BITMAPS for r in sizes)
 
 
+@pytest.mark.parametrize("name", ["tag_notes", "mask_hyphen", "name_matches_by_shuffle", "token_name_matches"])
+def test_patterns_run_behind_the_shuffle(spark, sf_dir, name):
+    """Not in the scan, which has one task if the file has one row group."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [part.split("Relation", 1)[0] for part in plan.split("RepartitionByExpression")[1:]]
+    assert scans and "regexp_extract_all" in plan
+    assert not any("regexp" in part for part in scans)
+
+
+@pytest.mark.parametrize("text", [
+    "caf\u00e9 \u00c9cole and 12345 _Sarah \u00e9cole-Klein 9Klein \U0001d400bc {x} [Sarah] `Sarah ~ @Sarah \x7fSarah", "Sarah", "-Sarah", "sarah-",
+])
+def test_plain_tests_of_words_agree_with_their_patterns(spark, text):
+    words = frame(spark, [text]).select(F.explode(matches(F.col("text"), RUN)).alias("w"))
+    told = words.select("w", has_letter(F.col("w")), starts_upper(F.col("w"))).collect()
+    assert [tuple(r) for r in told] == [
+        (w, any(c.isalpha() for c in w), w[0].isupper() and w[0].isalpha()) for w in (r["w"] for r in told)
+    ]
+
+
 def phrases(spark, texts, lexicon):
     found = frame(spark, texts).select("doc_id", F.explode(candidates(F.col("text"), lexicon)).alias("p"))
     return sorted((r["doc_id"], r["pos"], r["n"], r["key"]) for r in found.select("doc_id", "p.*").collect())
