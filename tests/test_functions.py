@@ -188,3 +188,70 @@ def test_label_spans_of_tokens(spark):
     assert spans(text, masked, "O O O O") == []
     assert spans(text, masked, "O O O") is None
     assert spans("", "", "") == []
+
+
+def test_classes_agree_with_their_ranges(spark):
+    """For every character: listing the ASCII ones and testing the others behind a range changes nothing."""
+    from notemask.functions import chars, marks
+
+    wide, word = chars.WIDE_SPACES, chars.WORD_CHARS
+    solid = rf"[[\x00-\x08\x0e-\x1b!-\x7f][\x{{80}}-\x{{10ffff}}&&[^{wide}]]]"
+    special = rf"[[\x00-\x08\x0e-\x1b!-&(-/:-@\[-^`{{-\x7f][\x{{80}}-\x{{10ffff}}&&[^{wide}\p{{L}}\p{{N}}]]]"
+    pairs = [
+        (chars.WORD, r"[[0-9A-Za-z_][\p{L}\p{N}]]"), (chars.NOT_WORD, f"[^{word}]"), (chars.SOLID, solid),
+        (chars.SPECIAL, special), (labels.OTHER_SPACE, rf"[\t-\r\x{{1c}}-\x{{1f}}{wide}]"),
+    ] + [
+        (marks.mark_class(bits), "[" + "".join(chr(c) for c in range(0xFDD1, 0xFDF0) if (c - 0xFDD0) & bits) + "]")
+        for bits in range(1, 32)
+    ]
+    codes = spark.range(0x110000).filter("id not between 55296 and 57343")
+    c = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    differ = [F.count_if(F.col("c").rlike(f"^{a}\\z") != F.col("c").rlike(f"^{b}\\z")) for a, b in pairs]
+    assert set(codes.select(c.alias("c")).filter("length(c) = 1").agg(F.count("*"), *differ).first()[1:]) == {0}
+
+
+def test_size_check_counts_tokens_once(spark):
+    rows = spark.range(1).select(F.lit("a  b").alias("a"), F.col("id").cast("string").alias("b"))
+    plan = rows.select(labels.size_check(F.col("a"), F.col("b")).alias("n"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_count(") == 2  # four before
+
+
+def test_marks_fail_plain_characters_in_one_test():
+    from notemask.functions.marks import MARK, mark_class
+
+    assert all(mark_class(bits).startswith(f"[{MARK}&&") for bits in range(1, 32))
+
+
+def test_labels_do_not_need_spaced_tokens(spark):
+    texts = [
+        *ODD_TEXTS, "PersonName.PAddress", ".PersonName's ,Veteran's 'PAddress''x", "PersonNames xPersonName PersonName_1 (PersonName)",
+        "ab'[cd", "it's,ok ab'cdef x',", "PersonName  a  .. [PAddress]\tb", "a\x0bPersonName.b", " ", "'", "PAddressPAddress O",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    per_token = F.regexp_replace(labels._per_label(tokens.clean_masked(F.col("t")), " O "), "$", "")
+    got = rows.select("t", labels.iob_raw(tokens.drop_separators(F.col("t"))).alias("n"), per_token.alias("o")).collect()
+    assert [(r["t"], r["n"]) for r in got] == [(r["t"], r["o"]) for r in got]
+
+
+def test_outside_labels_are_never_marked_as_repeats(spark):
+    bio = lambda t: text_of(spark, labels.bio_labels, t)
+    assert bio("O O PAddress PAddress O O OO OO O") == "O O B-PAddress I-PAddress O O B-OO I-OO O"
+    assert bio("O ﷐O X") == "O O B-X"
+
+
+def test_only_blanks_beside_others_collapse(spark):
+    spaced = lambda t, m: one(spark, tokens.space_specials(F.col("t"), F.col("m")), t=t, m=m)
+    assert spaced(" a,b  (Klein) c.  Klein's!", " a,b  (PersonName) c.  PersonName's!") == " a , b ( Klein ) c . Klein's ! "
+    assert spaced("Ann-Lee a", "PersonName a") == "Ann-Lee a"
+
+
+def test_streets_end_at_most_24_characters_behind_their_start(spark):
+    found = lambda t: one(spark, F.array_join(address.street_spans(F.col("t")), "|"), t=t)
+    assert found("12345 Ab1234567890123456 Rd x") == ""
+    assert found("12345 AAbcdefghijklmnopSt x") == found("12345 AAbcdefghijklmnopSt")
+    assert found("at 5 Oak St, 77 Long Meadow Brook Road. 9 stones") == "5 Oak St,|77 Long Meadow Brook Road."
+
+
+def test_tokens_that_are_the_tag_stay(spark):
+    widen = lambda t: text_of(spark, lambda x: address.widen_tags(x, "PAddress"), t)
+    assert widen("(PAddress), PAddress-x xPAddress PAddressPAddress PAddress. a") == "(PAddress), PAddress-PAddress PAddress PAddress PAddress. a"
