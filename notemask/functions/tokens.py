@@ -122,17 +122,74 @@ def clean_masked(masked: Column) -> Column:
     return space_own_specials(clean_text(masked))
 
 
-def restore_specials(text: Column, locations: Column) -> Column:
-    """Put recorded characters back at their positions (lossy where a space stood in for one)."""
-    return F.aggregate(
-        locations,
-        text,
-        lambda acc, at: F.concat(
-            F.substring(acc, F.lit(1), at["start"]),
-            at["character"],
-            F.substring(acc, at["start"] + 1, F.length(acc)),
-        ),
-    )
+def restore_specials(text: Column, locations: Column, block: int = 64) -> Column:
+    """Put recorded characters back at their positions (lossy where a space stood in for one).
+
+    Positions are those in the restored text so far. Where each lies behind the character before it, as
+    ``special_locations`` gives them, the text is cut at all of them, in blocks first, so that a cut looks for its place in
+    a short piece. Other lists are put back one by one, each time copying the text.
+    """
+
+    def one_by_one(given: Column) -> Column:
+        return F.aggregate(
+            given["locations"],
+            given["text"],
+            lambda acc, at: F.concat(
+                F.substring(acc, F.lit(1), at["start"]),
+                at["character"],
+                F.substring(acc, at["start"] + 1, F.length(acc)),
+            ),
+        )
+
+    def in_order(given: Column) -> Column:
+        def behind(at: Column, i: Column) -> Column:
+            before = F.get(given["locations"], i - 1)
+            least = F.when(i == 0, 0).otherwise(before["start"] + F.length(before["character"]))
+            return F.coalesce((at["start"] >= least) & at["character"].isNotNull(), F.lit(False))
+
+        return F.forall(F.transform(given["locations"], behind), lambda o: o)
+
+    def at_once(given: Column) -> Column:
+        lengths = F.transform(given["locations"], lambda at: F.length(at["character"]))
+        cuts = F.zip_with(
+            given["locations"],
+            prefix_sums(lengths),
+            lambda at, put: F.struct((at["start"] - put).alias("at"), at["character"].alias("character")),
+        )
+        return let(cuts, lambda cs: in_blocks(given["text"], cs))
+
+    def in_blocks(whole: Column, cuts: Column) -> Column:
+        """``cuts``: the places in the text as given, and the characters that belong there."""
+
+        def rejoined(b: Column) -> Column:
+            first = F.when(b == 0, 0).otherwise(F.get(cuts, b * block)["at"])
+            end = F.coalesce(F.get(cuts, (b + 1) * block)["at"], F.length(whole))
+            piece = F.struct(
+                first.alias("first"),
+                F.substring(whole, first + 1, end - first).alias("text"),
+                F.slice(cuts, b * block + 1, F.lit(block)).alias("cuts"),
+            )
+            return let(piece, put_back)
+
+        def put_back(p: Column) -> Column:
+            def up_to(cut: Column, j: Column) -> Column:
+                last = F.when(j == 0, p["first"]).otherwise(F.get(p["cuts"], j - 1)["at"])
+                return F.concat(F.substring(p["text"], last - p["first"] + 1, cut["at"] - last), cut["character"])
+
+            rest = F.substring(p["text"], F.element_at(p["cuts"], -1)["at"] - p["first"] + 1, F.length(p["text"]))
+            return F.concat(F.array_join(F.transform(p["cuts"], up_to), ""), rest)
+
+        blocks = F.ceil(F.size(cuts) / F.lit(block)).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), blocks - 1), rejoined), "")
+
+    def restored(given: Column) -> Column:
+        return (
+            F.when(F.size(given["locations"]) == 0, given["text"])
+            .when(given["text"].isNotNull() & in_order(given), at_once(given))
+            .otherwise(one_by_one(given))
+        )
+
+    return let(F.struct(text.alias("text"), locations.alias("locations")), restored)
 
 
 # Characters that parting blanks can be held back as; a text is given the first one that it doesn't have.

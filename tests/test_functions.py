@@ -1,9 +1,11 @@
 """Column functions on literal rows."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
-from notemask.functions import labels, patterns, spans, tokens
+from notemask.functions import labels, marks, patterns, spans, tokens
 from notemask.operators import address, gazetteers, names
 
 
@@ -255,3 +257,61 @@ def test_streets_end_at_most_24_characters_behind_their_start(spark):
 def test_tokens_that_are_the_tag_stay(spark):
     widen = lambda t: text_of(spark, lambda x: address.widen_tags(x, "PAddress"), t)
     assert widen("(PAddress), PAddress-x xPAddress PAddressPAddress PAddress. a") == "(PAddress), PAddress-PAddress PAddress PAddress PAddress. a"
+
+
+def put_back_one_by_one(text, places):
+    for start, character in places:
+        text = text[:start] + character + text[start:]
+    return text
+
+
+def restored_of(spark, text, places):
+    rows = spark.createDataFrame([(text, places)], "t string, at array<struct<start:int,character:string>>")
+    return rows.select(tokens.restore_specials(F.col("t"), F.col("at")).alias("x")).first()["x"]
+
+
+def test_restore_specials_agrees_with_putting_back_one_by_one(spark):
+    ordered = [(3 * i + i % 2, ", "[: 1 + i % 2]) for i in range(200)]
+    for text, places in [
+        ("a\u00e9\U0001f600b" * 120, ordered),
+        ("ends too early", ordered),
+        ("", [(0, ","), (1, "["), (9, "]")]),
+        ("abc", []),
+        ("abcdef", [(4, "]"), (0, "["), (2, ",")]),  # not in order
+        ("abcdef", [(1, "\t\t\t"), (2, ",")]),  # within what was put back
+    ]:
+        assert restored_of(spark, text, places) == put_back_one_by_one(text, places)
+    assert restored_of(spark, None, ordered) is None
+    assert restored_of(spark, "abc", None) is None
+    assert restored_of(spark, "abc", [(1, None)]) is None
+
+
+def test_restore_specials_of_a_long_text_takes_no_square(spark):
+    text = "[word], " * 60000
+    start = time.perf_counter()
+    assert text_of(spark, lambda t: tokens.restore_specials(tokens.clean_text(t), tokens.special_locations(t)), text)
+    assert time.perf_counter() - start < 20
+
+
+def test_titled_words_are_masked_as_whole_words_in_any_case(spark):
+    text = "Dr Kim saw Kim\ufdd1, kIM and \u212aim; Kimble, xKim, Kim_ and \u212bim stay. Mrs PersonName"
+    expected = "Dr PersonName saw PersonName, PersonName and PersonName; Kimble, xKim, Kim_ and \u212bim stay. Mrs PersonName"
+    assert text_of(spark, names.mask_titled, text) == expected
+    assert text_of(spark, names.mask_titled, "Mr PersonName and Mr PAddress") == "Mr PersonName and Mr PAddress"
+
+
+def test_titled_words_of_a_long_text_are_masked_in_one_pass(spark):
+    """No regular expression of its own for each word."""
+    plan = spark.range(1).select(names.mask_titled(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "array_contains" not in plan and "zip_with" not in plan
+
+
+def test_marks_are_written_behind_their_words(spark):
+    rows = spark.createDataFrame(
+        [(t, m, []) for t, m in [
+            (" a, b. ", [(1, 2)]), ("a b", [(1, 1)]), ("a b", [(0, 4), (1, 1)]), ("\u00e9\U0001f600x y\n", [(2, 8)]), ("a", None),
+        ]],
+        "t string, m array<struct<pos:int,bits:int>>, p array<struct<key:string,n:int,bits:int>>",
+    )
+    written = [r["x"] for r in rows.coalesce(1).select(marks.write_marks(F.col("t"), F.col("m"), F.col("p")).alias("x")).collect()]
+    assert written == [" a, b\ufdd2. ", "a b\ufdd1", "a\ufdd4 b\ufdd1", "\u00e9\U0001f600x y\ufdd8\n", "a"]
