@@ -212,13 +212,15 @@ def edit_script(raw: Column, masked: Column) -> Column:
             F.split(raw, " ", -1), F.split(masked, " ", -1), lambda r, m: F.struct(r.alias("raw"), m.alias("masked"))
         )
 
-        def spaced(pair: Column) -> Column:
-            own = F.regexp_replace(pair["raw"], F.lit(SPECIAL), F.concat(held, F.lit("$0"), held))
+        # tokens without a mask get their spaces in one pass over the whole text
+        own = F.split(F.regexp_replace(raw, F.lit(SPECIAL), F.concat(held, F.lit("$0"), held)), " ", -1)
+
+        def spaced(pair: Column, unmasked: Column) -> Column:
             shown = F.filter(F.array_distinct(matches(pair["masked"], SPECIAL)), lambda c: c != held)
             part = F.aggregate(shown, pair["raw"], lambda acc, c: F.replace(acc, c, F.concat(held, c, held)))
-            return F.when(pair["raw"] == pair["masked"], own).otherwise(part)
+            return F.when(pair["raw"] == pair["masked"], unmasked).otherwise(part)
 
-        marked = F.array_join(F.transform(pairs, spaced), " ")
+        marked = F.array_join(F.zip_with(pairs, own, spaced), " ")
         # a held blank is no part of a token
         kept = F.concat(F.lit(f"[{KEPT}&&[^"), held, F.lit("]]+"))
 
