@@ -132,6 +132,20 @@ def phrases(spark, texts, lexicon):
     return sorted((r["doc_id"], r["pos"], r["n"], r["key"]) for r in found.select("doc_id", "p.*").collect())
 
 
+def test_context_of_phrases_is_kept_as_written(spark, seed_lexicon):
+    """What a lookup needs of the neighbours is made behind the join, for the matches that need it only."""
+    texts = ["The 12 Lincoln , 7North Dakota East", "In Lincoln  New Jersey", "Lincoln West\tVirginia", "to Deer Island Wilson 5"]
+    found = frame(spark, texts).select(F.explode(candidates(F.col("text"), seed_lexicon)).alias("p")).select("p.*")
+    context = ["key", "previous", "next", "beyond", "beyond_two", "following_pos", "after"]
+    rows = {tuple(r) for r in found.filter("key in ('lincoln', 'deer island')").select(*context).collect()}
+    assert rows == {
+        ("lincoln", "The", "7North", "Dakota", "East", 3, None),
+        ("lincoln", "In", "New", "Jersey", None, 2, None),
+        ("lincoln", None, "West", None, None, 1, "West"),
+        ("deer island", "to", "Island", None, None, 2, "Wilson"),
+    }
+
+
 def test_a_long_key_builds_no_phrases_elsewhere(spark, seed_gazetteers, seed_lexicon):
     """The first-word index: phrases begin like a key and have as many words as one of those that begin so."""
     junk = "Zzjunk " + " ".join(f"Word{i}" for i in range(40))
