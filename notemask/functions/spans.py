@@ -16,8 +16,11 @@ from notemask.functions.chars import ENDS, NOT_WORD, RUN, SOLID, STARTS, any_of
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``."""
-    return F.transform(F.array(value), body)[0]
+    """Evaluate ``value`` once per row and hand it to ``body``.
+
+    A fold over nothing: what ``transform`` makes it copies, arrays with all their strings, and once more at each level.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, body)
 
 
 def where(condition: Column, text: Column, rewritten: Column) -> Column:
@@ -115,40 +118,42 @@ def masked_token_diff(before: Column, after: Column) -> Column:
     return F.filter(changed, lambda t: t.isNotNull() & ~t.contains(ADDRESS_TAG))
 
 
-def prefix_sums(numbers: Column, block: int = 32) -> Column:
+def prefix_sums(numbers: Column, block: int = 8, levels: int = 2) -> Column:
     """Running totals of an int array, starting at 0 and without the grand total.
 
-    Two levels of blocks keep long arrays from being copied once per element; each element is copied about half a block's
-    times, and once more for every ``block`` squared elements.
+    The sums inside a block are written out, so an element costs about half a block's additions; the totals of the blocks
+    are summed the same way, ``levels`` times, and only those of the last level one by one, copying the list for each.
     """
 
-    def running(xs: Column, start: Column) -> Column:
-        zero = F.struct(start.cast("int").alias("total"), F.array().cast("array<int>").alias("seen"))
+    def one_by_one(xs: Column) -> Column:
         return F.aggregate(
             xs,
-            zero,
-            lambda acc, x: F.struct(
-                (acc["total"] + x).cast("int").alias("total"),
-                F.concat(acc["seen"], F.array(acc["total"])).alias("seen"),
-            ),
-            lambda acc: acc["seen"],
+            F.array(F.lit(0)),
+            lambda acc, x: F.concat(acc, F.array((F.element_at(acc, -1) + x).cast("int"))),
+            lambda acc: F.slice(acc, 1, F.size(acc) - 1),
         )
 
-    def blocked(xs: Column) -> Column:
+    def first(part: Column, n: int, start: Column) -> Column:
+        total = start
+        for k in range(n):
+            total = (total + F.get(part, F.lit(k))).cast("int")
+        return total
+
+    def sums(xs: Column, level: int) -> Column:
+        if level == 0:
+            return one_by_one(xs)
+        padded = F.concat(xs, F.array(*[F.lit(0)] * (block - 1)))
         count = F.ceil(F.size(xs) / F.lit(block)).cast("int")
-        blocks = F.when(
-            count > 0,
-            F.transform(
-                F.sequence(F.lit(0), count - 1), lambda b: F.slice(xs, b * block + 1, F.lit(block))
-            ),
-        ).otherwise(F.array().cast("array<array<int>>"))
+
+        def blocked(full: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(full, b * block + 1, F.lit(block)))
 
         def with_totals(parts: Column) -> Column:
-            totals = F.transform(
-                parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: (a + x).cast("int"))
-            )
-            return F.flatten(F.zip_with(parts, running(totals, F.lit(0)), running))
+            totals = F.transform(parts, lambda p: first(p, block, F.lit(0)))
+            within = lambda p, start: F.array(*[first(p, n, start) for n in range(block)])
+            whole = let(totals, lambda ts: F.zip_with(parts, sums(ts, level - 1), within))
+            return F.slice(F.flatten(whole), F.lit(1), F.size(xs))
 
-        return let(blocks, with_totals)
+        return F.when(F.size(xs) > 0, let(let(padded, blocked), with_totals)).otherwise(F.array().cast("array<int>"))
 
-    return let(numbers, blocked)
+    return let(numbers, lambda xs: sums(xs, levels))

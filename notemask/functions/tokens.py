@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
-from notemask.functions.chars import SOLID, SPECIAL
+from notemask.functions.chars import BEYOND, SPECIAL, WIDE_SPACES, listed
 from notemask.functions.spans import gaps, let, matches, prefix_sums
 
 HELD_SPACE = "\ufdd0"  # a noncharacter, used only inside one expression
@@ -194,7 +194,11 @@ def restore_specials(text: Column, locations: Column, block: int = 64) -> Column
 
 # Characters that parting blanks can be held back as; a text is given the first one that it doesn't have.
 HELD = [chr(c) for c in range(0xFDD0, 0xFDF0)]
-KEPT = rf"[{SOLID}&&[^,\[\]]]"
+# Solid characters but commas and square brackets; the character that blanks are held back as goes between the two parts.
+KEPT_START = (
+    f"[{listed(chr(0) + chr(8), chr(14) + chr(27), '!+', '-Z', chr(92) * 2, '^' + chr(127))}[{BEYOND}&&[^{WIDE_SPACES}"
+)
+KEPT_END = "]]]+"
 
 
 def edit_script(raw: Column, masked: Column) -> Column:
@@ -208,44 +212,41 @@ def edit_script(raw: Column, masked: Column) -> Column:
     """
 
     def script(held: Column) -> Column:
-        pairs = F.zip_with(
-            F.split(raw, " ", -1), F.split(masked, " ", -1), lambda r, m: F.struct(r.alias("raw"), m.alias("masked"))
-        )
-
-        # tokens without a mask get their spaces in one pass over the whole text
-        own = F.split(F.regexp_replace(raw, F.lit(SPECIAL), F.concat(held, F.lit("$0"), held)), " ", -1)
+        # tokens without a mask get their blanks in one pass over the whole text
+        own = F.regexp_replace(raw, F.lit(SPECIAL), F.concat(held, F.lit("$0"), held))
 
-        def spaced(pair: Column, unmasked: Column) -> Column:
-            shown = F.filter(F.array_distinct(matches(pair["masked"], SPECIAL)), lambda c: c != held)
-            part = F.aggregate(shown, pair["raw"], lambda acc, c: F.replace(acc, c, F.concat(held, c, held)))
-            return F.when(pair["raw"] == pair["masked"], unmasked).otherwise(part)
+        def spaced(unmasked: Column, mask: Column) -> Column:
+            shown = F.filter(F.array_distinct(matches(mask, SPECIAL)), lambda c: c != held)
+            plain = F.replace(unmasked, held, F.lit(""))
+            part = F.aggregate(shown, plain, lambda acc, c: F.replace(acc, c, F.concat(held, c, held)))
+            return F.when((unmasked == mask) | (plain == mask), unmasked).otherwise(part)
 
-        marked = F.array_join(F.zip_with(pairs, own, spaced), " ")
+        by_token = F.array_join(F.zip_with(F.split(own, " ", -1), F.split(masked, " ", -1), spaced), " ")
+        marked = F.when(raw == masked, own).otherwise(by_token)
         # a held blank is no part of a token
-        kept = F.concat(F.lit(f"[{KEPT}&&[^"), held, F.lit("]]+"))
+        kept = F.concat(F.lit(KEPT_START), held, F.lit(KEPT_END))
 
-        def pieces(tokens: Column, around: Column) -> Column:
-            befores = F.transform(around, lambda g: F.replace(g, held, F.lit("")))
+        def pieces(tokens: Column, befores: Column) -> Column:
+            lengths = F.zip_with(befores, tokens, lambda b, t: F.length(b) + F.coalesce(F.length(t), F.lit(0)))
 
-            def placed(before: Column) -> Column:
-                lengths = F.zip_with(before, tokens, lambda b, t: F.length(b) + F.coalesce(F.length(t), F.lit(0)))
-                return F.zip_with(
-                    F.zip_with(
-                        before, tokens,
-                        lambda b, t: F.struct(b.alias("before"), t.alias("token")),
-                    ),
-                    prefix_sums(lengths),
-                    lambda p, at: F.struct(
-                        p["before"].alias("before"),
-                        (p["before"] == "").alias("parted"),
-                        p["token"].alias("token"),
-                        F.when(p["token"].isNotNull(), at + F.length(p["before"])).alias("start"),
-                    ),
-                )
+            def placed(sums: Column) -> Column:
+                def piece(before: Column, i: Column) -> Column:
+                    token = F.get(tokens, i)
+                    return F.struct(
+                        before.alias("before"),
+                        (before == "").alias("parted"),
+                        token.alias("token"),
+                        F.when(token.isNotNull(), F.get(sums, i) + F.length(before)).alias("start"),
+                    )
+
+                return F.transform(befores, piece)
+
+            return let(prefix_sums(lengths), placed)
 
-            return let(befores, placed)
+        def around(m: Column) -> Column:
+            return F.transform(gaps(m, kept), lambda g: F.replace(g, held, F.lit("")))
 
-        return let(marked, lambda m: let(matches(m, kept), lambda t: let(gaps(m, kept), lambda g: pieces(t, g))))
+        return let(marked, lambda m: let(matches(m, kept), lambda t: let(around(m), lambda g: pieces(t, g))))
 
     free = F.lit(None).cast("string")
     for character in reversed(HELD):

@@ -173,6 +173,34 @@ def test_edit_scripts_lose_nothing(spark):
         assert r["script"][-1]["token"] is None and len(pieces) == len(r["script"]) - 1
 
 
+def test_edit_scripts_cost_a_few_spacings(spark):
+    words = F.concat(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20000)), lambda i: F.concat(F.lit("Ann, w"), i)), " "), "id")
+    rows = spark.range(16, numPartitions=8).select(words.alias("text")).withColumn("masked", F.replace("text", F.lit("w7"), F.lit("PersonName")))
+    rows = rows.cache()
+    rows.count()
+
+    def seconds(expression):
+        took = []
+        for _ in range(4):
+            start = time.perf_counter()
+            rows.select(expression).write.format("noop").mode("overwrite").save()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    spacing = seconds(tokens.space_specials(F.col("text"), F.col("masked")))
+    script = seconds(F.size(tokens.edit_script(F.col("text"), F.col("masked"))))
+    rows.unpersist()
+    assert script < 6 * spacing
+
+
+def test_prefix_sums_of_any_length(spark):
+    for n in (0, 1, 8, 9, 64, 65, 4097):
+        numbers = F.array_repeat(F.lit(3), F.lit(n))
+        assert spark.range(1).select(spans.prefix_sums(numbers).alias("x")).first()["x"] == [3 * i for i in range(n)]
+    unknown = F.array(F.lit(5), F.lit(None).cast("int"), F.lit(1))
+    assert spark.range(1).select(spans.prefix_sums(unknown).alias("x")).first()["x"] == [0, 5, None]
+
+
 def test_no_script_without_alignment(spark):
     every = "".join(chr(c) for c in range(0xFDD0, 0xFDF0))
     for text, masked in [("a b", "a"), (every, every), (None, "a"), ("a", None)]:
