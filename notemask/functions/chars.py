@@ -18,6 +18,7 @@ SPACE_CHARS = rf"\t-\r\x{{1c}}-\x{{20}}{WIDE_SPACES}"
 BEYOND = r"\x{80}-\x{10ffff}"
 WORD = f"[\\w[{BEYOND}&&[\\p{{L}}\\p{{N}}]]]"
 NOT_WORD = f"[{listed(chr(0) + '/', ':@', '[^', '``', '{' + chr(127))}[{BEYOND}&&[^\\p{{L}}\\p{{N}}]]]"
+UPPER = f"[{listed('AZ')}[{BEYOND}&&[\\p{{Lu}}]]]"
 RUN = f"{WORD}++"  # one whole run of word characters, once started at its first character
 WHOLE = f"{WORD}+"  # the same where nothing in the pattern can fail behind it: Java's fastest repeat
 STARTS = f"(?<!{WORD})"

@@ -29,6 +29,7 @@ from notemask.functions.spans import mask_spans, matches, where
 
 SSN_PLAIN_PATTERN = f"(?=[0-9]){STARTS}[0-9]{{9}}{ENDS}"
 ACCOUNT_PATTERN = f"(?=[0-9]){STARTS}[0-9]{{8}}{ENDS}"
+PERHAPS_SSN = "[0-9]{3}-?[0-9]{2}-?[0-9]{4}"
 NO_DIGIT_BEFORE, NO_DIGIT_AFTER = "(?<![0-9])", "(?![0-9])"
 
 
@@ -42,13 +43,13 @@ def mask_email(text: Column) -> Column:
 
 def extract_ssn(text: Column) -> Column:
     """Social-security numbers in reading order: dashed, or nine digits on their own."""
-    return matches(text, f"{SSN_DASHED_PATTERN}|{SSN_PLAIN_PATTERN}")
+    found = matches(text, f"{SSN_DASHED_PATTERN}|{SSN_PLAIN_PATTERN}")
+    return F.when(text.rlike(PERHAPS_SSN), found).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def mask_ssn(text: Column) -> Column:
-    return F.regexp_replace(
-        F.regexp_replace(text, SSN_DASHED_PATTERN, SSN_TAG), SSN_PLAIN_PATTERN, SSN_TAG
-    )
+    dashed = F.regexp_replace(text, SSN_DASHED_PATTERN, SSN_TAG)
+    return where(text.rlike(PERHAPS_SSN), text, F.regexp_replace(dashed, SSN_PLAIN_PATTERN, SSN_TAG))
 
 
 def mask_phone(text: Column, strict: bool = False) -> Column:

@@ -16,9 +16,14 @@ from notemask.functions.chars import ENDS, NOT_WORD, RUN, SOLID, STARTS, any_of
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and hand it to ``body``.
+    """Evaluate ``value`` once per row and hand it to ``body``."""
+    return F.transform(F.array(value), body)[0]
 
-    A fold over nothing: what ``transform`` makes it copies, arrays with all their strings, and once more at each level.
+
+def hold(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``let`` for bodies that make long arrays: ``transform`` copies what it makes, with all strings, at each level.
+
+    A fold over nothing doesn't; it takes somewhat longer to plan.
     """
     return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, body)
 
@@ -151,9 +156,9 @@ def prefix_sums(numbers: Column, block: int = 8, levels: int = 2) -> Column:
         def with_totals(parts: Column) -> Column:
             totals = F.transform(parts, lambda p: first(p, block, F.lit(0)))
             within = lambda p, start: F.array(*[first(p, n, start) for n in range(block)])
-            whole = let(totals, lambda ts: F.zip_with(parts, sums(ts, level - 1), within))
+            whole = hold(totals, lambda ts: F.zip_with(parts, sums(ts, level - 1), within))
             return F.slice(F.flatten(whole), F.lit(1), F.size(xs))
 
-        return F.when(F.size(xs) > 0, let(let(padded, blocked), with_totals)).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(xs) > 0, hold(hold(padded, blocked), with_totals)).otherwise(F.array().cast("array<int>"))
 
-    return let(numbers, lambda xs: sums(xs, levels))
+    return hold(numbers, lambda xs: sums(xs, levels))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
 from notemask.functions.chars import BEYOND, SPECIAL, WIDE_SPACES, listed
-from notemask.functions.spans import gaps, let, matches, prefix_sums
+from notemask.functions.spans import gaps, hold, let, matches, prefix_sums
 
 HELD_SPACE = "\ufdd0"  # a noncharacter, used only inside one expression
 DROPPED = r"[\r,\n\t\[\]]"
+BLANKS = r"[\r,\n\t\[\] ]"  # those and the blank
 RECORDED = r"[\x0b\n\t\r,\[\]] *"
 
 
@@ -114,7 +115,7 @@ def drop_separators(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """Line breaks, tabs, commas and square brackets become single spaces; ends are trimmed."""
-    return F.trim(collapse_spaces(drop_separators(text)))
+    return F.trim(F.regexp_replace(text, rf"{DROPPED}{BLANKS}*+| {BLANKS}++", " "))
 
 
 def clean_masked(masked: Column) -> Column:
@@ -241,18 +242,18 @@ def edit_script(raw: Column, masked: Column) -> Column:
 
                 return F.transform(befores, piece)
 
-            return let(prefix_sums(lengths), placed)
+            return hold(prefix_sums(lengths), placed)
 
         def around(m: Column) -> Column:
             return F.transform(gaps(m, kept), lambda g: F.replace(g, held, F.lit("")))
 
-        return let(marked, lambda m: let(matches(m, kept), lambda t: let(around(m), lambda g: pieces(t, g))))
+        return hold(marked, lambda m: hold(matches(m, kept), lambda t: hold(around(m), lambda g: pieces(t, g))))
 
     free = F.lit(None).cast("string")
     for character in reversed(HELD):
         free = F.when(~raw.contains(character), character).otherwise(free)
     usable = space_count(raw) == space_count(masked)
-    return F.when(usable & free.isNotNull(), let(free, script))
+    return F.when(usable & free.isNotNull(), hold(free, script))
 
 
 def restore_text(script: Column) -> Column:
@@ -288,7 +289,7 @@ def label_spans(script: Column, iob: Column) -> Column:
 
             return F.transform(begin, span)
 
-        return let(begins, each)
+        return hold(begins, each)
 
     def labelled(tokens: Column, labels: Column) -> Column:
         # most labels are O: only the other tokens are looked at
@@ -299,9 +300,9 @@ def label_spans(script: Column, iob: Column) -> Column:
             end = start + F.length(F.get(tokens, i)["token"])
             return F.struct(start.alias("start"), end.alias("end"), F.get(labels, i).alias("label"))
 
-        found = let(F.transform(places, token), spans)
+        found = hold(F.transform(places, token), spans)
         return F.when(F.size(tokens) == F.size(labels), found)
 
     tokens = F.filter(script, lambda p: p["token"].isNotNull())
     labels = F.when(iob == "", F.array().cast("array<string>")).otherwise(F.split(iob, " ", -1))
-    return let(tokens, lambda ts: let(labels, lambda ls: labelled(ts, ls)))
+    return hold(tokens, lambda ts: hold(labels, lambda ls: labelled(ts, ls)))

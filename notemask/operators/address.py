@@ -128,8 +128,7 @@ def mask_zip(text: Column, known: Column) -> Column:
     """ZIP codes (from the list) and ZIP+4 with an address within the two tokens before them."""
     listed = f"(?=[0-9]){STARTS}[0-9]{{5}}{mark_class(ZIP_MARK)}"
     plus_four = f"(?=[0-9])(?<![0-9])[0-9]{{5}}{MARK}?-[0-9]{{4}}(?![0-9])"
-
-    any_code = f"{listed}|{plus_four}"
+    any_code = f"(?=[0-9])(?:{STARTS}[0-9]{{5}}{mark_class(ZIP_MARK)}|(?<![0-9])[0-9]{{5}}{MARK}?-[0-9]{{4}}(?![0-9]))"
 
     def rewrite(words: Column, tokens: Column) -> Column:
         def is_address(token: Column) -> Column:

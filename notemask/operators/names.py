@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notemask.constants import ADDRESS_TAG, CUTOFF_WORDS, NAME_TAG, ROLE_WORDS
-from notemask.functions.chars import ENDS, RUN, STARTS, WORD, WORD_CHARS, any_of
+from notemask.functions.chars import ENDS, RUN, STARTS, UPPER, WORD, WORD_CHARS, any_of
 from notemask.functions.marks import MARK, MARKED_RUN, RESERVED, erase_marks, mark_class
 from notemask.functions.spans import let, mask_spans, matches, where
 from notemask.operators.address import widen_tags
@@ -72,7 +72,7 @@ def _after_role() -> str:
 CLINICIAN_PATTERN = _clinician()
 LAST_FIRST_PATTERN = _last_first()
 AFTER_ROLE_PATTERN = _after_role()
-BEHIND_ROLE = r"[A-Za-z]\s?,\s[A-Z]"
+BEHIND_ROLE = r",\s[A-Z](?<=[A-Za-z]\s?,\s[A-Z])"
 TITLED_PATTERN = rf"(?=[DM]){STARTS}(?:Dr|Mrs|Mr|Ms)\.?\s([A-Z][a-zA-Z]*){ENDS}"
 
 
@@ -135,7 +135,7 @@ def mask_titled(text: Column) -> Column:
 
 def mask_dictionary_name(text: Column) -> Column:
     """Capitalised words of two or more characters, and names of several runs, in the name list."""
-    pattern = rf"(?=\p{{Lu}}{WORD}|\p{{Lu}}{MARK}['.-]){STARTS}{RUN}{mark_class(NAME_MARK)}"
+    pattern = rf"(?={UPPER}(?:{WORD}|{MARK}['.-])){STARTS}{RUN}{mark_class(NAME_MARK)}"
     return where(has_name(text), text, F.regexp_replace(text, pattern, NAME_TAG))
 
 

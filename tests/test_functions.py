@@ -1,11 +1,12 @@
 """Column functions on literal rows."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
 from notemask.constants import LENGTH_ERROR_TEXT
-from notemask.functions import labels, marks, patterns, spans, tokens
+from notemask.functions import chars, labels, marks, patterns, spans, tokens
 from notemask.operators import address, gazetteers, names
 
 
@@ -343,3 +344,28 @@ def test_marks_are_written_behind_their_words(spark):
     )
     written = [r["x"] for r in rows.coalesce(1).select(marks.write_marks(F.col("t"), F.col("m"), F.col("p")).alias("x")).collect()]
     assert written == [" a, b\ufdd2. ", "a b\ufdd1", "a\ufdd4 b\ufdd1", "\u00e9\U0001f600x y\ufdd8\n", "a"]
+
+
+def test_plain_tests_miss_nothing(spark):
+    numbers = ["123-45-6789", "123456789", "x 123-45-67890", "é123456789", "1234567890", "12-345-6789", "", None]
+    for text in numbers:
+        plain = F.regexp_extract_all("t", F.lit(f"{patterns.SSN_DASHED_PATTERN}|{patterns.SSN_PLAIN_PATTERN}"), F.lit(0))
+        assert one(spark, patterns.extract_ssn(F.col("t")).eqNullSafe(plain), t=text), text
+        assert one(spark, F.coalesce(F.col("t").rlike(patterns.PERHAPS_SSN) | (F.size(plain) < 1), F.lit(True)), t=text), text
+    roles = ["Nurse, Ann", "nurse ,\tAnn", "Nurse,Ann", "Nurse  , Ann", "3, Ann", "Nurse, ann", ", Ann", "a,\nB", "é, Ann"]
+    for text in roles:
+        assert one(spark, F.col("t").rlike(names.BEHIND_ROLE) == F.col("t").rlike(r"[A-Za-z]\s?,\s[A-Z]"), t=text), text
+
+
+def test_upper_case_class(spark):
+    rows = spark.range(1, 0x20000).filter("id not between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    assert rows.filter(F.col("c").rlike(f"^{chars.UPPER}$") != F.col("c").rlike(r"^\p{Lu}$")).count() == 0
+
+
+def test_labels_of_other_alphabets(spark):
+    bio = lambda t: text_of(spark, labels.bio_labels, t)
+    assert bio("O O Other Other O OO O") == "O O B-Other I-Other O B-OO O"
+    assert bio("O") == "O" and bio("") == "" and bio("A O O A A") == "B-A O O B-A I-A"
+    clean = lambda t: text_of(spark, tokens.clean_text, t)
+    for text in (",a [b]\t\r\n c  d ,", "a b", " , ", "", "a, b,c  ,  d"):
+        assert clean(text) == " ".join(p for p in re.split(r"[\r,\n\t\[\] ]+", text) if p)
